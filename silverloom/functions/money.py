@@ -1,4 +1,4 @@
-"""Money and ratio columns. Amounts are decimals; exchange rates are doubles, rounded once after the product."""
+"""Money and ratio columns. Amounts and rates meet as decimals; the exact product is rounded once."""
 
 from __future__ import annotations
 
@@ -11,6 +11,8 @@ from silverloom.functions.keys import col
 
 MONEY = "decimal(18,2)"
 RATE = "decimal(18,8)"
+# exchange rates: 14 digits keep weak currencies exact to the cent, and a product with MONEY fits 38 digits
+FX_RATE = "decimal(20,14)"
 # Fixed value: quotes below this are turned round, so the product stays accurate.
 RATE_THRESHOLD = 0.09
 
@@ -39,15 +41,14 @@ def rate_or_derived(c: str | Column, derived: Column) -> Column:
 
 def convert(amount: str | Column, rate: str | Column, to: str = MONEY) -> Column:
     """Amount times rate, rounded once to the money type."""
-    return (col(amount).cast("double") * col(rate).cast("double")).cast(to)
+    return (col(amount).cast("decimal(18,4)") * col(rate).cast(FX_RATE)).cast(to)
 
 
 def threshold_convert(amount: str | Column, div: str | Column, mul: str | Column,
                       threshold: float = RATE_THRESHOLD) -> Column:
     """Divide by the quote when it is at least the threshold, otherwise multiply by its inverse."""
-    value = col(amount).cast("double")
-    by_div = F.try_divide(value, col(div).cast("double"))
-    return F.when(col(div) >= F.lit(threshold), by_div).otherwise(value * col(mul).cast("double")).cast(MONEY)
+    inverse = F.try_divide(F.lit(1.0), col(div).cast("double"))
+    return convert(amount, F.when(col(div) >= F.lit(threshold), inverse).otherwise(col(mul).cast("double")))
 
 
 def pick_amount(ladder: Sequence[tuple[Column, Column]], otherwise: Column) -> Column:
@@ -82,7 +83,7 @@ def totals(df: DataFrame, base: str, uplift: Column, bonus: str, currencies: dic
     out = {}
     for suffix, rate in currencies.items():
         plain = convert(base, rate)
-        lifted = convert(col(base).cast("double") * (F.lit(1.0) + uplift.cast("double")), rate)
+        lifted = convert(col(base).cast(MONEY) * (F.lit(1) + uplift.cast("decimal(9,4)")), rate)
         extra = convert(bonus, rate)
         out[f"base_{suffix}"] = plain
         out[f"base_uplift_{suffix}"] = lifted

@@ -31,14 +31,15 @@ def neighbour(df: DataFrame, keys: list[str], order: str, value: str, name: str,
               offset: int = 1, bucket: Column | None = None) -> DataFrame:
     """Value of the next (``offset=1``) or previous (``-1``) row of the same key, in order.
 
-    A key's rows are split into time buckets (``bucket`` must not decrease as ``order`` grows; a calendar month by
-    default), so a key that holds much of the table is spread over many tasks. Inside a bucket the neighbour is a plain
+    A key's rows are split into time buckets (``bucket`` must not decrease as ``order`` grows; days for dates and hours
+    for timestamps by default), so a key that holds much of the table is spread over many tasks. Inside a bucket the neighbour is a plain
     window; the row at a bucket's edge gets it from a summary of one row per key and bucket.
     """
     ties = ties or []
     if bucket is None:
-        d = F.to_date(F.col(order))
-        bucket = F.year(d) * 12 + F.month(d)
+        bucket = F.unix_date(F.to_date(F.col(order)))
+        if dict(df.dtypes)[order].startswith("timestamp"):
+            bucket = bucket * 24 + F.hour(F.col(order))
     df = df.withColumn("__b", bucket)
     by = [F.col(order), *[F.col(t) for t in ties]]
     inside = Window.partitionBy(*keys, "__b").orderBy(*by)
