@@ -63,6 +63,6 @@ def hierarchy(df: DataFrame, key: str, parent: str, name: str | None = None, inh
     if name:
         new["top_name"] = top[name]
     for c in inherit:
-        values = F.filter(F.transform("chain", lambda n, c=c: n[c]), lambda v: v.isNotNull())
+        values = F.filter(F.col("chain")[c], lambda v: v.isNotNull())
         new[f"{c}_inherited"] = F.coalesce(F.col(c), F.try_element_at(values, F.lit(1)))
     return out.withColumns(new).drop("__hk", "chain")

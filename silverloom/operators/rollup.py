@@ -24,20 +24,19 @@ def rollup_periods(df: DataFrame, date: str, keys: Sequence[str], aggs: dict[str
     return aggregate(rows, [*keys, "date_group_type_id", "date_group_id", "date_group_year"], aggs)
 
 
-def slice_categories(df: DataFrame, keys: Sequence[str], categories: dict[str, Column], measures: dict[str, Column],
-                     name: str = "category", fill: Sequence[str] = ()) -> DataFrame:
-    """Measures per key and overlapping category, in one pass.
-
-    Every category is a set of conditional sums of one aggregate, turned into rows afterwards. A category in ``fill``
-    gives a zero row for every key that has any row at all; the others only where a row matched.
-    """
+def category_sums(categories: dict[str, Column], measures: dict[str, Column]) -> list[Column]:
+    """Conditional sums of every measure in every category, and the number of matching rows, as aggregate columns."""
     cols = []
-    for i, (_, cond) in enumerate(categories.items()):
+    for i, cond in enumerate(categories.values()):
         hit = F.coalesce(cond, F.lit(False))
         cols.append(F.count(F.when(hit, 1)).alias(f"__n{i}"))
-        for m, expr in measures.items():
-            cols.append(F.sum(F.when(hit, expr)).alias(f"__{m}{i}"))
-    wide = df.groupBy(*keys).agg(*cols)
+        cols += [F.sum(F.when(hit, expr)).alias(f"__{m}{i}") for m, expr in measures.items()]
+    return cols
+
+
+def category_rows(wide: DataFrame, keys: Sequence[str], categories: Sequence[str], measures: Sequence[str],
+                  name: str = "category", fill: Sequence[str] = ()) -> DataFrame:
+    """Wide category sums to one row per category. Empty categories give a zero row if they are in ``fill``, else none."""
     kinds = dict(wide.dtypes)
     rows = []
     for i, label in enumerate(categories):
@@ -48,6 +47,17 @@ def slice_categories(df: DataFrame, keys: Sequence[str], categories: dict[str, C
     return out.filter("__keep").drop("__keep")
 
 
+def slice_categories(df: DataFrame, keys: Sequence[str], categories: dict[str, Column], measures: dict[str, Column],
+                     name: str = "category", fill: Sequence[str] = ()) -> DataFrame:
+    """Measures per key and overlapping category, in one pass.
+
+    Every category is a set of conditional sums of one aggregate, turned into rows afterwards. A category in ``fill``
+    gives a zero row for every key that has any row at all; the others only where a row matched.
+    """
+    wide = df.groupBy(*keys).agg(*category_sums(categories, measures))
+    return category_rows(wide, keys, list(categories), list(measures), name, fill)
+
+
 def zero_fill(df: DataFrame, keys: Sequence[str], category: str, labels: Sequence[str], measures: Sequence[str]) -> DataFrame:
     """A row for every key and label; measures are zero where the data has none. One aggregate, no grid join."""
     kinds = dict(df.dtypes)
