@@ -67,20 +67,20 @@ def with_rate(df: DataFrame, cube: DataFrame, frm: str | Column, to: str | Colum
     """
     bounds = cube.agg(F.min("date").alias("lo"), F.max("date").alias("hi"))
     first, last = bounds.select("lo").scalar(), bounds.select("hi").scalar()
-    facts = df.withColumns({"__f": col(frm), "__t": col(to), "__d": clamp(F.to_date(col(date)), first, last)})
+    facts = df.withColumns({"__fx_from": col(frm), "__fx_to": col(to), "__fx_day": clamp(F.to_date(col(date)), first, last)})
     right = cube.select(
-        F.col("frm_curr").alias("__cf"), F.col("to_curr").alias("__ct"), F.col("date").alias("__cd"),
-        F.col(rate).alias("__rate"),
+        F.col("frm_curr").alias("__cube_from"), F.col("to_curr").alias("__cube_to"), F.col("date").alias("__cube_day"),
+        F.col(rate).alias("__cube_rate"),
     )
-    cond = (F.col("__f") == F.col("__cf")) & (F.col("__t") == F.col("__ct")) & (F.col("__d") == F.col("__cd"))
+    cond = (F.col("__fx_from") == F.col("__cube_from")) & (F.col("__fx_to") == F.col("__cube_to")) & (F.col("__fx_day") == F.col("__cube_day"))
     out = facts.join(right, cond, "left")
-    found = F.when(F.col("__f") == F.col("__t"), F.lit(1.0)).otherwise(F.col("__rate"))
+    found = F.when(F.col("__fx_from") == F.col("__fx_to"), F.lit(1.0)).otherwise(F.col("__cube_rate"))
     if on_missing == "one":
         found = F.coalesce(found, F.lit(1.0))
     elif on_missing == "default":
         found = F.coalesce(found, col(default).cast("double"), F.lit(1.0))
     out = out.withColumn(name, found)
-    return out.drop("__f", "__t", "__d", "__cf", "__ct", "__cd", "__rate")
+    return out.drop("__fx_from", "__fx_to", "__fx_day", "__cube_from", "__cube_to", "__cube_day", "__cube_rate")
 
 
 def fx_convert(df: DataFrame, cube: DataFrame, amounts: Sequence[str], frm: str | Column,

@@ -36,7 +36,7 @@ DERIVED: dict[str, str] = {
         FROM supplier""",
     # quotes per US dollar on trading days; one currency starts a week late
     "fx_series": """
-        SELECT 'USD' AS to_curr, frm_curr, date, CAST(total AS DOUBLE) / n + 0.5 AS value
+        SELECT 'USD' AS to_curr, frm_curr, date, CAST(CAST(CAST(total AS DOUBLE) / n + 0.5 AS DECIMAL(18,10)) AS DOUBLE) AS value
         FROM (SELECT CASE event_type WHEN 'view' THEN 'EUR' WHEN 'signup' THEN 'GBP' WHEN 'click' THEN 'JPY'
                                      WHEN 'purchase' THEN 'CAD' ELSE 'INR' END AS frm_curr,
                      CAST(ts AS DATE) AS date, sum(CAST(value AS DECIMAL(18,2))) AS total, count(*) AS n
@@ -89,7 +89,7 @@ DERIVED: dict[str, str] = {
                                  WHEN 5 THEN 'OUTAGE' WHEN 6 THEN 'IDLE' ELSE 'ILL' END AS task_name,
                (l_linestatus = 'F') AS bln_billable, CAST(l_quantity AS DECIMAL(18,2)) AS qty,
                CAST(l_extendedprice AS DECIMAL(18,2)) AS bill_rate,
-               CAST(l_shipdate AS DATE) AS dte_entry, s_nationkey AS entity_person, c_nationkey AS entity_project
+               CAST(l_shipdate AS DATE) AS dte_entry, s_nationkey % 5 AS entity_person, c_nationkey % 5 AS entity_project
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
              JOIN supplier ON l_suppkey = s_suppkey""",
     # task codes of the entries with the standard code each is linked to
