@@ -98,10 +98,9 @@ def scale_plan(weekly: str | Column, grain: str | Column, yearly: str | Column |
     year = col(yearly) if yearly is not None else week * 52
     g = col(grain)
     return (
-        F.when(g == "W", week)
-        .when(g == "M", week * 52 / 12)
-        .when(g == "Q", week * 52 / 4)
-        .when(g == "Y", year)
-        .otherwise(F.lit(0))
-        .cast(MONEY)
+        F.when(g == "W", week.cast(MONEY))
+        .when(g == "M", (week * 52 / 12).cast(MONEY))
+        .when(g == "Q", (week * 52 / 4).cast(MONEY))
+        .when(g == "Y", year.cast(MONEY))
+        .otherwise(F.lit(0).cast(MONEY))
     )

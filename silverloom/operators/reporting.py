@@ -11,10 +11,10 @@ from silverloom.functions import dates
 from silverloom.functions.keys import col
 from silverloom.functions.money import MONEY, convert, money, pick_amount, safe_ratio, scale_plan
 from silverloom.functions.text import norm_currency
-from silverloom.operators.calendar import GRAINS, with_periods
+from silverloom.operators.calendar import GRAINS, describe_periods, explode_periods
 from silverloom.operators.filters import changed, classify
 from silverloom.operators.fx import with_rate
-from silverloom.operators.rollup import category_rows, category_sums
+from silverloom.operators.rollup import category_rows, category_sums, cents, from_cents
 from silverloom.operators.stack import stack
 from silverloom.operators.windows import change_ranges, latest_per_key, prefer_source
 
@@ -51,46 +51,57 @@ def utilisation(entries: DataFrame, code_flags: DataFrame, plan: DataFrame, week
     52/12 and 52/4, for planned amounts too.
     """
     cats = time_categories()
+    fill = [c for c in cats if c != "Total"]
     billed = ~F.col("excluded") & F.col("bln_billable")
+    hours = cents(F.coalesce(F.col("qty"), F.lit(0).cast(MONEY)))
     measures = {
-        "hours": F.coalesce(F.col("qty"), F.lit(0).cast(MONEY)),
-        "hours_billable": F.when(billed, F.col("qty")).otherwise(F.lit(0).cast(MONEY)),
-        "amt_bill": F.col("amt_bill"), "amt_cost": F.col("amt_cost"),
+        "hours": hours, "hours_billable": F.when(billed, hours).otherwise(F.lit(0).cast("long")),
+        "amt_bill": cents(F.col("amt_bill")), "amt_cost": cents(F.col("amt_cost")),
     }
     rows = classify(entries, "task_name", code_flags)
-    daily = rows.groupBy("person_id", "entity_person", "entity_project", "dte_entry").agg(*category_sums(cats, measures))
+    daily = rows.groupBy("person_id", "entity_person", "entity_project", "dte_entry").agg(*category_sums(cats, measures, fill))
     sums = [c for c in daily.columns if c.startswith("__")]
     groupings = F.array(
         F.struct(F.lit("Employee").alias("entity_grouping"), F.col("entity_person").alias("entity_id")),
         F.struct(F.lit("Project").alias("entity_grouping"), F.col("entity_project").alias("entity_id")),
     )
-    wide = with_periods(daily, "dte_entry", GRAINS).withColumn("__g", F.explode(groupings))
-    keys = ["person_id", "entity_grouping", "entity_id", "date_group_type_id", "date_group_id", "date_group_year"]
-    wide = wide.select("person_id", "__g.*", *keys[3:], *sums).groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums])
+    wide = daily.select("person_id", "dte_entry", F.explode(groupings).alias("__g"), *sums)
+    wide = explode_periods(wide.select("person_id", "dte_entry", "__g.*", *sums), "dte_entry")
+    wide = wide.groupBy("person_id", "entity_grouping", "entity_id", "date_group_type_id", "dte_start").agg(
+        *[F.sum(c).alias(c) for c in sums])
     pto = F.col(f"__hours{list(cats).index('PTO')}")
-    wide = wide.withColumn("pto", F.coalesce(pto, F.lit(0).cast("decimal(38,2)")))
-    out = category_rows(wide, [*keys, "pto"], list(cats), list(measures), name="type", fill=[c for c in cats if c != "Total"])
-
-    sort = F.create_map(*[F.lit(x) for pair in CATEGORY_SORT.items() for x in pair])[F.col("type")]
-    planned = F.col("type").isin("Total", "Billable")
-    per = plan.select(F.col("person_id").alias("__p"), F.col("year").alias("__y"),
-                      F.col("plan_hours_week"), F.col("plan_hours_year"), F.col("bill_rate").alias("planned_rate"))
-    out = out.join(per, (F.col("person_id") == F.col("__p")) & (F.col("date_group_year") == F.col("__y")), "left")
+    wide = describe_periods(wide).withColumn("pto", F.coalesce(pto, F.lit(0).cast("long")))
+    # the plan is scaled per person, year and grain on its own small side, and joined before categories fan out
     zero = F.lit(0).cast(MONEY)
-    week = F.coalesce(F.col("plan_hours_week"), zero)
-    year = F.coalesce(F.col("plan_hours_year"), zero)
-    rate = F.coalesce(F.col("planned_rate"), zero)
-    week_amt = (rate * week).cast(MONEY)
-    hours_base = F.when(F.col("type") == "Total", F.col("hours_billable")).otherwise(F.col("hours"))
+    per = plan.withColumn("__grain", F.explode(F.array(*[F.lit(g) for g in GRAINS])))
+    weekly_amount = (F.col("bill_rate") * F.col("plan_hours_week")).cast(MONEY)
+    per = per.select(
+        F.col("person_id").alias("__p"), F.col("year").alias("__y"), "__grain",
+        scale_plan("plan_hours_week", "__grain", "plan_hours_year").alias("plan_hours"),
+        scale_plan(weekly_amount, "__grain").alias("plan_amount"),
+    )
+    on = (F.col("person_id") == F.col("__p")) & (F.col("date_group_year") == F.col("__y")) & (F.col("date_group_type_id") == F.col("__grain"))
+    wide = wide.join(per, on, "left").drop("__p", "__y", "__grain")
+    wide = wide.withColumns({c: F.coalesce(F.col(c), zero) for c in ("plan_hours", "plan_amount")})
+    keys = ["person_id", "entity_grouping", "entity_id", "date_group_type_id", "date_group_id", "date_group_year"]
+    out = category_rows(wide, [*keys, "pto", "plan_hours", "plan_amount"], list(cats), list(measures), name="type", fill=fill)
+    out = out.withColumns({c: from_cents(c) for c in [*measures, "pto"]})
+
+    kind = F.col("type")
+    sort = F.when(F.lit(False), F.lit(0))
+    for label, n in CATEGORY_SORT.items():
+        sort = sort.when(kind == label, F.lit(n))
+    planned = kind.isin("Total", "Billable")
+    hours_base = F.when(kind == "Total", F.col("hours_billable")).otherwise(F.col("hours"))
     return out.select(
         *keys, "type",
         (sort + F.when(F.col("entity_grouping") == "Project", 100).otherwise(0)).alias("type_sort"),
         "hours", "hours_billable", "amt_bill", "amt_cost",
         safe_ratio("amt_bill", hours_base).alias("avg_bill_rate"), safe_ratio("amt_cost", "hours").alias("avg_cost_rate"),
-        F.when(F.col("type") == "Billable", F.col("pto")).otherwise(F.lit(0)).alias("pto_hours"),
+        F.when(kind == "Billable", F.col("pto")).otherwise(zero).alias("pto_hours"),
         scale_plan(week_hours if week_hours is not None else F.lit(dates.DEFAULT_WEEK_HOURS), "date_group_type_id").alias("work_hours"),
-        F.when(planned, scale_plan(week, "date_group_type_id", year)).otherwise(zero).alias("planned_hours_billable"),
-        F.when(planned, scale_plan(week_amt, "date_group_type_id")).otherwise(zero).alias("planned_bill_amount"),
+        F.when(planned, F.col("plan_hours")).otherwise(zero).alias("planned_hours_billable"),
+        F.when(planned, F.col("plan_amount")).otherwise(zero).alias("planned_bill_amount"),
     )
 
 

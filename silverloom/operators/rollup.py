@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from silverloom.functions.dates import within_months
 from silverloom.functions.keys import col
 from silverloom.functions.money import safe_ratio
-from silverloom.operators.calendar import GRAINS, with_periods
+from silverloom.operators.calendar import GRAINS, describe_periods, explode_periods
 
 
 def aggregate(df: DataFrame, keys: Sequence[str], aggs: dict[str, Column]) -> DataFrame:
@@ -18,18 +18,39 @@ def aggregate(df: DataFrame, keys: Sequence[str], aggs: dict[str, Column]) -> Da
     return df.groupBy(*keys).agg(*[a.alias(n) for n, a in aggs.items()])
 
 
-def rollup_periods(df: DataFrame, date: str, keys: Sequence[str], aggs: dict[str, Column], grains=GRAINS) -> DataFrame:
-    """One aggregate over all period grains at once: a single scan and a single shuffle of partial sums."""
-    rows = with_periods(df, date, grains)
-    return aggregate(rows, [*keys, "date_group_type_id", "date_group_id", "date_group_year"], aggs)
+def rollup_periods(df: DataFrame, date: str, keys: Sequence[str], sums: dict[str, Column], grains=GRAINS) -> DataFrame:
+    """Sums over all period grains at once. ``sums`` maps a name to the row expression to add up.
+
+    Rows are first summed per key and day, so only one row per key and day fans out to the grains. The days of one
+    hot key spread over all tasks of the first step.
+    """
+    day = F.to_date(F.col(date)).alias("__day")
+    daily = df.groupBy(*keys, day).agg(*[F.sum(e).alias(n) for n, e in sums.items()])
+    rows = explode_periods(daily, "__day", grains)
+    out = rows.groupBy(*keys, "date_group_type_id", "dte_start").agg(*[F.sum(n).alias(n) for n in sums])
+    return describe_periods(out)
+
+
+def cents(c: Column) -> Column:
+    """A money column as whole cents. Sums of longs stay exact and are far cheaper than sums of wide decimals."""
+    return (c * 100).cast("long")
 
 
-def category_sums(categories: dict[str, Column], measures: dict[str, Column]) -> list[Column]:
-    """Conditional sums of every measure in every category, and the number of matching rows, as aggregate columns."""
+def from_cents(c: str | Column) -> Column:
+    """Whole cents back to money. The product stays within 18 digits, which Spark keeps in a long."""
+    return col(c).cast("decimal(15,0)") * F.lit("0.01").cast("decimal(2,2)")
+
+
+def category_sums(categories: dict[str, Column], measures: dict[str, Column], fill: Sequence[str] = ()) -> list[Column]:
+    """Conditional sums of every measure in every category as aggregate columns.
+
+    Categories that are not filled with zeros also count their matching rows.
+    """
     cols = []
-    for i, cond in enumerate(categories.values()):
+    for i, (label, cond) in enumerate(categories.items()):
         hit = F.coalesce(cond, F.lit(False))
-        cols.append(F.count(F.when(hit, 1)).alias(f"__n{i}"))
+        if label not in fill:
+            cols.append(F.count(F.when(hit, 1)).alias(f"__n{i}"))
         cols += [F.sum(F.when(hit, expr)).alias(f"__{m}{i}") for m, expr in measures.items()]
     return cols
 
@@ -54,7 +75,7 @@ def slice_categories(df: DataFrame, keys: Sequence[str], categories: dict[str, C
     Every category is a set of conditional sums of one aggregate, turned into rows afterwards. A category in ``fill``
     gives a zero row for every key that has any row at all; the others only where a row matched.
     """
-    wide = df.groupBy(*keys).agg(*category_sums(categories, measures))
+    wide = df.groupBy(*keys).agg(*category_sums(categories, measures, fill))
     return category_rows(wide, keys, list(categories), list(measures), name, fill)
 
 

@@ -85,7 +85,7 @@ def ordered_listagg(t: Tables):
     SELECT person_id, g AS date_group_type_id, g || strftime(d, '%Y-%m-%d') AS date_group_id, CAST(year(d) AS INTEGER) AS date_group_year,
            CAST(sum(qty) AS DOUBLE) AS hours, count(*) AS n FROM p GROUP BY ALL""")
 def multi_grain_rollup(t: Tables):
-    return rollup.rollup_periods(t("entry_fact"), "dte_entry", ["person_id"], {"hours": F.sum("qty"), "n": F.count(F.lit(1))})
+    return rollup.rollup_periods(t("entry_fact"), "dte_entry", ["person_id"], {"hours": F.col("qty"), "n": F.lit(1).cast("long")})
 
 
 @query("category_slices", """

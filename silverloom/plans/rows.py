@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DateType, DecimalType, LongType, StructField, StructType
 
 from silverloom.functions import dates, keys, money, text
 from silverloom.operators import filters, stack
@@ -423,7 +423,10 @@ def math_functions(t: Tables):
         money.safe_ratio("l_extendedprice", "l_tax").alias("per_tax"))
 
 
-ORDER_CONTRACT = StructType.fromDDL("key BIGINT, key_customer BIGINT, amt DECIMAL(18,2), dte DATE")
+ORDER_CONTRACT = StructType([
+    StructField("key", LongType()), StructField("key_customer", LongType()), StructField("amt", DecimalType(18, 2)),
+    StructField("dte", DateType()),
+])
 
 
 @query("dq_schema_contract", """
