@@ -196,3 +196,8 @@ def with_inputs(sql: str) -> str:
     if body[:5].upper() == "WITH ":
         return f"WITH {ctes},\n{body[5:]}"
     return f"WITH {ctes}\n{body}"
+
+
+def spark_sql_text(sql: str) -> str:
+    """A query text with its macros in Spark's form."""
+    return _macros(sql, _SPARK)
