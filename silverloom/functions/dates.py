@@ -37,8 +37,8 @@ def active_flag(start: str | Column, end: str | Column, as_of: str | Column) ->
 
 
 def clamp(c: str | Column, first: Column, last: Column) -> Column:
-    """Date moved into [first, last]."""
-    return F.greatest(F.least(col(c), last), first)
+    """Date moved into [first, last]; null stays null."""
+    return F.when(col(c).isNotNull(), F.greatest(F.least(col(c), last), first))
 
 
 def monday_boundaries(start: Column, end: Column) -> Column:

@@ -75,7 +75,7 @@ class Warehouse:
         return slice_system(self.ref(name), tag)
 
     def rates(self) -> DataFrame:
-        """The rate cube. It is small and read many times, so without stored tables it is checkpointed once."""
+        """The rate cube. It is read many times, so without stored tables it is checkpointed once."""
         if "__rates" not in self._built:
             cube = self.ref("ref_fx_rates_timeseries").select("frm_curr", "to_curr", "date", "fx_rate_div", "fx_rate_mul")
             self._built["__rates"] = cube if self.root else cut_lineage(cube)
@@ -86,6 +86,8 @@ def rule_name(column: str, kind: str) -> str:
     """Name in the common layout: system affixes go, booleans, dates and timestamps get their prefix."""
     if column in AUDIT_NAMES:
         return AUDIT_NAMES[column]
+    if column.startswith(("bln_", "dte_", "dts_")):
+        return column
     base = column.removeprefix("pse_").removesuffix("_c")
     if kind == "boolean":
         return f"bln_{base}"
@@ -116,7 +118,7 @@ def conform_by_rule(df: DataFrame, system: str, name: str, as_of: str, key: str
         done.add(target)
     for c in df.columns:
         target = names.get(c) or rule_name(c, kinds[c])
-        if c in foreign or target in done or c == key or c == link:
+        if c in foreign or target in done or c == key:
             continue
         out.append(F.col(c).alias(target))
         done.add(target)
@@ -129,9 +131,16 @@ def silver(w: Warehouse, name: str, system: str, table: str, **spec) -> DataFram
 
 
 def look(df: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, take: str) -> DataFrame:
-    """Left lookup; ``take`` lists dimension columns as "column:new name" separated by blanks."""
+    """Left lookup; ``take`` lists dimension columns as "column:new name" separated by blanks.
+
+    A new name replaces a fact column of the same name, the looked-up key included.
+    """
     cols = dict(t.split(":") for t in take.split())
-    return enrich(df, [(dim, fact_key, dim_key, cols)])
+    new = set(cols.values())
+    if fact_key in new:
+        df, fact_key = df.withColumnRenamed(fact_key, "__fact_key"), "__fact_key"
+    df = df.drop(*[c for c in df.columns if c in new])
+    return enrich(df, [(dim, fact_key, dim_key, cols)]).drop("__fact_key")
 
 
 def audited(df: DataFrame, name: str, as_of: str) -> DataFrame:

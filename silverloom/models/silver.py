@@ -97,6 +97,7 @@ def cc_transaction_entry(w: Warehouse) -> DataFrame:
     raw = raw.withColumn("entity_key", first_non_null("parent_key", "location_record")).drop("parent_key", "location_record")
     return conform_by_rule(raw, "int", "cc_transaction_entry", w.as_of, key="recordno", foreign={
         "recordkey": "cc_transaction", "projectkey": "project", "employeekey": "employee", "entity_key": "entity"}, names={
+        "lineitem": "bln_line_item",
         "amount": "amt", "trx_amount": "amt_trx", "departmentid": "department_id", "locationid": "location_id", "employeeid": "employee_id"})
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("rows", "relations", "rollups", "reports")
+MODULES = ("rows", "relations", "rollups", "reports", "catalogue")
 
 
 def load_all() -> None:

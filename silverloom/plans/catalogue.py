@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from silverloom.models import gold, silver, views  # noqa: F401  (register the models)
 from silverloom.models.core import MODELS, Warehouse
 from silverloom.registry import ORACLES, QUERIES, Tables, plain
@@ -23,8 +26,21 @@ def warehouse(spark, folder: str, root: str | None = None) -> Warehouse:
     return Warehouse(spark, source, ORDERS_AS_OF, root)
 
 
+_STORES: dict[tuple[str, str], Warehouse] = {}
+
+
+def stored(spark, folder: str) -> Warehouse:
+    """Warehouse of a session and folder whose table models are written once, to the cluster's shared folder."""
+    at = (spark.sparkContext.applicationId, folder)
+    if at not in _STORES:
+        shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+        root = f"{shared.rstrip('/')}/silverloom-{uuid.uuid4().hex}" if shared else tempfile.mkdtemp(prefix="silverloom-tables-")
+        _STORES[at] = warehouse(spark, folder, root)
+    return _STORES[at]
+
+
 def _query(name: str):
-    return lambda spark, folder: plain(warehouse(spark, folder).ref(name))
+    return lambda spark, folder: plain(stored(spark, folder).ref(name))
 
 
 for _name in MODELS:
