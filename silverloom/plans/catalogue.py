@@ -7,8 +7,9 @@ import uuid
 
 from silverloom.models import gold, silver, views  # noqa: F401  (register the models)
 from silverloom.models.core import MODELS, Warehouse
+from silverloom.plans.model_sql import MODEL_SQL
 from silverloom.registry import ORACLES, QUERIES, Tables, plain
-from silverloom.sources.derived import ORDERS_AS_OF, inputs_of, spark_sql_text
+from silverloom.sources.derived import ORDERS_AS_OF, inputs_of, spark_sql_text, with_inputs
 from silverloom.sources.raw import RAW_TABLES
 
 
@@ -45,3 +46,5 @@ def _query(name: str):
 
 for _name in MODELS:
     QUERIES[f"model_{_name}"] = _query(_name)
+    if _name in MODEL_SQL:
+        ORACLES[f"model_{_name}"] = with_inputs(MODEL_SQL[_name])
