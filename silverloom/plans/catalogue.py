@@ -5,6 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark.sql import functions as F
+
 from silverloom.models import gold, silver, views  # noqa: F401  (register the models)
 from silverloom.models.core import MODELS, Warehouse
 from silverloom.plans.model_sql import MODEL_SQL
@@ -44,7 +46,17 @@ def _query(name: str):
     return lambda spark, folder: plain(stored(spark, folder).ref(name))
 
 
+def utilisation_summary(spark, folder: str):
+    """The utilisation model holds a row per person, entity, period and category; the query adds the people up."""
+    rows = stored(spark, folder).ref("dim_timesheet_entry_aggregates")
+    keys = ["entity_grouping", "entity_id", "type", "type_sort", "date_group_type_id", "date_group_id", "date_group_year"]
+    sums = ["hours", "hours_billable", "amt_bill", "amt_cost", "pto_hours", "work_hours", "planned_hours_billable", "planned_bill_amount"]
+    return plain(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_people"), *[F.sum(c).alias(c) for c in sums]))
+
+
 for _name in MODELS:
     QUERIES[f"model_{_name}"] = _query(_name)
     if _name in MODEL_SQL:
         ORACLES[f"model_{_name}"] = with_inputs(MODEL_SQL[_name])
+
+QUERIES["model_dim_timesheet_entry_aggregates"] = utilisation_summary
