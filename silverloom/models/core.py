@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from silverloom.functions.keys import hash_key, with_envelope
 from silverloom.operators.filters import drop_deleted, slice_system
+from silverloom.operators.fx import lookup_cube
 from silverloom.operators.joins import enrich
-from silverloom.sources.tables import cut_lineage, publish_view, write_table
+from silverloom.sources.tables import publish_view, write_table
 
 DELETED_FLAGS = ("_fivetran_deleted", "is_deleted")
 # Audit columns of the source systems and their names in the common layout.
@@ -75,10 +76,9 @@ class Warehouse:
         return slice_system(self.ref(name), tag)
 
     def rates(self) -> DataFrame:
-        """The rate cube. It is read many times, so without stored tables it is checkpointed once."""
+        """The rate cube, ready for many lookups."""
         if "__rates" not in self._built:
-            cube = self.ref("ref_fx_rates_timeseries").select("frm_curr", "to_curr", "date", "fx_rate_div", "fx_rate_mul")
-            self._built["__rates"] = cube if self.root else cut_lineage(cube)
+            self._built["__rates"] = lookup_cube(self.ref("ref_fx_rates_timeseries"), stored=self.root is not None)
         return self._built["__rates"]
 
 

@@ -11,6 +11,7 @@ from silverloom.functions.dates import as_date, clamp
 from silverloom.functions.keys import col
 from silverloom.functions.money import convert
 from silverloom.operators.windows import fill_days
+from silverloom.sources.tables import bounded
 
 
 def cross_rates(series: DataFrame, base: str = "USD") -> DataFrame:
@@ -58,6 +59,15 @@ def fx_cube(series: DataFrame, as_of: str, base: str = "USD", active: DataFrame
     return filled.select("frm_curr", "to_curr", "date", "fx_rate_div", "fx_rate_mul")
 
 
+# pairs times days: 28 currencies over 3 years against one another stay below this
+MAX_BROADCAST_RATES = 1_000_000
+
+
+def lookup_cube(cube: DataFrame, stored: bool = False) -> DataFrame:
+    """The cube ready for many lookups: computed once, and broadcast while its counted size allows."""
+    return bounded(cube.select("frm_curr", "to_curr", "date", "fx_rate_div", "fx_rate_mul"), MAX_BROADCAST_RATES, stored)
+
+
 def with_rate(df: DataFrame, cube: DataFrame, frm: str | Column, to: str | Column, date: str | Column, name: str,
               on_missing: str = "one", default: str | Column | None = None, rate: str = "fx_rate_mul") -> DataFrame:
     """Rate of (from, to) on the date, moved into the days the cube covers.

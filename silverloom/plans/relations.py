@@ -374,8 +374,8 @@ _CUBE = """
 
 
 def rate_cube(t: Tables):
-    """Cube over the rate series of the events. The series is small whatever the events hold, so it is stored once."""
-    return fx.fx_cube(cut_lineage(t("fx_series")), EVENTS_AS_OF)
+    """Cube over the rate series of the events. Series and cube are small whatever the events hold; both are stored once."""
+    return fx.lookup_cube(fx.fx_cube(cut_lineage(t("fx_series")), EVENTS_AS_OF))
 
 
 @query("fx_cross_rates", """
@@ -388,7 +388,7 @@ def fx_cross_rates(t: Tables):
 
 @query("fx_cube", _CUBE + " SELECT * FROM cube")
 def fx_cube(t: Tables):
-    return rate_cube(t)
+    return fx.fx_cube(cut_lineage(t("fx_series")), EVENTS_AS_OF)
 
 
 @query("fx_point_lookup", _CUBE + """

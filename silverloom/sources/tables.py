@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
@@ -70,3 +71,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: survives the loss of executors, and later steps start from files."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def bounded(df: DataFrame, max_rows: int = 100_000, stored: bool = False) -> DataFrame:
+    """A lookup table that is broadcast only if its rows have been counted and are at most ``max_rows``.
+
+    The table is checkpointed first (not if it is ``stored`` already), so counting and joining do not compute it twice.
+    Beyond the bound it comes back without a hint: Spark then shuffles both sides and AQE splits hot partitions.
+    """
+    table = df if stored else cut_lineage(df)
+    few = table.limit(max_rows + 1).count() <= max_rows
+    return F.broadcast(table) if few else table
