@@ -5,6 +5,7 @@ Column lists lean on DuckDB's star modifiers: EXCLUDE, REPLACE and RENAME.
 
 from __future__ import annotations
 
+from silverloom.plans.relations import _CUBE
 from silverloom.sources.raw import RAW_TABLES
 
 STAMP = "TIMESTAMP '2001-08-01 00:00:00'"
@@ -161,6 +162,49 @@ def _models() -> dict[str, str]:
                                                    ", q.name AS proposal_name, q.key_account AS key_account, q.key_opportunity AS key_opportunity, d.name AS product_name, a.name AS account_name, "
                                                    "o.name AS opportunity_name" + prac_cols, ", key_practice"),
     }
+    # places of a CRM code: country, state (only where nation and region coincide), location and its region
+    place = ("(SELECT 'S' || CAST(a.n_nationkey AS STRING) AS sk, 'R' || CAST(a.n_nationkey AS STRING) AS nk, a.n_name AS nn, "
+             "CASE WHEN a.n_nationkey = a.n_regionkey THEN 'R' || CAST(a.n_nationkey AS STRING) END AS stk, CASE WHEN a.n_nationkey = a.n_regionkey THEN a.n_name END AS stn, "
+             "'R' || CAST(a.n_regionkey AS STRING) AS rk, b.n_name AS rn FROM nation a LEFT JOIN nation b ON b.n_nationkey = a.n_regionkey)")
+    state_cols = ", g.nk AS key_country, g.nn AS country_name, g.stk AS key_state, g.stn AS state_name"
+    loc_cols = ", h.nk AS key_location, h.nn AS location_name, h.rk AS key_region, h.rn AS region_name"
+    account_place = f"LEFT JOIN {place} g ON a.billing_country_code = g.sk LEFT JOIN {place} h ON a.key_location = h.sk"
+    gold |= {
+        "dim_sales_opportunity_line_item": plain_gold(
+            "dim_sales_opportunity_line_item", "sales_opportunity_line_item",
+            f"{opp} {prod} LEFT JOIN ({out['sales_account']}) a ON o.key_account = a.key {account_place} {prac}",
+            ", o.name AS opportunity_name, o.key_account AS key_account, o.stage_name AS stage_name, d.name AS product_name, d.family AS product_family, a.name AS account_name"
+            + state_cols + loc_cols + prac_cols, ", key_practice"),
+        "dim_sales_lead": member("dim_sales_lead", "sales_lead", "key_owner", "owner", f"{opp} LEFT JOIN {place} g ON b.country_code = g.sk LEFT JOIN {place} h ON b.key_location = h.sk {prac}",
+                                 ", o.name AS opportunity_name" + state_cols + loc_cols + prac_cols).replace("key_owner), b.", "key_owner, key_practice, key_location), b."),
+        "dim_sales_rate_card": member("dim_sales_rate_card", "sales_rate_card", "key_owner", "owner",
+                                      f"LEFT JOIN ({out['sales_rate_card_set']}) t ON b.key_rate_card_set = t.key {acc} LEFT JOIN {place} h ON b.key_location = h.sk {prac}",
+                                      ", t.name AS rate_card_set_name, a.name AS account_name" + loc_cols + prac_cols).replace("key_owner), b.", "key_owner, key_practice, key_location), b."),
+        "dim_sales_user": f"SELECT {audit('dim_sales_user')}, b.* EXCLUDE ({GOLD_DROP}), p.pkey AS key_person, p.nm AS person_name, p.lf AS person_name_lf, p.mail AS person_email, "
+                          f"c.key_account AS key_account, a.name AS account_name FROM ({out['sales_user']}) b LEFT JOIN {person} p ON b.key = p.sfc_user_id "
+                          f"LEFT JOIN ({out['sales_contact']}) c ON b.key_contact = c.key LEFT JOIN ({out['sales_account']}) a ON c.key_account = a.key",
+        "dim_sales_contact": f"SELECT {audit('dim_sales_contact')}, b.* EXCLUDE ({GOLD_DROP}, key_practice), u.ukg_employee_id AS user_employee_id, u.name AS user_name, p.nm AS employee_name, "
+                             f"q.nm AS supervisor_name, q.mail AS supervisor_email, a.name AS account_name{prac_cols} FROM ({out['sales_contact']}) b "
+                             f"LEFT JOIN ({out['sales_user']}) u ON b.key_user = u.key LEFT JOIN {person} p ON u.ukg_employee_id = p.pkey "
+                             "LEFT JOIN (SELECT DISTINCT CAST(o_custkey AS STRING) AS e, CAST(CAST(floor(o_custkey / 4.0) AS BIGINT) AS STRING) AS sup FROM orders WHERE o_custkey >= 4) v ON v.e = p.pkey "
+                             f"LEFT JOIN {person} q ON v.sup = q.pkey {acc} {prac}",
+    }
+    cur = "upper(coalesce(NULLIF(b.currency_iso_code, ''), 'USD'))"
+
+    def in_usd(model: str, base: str, amt: str, date: str, joins: str, cols: str) -> str:
+        rate = f"CASE WHEN {cur} = 'USD' THEN 1.0 ELSE coalesce(x.fx_rate_mul, 1.0) END"
+        return (_CUBE + f" SELECT {audit(model)}, b.* EXCLUDE ({GOLD_DROP}, currency_iso_code){cols}, {cur} AS currency_iso_code, {rate} AS fx_rate_usd, "
+                f"CAST(CAST(CAST(b.{amt} AS DECIMAL(18,2)) * CAST({rate} AS DECIMAL(20,14)) AS DECIMAL(18,2)) AS DOUBLE) AS {amt}_usd "
+                f"FROM ({out[base]}) b CROSS JOIN lim LEFT JOIN cube x ON x.frm_curr = {cur} AND x.to_curr = 'USD' AND x.date = greatest(least(b.{date}, hi), lo) {joins}")
+
+    entity = "CASE e.n_regionkey WHEN 0 THEN 'USD' WHEN 1 THEN 'EUR' ELSE 'GBP' END"
+    gold |= {
+        "ref_fx_rates_timeseries": _CUBE + f" SELECT {audit('ref_fx_rates_timeseries')}, * FROM cube",
+        "dim_invoice": in_usd("dim_invoice", "invoice", "amt_total", "dte_posted", "LEFT JOIN nation e ON b.key_entity = CAST(e.n_nationkey AS STRING)",
+                              f", 'R' || CAST(e.n_nationkey AS STRING) AS key_entity_record, e.n_name AS entity_name, CASE WHEN e.n_nationkey IS NOT NULL THEN {entity} END AS currency_code_entity"),
+        "dim_sales_purchase_order": in_usd("dim_sales_purchase_order", "sales_purchase_order", "amt_po", "dte_received", f"{acc} {account_place} {opp}",
+                                           ", a.name AS account_name, o.name AS opportunity_name" + state_cols + loc_cols),
+    }
     blank = lambda c: f"NULLIF({c}, '')"
     views = {
         "vw_finance_customers": f"SELECT recordno AS key, {blank('customerid')} AS customer_id, {blank('name')} AS name, {blank('comments')} AS comments, "
