@@ -131,6 +131,51 @@ def _models() -> dict[str, str]:
                                         frm=f"SELECT p.* REPLACE (coalesce(p.currency_code, c.currency_code) AS currency_code), c.code AS company_code FROM ({RAW_TABLES['ukg_pro.compensation']}) p "
                                             f"LEFT JOIN ({RAW_TABLES['ukg_pro.company']}) c ON p.company_id = c.id"),
     }
+    def stacked(*parts: str) -> str:
+        return " UNION ALL BY NAME ".join(f"({p})" for p in parts)
+
+    ukg_jobs = RAW_TABLES["ukg_pro.employee_job_history"]
+    job_names = {"job_effective_date": "dte_job_effective", "date_time_created": "dts_src_created", "is_rate_change": "bln_is_rate_change", "is_promotion": "bln_is_promotion"}
+    pay = ("annual_salary", "weekly_pay_rate", "hourly_pay_rate")
+    out |= {
+        "timesheet": stacked(
+            silver("timesheet", "int", i + "timesheet", "recordno", {"employeekey": "employee"}, {
+                "begindate": "dte_src_start", "employeeid": "employee_id", "state": "status", "employeelocationid": "employee_location_id",
+                "employeedepartmentid": "employee_department_id", "whencreated": "dts_src_created"}, drop=("link",), link="link"),
+            silver("timesheet", "sfc", s + "pse_timecard_header_c", "id", {"pse_resource_c": "employee"}, {
+                "pse_start_date_c": "dte_src_start", "pse_status_c": "status", "state_worked_c": "state_worked"}, drop=("link",), link="link",
+                frm=f"SELECT h.*, c.name AS employee_name, c.ukg_employee_id_c AS employee_ukg_id FROM ({RAW_TABLES[s + 'pse_timecard_header_c']}) h LEFT JOIN ({RAW_TABLES[s + 'contact']}) c ON h.pse_resource_c = c.id")),
+        "expense": stacked(
+            silver("expense", "int", i + "eexpenses", "recordno", {}, {**head, "employeeid": "employee_id", "totalentered": "amt_total"}, ("totalentered",), link="recordid",
+                   frm=f"SELECT h.*, e.contact_name AS employee_name FROM ({RAW_TABLES[i + 'eexpenses']}) h LEFT JOIN ({RAW_TABLES[i + 'employee']}) e ON h.employeeid = e.employeeid"),
+            silver("expense", "sfc", s + "pse_expense_report_c", "id", {"pse_resource_c": "resource", "pse_project_c": "project"}, {
+                "pse_status_c": "state", "intacct_expense_c": "intacct_expense"}, link="intacct_expense_c",
+                frm=f"SELECT h.*, c.name AS employee_name, p.name AS project_name FROM ({RAW_TABLES[s + 'pse_expense_report_c']}) h LEFT JOIN ({RAW_TABLES[s + 'contact']}) c ON h.pse_resource_c = c.id "
+                    f"LEFT JOIN ({RAW_TABLES[s + 'pse_proj_c']}) p ON h.pse_project_c = p.id")),
+        "project_phase_code": "SELECT DISTINCT * FROM (" + stacked(
+            silver("project_phase_code", "int", i + "task", "recordno", {"projectkey": "project"}, {"whencreated": "dts_src_created"}, link="sfdc_milestone_id"),
+            silver("project_phase_code", "sfc_milestones", s + "pse_milestone_c", "id", {"pse_project_c": "project", "pse_approver_c": "approver", "practice_area_c": "practice_area"}, {}),
+            silver("project_phase_code", "sfc_project_task", s + "pse_project_task_c", "id", {"pse_project_c": "project"}, {
+                "pse_milestone_c": "milestone", "proposal_c": "proposal", "is_project_task_c": "bln_is_project_task"}, extra="pse_milestone_c AS key_milestone", link="pse_milestone_c",
+                drop=("original_proposal_budget_c", "original_proposal_hrs_or_units_c")),
+            silver("project_phase_code", "pts", "psatools.projects_phase_codes", "id", {"project_id": "project"}, {}, link="milestone_id")) + ")",
+        "employee_job_history": silver(
+            "employee_job_history", "ukg", "ukg_pro.employee_job_history", "id", {
+                "employee_id": "employee", "company_id": "company", "organization_level_1_id": "practice", "organization_level_2_id": "department",
+                "organization_level_3_id": "base_team", "organization_level_4_id": "intacct_location"}, job_names, pay,
+            "employee_id || ':' || company_id AS key_employee_company, md5(employee_id || ':' || company_id) AS hash_key_employee_company, "
+            "salary_or_hourly = 'S' AS bln_is_salary, full_time_or_part_time = 'F' AS bln_is_full_time",
+            frm=f"SELECT j.*, c.code AS company_code, coalesce(upper(p.currency_code), upper(c.currency_code)) AS currency_code FROM ({ukg_jobs}) j "
+                f"LEFT JOIN ({RAW_TABLES['ukg_pro.company']}) c ON j.company_id = c.id LEFT JOIN ({RAW_TABLES['ukg_pro.compensation']}) p ON p.employee_id = j.employee_id"),
+        "employment_details": "SELECT * EXCLUDE (v_end) REPLACE (dts_src_created AS dts_eff_start, coalesce(v_end - INTERVAL 1 SECOND, TIMESTAMP '9999-12-31 00:00:00') AS dts_eff_end, "
+            "v_end IS NULL AS bln_current) FROM (" + silver(
+            "employment_details", "ukg", "ukg_pro.employee_job_history", "id", {"company_id": "entity", "employee_id": "employee"}, job_names, pay, link="employee_id",
+            frm=f"SELECT j.*, e.supervisor_id, e.employee_status_code AS ukg_status, e.original_hire_date AS dte_src_start, e.date_of_termination AS dte_src_end, c.currency_code, "
+                f"e.employee_status_code IN ('A', 'L', 'O') AS bln_is_active, lead(j.date_time_created) OVER (PARTITION BY j.employee_id ORDER BY j.date_time_created, j.id) AS v_end "
+                f"FROM ({ukg_jobs}) j LEFT JOIN (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY employee_id, company_id ORDER BY date_in_job DESC, date_time_created DESC, employment_no DESC) AS rn "
+                f"FROM ({RAW_TABLES['ukg_pro.employment']})) WHERE rn = 1) e ON e.employee_id = j.employee_id AND e.company_id = j.company_id "
+                f"LEFT JOIN ({RAW_TABLES['ukg_pro.company']}) c ON j.company_id = c.id") + ")",
+    }
     # ---- gold, from the silver SQL and the test tables
     who = "upper(c_mktsegment[1]) || lower(substring(c_mktsegment, 2))"
     person = (f"(SELECT 'U' || CAST(c_custkey AS STRING) AS sfc_user_id, CAST(c_custkey AS STRING) AS pkey, {who} || ' ' || c_name AS nm, "

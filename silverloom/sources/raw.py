@@ -89,7 +89,7 @@ RAW_TABLES |= {
         CASE WHEN c_mktsegment = 'BUILDING' THEN NULL WHEN c_mktsegment = 'MACHINERY' THEN 'EUR' ELSE 'USD' END AS currency_code, DATE '1997-01-01' AS date_in_job, 'S' AS salary_or_hourly_code,
         'F' AS full_time_or_part_time_code, '' AS primary_shift_code, CAST(c_nationkey AS STRING) AS job_salary_grade, c_mktsegment AS job_title, {LIVE} FROM customer""",
     "ukg_pro.employee_job_history": f"""SELECT CAST(o_orderkey AS STRING) AS id, CAST(o_custkey AS STRING) AS employee_id, CAST(c_nationkey AS STRING) AS company_id, CAST(o_orderdate AS DATE) AS job_effective_date,
-        o_orderdate AS date_time_created, CAST(o_totalprice AS DECIMAL(18,2)) AS annual_salary, CAST(NULL AS DECIMAL(18,4)) AS weekly_pay_rate, CAST(o_totalprice / 2080 AS DECIMAL(18,4)) AS hourly_pay_rate,
+        o_orderdate AS date_time_created, CAST(o_totalprice AS DECIMAL(18,2)) AS annual_salary, CAST(NULL AS DECIMAL(18,4)) AS weekly_pay_rate, CAST(CAST(o_totalprice AS DECIMAL(18,2)) * 0.0005 AS DECIMAL(18,6)) AS hourly_pay_rate,
         CASE WHEN o_orderstatus = 'P' THEN 0 ELSE 1 END AS percent_change, (o_orderpriority = '2-HIGH') AS is_rate_change, (o_orderpriority = '3-MEDIUM') AS is_promotion, substring(o_orderpriority, 1, 1) || '00' AS reason_code,
         o_orderstatus AS shift_code, CAST(c_nationkey AS STRING) AS organization_level_1_id, CAST(c_nationkey AS STRING) AS organization_level_2_id, CAST(c_nationkey AS STRING) AS organization_level_3_id,
         CAST(c_nationkey AS STRING) AS organization_level_4_id, CAST(c_nationkey AS STRING) AS salary_grade, CAST(o_custkey % 2000 AS STRING) AS job_id, c_mktsegment AS job_title, 'S' AS salary_or_hourly, 'F' AS full_time_or_part_time, {LIVE}
