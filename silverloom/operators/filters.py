@@ -27,13 +27,16 @@ def keep_between(df: DataFrame, c: str, low, high) -> DataFrame:
 
 
 def keep_matching(df: DataFrame, keys: DataFrame, on) -> DataFrame:
-    """Semi join: rows whose key occurs in ``keys``; never multiplies rows."""
-    return df.join(keys, on, "left_semi")
+    """Semi join: rows whose key occurs in ``keys``; never multiplies rows.
+
+    Keys are made distinct first: repeats collapse map side, and the join reuses that partitioning.
+    """
+    return df.join(keys.distinct(), on, "left_semi")
 
 
 def drop_matching(df: DataFrame, keys: DataFrame, on) -> DataFrame:
     """Anti join: rows whose key does not occur in ``keys``. A null among the keys does not empty the result."""
-    return df.join(keys, on, "left_anti")
+    return df.join(keys.distinct(), on, "left_anti")
 
 
 def class_flags(links: DataFrame, code: str, classes: dict[str, Column]) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from silverloom.operators.filters import slice_system
+from silverloom.operators.filters import drop_matching, slice_system
 from silverloom.operators.stack import stack
 
 
@@ -47,5 +47,4 @@ def golden(rows: DataFrame, master: str, others: Sequence[str], cols: Sequence[s
 
 def master_plus_unmatched(master: DataFrame, second: DataFrame, on: Sequence[str]) -> DataFrame:
     """All rows of the master directory and those of the second that have no counterpart in it."""
-    keys = master.select(*on)
-    return stack(master, second.join(keys, list(on), "left_anti"))
+    return stack(master, drop_matching(second, master.select(*on), list(on)))

@@ -11,8 +11,8 @@ from silverloom.functions import dates
 from silverloom.functions.keys import col
 from silverloom.functions.money import MONEY, convert, money, pick_amount, safe_ratio, scale_plan
 from silverloom.functions.text import norm_currency
-from silverloom.operators.calendar import GRAINS, describe_periods, explode_periods
-from silverloom.operators.filters import changed, classify
+from silverloom.operators.calendar import GRAINS, describe_periods, explode_periods, week_and_month
+from silverloom.operators.filters import changed, classify, drop_matching
 from silverloom.operators.fx import with_rate
 from silverloom.operators.rollup import category_rows, category_sums, cents, from_cents
 from silverloom.operators.stack import stack
@@ -45,8 +45,8 @@ def utilisation(entries: DataFrame, code_flags: DataFrame, plan: DataFrame, week
     ``code_flags``: one row per task_name with the flags of ``time_categories``. ``plan``: person_id, year,
     plan_hours_week, plan_hours_year, bill_rate.
 
-    Two steps of aggregation: first category sums per person, entities and day, on the entries themselves; then the
-    small daily rows fan out to four period grains and two entity groupings and are summed again. The entries are read
+    Two steps of aggregation: first category sums per person, entities, week and month, on the entries themselves; then
+    those few rows fan out to four period grains and two entity groupings and are summed again. The entries are read
     and classified once, and zero rows come from the wide sums, not from a grid. Months and quarters scale the week by
     52/12 and 52/4, for planned amounts too.
     """
@@ -59,14 +59,15 @@ def utilisation(entries: DataFrame, code_flags: DataFrame, plan: DataFrame, week
         "amt_bill": cents(F.col("amt_bill")), "amt_cost": cents(F.col("amt_cost")),
     }
     rows = classify(entries, "task_name", code_flags)
-    daily = rows.groupBy("person_id", "entity_person", "entity_project", "dte_entry").agg(*category_sums(cats, measures, fill))
-    sums = [c for c in daily.columns if c.startswith("__")]
+    first = rows.groupBy("person_id", "entity_person", "entity_project", *week_and_month("dte_entry")).agg(
+        *category_sums(cats, measures, fill))
+    sums = [c for c in first.columns if c.startswith("__") and c not in ("__week", "__month")]
     groupings = F.array(
         F.struct(F.lit("Employee").alias("entity_grouping"), F.col("entity_person").alias("entity_id")),
         F.struct(F.lit("Project").alias("entity_grouping"), F.col("entity_project").alias("entity_id")),
     )
-    wide = daily.select("person_id", "dte_entry", F.explode(groupings).alias("__g"), *sums)
-    wide = explode_periods(wide.select("person_id", "dte_entry", "__g.*", *sums), "dte_entry")
+    wide = first.select("person_id", "__week", "__month", F.explode(groupings).alias("__g"), *sums)
+    wide = explode_periods(wide.select("person_id", "__week", "__month", "__g.*", *sums))
     wide = wide.groupBy("person_id", "entity_grouping", "entity_id", "date_group_type_id", "dte_start").agg(
         *[F.sum(c).alias(c) for c in sums])
     pto = F.col(f"__hours{list(cats).index('PTO')}")
@@ -160,7 +161,7 @@ def pay_history(jobs: DataFrame, pay: DataFrame, reasons: Sequence[str]) -> Data
                    "bln_rate_change", ties=["change_id"])
     rows = latest_per_key(rows, ["person_id", "dte_effective"], [F.desc("change_id")])
     rows = rows.select(F.lit("Job History").alias("src"), "person_id", "dte_effective", "salary")
-    people = rows.select("person_id")
+    people = rows.select("person_id").distinct()
     rest = pay.select(F.lit("Compensation").alias("src"), "person_id", "dte_effective", "salary")
     both = stack(rows, rest.join(people, "person_id", "left_anti"))
     both = both.filter(F.col("salary").between(*SALARY_BOUNDS))
@@ -232,7 +233,7 @@ def price_history(facts: DataFrame, changes: DataFrame, keys: Sequence[str], dat
 
 def missing_sheets(due: DataFrame, sheets: DataFrame, on: Sequence[str]) -> DataFrame:
     """Expected periods without a sheet."""
-    return due.join(sheets, list(on), "left_anti")
+    return drop_matching(due, sheets.select(*on), list(on))
 
 
 def cost_of(amount: str, qty: str | Column) -> Column:

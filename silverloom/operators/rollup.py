@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from silverloom.functions.dates import within_months
 from silverloom.functions.keys import col
 from silverloom.functions.money import safe_ratio
-from silverloom.operators.calendar import GRAINS, describe_periods, explode_periods
+from silverloom.operators.calendar import GRAINS, describe_periods, explode_periods, week_and_month
 
 
 def aggregate(df: DataFrame, keys: Sequence[str], aggs: dict[str, Column]) -> DataFrame:
@@ -21,13 +21,11 @@ def aggregate(df: DataFrame, keys: Sequence[str], aggs: dict[str, Column]) -> Da
 def rollup_periods(df: DataFrame, date: str, keys: Sequence[str], sums: dict[str, Column], grains=GRAINS) -> DataFrame:
     """Sums over all period grains at once. ``sums`` maps a name to the row expression to add up.
 
-    Rows are first summed per key and day, so only one row per key and day fans out to the grains. The days of one
-    hot key spread over all tasks of the first step.
+    Rows are first summed per key, week and month, from which all grains follow; only those sums fan out. The weeks of a
+    hot key spread over many tasks of the first step.
     """
-    day = F.to_date(F.col(date)).alias("__day")
-    daily = df.groupBy(*keys, day).agg(*[F.sum(e).alias(n) for n, e in sums.items()])
-    rows = explode_periods(daily, "__day", grains)
-    out = rows.groupBy(*keys, "date_group_type_id", "dte_start").agg(*[F.sum(n).alias(n) for n in sums])
+    small = df.groupBy(*keys, *week_and_month(date)).agg(*[F.sum(e).alias(n) for n, e in sums.items()])
+    out = explode_periods(small, grains).groupBy(*keys, "date_group_type_id", "dte_start").agg(*[F.sum(n).alias(n) for n in sums])
     return describe_periods(out)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from silverloom.functions import keys, text
-from silverloom.operators import fx, hierarchy, identity, joins, stack, windows
+from silverloom.operators import filters, fx, hierarchy, identity, joins, stack, windows
 from silverloom.plans.rows import CUSTOMER_SPEC, SUPPLIER_SPEC
 from silverloom.registry import Tables, query
 from silverloom.sources.derived import EVENTS_AS_OF, ORDERS_AS_OF
@@ -92,7 +92,8 @@ def interval_rate_join(t: Tables):
     WHERE s.status IS NULL""")
 def expected_vs_missing(t: Tables):
     due = joins.expected_periods(t("person_dates"), "dte_hired", "dte_left", "2023-12-25", EVENTS_AS_OF)
-    return due.join(t("sheets_seen"), ["user_id", "week_start"], "left_anti").select("user_id", "week_start", "week_end")
+    seen = t("sheets_seen").select("user_id", "week_start")
+    return filters.drop_matching(due, seen, ["user_id", "week_start"]).select("user_id", "week_start", "week_end")
 
 
 @query("eav_pivot", """
