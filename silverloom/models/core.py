@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from silverloom.functions.keys import hash_key, with_envelope
-from silverloom.operators.filters import drop_deleted, slice_system
+from silverloom.operators.filters import drop_deleted, keep_matching, slice_system
 from silverloom.operators.fx import lookup_cube
 from silverloom.operators.joins import enrich
 from silverloom.sources.tables import publish_view, write_table
@@ -76,9 +76,13 @@ class Warehouse:
         return slice_system(self.ref(name), tag)
 
     def rates(self) -> DataFrame:
-        """The rate cube, ready for many lookups."""
+        """The rate cube of the active currencies, ready for many lookups."""
         if "__rates" not in self._built:
-            self._built["__rates"] = lookup_cube(self.ref("ref_fx_rates_timeseries"), stored=self.root is not None)
+            active = self.source("seed", "currencies_active")
+            cube = self.ref("ref_fx_rates_timeseries")
+            for side in ("frm_curr", "to_curr"):
+                cube = keep_matching(cube, active.select(F.col("currency").alias(side)), [side])
+            self._built["__rates"] = lookup_cube(cube)
         return self._built["__rates"]
 
 

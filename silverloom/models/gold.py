@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from silverloom.functions.keys import composite_key, first_non_null
 from silverloom.functions.money import convert, neutralise, rate_or_derived, threshold_convert, totals
-from silverloom.functions.text import blank_to_null, clean_postal, norm_currency, norm_postal, proper_case
+from silverloom.functions.text import clean_postal, label, norm_currency, norm_postal, proper_case
 from silverloom.models.core import Warehouse, audited, look, model
 from silverloom.operators import filters, fx, hierarchy, joins, reporting, rollup
+from silverloom.operators.calendar import GRAIN_NAMES
 from silverloom.operators.identity import master_plus_unmatched
 from silverloom.operators.stack import fill_defaults, stack
 from silverloom.operators.windows import latest_per_key
@@ -379,6 +380,7 @@ def dim_timesheet_entry_aggregates(w: Warehouse) -> DataFrame:
     plan = reporting.yearly_plan(plan.withColumn("year", F.year("enddate")), "plan_hours_year", "dte_start", "year")
     plan = plan.select("person_id", "year", "plan_hours_year", "plan_hours_week", "bill_rate")
     out = reporting.utilisation(entries, time_flags(w), plan)
+    out = out.withColumn("date_group_type_name", label("date_group_type_id", GRAIN_NAMES))
     return look(out, w.system("employee", "ukg"), "person_id", "key", "display_name:employee_name display_name_lf:employee_name_lf employee_number:ukg_employee_number")
 
 
@@ -673,6 +675,7 @@ def rpt_labor_budgeting(w: Warehouse) -> DataFrame:
         F.col("key").alias("person_id"), F.col("annual_salary").cast("decimal(18,2)").alias("salary"), F.coalesce("other_rate_2", F.lit(0)).cast("decimal(9,4)").alias("bonus_percent"),
         F.coalesce("cola_percent", F.lit(0)).cast("decimal(9,4)").alias("cola_percent"), F.col("currency_code").alias("currency"), F.col("currency_code_entity").alias("entity_currency"),
         "display_name", "department_name", "entity_name", "portal_id")
+    who = look(who, w.source("seed", "currencies_active"), "currency", "currency", "default_fx_rate_to_usd:default_fx_rate_to_usd")
     plan = portal(w, "users_forecasts").filter(F.col("timeframe_id") == year).select(
         F.col("user_id").alias("person_id"), (F.col("plan_hours_year") / 52).cast("decimal(18,2)").alias("plan_hours_week"), F.col("bill_rate").cast("decimal(18,2)").alias("bill_rate"))
     weekly = w.ref("dim_timesheet_entry_aggregates").filter("entity_grouping = 'Employee' AND date_group_type_id = 'W'").select(
@@ -682,9 +685,11 @@ def rpt_labor_budgeting(w: Warehouse) -> DataFrame:
 
 @gold("rpt_payroll")
 def rpt_payroll(w: Warehouse) -> DataFrame:
-    """Entries with their sheet and a time-type indicator. The classes come from the standard-code links."""
-    flags = time_flags(w).select("task_name", F.col("pto").alias("vacholtime"), F.col("travel").alias("tvltime"), F.col("nowork").alias("excludepayroll"))
+    """Entries with their sheet and a time-type indicator; the classes come from the seed of time types."""
+    kinds = {"sicktime": "1", "vacholtime": "2", "dulltime": "3", "tvltime": "4", "excludepayroll": "5"}
+    flags = filters.class_flags(w.source("seed", "time_type_phase_codes"), "phase_code", {k: F.col("time_type") == k for k in kinds})
+    flags = flags.withColumnRenamed("phase_code", "task_name")
     sheets = w.ref("dim_timesheet").select(F.col("key").alias("key_timesheet"), F.col("status").alias("sheet_status"), "entity_name", "dte_src_start")
     entries = w.ref("dim_timesheet_entry").select("key", "key_timesheet", "key_employee_ukg", "task_name", "qty", "dte_entry", "bln_billable")
-    out = reporting.payroll(sheets, entries, "key_timesheet", flags, {"vacholtime": "2", "tvltime": "4", "excludepayroll": "5"})
+    out = reporting.payroll(sheets, entries, "key_timesheet", flags, kinds)
     return look(out, w.ref("dim_employee"), "key_employee_ukg", "key", "ukg_employee_number:ukg_employee_number base_team_name:base_team_name state_name:state_name country_name:country_name")

@@ -185,7 +185,8 @@ def labor_budget(people: DataFrame, plan: DataFrame, weekly: DataFrame, cube: Da
     """Salary, planned and actual billing per person in original, US and entity currency.
 
     ``people``: person_id, salary, bonus_percent, cola_percent, currency, entity_currency. ``plan``: person_id,
-    plan_hours_week, bill_rate for the year. ``weekly``: person_id, week_start, type, hours, amt. Rates are those of the
+    plan_hours_week, bill_rate for the year. ``weekly``: person_id, week_start, type, hours, amt. A currency
+    without rate takes ``default_fx_rate_to_usd`` of ``people``, if that column is there. Rates are those of the
     last day of the previous month, moved into the days the cube covers.
     """
     today = F.lit(as_of).cast("date")
@@ -209,7 +210,8 @@ def labor_budget(people: DataFrame, plan: DataFrame, weekly: DataFrame, cube: Da
     rows = rows.withColumns({c: F.coalesce(F.col(c), F.lit(0)) for c in [*zeros, "plan_hours_week", "bill_rate", "salary"]})
     rows = rows.withColumns({"currency": norm_currency("currency"), "entity_currency": norm_currency("entity_currency"), "__d": month_end})
     rows = rows.withColumn("fx_rate_original", F.lit(1.0))
-    rows = with_rate(rows, cube, "currency", F.lit("USD"), "__d", "fx_rate_usd")
+    missing, default = ("default", "default_fx_rate_to_usd") if "default_fx_rate_to_usd" in people.columns else ("one", None)
+    rows = with_rate(rows, cube, "currency", F.lit("USD"), "__d", "fx_rate_usd", missing, default)
     rows = with_rate(rows, cube, "currency", "entity_currency", "__d", "fx_rate_entity")
     for suffix in ("original", "usd", "entity"):
         rate = f"fx_rate_{suffix}"

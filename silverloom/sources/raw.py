@@ -180,5 +180,9 @@ RAW_TABLES |= {
     "psatools.estimatetotals": f"SELECT o_orderkey AS id, o_orderkey AS estimate_id, CAST(o_totalprice AS DECIMAL(18,2)) AS total, {LIVE} FROM orders",
     "psatools.estimatetotals_phasecodes": f"SELECT {_LINE} AS id, l_orderkey AS estimatetotal_id, {_TASK} AS phase_code, price AS cost, {LIVE} FROM {_ONE_LINE}",
     "psatools.currency": f"SELECT DISTINCT frm_curr AS code, 'Currency ' || frm_curr AS name, {LIVE} FROM fx_series",
+    # ---- seeds: small code tables an installation keeps as files
+    "seed.time_type_phase_codes": f"""SELECT DISTINCT CASE l_linenumber WHEN 7 THEN 'sicktime' WHEN 4 THEN 'vacholtime' WHEN 5 THEN 'dulltime' WHEN 2 THEN 'tvltime'
+        WHEN 6 THEN 'excludepayroll' ELSE 'billable' END AS time_type, {_TASK} AS phase_code FROM lineitem""",
+    "seed.currencies_active": "SELECT DISTINCT frm_curr AS currency, 1.0 AS default_fx_rate_to_usd FROM fx_series UNION SELECT DISTINCT to_curr, 1.0 FROM fx_series",
     "finance_economics.fx_rates_timeseries": "SELECT to_curr, frm_curr, date, value FROM fx_series",
 }
