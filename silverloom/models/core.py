@@ -47,8 +47,10 @@ def model(name: str, layer: str, sink: str = "table"):
 class Warehouse:
     """Resolves sources and models. With ``root``, table models are written once and later models read the files."""
 
-    def __init__(self, spark: SparkSession, source: Callable[[str, str], DataFrame], as_of: str, root: str | None = None):
+    def __init__(self, spark: SparkSession, source: Callable[[str, str], DataFrame], as_of: str, root: str | None = None,
+                 first_week: str = "1970-01-05"):
         self.spark = spark
+        self.first_week = first_week  # Monday of the first week for which sheets are expected
         self.as_of = as_of
         self.root = root
         self._source = source

@@ -36,6 +36,9 @@ def gold(name: str, sink: str = "table"):
 
 # ---------------------------------------------------------------- shared parts
 
+# Fixed value: a location of the accounting system that is no place.
+NO_LOCATION = "55-1"
+
 def portal(w: Warehouse, table: str) -> DataFrame:
     return w.source("portal", table)
 
@@ -95,7 +98,8 @@ def country_state(df: DataFrame, w: Warehouse, country: str, state: str) -> Data
 def org(df: DataFrame, w: Warehouse, department: str = "department_id", loc: str = "location_id", base: str | Column | None = None) -> DataFrame:
     """Department, location and entity of an accounting row; the entity is the location's parent or the row's own base."""
     out = look(df, portal(w, "departments"), department, "intacct_id", "record_id:key_department display_name:department_name")
-    out = look(out, portal(w, "locations"), loc, "intacct_id", "record_id:key_location display_name:location_name")
+    places = portal(w, "locations").filter(F.col("intacct_id").isNull() | (F.col("intacct_id") != NO_LOCATION))
+    out = look(out, places, loc, "intacct_id", "record_id:key_location display_name:location_name")
     out = look(out, w.source("sage_intacct", "location"), loc, "locationid", "parentkey:__parent recordno:__record")
     out = out.withColumn("__entity", F.coalesce(F.col("__parent"), base if base is not None else F.col("__record")))
     out = look(out, portal(w, "entities"), "__entity", "id", "record_id:key_entity_record display_name:entity_name currency_id:currency_code_entity")
@@ -240,8 +244,9 @@ def dim_employee_compensation(w: Warehouse) -> DataFrame:
 def _payroll_lines(w: Warehouse, name: str, amounts: list[str]) -> DataFrame:
     out = _person_entity(as_money(w.system(name, "ukg"), amounts), w)
     out = look(out, w.source("ukg_pro", "company"), "key_company", "id", "code:company_code name:company_name currency_code:company_currency")
-    out = look(out, w.system("employee", "ukg"), "key_employee", "key", "display_name:employee_name display_name_lf:employee_name_lf")
-    out = out.withColumn("currency_code", norm_currency("company_currency")).drop("company_currency")
+    out = look(out, w.system("employee", "ukg"), "key_employee", "key",
+               "display_name:employee_name display_name_lf:employee_name_lf currency_code:currency_code")
+    out = out.withColumn("currency_code", norm_currency("currency_code")).drop("company_currency")
     return money_in(out, w, amounts, "currency_code", {"entity": "currency_code_entity", "usd": F.lit("USD")}, "dte_pay")
 
 
@@ -306,22 +311,28 @@ def dim_expense_item(w: Warehouse) -> DataFrame:
 
 @gold("dim_invoice")
 def dim_invoice(w: Warehouse) -> DataFrame:
+    """Invoices with what was entered, is due and was paid, in entity and US currency at the exchange date."""
     out = look(w.system("invoice", "int"), portal(w, "entities").withColumn("__id", F.col("id").cast("string")), "key_entity", "__id",
                "record_id:key_entity_record display_name:entity_name currency_id:currency_code_entity")
-    out = as_money(out, ["amt_total"]).withColumn("currency_iso_code", norm_currency("currency_iso_code"))
-    return money_in(out, w, ["amt_total"], "currency_iso_code", {"usd": F.lit("USD")}, "dte_posted")
+    amounts = ["amt_total", "amt_total_due", "amt_total_paid"]
+    out = fill_defaults(as_money(out, amounts), dict.fromkeys(amounts, 0)).withColumn("currency_iso_code", norm_currency("currency_iso_code"))
+    out = out.withColumn("dte_exch_rate", F.coalesce("dte_exch_rate", "dte_posted"))
+    return money_in(out, w, amounts, "currency_iso_code", {"usd": F.lit("USD")}, "dte_exch_rate")
 
 
 @gold("dim_invoice_item")
 def dim_invoice_item(w: Warehouse) -> DataFrame:
-    out = look(w.system("invoice_item", "int"), w.system("invoice", "int"), "key_invoice", "key", "dte_posted:dte_invoice recordid:invoice_record key_entity:invoice_entity")
+    out = look(w.system("invoice_item", "int"), w.system("invoice", "int"), "key_invoice", "key", "dte_posted:__posted dte_exch_rate:__exchange recordid:invoice_record key_entity:invoice_entity")
+    out = out.withColumn("dte_invoice", F.coalesce("__exchange", "__posted")).drop("__exchange", "__posted")
     out = look(out, portal(w, "entities").withColumn("__id", F.col("id").cast("string")), "invoice_entity", "__id", "currency_id:currency_code_entity display_name:entity_name")
     out = look(out, portal(w, "departments"), "department_id", "intacct_id", "display_name:department_name")
     out = look(out, portal(w, "locations"), "location_id", "intacct_id", "display_name:location_name")
     out = look(out, w.system("project", "int"), "key_project", "key", "name:project_name project_id:project_id")
     out = look(out, w.system("employee", "int"), "key_employee", "key", "display_name:employee_name")
     out = as_money(out, ["amt", "amt_trx"]).withColumn("currency_iso_code", norm_currency("currency_iso_code"))
-    return money_in(out, w, ["amt", "amt_trx"], "currency_iso_code", {"usd": F.lit("USD"), "entity": "currency_code_entity"}, "dte_invoice")
+    # amt is in the entity's currency already, amt_trx in the invoice's
+    out = money_in(out, w, ["amt_trx"], "currency_iso_code", {"usd": F.lit("USD"), "entity": "currency_code_entity"}, "dte_invoice")
+    return out.withColumns({"amt_entity": F.col("amt"), "amt_usd": convert("amt", "fx_rate_usd")})
 
 
 @gold("dim_timesheet")
@@ -479,6 +490,7 @@ def dim_project_task_milestone(w: Warehouse) -> DataFrame:
     """Milestones with the earned value in original, project and US currency."""
     out = look(w.system("project_task_milestone", "sfc"), w.system("project", "sfc"), "hash_key_project", "hash_key", "name:project_name hash_link:__pl")
     out = look(out, w.system("project", "int").filter(F.col("hash_link").isNotNull()), "__pl", "hash_link", "currency_iso_code:project_currency dte_src_start:__start").drop("__pl")
+    own = "currency_iso_code" if "currency_iso_code" in out.columns else F.lit(None).cast("string")
     out = look(out, w.ref("project_phase_code").filter("src_sys_key = 'sfc_milestones'"), "hash_key_milestone", "hash_key", "name:phase_code_name")
     out = look(out, w.system("project_task", "sfc"), "hash_key_project_task", "hash_key", "name:task_name")
     every = directory(w)
@@ -489,7 +501,7 @@ def dim_project_task_milestone(w: Warehouse) -> DataFrame:
         out = out.withColumn(f"{role}_by_name", first_non_null(f"__d_{role}", f"__u_{role}")).drop(f"__d_{role}", f"__u_{role}")
     out = as_money(out.withColumnRenamed("earned_value", "earned_value_original"), ["earned_value_original"]).withColumns(
         {"project_currency": norm_currency("project_currency"), "__day": F.coalesce("dte_milestone", "__start"), "earned_value": F.col("earned_value_original")})
-    out = out.withColumn("currency_original", F.lit("USD"))
+    out = out.withColumn("currency_original", norm_currency(first_non_null(own, "project_currency")))
     return money_in(out, w, ["earned_value"], "currency_original", {"project": "project_currency", "usd": F.lit("USD")}, "__day").drop("__day", "__start", "earned_value")
 
 
@@ -570,10 +582,16 @@ def dim_sales_proposal_line_item(w: Warehouse) -> DataFrame:
 
 @gold("dim_sales_purchase_order")
 def dim_sales_purchase_order(w: Warehouse) -> DataFrame:
+    """Orders of customers in US currency, that of their opportunity, and that of their account's entity."""
     out = _project_dims(w.system("sales_purchase_order", "sfc"), w, "key_account")
-    out = look(out, w.system("sales_opportunity", "sfc"), "key_opportunity", "key", "name:opportunity_name")
-    out = as_money(out, ["amt_po"]).withColumn("currency_iso_code", norm_currency("currency_iso_code"))
-    return money_in(out, w, ["amt_po"], "currency_iso_code", {"usd": F.lit("USD")}, "dte_received")
+    out = look(out, w.system("sales_opportunity", "sfc"), "key_opportunity", "key", "name:opportunity_name currency_iso_code:currency_iso_code_opportunity")
+    accounts = look(w.system("sales_account", "sfc"), portal(w, "locations"), "key_location", "salesforce_id", "entity_id:__entity")
+    accounts = look(accounts, portal(w, "entities"), "__entity", "id", "display_name:entity_name currency_id:currency_iso_code_entity")
+    out = look(out, accounts, "key_account", "key", "entity_name:entity_name currency_iso_code_entity:currency_iso_code_entity")
+    out = as_money(out, ["amt_po"]).withColumns({"amt_po": F.coalesce(F.col("amt_po").cast("decimal(18,2)"), F.lit(0).cast("decimal(18,2)")),
+                                                 "currency_iso_code": norm_currency("currency_iso_code")})
+    return money_in(out, w, ["amt_po"], "currency_iso_code", {
+        "usd": F.lit("USD"), "opportunity": "currency_iso_code_opportunity", "entity": "currency_iso_code_entity"}, "dte_received")
 
 
 def _with_directory(w: Warehouse, name: str, fk: str, role: str) -> DataFrame:
@@ -634,10 +652,14 @@ def dim_sales_rate_card_set(w: Warehouse) -> DataFrame:
 
 @gold("dim_sales_user")
 def dim_sales_user(w: Warehouse) -> DataFrame:
-    out = w.system("sales_user", "sfc").withColumn("__u", F.col("key"))
-    out = person(out, directory(w), "__u", "sfc_user_id", "person")
-    out = look(out, w.system("sales_contact", "sfc"), "key_contact", "key", "key_account:key_account")
-    return look(out, w.system("sales_account", "sfc"), "key_account", "key", "name:account_name").drop("__u")
+    """CRM users with their person by payroll id, the contact that names them as user, and who approves in their place."""
+    every = directory(w)
+    out = person(w.system("sales_user", "sfc"), every, "ukg_employee_id", "key", "person")
+    out = look(out, w.system("sales_contact", "sfc"), "key", "key_user", "key:key_contact_user key_account:key_account")
+    out = look(out, w.system("sales_account", "sfc"), "key_account", "key", "name:account_name")
+    out = look(out, every, "key_delegated_approver", "sfc_user_id", "display_name:__person")
+    out = look(out, w.system("sales_user", "sfc"), "key_delegated_approver", "key", "name:__user")
+    return out.withColumn("delegated_approver_name", first_non_null(proper_case("__person"), "__user")).drop("__person", "__user")
 
 
 # ---------------------------------------------------------------- reports
@@ -656,8 +678,8 @@ def rpt_activity_by_project(w: Warehouse) -> DataFrame:
     parts = [
         facts(time, "time", "key", "key_project", "key_employee_ukg", "dte_entry", "currency_iso_code", F.col("currency_iso_code"), "bill_rate", "bill_rate", F.col("qty")),
         facts(exp, "expense", "exp_record_id", "key_project", "key_employee_ukg", "exp_dte_when_posted", "org_currency", F.col("exp_base_currency"), "amt_trx", "amt", one),
-        facts(w.ref("dim_ap_bill_item"), "ap", "ap_record_id", "key_project", "key_employee_ukg", "dte_posted", "currency_code", F.col("base_currency"), "amt_trx", "amt", one),
-        facts(w.ref("dim_cc_transaction_entry"), "card", "cc_record_id", "key_project", "key_employee_ukg", "dte_posted", "currency_code", F.col("base_currency"), "amt_trx", "amt", one),
+        facts(w.ref("dim_ap_bill_item").filter("bln_billable"), "ap", "ap_record_id", "key_project", "key_employee_ukg", "dte_posted", "currency_code", F.col("base_currency"), "amt_trx", "amt", one),
+        facts(w.ref("dim_cc_transaction_entry").filter("bln_billable"), "card", "cc_record_id", "key_project", "key_employee_ukg", "dte_posted", "currency_code", F.col("base_currency"), "amt_trx", "amt", one),
     ]
     project = w.ref("dim_project").filter(F.col("dte_src_start").isNotNull()).select(
         F.col("key").alias("project_id"), "project_manager_name", F.col("name").alias("project_name"), F.col("currency_iso_code").alias("project_currency"), "account_id", "amt_po_usd")

@@ -53,7 +53,7 @@ simple("sales_proposal_line_item", "sfc", "salesforce.quote_line_item", foreign=
 simple("sales_purchase_order", "sfc", "salesforce.purchase_order_c", foreign={"account_c": "account", "opportunity_c": "opportunity"},
        names={"amount_c": "amt_po"})
 simple("sales_rate_card_set", "sfc", "salesforce.pse_rate_card_set_c", foreign={"owner_id": "owner"})
-simple("sales_user", "sfc", "salesforce.user", foreign={"contact_id": "contact"})
+simple("sales_user", "sfc", "salesforce.user", foreign={"contact_id": "contact", "delegated_approver_id": "delegated_approver"})
 simple("project_task_milestone", "sfc", "salesforce.project_task_milestone_c", foreign={
     "phase_code_c": "milestone", "project_task_c": "project_task", "project_c": "project"})
 
@@ -78,7 +78,7 @@ def invoice(w: Warehouse) -> DataFrame:
     """Blanks become null; flags keep false (a false flag is a value, not a blank)."""
     raw = blanks_to_null(w.source("sage_intacct", "ar_invoice"))
     return conform_by_rule(raw, "int", "invoice", w.as_of, key="recordno", foreign={"megaentitykey": "entity", "customerkey": "customer"},
-                           names={"totalentered": "amt_total", "currency": "currency_iso_code", "whenposted": "dte_posted"})
+                           names={"totalentered": "amt_total", "totaldue": "amt_total_due", "totalpaid": "amt_total_paid", "currency": "currency_iso_code", "whenposted": "dte_posted"})
 
 
 @model("invoice_item", LAYER)
@@ -206,12 +206,12 @@ def employment_details(w: Warehouse) -> DataFrame:
 
 @model("expense", LAYER)
 def expense(w: Warehouse) -> DataFrame:
-    """Expense reports of accounting and CRM; CRM reports carry the accounting id as link."""
+    """Expense reports of accounting and CRM; accounting reports carry the CRM id as link."""
     acc = look(w.source("sage_intacct", "eexpenses"), w.source("sage_intacct", "employee"), "employeeid", "employeeid", "contact_name:employee_name")
-    a = conform_by_rule(acc, "int", "expense", w.as_of, key="recordno", link="recordid", names={"employeeid": "employee_id", "totalentered": "amt_total"})
+    a = conform_by_rule(acc, "int", "expense", w.as_of, key="recordno", link="psa_id", names={"employeeid": "employee_id", "totalentered": "amt_total"})
     crm = look(w.source("salesforce", "pse_expense_report_c"), w.source("salesforce", "contact"), "pse_resource_c", "id", "name:employee_name")
     crm = look(crm, w.source("salesforce", "pse_proj_c"), "pse_project_c", "id", "name:project_name")
-    b = conform_by_rule(crm, "sfc", "expense", w.as_of, link="intacct_expense_c", foreign={"pse_resource_c": "resource", "pse_project_c": "project"},
+    b = conform_by_rule(crm, "sfc", "expense", w.as_of, foreign={"pse_resource_c": "resource", "pse_project_c": "project"},
                         names={"pse_status_c": "state"})
     return stack(a, b)
 
@@ -338,7 +338,7 @@ def project_phase_code(w: Warehouse) -> DataFrame:
     a = conform_by_rule(w.source("sage_intacct", "task"), "int", name, w.as_of, key="recordno", link="sfdc_milestone_id", foreign={"projectkey": "project"})
     b = conform_by_rule(w.source("salesforce", "pse_milestone_c"), "sfc_milestones", name, w.as_of, foreign={
         "pse_project_c": "project", "pse_approver_c": "approver", "practice_area_c": "practice_area"})
-    c = conform_by_rule(w.source("salesforce", "pse_project_task_c").drop("original_proposal_budget_c", "original_proposal_hrs_or_units_c"),
+    c = conform_by_rule(w.source("salesforce", "pse_project_task_c").filter(~F.col("is_project_task_c")).drop("original_proposal_budget_c", "original_proposal_hrs_or_units_c"),
                         "sfc_project_task", name, w.as_of, link="pse_milestone_c", foreign={"pse_project_c": "project"}, columns={"key_milestone": "pse_milestone_c"})
     d = conform_by_rule(w.source("psatools", "projects_phase_codes"), "pts", name, w.as_of, link="milestone_id", foreign={"project_id": "project"})
     return stack_distinct(a, b, c, d)

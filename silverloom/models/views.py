@@ -12,9 +12,9 @@ from silverloom.operators import joins, reporting, rollup
 from silverloom.operators.stack import blanks_to_null, fill_defaults
 
 LAYER = "dataconsumption"
-# Change reasons that always count as a pay change, and the first week that must be reported.
+# Change reasons that always count as a pay change, and the state of an approved sheet.
 PAY_REASONS = ["101", "100"]
-FIRST_WEEK = "2001-01-01"
+APPROVED = "Approved"
 
 
 def view(name: str):
@@ -69,7 +69,9 @@ def vw_finance_gl_accounts(w: Warehouse) -> DataFrame:
 
 @view("vw_finance_locations")
 def vw_finance_locations(w: Warehouse) -> DataFrame:
-    out = blanks_to_null(w.source("sage_intacct", "location")).withColumn("status_name", label("status", {"active": "Active"}, "Inactive"))
+    # The accounting system's location types.
+    out = blanks_to_null(w.source("sage_intacct", "location")).withColumn(
+        "location_type", label("locationtype", {"C": "Location", "E": "Entity", "N": "Non-Active"})).drop("locationtype")
     return out.withColumnsRenamed({"recordno": "key", "locationid": "location_id", "parentkey": "key_parent"})
 
 
@@ -95,7 +97,7 @@ def _sheet_people(df: DataFrame, w: Warehouse) -> DataFrame:
 def vw_timesheet_missing(w: Warehouse) -> DataFrame:
     """Weeks between a person's hire and leave for which no sheet exists."""
     who = w.ref("dim_employee").select(F.col("key").alias("key_employee"), "dte_last_hire", "dte_src_end")
-    due = joins.expected_periods(who, "dte_last_hire", "dte_src_end", FIRST_WEEK, w.as_of)
+    due = joins.expected_periods(who, "dte_last_hire", "dte_src_end", w.first_week, w.as_of)
     sheets = w.ref("dim_timesheet").select(F.col("key_employee_ukg").alias("key_employee"), F.date_sub("dte_src_start", F.weekday("dte_src_start")).alias("week_start"))
     missing = reporting.missing_sheets(due, sheets, ["key_employee", "week_start"])
     return _sheet_people(missing.withColumn("qty", F.lit(0).cast("decimal(18,2)")), w)
@@ -107,7 +109,7 @@ def vw_timesheet_unapproved(w: Warehouse) -> DataFrame:
     sheets = w.system("timesheet", "sfc").select("key", F.col("employee_ukg_id").alias("key_employee"), "dte_src_start", "status")
     hours = w.system("timesheet_entry", "sfc").groupBy("key_timesheet").agg(F.sum("qty").alias("qty"))
     rows = look(sheets, hours, "key", "key_timesheet", "qty:qty").withColumn("qty", F.coalesce("qty", F.lit(0).cast("decimal(18,2)")))
-    out = rollup.pending(rows, F.col("status") != "F", ["key", "key_employee", "dte_src_start", "status"], "qty")
+    out = rollup.pending(rows, F.col("status") != APPROVED, ["key", "key_employee", "dte_src_start", "status"], "qty")
     return _sheet_people(out, w)
 
 

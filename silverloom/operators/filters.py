@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from silverloom.functions.keys import col
 from silverloom.operators.windows import neighbour
-from silverloom.sources.tables import bounded
+from silverloom.sources.tables import spread_lookup
 
 
 def drop_deleted(df: DataFrame, *flags: str | Column) -> DataFrame:
@@ -49,12 +49,11 @@ def class_flags(links: DataFrame, code: str, classes: dict[str, Column]) -> Data
 def classify(df: DataFrame, code: str, flags: DataFrame, flags_code: str | None = None) -> DataFrame:
     """Attach class flags to rows by code: one lookup join instead of a subquery per class.
 
-    Codes are few and each holds a large share of the rows, so shuffling rows by code would be the worst plan. The flags
-    are counted and broadcast while they stay a small code table.
+    Codes are few and each may hold a large share of the rows, so rows that are shuffled are dealt by code and a salt.
     """
     names = [c for c in flags.columns if c != (flags_code or code)]
     right = flags.select(F.col(flags_code or code).alias("__code"), *names)
-    out = df.join(bounded(right), F.col(code) == F.col("__code"), "left").drop("__code")
+    out = spread_lookup(df.withColumn("__code", F.col(code)), right, ["__code"]).drop("__code")
     return out.withColumns({n: F.coalesce(F.col(n), F.lit(False)) for n in names})
 
 

@@ -11,7 +11,7 @@ from silverloom.functions.dates import as_date, clamp
 from silverloom.functions.keys import col
 from silverloom.functions.money import convert
 from silverloom.operators.windows import fill_days
-from silverloom.sources.tables import bounded
+from silverloom.sources.tables import cut_lineage
 
 
 def cross_rates(series: DataFrame, base: str = "USD") -> DataFrame:
@@ -59,13 +59,11 @@ def fx_cube(series: DataFrame, as_of: str, base: str = "USD", active: DataFrame
     return filled.select("frm_curr", "to_curr", "date", "fx_rate_div", "fx_rate_mul")
 
 
-# pairs times days: 28 currencies over 3 years against one another stay below this
-MAX_BROADCAST_RATES = 1_000_000
-
-
 def lookup_cube(cube: DataFrame, stored: bool = False) -> DataFrame:
-    """The cube ready for many lookups: computed once, and broadcast while its counted size allows."""
-    return bounded(cube.select("frm_curr", "to_curr", "date", "fx_rate_div", "fx_rate_mul"), MAX_BROADCAST_RATES, stored)
+    """The cube ready for many lookups: computed once. Whether it is broadcast is left to Spark, by its size in bytes;
+    else both sides are shuffled as they are, and a hot pair and day is split."""
+    rates = cube.select("frm_curr", "to_curr", "date", "fx_rate_div", "fx_rate_mul")
+    return rates if stored else cut_lineage(rates)
 
 
 def with_rate(df: DataFrame, cube: DataFrame, frm: str | Column, to: str | Column, date: str | Column, name: str,
@@ -77,20 +75,24 @@ def with_rate(df: DataFrame, cube: DataFrame, frm: str | Column, to: str | Colum
     """
     bounds = cube.agg(F.min("date").alias("lo"), F.max("date").alias("hi"))
     first, last = bounds.select("lo").scalar(), bounds.select("hi").scalar()
-    facts = df.withColumns({"__fx_from": col(frm), "__fx_to": col(to), "__fx_day": clamp(F.to_date(col(date)), first, last)})
+    # equal currencies, mostly the greatest part of the rows, have no key to look up; their day still spreads them
+    own, other = col(frm), col(to)
+    facts = df.withColumns({
+        "__fx_same": own == other, "__fx_from": F.when(own != other, own), "__fx_to": other,
+        "__fx_day": clamp(F.to_date(col(date)), first, last)})
     right = cube.select(
         F.col("frm_curr").alias("__cube_from"), F.col("to_curr").alias("__cube_to"), F.col("date").alias("__cube_day"),
         F.col(rate).alias("__cube_rate"),
     )
     cond = (F.col("__fx_from") == F.col("__cube_from")) & (F.col("__fx_to") == F.col("__cube_to")) & (F.col("__fx_day") == F.col("__cube_day"))
     out = facts.join(right, cond, "left")
-    found = F.when(F.col("__fx_from") == F.col("__fx_to"), F.lit(1.0)).otherwise(F.col("__cube_rate"))
+    found = F.when(F.col("__fx_same"), F.lit(1.0)).otherwise(F.col("__cube_rate"))
     if on_missing == "one":
         found = F.coalesce(found, F.lit(1.0))
     elif on_missing == "default":
         found = F.coalesce(found, col(default).cast("double"), F.lit(1.0))
     out = out.withColumn(name, found)
-    return out.drop("__fx_from", "__fx_to", "__fx_day", "__cube_from", "__cube_to", "__cube_day", "__cube_rate")
+    return out.drop("__fx_same", "__fx_from", "__fx_to", "__fx_day", "__cube_from", "__cube_to", "__cube_day", "__cube_rate")
 
 
 def fx_convert(df: DataFrame, cube: DataFrame, amounts: Sequence[str], frm: str | Column,

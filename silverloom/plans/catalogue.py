@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import functions as F
@@ -13,6 +12,7 @@ from silverloom.plans.model_sql import MODEL_SQL
 from silverloom.registry import ORACLES, QUERIES, Tables, plain
 from silverloom.sources.derived import ORDERS_AS_OF, inputs_of, spark_sql_text, with_inputs
 from silverloom.sources.raw import RAW_TABLES
+from silverloom.sources.tables import shared_root
 
 
 def warehouse(spark, folder: str, root: str | None = None) -> Warehouse:
@@ -26,7 +26,7 @@ def warehouse(spark, folder: str, root: str | None = None) -> Warehouse:
             made[name] = tables.sql(spark_sql_text(text), {n: tables(n) for n in inputs_of(text)})
         return made[name]
 
-    return Warehouse(spark, source, ORDERS_AS_OF, root)
+    return Warehouse(spark, source, ORDERS_AS_OF, root, first_week="2001-01-01")
 
 
 _STORES: dict[tuple[str, str], Warehouse] = {}
@@ -36,9 +36,7 @@ def stored(spark, folder: str) -> Warehouse:
     """Warehouse of a session and folder whose table models are written once, to the cluster's shared folder."""
     at = (spark.sparkContext.applicationId, folder)
     if at not in _STORES:
-        shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-        root = f"{shared.rstrip('/')}/silverloom-{uuid.uuid4().hex}" if shared else tempfile.mkdtemp(prefix="silverloom-tables-")
-        _STORES[at] = warehouse(spark, folder, root)
+        _STORES[at] = warehouse(spark, folder, f"{shared_root(spark)}/silverloom-{uuid.uuid4().hex}")
     return _STORES[at]
 
 
@@ -46,17 +44,7 @@ def _query(name: str):
     return lambda spark, folder: plain(stored(spark, folder).ref(name))
 
 
-def utilisation_summary(spark, folder: str):
-    """The utilisation model holds a row per person, entity, period and category; the query adds the people up."""
-    rows = stored(spark, folder).ref("dim_timesheet_entry_aggregates")
-    keys = ["entity_grouping", "entity_id", "type", "type_sort", "date_group_type_id", "date_group_id", "date_group_year"]
-    sums = ["hours", "hours_billable", "amt_bill", "amt_cost", "pto_hours", "work_hours", "planned_hours_billable", "planned_bill_amount"]
-    return plain(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_people"), *[F.sum(c).alias(c) for c in sums]))
-
-
 for _name in MODELS:
     QUERIES[f"model_{_name}"] = _query(_name)
     if _name in MODEL_SQL:
         ORACLES[f"model_{_name}"] = with_inputs(MODEL_SQL[_name])
-
-QUERIES["model_dim_timesheet_entry_aggregates"] = utilisation_summary

@@ -73,7 +73,7 @@ def _models() -> dict[str, str]:
         "sales_purchase_order": silver("sales_purchase_order", "sfc", s + "purchase_order_c", "id", {"account_c": "account", "opportunity_c": "opportunity"},
                                        {"amount_c": "amt_po", "received_date_c": "dte_received"}, ("amount_c",)),
         "sales_rate_card_set": silver("sales_rate_card_set", "sfc", s + "pse_rate_card_set_c", "id", {"owner_id": "owner"}, {}),
-        "sales_user": silver("sales_user", "sfc", s + "user", "id", {"contact_id": "contact"}, {"ukg_employee_id_c": "ukg_employee_id", "is_active": "bln_is_active"}),
+        "sales_user": silver("sales_user", "sfc", s + "user", "id", {"contact_id": "contact", "delegated_approver_id": "delegated_approver"}, {"ukg_employee_id_c": "ukg_employee_id", "is_active": "bln_is_active"}),
         "sales_rate_card": silver("sales_rate_card", "sfc", s + "pse_rate_card_c", "id", {
             "owner_id": "owner", "pse_rate_card_set_c": "rate_card_set", "pse_practice_c": "practice", "pse_account_c": "account", "pse_region_c": "location"},
             {"pse_suggested_bill_rate_c": "rate_suggested", "pse_start_date_c": "dte_start"}, ("pse_suggested_bill_rate_c",),
@@ -88,7 +88,8 @@ def _models() -> dict[str, str]:
         "project_task": silver("project_task", "sfc", s + "pse_project_task_c", "id", {"proposal_c": "proposal", "pse_milestone_c": "phase_code", "pse_project_c": "project"},
                                {"original_proposal_budget_c": "budget_original", "original_proposal_hrs_or_units_c": "hours_original", "is_project_task_c": "bln_is_project_task"},
                                ("original_proposal_budget_c", "original_proposal_hrs_or_units_c"),
-                               "CASE WHEN coalesce(original_proposal_hrs_or_units_c, 0) = 0 THEN 0.0 ELSE CAST(CAST(CAST(original_proposal_budget_c AS DOUBLE) / CAST(original_proposal_hrs_or_units_c AS DOUBLE) AS DECIMAL(18,6)) AS DOUBLE) END AS rate_original"),
+                               "CASE WHEN coalesce(original_proposal_hrs_or_units_c, 0) = 0 THEN 0.0 ELSE CAST(CAST(CAST(original_proposal_budget_c AS DOUBLE) / CAST(original_proposal_hrs_or_units_c AS DOUBLE) AS DECIMAL(18,6)) AS DOUBLE) END AS rate_original",
+                               frm=f"SELECT * FROM ({RAW_TABLES[s + 'pse_project_task_c']}) t WHERE is_project_task_c"),
         "estimates_vs_actuals": silver("estimates_vs_actuals", "sfc", s + "pse_est_vs_actuals_c", "id", {
             "pse_assignment_c": "assignment", "schedule": "schedule", "pse_project_c": "project", "pse_resource_request_c": "resource_request",
             "pse_resource_c": "resource", "opportunity": "opportunity"},
@@ -107,7 +108,8 @@ def _models() -> dict[str, str]:
         "apbill": silver("apbill", "int", i + "ap_bill", "recordno", {"entitykey": "entity"}, head, ("totalentered",)),
         "cc_transaction": silver("cc_transaction", "int", i + "cc_transaction", "recordno", {"entitykey": "entity"}, head, ("totalentered",)),
         "invoice": silver("invoice", "int", i + "ar_invoice", "recordno", {"megaentitykey": "entity", "customerkey": "customer"},
-                          {**INT_AUDIT, "totalentered": "amt_total", "whenposted": "dte_posted"}, ("totalentered",),
+                          {**INT_AUDIT, "totalentered": "amt_total", "totaldue": "amt_total_due", "totalpaid": "amt_total_paid", "exch_rate_date": "dte_exch_rate", "whenposted": "dte_posted"},
+                          ("totalentered", "totaldue", "totalpaid"),
                           "NULLIF(currency, '') AS currency_iso_code, NULLIF(description, '') AS description", ("currency", "description")),
         "invoice_item": silver("invoice_item", "int", i + "ar_invoice_item", "recordno", {"recordkey": "invoice", "projectkey": "project", "employeekey": "employee"},
                                {**{k: v for k, v in line.items() if k != "lineitem"}, "lineitem": "bln_lineitem", "employeeid": "employeeid_"}, ("amount", "trx_amount"),
@@ -146,10 +148,10 @@ def _models() -> dict[str, str]:
                 "pse_start_date_c": "dte_src_start", "pse_status_c": "status", "state_worked_c": "state_worked"}, drop=("link",), link="link",
                 frm=f"SELECT h.*, c.name AS employee_name, c.ukg_employee_id_c AS employee_ukg_id FROM ({RAW_TABLES[s + 'pse_timecard_header_c']}) h LEFT JOIN ({RAW_TABLES[s + 'contact']}) c ON h.pse_resource_c = c.id")),
         "expense": stacked(
-            silver("expense", "int", i + "eexpenses", "recordno", {}, {**head, "employeeid": "employee_id", "totalentered": "amt_total"}, ("totalentered",), link="recordid",
+            silver("expense", "int", i + "eexpenses", "recordno", {}, {**head, "employeeid": "employee_id", "totalentered": "amt_total"}, ("totalentered",), link="psa_id",
                    frm=f"SELECT h.*, e.contact_name AS employee_name FROM ({RAW_TABLES[i + 'eexpenses']}) h LEFT JOIN ({RAW_TABLES[i + 'employee']}) e ON h.employeeid = e.employeeid"),
             silver("expense", "sfc", s + "pse_expense_report_c", "id", {"pse_resource_c": "resource", "pse_project_c": "project"}, {
-                "pse_status_c": "state", "intacct_expense_c": "intacct_expense"}, link="intacct_expense_c",
+                "pse_status_c": "state", "intacct_expense_c": "intacct_expense"},
                 frm=f"SELECT h.*, c.name AS employee_name, p.name AS project_name FROM ({RAW_TABLES[s + 'pse_expense_report_c']}) h LEFT JOIN ({RAW_TABLES[s + 'contact']}) c ON h.pse_resource_c = c.id "
                     f"LEFT JOIN ({RAW_TABLES[s + 'pse_proj_c']}) p ON h.pse_project_c = p.id")),
         "project_phase_code": "SELECT DISTINCT * FROM (" + stacked(
@@ -157,7 +159,7 @@ def _models() -> dict[str, str]:
             silver("project_phase_code", "sfc_milestones", s + "pse_milestone_c", "id", {"pse_project_c": "project", "pse_approver_c": "approver", "practice_area_c": "practice_area"}, {}),
             silver("project_phase_code", "sfc_project_task", s + "pse_project_task_c", "id", {"pse_project_c": "project"}, {
                 "pse_milestone_c": "milestone", "proposal_c": "proposal", "is_project_task_c": "bln_is_project_task"}, extra="pse_milestone_c AS key_milestone", link="pse_milestone_c",
-                drop=("original_proposal_budget_c", "original_proposal_hrs_or_units_c")),
+                frm=f"SELECT * FROM ({RAW_TABLES[s + 'pse_project_task_c']}) t WHERE NOT is_project_task_c", drop=("original_proposal_budget_c", "original_proposal_hrs_or_units_c")),
             silver("project_phase_code", "pts", "psatools.projects_phase_codes", "id", {"project_id": "project"}, {}, link="milestone_id")) + ")",
         "employee_job_history": silver(
             "employee_job_history", "ukg", "ukg_pro.employee_job_history", "id", {
@@ -226,8 +228,10 @@ def _models() -> dict[str, str]:
                                       f"LEFT JOIN ({out['sales_rate_card_set']}) t ON b.key_rate_card_set = t.key {acc} LEFT JOIN {place} h ON b.key_location = h.sk {prac}",
                                       ", t.name AS rate_card_set_name, a.name AS account_name" + loc_cols + prac_cols).replace("key_owner), b.", "key_owner, key_practice, key_location), b."),
         "dim_sales_user": f"SELECT {audit('dim_sales_user')}, b.* EXCLUDE ({GOLD_DROP}), p.pkey AS key_person, p.nm AS person_name, p.lf AS person_name_lf, p.mail AS person_email, "
-                          f"c.key_account AS key_account, a.name AS account_name FROM ({out['sales_user']}) b LEFT JOIN {person} p ON b.key = p.sfc_user_id "
-                          f"LEFT JOIN ({out['sales_contact']}) c ON b.key_contact = c.key LEFT JOIN ({out['sales_account']}) a ON c.key_account = a.key",
+                          f"c.key AS key_contact_user, c.key_account AS key_account, a.name AS account_name, coalesce(v.nm, vu.name) AS delegated_approver_name "
+                          f"FROM ({out['sales_user']}) b LEFT JOIN {person} p ON b.ukg_employee_id = p.pkey "
+                          f"LEFT JOIN ({out['sales_contact']}) c ON b.key = c.key_user LEFT JOIN ({out['sales_account']}) a ON c.key_account = a.key "
+                          f"LEFT JOIN {person} v ON b.key_delegated_approver = v.sfc_user_id LEFT JOIN ({out['sales_user']}) vu ON b.key_delegated_approver = vu.key",
         "dim_sales_contact": f"SELECT {audit('dim_sales_contact')}, b.* EXCLUDE ({GOLD_DROP}, key_practice), u.ukg_employee_id AS user_employee_id, u.name AS user_name, p.nm AS employee_name, "
                              f"q.nm AS supervisor_name, q.mail AS supervisor_email, a.name AS account_name{prac_cols} FROM ({out['sales_contact']}) b "
                              f"LEFT JOIN ({out['sales_user']}) u ON b.key_user = u.key LEFT JOIN {person} p ON u.ukg_employee_id = p.pkey "
@@ -236,19 +240,34 @@ def _models() -> dict[str, str]:
     }
     cur = "upper(coalesce(NULLIF(b.currency_iso_code, ''), 'USD'))"
 
-    def in_usd(model: str, base: str, amt: str, date: str, joins: str, cols: str) -> str:
-        rate = f"CASE WHEN {cur} = 'USD' THEN 1.0 ELSE coalesce(x.fx_rate_mul, 1.0) END"
-        return (_CUBE + f" SELECT {audit(model)}, b.* EXCLUDE ({GOLD_DROP}, currency_iso_code){cols}, {cur} AS currency_iso_code, {rate} AS fx_rate_usd, "
-                f"CAST(CAST(CAST(b.{amt} AS DECIMAL(18,2)) * CAST({rate} AS DECIMAL(20,14)) AS DECIMAL(18,2)) AS DOUBLE) AS {amt}_usd "
-                f"FROM ({out[base]}) b CROSS JOIN lim LEFT JOIN cube x ON x.frm_curr = {cur} AND x.to_curr = 'USD' AND x.date = greatest(least(b.{date}, hi), lo) {joins}")
+    def converted(model: str, base: str, amounts: tuple[str, ...], date: str, joins: str, cols: str, targets: dict[str, str], drop: str = "", whole: str = "b.{0}") -> str:
+        """Amounts in further currencies by the cube, at the rate of the date moved into its days."""
+        made, extra = "", ""
+        for k, (suffix, to) in enumerate(targets.items()):
+            rate = f"CASE WHEN {cur} = {to} THEN 1.0 ELSE coalesce(x{k}.fx_rate_mul, 1.0) END"
+            made += f", {rate} AS fx_rate_{suffix}" + "".join(
+                f", CAST(CAST(CAST({whole.format(a)} AS DECIMAL(18,2)) * CAST({rate} AS DECIMAL(20,14)) AS DECIMAL(18,2)) AS DOUBLE) AS {a}_{suffix}" for a in amounts)
+            extra += f" LEFT JOIN cube x{k} ON x{k}.frm_curr = {cur} AND x{k}.to_curr = {to} AND x{k}.date = greatest(least({date}, hi), lo)"
+        return (_CUBE + f" SELECT {audit(model)}, b.* EXCLUDE ({GOLD_DROP}, currency_iso_code{drop}){cols}, {cur} AS currency_iso_code{made} "
+                f"FROM ({out[base]}) b CROSS JOIN lim {joins} {extra}")
 
     entity = "CASE e.n_regionkey WHEN 0 THEN 'USD' WHEN 1 THEN 'EUR' ELSE 'GBP' END"
     gold |= {
         "ref_fx_rates_timeseries": _CUBE + f" SELECT {audit('ref_fx_rates_timeseries')}, * FROM cube",
-        "dim_invoice": in_usd("dim_invoice", "invoice", "amt_total", "dte_posted", "LEFT JOIN nation e ON b.key_entity = CAST(e.n_nationkey AS STRING)",
-                              f", 'R' || CAST(e.n_nationkey AS STRING) AS key_entity_record, e.n_name AS entity_name, CASE WHEN e.n_nationkey IS NOT NULL THEN {entity} END AS currency_code_entity"),
-        "dim_sales_purchase_order": in_usd("dim_sales_purchase_order", "sales_purchase_order", "amt_po", "dte_received", f"{acc} {account_place} {opp}",
-                                           ", a.name AS account_name, o.name AS opportunity_name" + state_cols + loc_cols),
+        "dim_invoice": converted(
+            "dim_invoice", "invoice", ("amt_total", "amt_total_due", "amt_total_paid"), "coalesce(b.dte_exch_rate, b.dte_posted)",
+            "LEFT JOIN nation e ON b.key_entity = CAST(e.n_nationkey AS STRING)",
+            f", 'R' || CAST(e.n_nationkey AS STRING) AS key_entity_record, e.n_name AS entity_name, CASE WHEN e.n_nationkey IS NOT NULL THEN {entity} END AS currency_code_entity, "
+            "coalesce(b.dte_exch_rate, b.dte_posted) AS dte_exch_rate, coalesce(b.amt_total, 0) AS amt_total, coalesce(b.amt_total_due, 0) AS amt_total_due, coalesce(b.amt_total_paid, 0) AS amt_total_paid",
+            {"usd": "'USD'"}, ", dte_exch_rate, amt_total, amt_total_due, amt_total_paid", "coalesce(b.{0}, 0)"),
+        "dim_sales_purchase_order": converted(
+            "dim_sales_purchase_order", "sales_purchase_order", ("amt_po",), "b.dte_received",
+            f"{acc} {account_place} {opp} LEFT JOIN nation l ON a.key_location = 'S' || CAST(l.n_nationkey AS STRING)",
+            ", a.name AS account_name, o.name AS opportunity_name, o.currency_iso_code AS currency_iso_code_opportunity, le.name AS entity_name, le.cur AS currency_iso_code_entity" + state_cols + loc_cols,
+            {"usd": "'USD'", "opportunity": "o.currency_iso_code", "entity": "le.cur"}).replace(
+                "ON a.key_location = 'S' || CAST(l.n_nationkey AS STRING)",
+                "ON a.key_location = 'S' || CAST(l.n_nationkey AS STRING) LEFT JOIN (SELECT n_nationkey AS id, n_name AS name, "
+                "CASE n_regionkey WHEN 0 THEN 'USD' WHEN 1 THEN 'EUR' ELSE 'GBP' END AS cur FROM nation) le ON le.id = l.n_regionkey"),
     }
     blank = lambda c: f"NULLIF({c}, '')"
     views = {
@@ -257,7 +276,7 @@ def _models() -> dict[str, str]:
         "vw_finance_gl_accounts": f"SELECT recordno AS key, accountno AS account_no, title, {blank('category')} AS category, coalesce(requiredept, FALSE) AS bln_require_department "
                                   f"FROM ({RAW_TABLES['sage_intacct_gl.gl_account']}) r",
         "vw_finance_locations": f"SELECT recordno AS key, locationid AS location_id, parentkey AS key_parent, name, {blank('status')} AS status, "
-                                f"CASE status WHEN 'active' THEN 'Active' ELSE 'Inactive' END AS status_name FROM ({RAW_TABLES[i + 'location']}) r",
+                                f"CASE locationtype WHEN 'C' THEN 'Location' WHEN 'E' THEN 'Entity' WHEN 'N' THEN 'Non-Active' END AS location_type FROM ({RAW_TABLES[i + 'location']}) r",
         "vw_phase_code_products": f"SELECT id AS key, name AS family_name FROM ({RAW_TABLES['psatools.phase_code_families']}) r",
         "vw_phase_code_products_links": f"SELECT l.* EXCLUDE (_fivetran_deleted), a.c_name AS creator_name, b.c_name AS verifier_name FROM ({RAW_TABLES['psatools.standard_phase_codes_product_links']}) l "
                                         "LEFT JOIN customer a ON a.c_custkey = l.created_by LEFT JOIN customer b ON b.c_custkey = l.verified_by",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DecimalType, LongType, StructField, StructType
@@ -39,7 +39,7 @@ def seed_lookup(t: Tables):
     SELECT src_sys_key, key, link, name, nation_id, CAST(amt_balance AS DOUBLE) AS amt_balance, segment
     FROM party_stack""")
 def table_roundtrip(t: Tables):
-    root = t.spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="silverloom-tables-")
+    root = f"{tables.shared_root(t.spark)}/roundtrip-{uuid.uuid4().hex}"
     return tables.write_table(t("party_stack"), root, "consolidation", "party", ["src_sys_key"], ["key"])
 
 

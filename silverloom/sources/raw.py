@@ -17,7 +17,7 @@ def _text(prefix: str, c: str) -> str:
 _PORTAL_DIM = f"""
     SELECT n_nationkey AS id, {_text('R', 'n_nationkey')} AS record_id, CAST(n_nationkey AS STRING) AS ukg_id,
            {_text('D', 'n_nationkey')} AS intacct_id, {_text('S', 'n_nationkey')} AS salesforce_id, n_name AS display_name,
-           n_regionkey AS region_id, n_regionkey AS continent_id, n_regionkey AS location_id, n_regionkey AS country_id,
+           n_regionkey AS region_id, n_regionkey AS entity_id, n_regionkey AS continent_id, n_regionkey AS location_id, n_regionkey AS country_id,
            n_regionkey AS practice_id, n_regionkey AS family_id, CASE n_regionkey WHEN 0 THEN 'USD' WHEN 1 THEN 'EUR' ELSE 'GBP' END AS currency_id,
            40 AS work_hours_per_week, n_regionkey AS regional_manager_user_id, {LIVE} FROM nation"""
 
@@ -102,7 +102,7 @@ RAW_TABLES |= {
     "ukg_pro.payroll_deduction_history": f"""SELECT {_LINE} AS _fivetran_id, CAST(o_custkey AS STRING) AS employee_id, CAST(c_nationkey AS STRING) AS company_id, CAST(price * 0.1 AS DECIMAL(18,2)) AS employee_amount,
         CAST(price * 0.2 AS DECIMAL(18,2)) AS employer_amount, CAST(l_shipdate AS DATE) AS pay_date, CASE WHEN flag = 'A' THEN 'Y' ELSE 'N' END AS is_cafeteria_plan, CASE WHEN l_linestatus = 'O' THEN 'Y' ELSE 'N' END AS is_voided, {LIVE} FROM {_ONE_LINE}""",
     # ---- accounting system
-    "sage_intacct.location": f"SELECT n_nationkey AS recordno, {_text('D', 'n_nationkey')} AS locationid, n_regionkey AS parentkey, n_name AS name, CASE WHEN n_regionkey > 2 THEN 'active' ELSE '' END AS status, {LIVE} FROM nation",
+    "sage_intacct.location": f"SELECT n_nationkey AS recordno, {_text('D', 'n_nationkey')} AS locationid, n_regionkey AS parentkey, n_name AS name, CASE WHEN n_regionkey > 2 THEN 'active' ELSE '' END AS status, CASE n_regionkey WHEN 0 THEN 'C' WHEN 1 THEN 'E' WHEN 2 THEN 'N' ELSE '' END AS locationtype, {LIVE} FROM nation",
     "sage_intacct.department": f"SELECT n_nationkey AS recordno, {_text('D', 'n_nationkey')} AS departmentid, n_name AS title, {LIVE} FROM nation",
     "sage_intacct.item": f"SELECT p_partkey AS recordno, {_text('I', 'p_partkey')} AS itemid, p_name AS name, {LIVE} FROM part",
     "sage_intacct.task": f"SELECT p_partkey AS recordno, {_text('T', 'p_partkey')} AS taskid, p_partkey AS projectkey, p_name AS name, {_text('M', 'p_partkey')} AS sfdc_milestone_id, TIMESTAMP '2000-01-01 00:00:00' AS whencreated, {LIVE} FROM part",
@@ -121,8 +121,12 @@ RAW_TABLES |= {
         {_LINE} AS salesforce_id, l_shipdate AS whenmodified, {LIVE} FROM {_ONE_LINE}""",
     "sage_intacct.ap_bill": _int_header("c_nationkey AS entitykey"),
     "sage_intacct.cc_transaction": _int_header("c_nationkey AS entitykey"),
-    "sage_intacct.eexpenses": _int_header("CAST(o_orderkey AS STRING) AS sfdc_expense_id"),
-    "sage_intacct.ar_invoice": _int_header("CASE WHEN o_orderstatus = 'F' THEN '' ELSE o_orderpriority END AS description", "c_nationkey AS megaentitykey"),
+    "sage_intacct.eexpenses": _int_header(f"CASE WHEN o_orderstatus <> 'P' THEN {_text('ER', 'o_orderkey')} END AS psa_id"),
+    "sage_intacct.ar_invoice": _int_header(
+        "CASE WHEN o_orderstatus = 'F' THEN '' ELSE o_orderpriority END AS description", "c_nationkey AS megaentitykey",
+        "CASE WHEN o_orderstatus = 'F' THEN CAST(CAST(o_totalprice AS DECIMAL(18,2)) * 0.25 AS DECIMAL(18,2)) END AS totaldue",
+        "CAST(CAST(o_totalprice AS DECIMAL(18,2)) * 0.75 AS DECIMAL(18,2)) AS totalpaid",
+        "CASE WHEN o_orderstatus <> 'F' THEN @plus(CAST(o_orderdate AS DATE), 9) END AS exch_rate_date"),
     "sage_intacct.ap_bill_item": _int_line(),
     "sage_intacct.cc_transaction_entry": _int_line(),
     "sage_intacct.eexpenses_item": _int_line(f"{_LINE} AS sfdc_expense_item_id", "currency AS org_currency").replace("currency AS org_currency", f"{_CUR} AS org_currency"),
@@ -130,7 +134,7 @@ RAW_TABLES |= {
     "sage_intacct_gl.gl_account": f"SELECT p_partkey AS recordno, {_text('GL', 'p_partkey')} AS accountno, p_name AS title, CASE WHEN p_size < 10 THEN '' ELSE p_type END AS category, CAST(NULL AS BOOLEAN) AS requiredept, {LIVE} FROM part",
     # ---- CRM
     "salesforce.contact": f"SELECT {_text('C', 'c_custkey')} AS id, {_text('U', 'c_custkey')} AS user_c, CAST(c_custkey AS STRING) AS ukg_employee_id_c, {_text('A', 'c_custkey')} AS account_id, c_name AS name, c_mktsegment AS first_name, c_name AS last_name, {_text('S', 'c_nationkey')} AS practice_c, c_name || '@example.com' AS email, {_SF_PARTY} FROM customer",
-    "salesforce.user": f"SELECT {_text('U', 'c_custkey')} AS id, {_text('C', 'c_custkey')} AS contact_id, CAST(c_custkey AS STRING) AS ukg_employee_id_c, c_name AS name, c_name || '@example.com' AS email, (c_acctbal > 0) AS is_active, {_SF_PARTY} FROM customer",
+    "salesforce.user": f"SELECT {_text('U', 'c_custkey')} AS id, {_text('C', 'c_custkey')} AS contact_id, CAST(c_custkey - c_custkey % 2 AS STRING) AS ukg_employee_id_c, CASE WHEN c_custkey % 4 = 0 THEN {_text('U', 'c_custkey + 1')} END AS delegated_approver_id, c_name AS name, c_name || '@example.com' AS email, (c_acctbal > 0) AS is_active, {_SF_PARTY} FROM customer",
     "salesforce.account": f"""SELECT {_text('A', 'c_custkey')} AS id, CASE WHEN c_custkey >= 4 THEN 'A' || CAST(CAST(floor(c_custkey / 4.0) AS BIGINT) AS STRING) END AS parent_id, c_name AS name, CASE WHEN c_mktsegment = 'BUILDING' THEN 'A' END AS grade_c,
         CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN 'N30' END AS payment_terms_c, {_text('U', 'c_custkey')} AS owner_id, {_text('C', 'c_custkey')} AS client_manager_c, CAST(c_nationkey AS STRING) || '-' || substring(c_name, 16) AS billing_postal_code,
         {_text('S', 'c_nationkey')} AS billing_country_code, {_text('S', 'c_nationkey')} AS billing_state_code, {_text('S', 'c_nationkey')} AS location_c, {_text('S', 'c_nationkey')} AS practice_c, {_text('RS', 'c_nationkey')} AS rate_card_set_c, CAST(c_acctbal AS DECIMAL(18,2)) AS annual_revenue, {_SF_PARTY} FROM customer""",
@@ -153,9 +157,9 @@ RAW_TABLES |= {
     "salesforce.pse_practice_c": f"SELECT {_text('S', 'n_nationkey')} AS id, n_name AS name, {_SF_PARTY} FROM nation",
     "salesforce.pse_grp_c": f"SELECT {_text('S', 'n_nationkey')} AS id, n_name AS name, {_SF_PARTY} FROM nation",
     "salesforce.pse_milestone_c": f"SELECT {_text('M', 'p_partkey')} AS id, {_text('SP', 'p_partkey')} AS pse_project_c, {_text('U', 'p_partkey')} AS pse_approver_c, {_text('S', 'p_size % 25')} AS practice_area_c, p_name AS name, {_SF_PARTY} FROM part",
-    "salesforce.pse_project_task_c": f"""SELECT {_text('PT', 'p_partkey')} AS id, {_text('M', 'p_partkey')} AS pse_milestone_c, {_text('SP', 'p_partkey')} AS pse_project_c, {_text('Q', 'p_partkey')} AS proposal_c, {_text('U', 'p_partkey')} AS owner_id, TRUE AS is_project_task_c, p_name AS name,
+    "salesforce.pse_project_task_c": f"""SELECT {_text('PT', 'p_partkey')} AS id, {_text('M', 'p_partkey')} AS pse_milestone_c, {_text('SP', 'p_partkey')} AS pse_project_c, {_text('Q', 'p_partkey')} AS proposal_c, {_text('U', 'p_partkey')} AS owner_id, (p_size % 3 <> 0) AS is_project_task_c, p_name AS name,
         CAST(p_retailprice AS DECIMAL(18,2)) AS original_proposal_budget_c, CAST(p_size - 1 AS DECIMAL(18,2)) AS original_proposal_hrs_or_units_c, {_SF_PARTY} FROM part""",
-    "salesforce.project_task_milestone_c": f"SELECT {_text('PM', 'p_partkey')} AS id, {_text('PT', 'p_partkey')} AS project_task_c, {_text('M', 'p_partkey')} AS phase_code_c, {_text('SP', 'p_partkey')} AS project_c, CAST(p_retailprice AS DECIMAL(18,2)) AS earned_value_c, DATE '2024-01-10' AS milestone_date_c, {_SF_PARTY} FROM part",
+    "salesforce.project_task_milestone_c": f"SELECT {_text('PM', 'p_partkey')} AS id, {_text('PT', 'p_partkey')} AS project_task_c, {_text('M', 'p_partkey')} AS phase_code_c, {_text('SP', 'p_partkey')} AS project_c, CAST(p_retailprice AS DECIMAL(18,2)) AS earned_value_c, CASE WHEN p_size % 2 = 0 THEN 'EUR' ELSE '' END AS currency_iso_code, DATE '2024-01-10' AS milestone_date_c, {_SF_PARTY} FROM part",
     "salesforce.pse_timecard_header_c": f"SELECT {_text('TH', 'o_orderkey')} AS id, {_text('C', 'o_custkey')} AS pse_resource_c, CAST(o_custkey AS STRING) || ':' || CAST(CAST(o_orderdate AS DATE) AS STRING) AS link, CAST(o_orderdate AS DATE) AS pse_start_date_c, o_orderstatus AS pse_status_c, 'CA' AS state_worked_c, {_SF_ORDER} FROM orders",
     "salesforce.pse_task_time_c": f"""SELECT {_text('TT', 'l_orderkey')} AS id, {_text('TH', 'l_orderkey')} AS pse_timecard_c, {_text('PT', 'min(l_partkey)')} AS pse_project_task_c, CAST(min(l_shipdate) AS DATE) AS pse_start_date_c,
         CAST(sum(CASE l_linenumber WHEN 1 THEN l_quantity END) AS DECIMAL(18,2)) AS pse_sunday_hours_c, CAST(sum(CASE l_linenumber WHEN 2 THEN l_quantity END) AS DECIMAL(18,2)) AS pse_monday_hours_c, CAST(sum(CASE l_linenumber WHEN 3 THEN l_quantity END) AS DECIMAL(18,2)) AS pse_tuesday_hours_c,

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import MapType, StructType, VariantType
 
 
 def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -42,7 +44,9 @@ def write_table(
     ``partition_by`` suits low-cardinality tags such as the source system: slices then prune folders. ``sort_by``
     orders rows inside each task only, which gives tight row-group statistics without a global sort.
     """
-    out = df.sortWithinPartitions(*sort_by) if sort_by else df
+    # each folder's rows are gathered into files of even size first; a large one is split over tasks
+    out = df.hint("rebalance", *partition_by) if partition_by else df
+    out = out.sortWithinPartitions(*sort_by) if sort_by else out
     writer = out.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -58,13 +62,30 @@ def publish_view(df: DataFrame, alias: str) -> DataFrame:
     return df.sparkSession.table(alias)
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the cluster's shared checkpoint folder; set an own one only where none is configured."""
+_OWN_FOLDERS: dict[str, str] = {}
+
+
+def shared_root(spark: SparkSession) -> str:
+    """The folder that driver and executors share: what ``spark.checkpoint.dir`` names.
+
+    Where it is unset, a local session (one process) gets a temporary folder of its own; on a cluster that would leave
+    every executor with its own files, so there it is an error.
+    """
     sc = spark.sparkContext
-    if sc.getCheckpointDir():
-        return
     folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
-    sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="silverloom-checkpoint-"))
+    if folder:
+        return folder.rstrip("/")
+    if not re.match(r"local(\[|$)", sc.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    if sc.applicationId not in _OWN_FOLDERS:
+        _OWN_FOLDERS[sc.applicationId] = tempfile.mkdtemp(prefix="silverloom-")
+    return _OWN_FOLDERS[sc.applicationId]
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> None:
+    """Use the shared folder for checkpoints, unless the session has one set."""
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(shared_root(spark))
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -73,12 +94,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def bounded(df: DataFrame, max_rows: int = 100_000, stored: bool = False) -> DataFrame:
-    """A lookup table that is broadcast only if its rows have been counted and are at most ``max_rows``.
+def spread_lookup(df: DataFrame, lookup: DataFrame, on: Sequence[str], salts: int = 16) -> DataFrame:
+    """Left join with a lookup table whose few keys may each hold a large share of the rows.
 
-    The table is checkpointed first (not if it is ``stored`` already), so counting and joining do not compute it twice.
-    Beyond the bound it comes back without a hint: Spark then shuffles both sides and AQE splits hot partitions.
+    Rows are dealt by key and one of ``salts`` numbers, the lookup's rows once for each number, so no key meets in one
+    task. Where Spark finds the lookup small enough to broadcast, it does so and nothing is dealt. The lookup has one row
+    per key; null keys match nothing and are spread as well.
     """
-    table = df if stored else cut_lineage(df)
-    few = table.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(table) if few else table
+    many = lookup.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    salted = df.withColumn("__salt", F.pmod(F.xxhash64(*[F.col(c) for c in df.columns if _hashable(df, c)]), F.lit(salts)).cast("int"))
+    return salted.join(many, [*on, "__salt"], "left").drop("__salt")
+
+
+def _hashable(df: DataFrame, name: str) -> bool:
+    return not isinstance(df.schema[name].dataType, (MapType, VariantType))
