@@ -3,9 +3,8 @@
 Equal sets are one class from the start. Documents whose MinHash bands meet are candidates; their odd sketches (the
 samples folded into a parity bitmap, whose differing bits estimate how many samples differ) settle which are compared in
 full. First every band group's members are compared with its smallest document. What these links leave apart is compared in
-further rounds: each member with the best-estimated members of other components, four times as many in each round, until no
-candidate pair in different components is left uncompared. So the components are those of all pairs, though a group of
-many copies never spells out its pairs.
+two further rounds: each stray with the best-estimated members of other components, then with all candidates that are still
+in other ones. So the components are those of all pairs, though a group of many copies never spells out its pairs.
 """
 
 from __future__ import annotations
@@ -24,6 +23,7 @@ from silverloom.llm.storage import stored
 BANDS, ROWS = 25, 5
 SKETCH_BITS = 1024
 SLACK = 0.12  # a sketch may underestimate by this much; about four standard deviations at 0.85
+BEST = 4  # members of other components that a stray is compared with at first
 BLOCK = 1_000  # members of a band group that one task compares with as many others
 CACHED_WORDS = 300_000
 
@@ -210,8 +210,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
     classes = stored(
         signed.filter("same IS NOT NULL").groupBy("same").agg(F.min(F.struct("doc_id", "bands", "sketch")).alias("m"))
         .select("same", "m.doc_id", "m.bands", "m.sketch"))
-    linked = _class_links(classes, texts, size, percent)
-    found = components(linked)
+    found = _class_components(classes, texts, size, percent)
     of_class = classes.select("same", "doc_id").join(found.select(F.col("id").alias("doc_id"), "component"), "doc_id", "left").select(
         F.expr("concat(same, X'')").alias("same"), F.coalesce("component", "doc_id").alias("component"))
     return (
@@ -221,8 +220,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
     )
 
 
-def _class_links(classes: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """Confirmed links between classes that give the same components as all of them."""
+def _class_components(classes: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """(id, component) of the classes that have links; components as all confirmed candidate pairs give them."""
     most = most_differing(percent / 100)
     banded = classes.select("doc_id", F.explode("bands").alias("key"))
     least = banded.groupBy("key").agg(F.min("doc_id").alias("a"), F.count(F.lit(1)).alias("n")).filter("n > 1")
@@ -238,29 +237,22 @@ def _class_links(classes: DataFrame, texts: DataFrame, size: int, percent: int)
     )
     tried = stored(pairs)
     links = stored(confirmed(tried, texts, size, percent))
-    top = 1
-    while True:
+    # a look at the best first joins most of what belongs together; then all pairs that are still apart are compared
+    for top in (BEST, BLOCK):
         found = components(links)
-        label = found.select(F.col("id"), "component")
         members = (
-            grouped.filter("n > 2").join(label.withColumnRenamed("id", "doc_id"), "doc_id", "left")
+            grouped.filter("n > 2").join(found.withColumnRenamed("id", "doc_id"), "doc_id", "left")
             .withColumn("component", F.coalesce("component", "doc_id"))
         )
         # a stray is not in the component of its group's smallest document; every pair across components has one
         first = members.filter("doc_id = a").select(F.expr("key ^ 0L").alias("key"), F.col("component").alias("main"))
         strays = stored(members.join(first, "key").filter("component <> main").select("key", "doc_id", "component"))
         if strays.isEmpty():
-            return links
+            return found
         among = members.join(strays.select("key").distinct().select(F.expr("key ^ 0L").alias("key")), "key", "left_semi")
         fresh = stored(_across(
             strays.join(sketches, "doc_id"), among.select("key", "doc_id", "component").join(sketches, "doc_id"), most, top,
         ).join(tried, ["a", "b"], "left_anti"))
-        if fresh.isEmpty():
-            # nothing new among the best ``top``; more may lie behind pairs that have been compared
-            if top >= BLOCK:
-                return links
-            top = BLOCK
-            continue
         tried = tried.unionByName(fresh)
         links = stored(links.unionByName(confirmed(fresh, texts, size, percent)))
-        top = min(4 * top, BLOCK)
+    return components(links)
