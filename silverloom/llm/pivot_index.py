@@ -20,6 +20,7 @@ from silverloom.llm.storage import stored
 
 PER_PIVOT = 50  # classes to a reference point
 MIN_PIVOTS, MAX_PIVOTS = 32, 8_192  # the upper bound holds what is sent to every task at 8192 vectors
+APART = 0.8  # cosine below which two reference points stay
 NEAREST = 8  # reference points that describe a vector
 LISTS = 4  # of them, whose lists hold it
 SHARED = 2  # that a candidate pair has in common at least
@@ -43,16 +44,26 @@ def _unit(x: np.ndarray) -> np.ndarray:
 
 
 def pivots(classes: DataFrame) -> dict[int, np.ndarray]:
-    """Reference points by dimension: a hash-picked sample of the classes, one to PER_PIVOT of them within the bounds."""
+    """Reference points by dimension: a hash-picked sample of the classes, one to PER_PIVOT of them within the bounds, of
+    which no two are close."""
     counts = {r["width"]: r["n"] for r in classes.groupBy("width").agg(F.count(F.lit(1)).alias("n")).collect()}
     out = {}
     for width, n in counts.items():
         take = min(max(-(-n // PER_PIVOT), MIN_PIVOTS), MAX_PIVOTS)
         picked = classes.filter(F.col("width") == width).orderBy(F.xxhash64("vector", F.lit(13)), "cid").limit(take).select("vector").collect()
-        out[width] = _unit(np.array([r["vector"] for r in picked], dtype=np.float64))
+        out[width] = _spread(_unit(np.array([r["vector"] for r in picked], dtype=np.float64)))
     return out
 
 
+def _spread(points: np.ndarray) -> np.ndarray:
+    """The points without those close to an earlier one: several in one dense group would tell its members apart by chance."""
+    keep = [0]
+    for k in range(1, len(points)):
+        if (points[keep] @ points[k]).max() < APART:
+            keep.append(k)
+    return points[keep]
+
+
 def _filed(classes: DataFrame, reference: dict[int, np.ndarray]) -> DataFrame:
     """(width, pivot, cid, n, near, unit): a row for each list that a class is filed under."""
     shared = classes.sparkSession.sparkContext.broadcast(reference)
