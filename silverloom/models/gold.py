@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from silverloom.functions.keys import composite_key, first_non_null
 from silverloom.functions.money import convert, neutralise, rate_or_derived, threshold_convert, totals
-from silverloom.functions.text import clean_postal, label, norm_currency, norm_postal, proper_case
+from silverloom.functions.text import blank_to_null, clean_postal, label, norm_currency, norm_postal, proper_case
 from silverloom.models.core import Warehouse, audited, look, model
 from silverloom.operators import filters, fx, hierarchy, joins, reporting, rollup
 from silverloom.operators.calendar import GRAIN_NAMES
@@ -501,7 +501,7 @@ def dim_project_task_milestone(w: Warehouse) -> DataFrame:
         out = out.withColumn(f"{role}_by_name", first_non_null(f"__d_{role}", f"__u_{role}")).drop(f"__d_{role}", f"__u_{role}")
     out = as_money(out.withColumnRenamed("earned_value", "earned_value_original"), ["earned_value_original"]).withColumns(
         {"project_currency": norm_currency("project_currency"), "__day": F.coalesce("dte_milestone", "__start"), "earned_value": F.col("earned_value_original")})
-    out = out.withColumn("currency_original", norm_currency(first_non_null(own, "project_currency")))
+    out = out.withColumn("currency_original", norm_currency(first_non_null(blank_to_null(own), "project_currency")))
     return money_in(out, w, ["earned_value"], "currency_original", {"project": "project_currency", "usd": F.lit("USD")}, "__day").drop("__day", "__start", "earned_value")
 
 

@@ -269,6 +269,58 @@ def _models() -> dict[str, str]:
                 "ON a.key_location = 'S' || CAST(l.n_nationkey AS STRING) LEFT JOIN (SELECT n_nationkey AS id, n_name AS name, "
                 "CASE n_regionkey WHEN 0 THEN 'USD' WHEN 1 THEN 'EUR' ELSE 'GBP' END AS cur FROM nation) le ON le.id = l.n_regionkey"),
     }
+    # people of payroll: names, own currency (pay, else company), and the entity their accounting location belongs to
+    nation_cur = "CASE n_regionkey WHEN 0 THEN 'USD' WHEN 1 THEN 'EUR' ELSE 'GBP' END"
+    payroll = (f"(SELECT CAST(c.c_custkey AS STRING) AS pkey, {who} || ' ' || c_name AS nm, c_name || ', ' || {who} AS lf, "
+               f"CASE c_mktsegment WHEN 'BUILDING' THEN {nation_cur.replace('n_regionkey', 'n.n_regionkey')} WHEN 'MACHINERY' THEN 'EUR' ELSE 'USD' END AS cur, "
+               "'R' || CAST(l.n_nationkey AS STRING) AS entity, l.n_name AS entity_name, "
+               f"{nation_cur.replace('n_regionkey', 'l.n_regionkey')} AS entity_cur "
+               "FROM customer c JOIN nation n ON n.n_nationkey = c.c_nationkey LEFT JOIN nation l ON l.n_nationkey = n.n_regionkey)")
+
+    def amounts_in(amounts: tuple[str, ...], frm: str, targets: dict[str, str], date: str) -> tuple[str, str]:
+        """Columns and joins of amounts in further currencies, by the cube at the rate of the date."""
+        made, joins = "", ""
+        for k, (suffix, to) in enumerate(targets.items()):
+            rate = f"CASE WHEN {frm} = {to} THEN 1.0 ELSE coalesce(x{k}.fx_rate_mul, 1.0) END"
+            made += f", {rate} AS fx_rate_{suffix}" + "".join(
+                f", CAST(CAST(CAST(b.{a} AS DECIMAL(18,2)) * CAST({rate} AS DECIMAL(20,14)) AS DECIMAL(18,2)) AS DOUBLE) AS {a}_{suffix}" for a in amounts)
+            joins += f" LEFT JOIN cube x{k} ON x{k}.frm_curr = {frm} AND x{k}.to_curr = {to} AND x{k}.date = greatest(least({date}, hi), lo)"
+        return made, joins
+
+    def pay_lines(model: str, base: str, amounts: tuple[str, ...]) -> str:
+        made, joins = amounts_in(amounts, "p.cur", {"entity": "p.entity_cur", "usd": "'USD'"}, "b.dte_pay")
+        return (_CUBE + f" SELECT {audit(model)}, b.* EXCLUDE ({GOLD_DROP}), p.entity AS key_entity, p.entity_name, p.entity_cur AS currency_code_entity, 'CO' || b.key_company AS company_code, "
+                f"n.n_name AS company_name, p.nm AS employee_name, p.lf AS employee_name_lf, p.cur AS currency_code{made} FROM ({out[base]}) b CROSS JOIN lim "
+                f"LEFT JOIN {payroll} p ON b.key_employee = p.pkey LEFT JOIN nation n ON CAST(n.n_nationkey AS STRING) = b.key_company {joins}")
+
+    line_made, line_joins = amounts_in(("amt_trx",), cur, {"usd": "'USD'", "entity": "le.cur"}, "coalesce(v.dte_exch_rate, v.dte_posted)")
+    line_usd = f"CASE WHEN {cur} = 'USD' THEN 1.0 ELSE coalesce(x0.fx_rate_mul, 1.0) END"
+    stone = "upper(coalesce(NULLIF(b.currency_iso_code, ''), NULLIF(j.cur, ''), 'USD'))"
+    stone_made, stone_joins = amounts_in(("earned_value",), stone, {"project": "upper(coalesce(NULLIF(j.cur, ''), 'USD'))", "usd": "'USD'"}, "coalesce(b.dte_milestone, j.start)")
+    gold |= {
+        "dim_employee_earning": pay_lines("dim_employee_earning", "employee_earning", ("amt_base", "amt_current")),
+        "dim_employee_payroll_deductions": pay_lines("dim_employee_payroll_deductions", "employee_payroll_deductions", ("amt_employee", "amt_employer")),
+        "dim_invoice_item": _CUBE + f" SELECT {audit('dim_invoice_item')}, b.* EXCLUDE ({GOLD_DROP}, currency_iso_code), {cur} AS currency_iso_code, v.recordid AS invoice_record, v.key_entity AS invoice_entity, "
+            "coalesce(v.dte_exch_rate, v.dte_posted) AS dte_invoice, le.cur AS currency_code_entity, le.name AS entity_name, d.n_name AS department_name, o.n_name AS location_name, "
+            f"p.p_name AS project_name, 'P' || CAST(p.p_partkey AS STRING) AS project_id, c.c_name AS employee_name{line_made}, b.amt AS amt_entity, "
+            f"CAST(CAST(CAST(b.amt AS DECIMAL(18,2)) * CAST({line_usd} AS DECIMAL(20,14)) AS DECIMAL(18,2)) AS DOUBLE) AS amt_usd "
+            f"FROM ({out['invoice_item']}) b CROSS JOIN lim LEFT JOIN ({out['invoice']}) v ON b.key_invoice = v.key "
+            f"LEFT JOIN (SELECT CAST(n_nationkey AS STRING) AS id, n_name AS name, {nation_cur} AS cur FROM nation) le ON le.id = v.key_entity "
+            "LEFT JOIN nation d ON b.department_id = 'D' || CAST(d.n_nationkey AS STRING) LEFT JOIN nation o ON b.location_id = 'D' || CAST(o.n_nationkey AS STRING) "
+            f"LEFT JOIN part p ON b.key_project = CAST(p.p_partkey AS STRING) LEFT JOIN customer c ON b.key_employee = CAST(c.c_custkey AS STRING) {line_joins}",
+        "dim_project_task_milestone": _CUBE + f" SELECT {audit('dim_project_task_milestone')}, b.* EXCLUDE ({GOLD_DROP}, earned_value), b.earned_value AS earned_value_original, j.name AS project_name, "
+            "upper(coalesce(NULLIF(j.cur, ''), 'USD')) AS project_currency, m.name AS phase_code_name, t.name AS task_name, coalesce(f.nm, fu.name) AS created_by_name, coalesce(g.nm, gu.name) AS modified_by_name, "
+            f"{stone} AS currency_original{stone_made} FROM ({out['project_task_milestone']}) b CROSS JOIN lim "
+            "LEFT JOIN (SELECT 'SP' || CAST(p_partkey AS STRING) AS sk, p_name AS name, CASE p_type WHEN 'ECONOMY' THEN 'EUR' WHEN 'SMALL' THEN 'GBP' ELSE 'USD' END AS cur, DATE '2000-01-03' AS start FROM part) j ON j.sk = b.key_project "
+            f"LEFT JOIN ({RAW_TABLES[s + 'pse_milestone_c']}) m ON m.id = b.key_milestone LEFT JOIN ({out['project_task']}) t ON t.key = b.key_project_task "
+            f"LEFT JOIN {person} f ON f.sfc_user_id = b.src_created_by_id LEFT JOIN {person} g ON g.sfc_user_id = b.src_modified_by_id "
+            f"LEFT JOIN ({out['sales_user']}) fu ON fu.key = b.src_created_by_id LEFT JOIN ({out['sales_user']}) gu ON gu.key = b.src_modified_by_id {stone_joins}",
+        "dim_timesheet": f"SELECT {audit('dim_timesheet')}, b.* EXCLUDE ({GOLD_DROP}, employee_name), b.employee_id AS employee_id_intacct, 'R' || CAST(d.n_nationkey AS STRING) AS key_department, d.n_name AS department_name, "
+            "'R' || CAST(o.n_nationkey AS STRING) AS key_location, o.n_name AS location_name, 'R' || CAST(r.n_nationkey AS STRING) AS key_entity_record, r.n_name AS entity_name, "
+            f"{nation_cur.replace('n_regionkey', 'r.n_regionkey')} AS currency_code_entity, p.pkey AS key_employee_ukg, p.nm AS employee_name, p.lf AS employee_name_lf "
+            f"FROM ({out['timesheet']}) b LEFT JOIN nation d ON b.employee_department_id = 'D' || CAST(d.n_nationkey AS STRING) LEFT JOIN nation o ON b.employee_location_id = 'D' || CAST(o.n_nationkey AS STRING) "
+            f"LEFT JOIN nation r ON r.n_nationkey = o.n_regionkey LEFT JOIN {person} p ON b.employee_id = 'E' || p.pkey WHERE b.src_sys_key = 'int'",
+    }
     blank = lambda c: f"NULLIF({c}, '')"
     views = {
         "vw_finance_customers": f"SELECT recordno AS key, {blank('customerid')} AS customer_id, {blank('name')} AS name, {blank('comments')} AS comments, "
