@@ -26,7 +26,17 @@ PAGES = (
     # nothing but paragraphs
     f"""<html><body><p data-y="1">{_LONG}</p><p data-y="1">{_SHORT}</p><p data-y="1">{_MID}</p></body></html>""",
     f"""<body><h1 data-y="1">Title</h1><p data-y="1">{_MID}</p><ul data-y="1"><li>{_MID}</li><li>{_SHORT}</li></ul><footer><p>{_MID}</p></footer></body>""",
-    # articles of one line
+    # articles of one block, or of bare text
+    f"""<html><body><nav><ul><li><a>Home</a></li></ul></nav><article data-y="1"><p>{_SHORT}</p></article><div class="ad">{_SHORT}</div>
+    <section class="comments"><article class="comment"><p>{_SHORT}</p></article></section><aside class="sidebar"><p>{_SHORT}</p></aside></body></html>""",
+    f"""<html><body><header><p>{_SHORT}</p></header><div class="cookie notice">{_MID}</div><article data-y="1"><p>{_MID}</p></article><footer>{_SHORT}</footer></body></html>""",
+    f"""<html><body><div class="menu">{_SHORT}</div><article data-y="1">{_LONG}</article><footer>{_SHORT}</footer></body></html>""",
+    f"""<html><body><article data-y="1"><div><div><div>{_SHORT}</div></div></div></article><div><div class="sponsored">{_MID}</div></div></body></html>""",
+    f"""<html><body><nav>{_SHORT}</nav><article data-y="1"><ul><li>{_SHORT}</li></ul><ol><li>{_MID}</li></ol><dl><dt>{_SHORT}</dt><dd>{_SHORT}</dd></dl>
+    <table><thead><tr><th>{_SHORT}</th></tr></thead><tbody><tr><td>{_MID}</td></tr></tbody></table><h4>{_SHORT}</h4><h5>{_SHORT}</h5><h6>{_SHORT}</h6></article></body></html>""",
+    f"""<html><body><article data-y="1">{"<div>" * 10}{_SHORT}{"</div>" * 10}<p>{_MID}</p></article></body></html>""",
+    f"""<html><body><div><div><article data-y="1">{"<div>" * 6}<p>{_SHORT}</p>{"</div>" * 6}</article></div></div></body></html>""",
+    # articles of a heading and a line
     f"""<html><body><nav><ul><li><a>Home</a></li></ul></nav><div class="ad">{_LONG}</div><article data-y="1"><h1>Title</h1><p>{_SHORT}</p></article>
     <footer>{_LONG}</footer></body></html>""",
     f"""<html><body><article data-y="1"><div><section><p>{_MID}</p><div>{_SHORT}</div></section></div><footer data-y="0">{_SHORT}</footer>

