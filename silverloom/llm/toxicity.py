@@ -19,12 +19,14 @@ from pyspark.sql import functions as F
 from silverloom.llm.folds import sampled_labels
 
 SAMPLE = 8_000  # labelled rows learned from, at most
+FOLDS = 5
 WORDS = 8  # words in a window
 OWN = 2_000  # letters of a dictionary, at most
 GRAM = 5  # letters of the word parts whose texts are counted
-LEAST, ODDS = 0.01, 20  # a part tells from that share of a class's texts on, and if it is so much oftener there
-STRONG = 0.2  # of the most telling part's weight, for a part to count: what one group of copies repeats has less
-STEM = 0.8  # of the texts with a word's most frequent telling part, for a part to be joined to it
+OFTEN = 4
+LEAST, ODDS = 0.01, 10  # a part tells from that number to a class's texts on, and if it is so much oftener there
+STRONG = 0.1  # of the most telling part's weight, for a part to count: what one group of copies repeats has less
+STEM = 0.8  # of the number of a word's most frequent telling part, for a part to be joined to it
 MATCH = 6  # bytes of the shortest match
 MAX_CHARS = 100_000  # of a text that is learned from
 
@@ -76,30 +78,61 @@ def _grams(word: str) -> list[str]:
     return [padded[i:i + GRAM] for i in range(max(1, len(padded) - GRAM + 1))]
 
 
-def _telling(texts: list[set[str]], others: list[set[str]], size: int) -> list[bytes]:
-    """Parts of words that set the first texts apart from the others, most telling last, in at most ``size`` bytes.
-
-    A part of GRAM letters tells by how much oftener it stands in those texts than in the others, and by in how many it
-    stands; neighbouring parts of a word that
-    stand in about as many texts are joined, so a stem comes without its endings.
+def distinct(texts: list[str]) -> list[str]:
+    """The texts without those of whose windows a third or more stand in one before: copies would teach many times."""
+    seen: set[bytes] = set()
+    out = []
+    for text in texts:
+        some = set(windows(text))
+        if 3 * len(some & seen) < len(some) or not some:
+            out.append(text)
+        seen |= some
+    return out
+
+
+class Texts:
+    """The words of a class's texts by fold, and how often each part of GRAM letters stands there, in a text OFTEN times at
+    most."""
+
+    def __init__(self, texts: list[str]):
+        self.size = [len(texts[k::FOLDS]) for k in range(FOLDS)]
+        self.words: list[set[str]] = [set() for _ in range(FOLDS)]
+        self.parts: list[Counter] = [Counter() for _ in range(FOLDS)]
+        for k, text in enumerate(texts):
+            words = Counter(w for w in text.lower().split() if len(w.encode("utf-8", "replace")) <= 80)
+            counts: Counter = Counter()
+            for w, n in words.items():
+                for g in set(_grams(w)):
+                    counts[g] += n
+            self.words[k % FOLDS].update(words)
+            self.parts[k % FOLDS].update({g: min(n, OFTEN) for g, n in counts.items()})
+
+    def without(self, fold: int | None) -> tuple[int, set[str], Counter]:
+        """(texts, words, parts) of all folds but one."""
+        rest = [k for k in range(FOLDS) if k != fold]
+        counts: Counter = Counter()
+        for k in rest:
+            counts.update(self.parts[k])
+        return sum(self.size[k] for k in rest), set().union(*(self.words[k] for k in rest)), counts
+
+
+def _telling(mine: tuple[int, set[str], Counter], other: tuple[int, set[str], Counter], size: int) -> list[bytes]:
+    """Parts of words that set one class's texts apart from the other's, most telling last, in at most ``size`` bytes.
+
+    A part of GRAM letters tells by how much oftener it stands in those texts than in the others, and by how often it
+    stands; neighbouring parts of a word that stand about as often are joined, so a stem comes without its endings.
     """
-    def counted(some):
-        out = Counter()
-        for words in some:
-            out.update({g for w in words for g in _grams(w)})
-        return out
-
-    mine, theirs = counted(texts), counted(others)
-    weight = {
-        g: math.log((n + 0.5) / (len(texts) + 1) / ((theirs[g] + 0.5) / (len(others) + 1))) * math.sqrt(n)
-        for g, n in mine.items() if n >= max(3, LEAST * len(texts))}
+    n, words, counts = mine
+    m, _, others = other
+    odds = {g: (c + 0.5) / (n + 1) / ((others[g] + 0.5) / (m + 1)) for g, c in counts.items() if c >= max(3, LEAST * n)}
+    weight = {g: math.log(x) * math.sqrt(counts[g]) for g, x in odds.items() if x > ODDS}
     least = STRONG * max(weight.values(), default=0)
-    odd = {g for g in weight if weight[g] >= least and mine[g] / (len(texts) + 1) > ODDS * (theirs[g] + 0.5) / (len(others) + 1)}
+    odd = {g for g, w in weight.items() if w >= least}
     parts: dict[str, float] = {}
-    for word in {w for words in texts for w in words}:
+    for word in words:
         grams = _grams(word)
-        best = max((mine[g] for g in grams if g in odd), default=0)
-        at = [i for i, g in enumerate(grams) if g in odd and mine[g] >= STEM * best]
+        best = max((counts[g] for g in grams if g in odd), default=0)
+        at = [i for i, g in enumerate(grams) if g in odd and counts[g] >= STEM * best]
         while at:
             run = [at.pop(0)]
             while at and at[0] == run[-1] + 1:
@@ -115,12 +148,9 @@ def _telling(texts: list[set[str]], others: list[set[str]], size: int) -> list[b
     return out[::-1]
 
 
-def dictionaries(toxic: list[str], ordinary: list[str]) -> tuple[bytes, bytes]:
+def dictionaries(toxic: Texts, ordinary: Texts, without: int | None = None) -> tuple[bytes, bytes]:
     """Raw dictionary contents for the two classes, of equal length: what tells the class, most telling last."""
-    def words(text):
-        return {w for w in text.lower().split() if len(w.encode("utf-8", "replace")) <= 80}
-
-    a, b = [words(t) for t in toxic], [words(t) for t in ordinary]
+    a, b = toxic.without(without), ordinary.without(without)
     return _content(_telling(a, b, OWN)), _content(_telling(b, a, OWN))
 
 
@@ -145,33 +175,38 @@ def savings(text: str, sizes: tuple[Sizes, Sizes]) -> np.ndarray:
 
 
 def evidence(saved: np.ndarray, saving: float) -> np.ndarray:
-    """What the score is made of: a constant, how many windows count (damped), their share, the greatest saving."""
-    hits = int((saved >= saving).sum())
-    return np.array([1.0, math.log1p(hits), math.sqrt(hits / max(1, len(saved))), max(0, int(saved.max(initial=0))) / 8])
+    """What the score is made of: a constant; how many windows count and what they save, damped; the number of windows,
+    damped; the greatest saving."""
+    hits = saved[saved >= saving]
+    return np.array([1.0, math.log1p(len(hits)), math.log1p(float(hits.sum())), math.log1p(len(saved)), max(0, int(saved.max(initial=0))) / 8])
 
 
 def fit(toxic: list[str], ordinary: list[str]) -> Model:
-    """Half of the texts make the dictionaries, the other half set the threshold and the weights.
+    """Dictionaries of all texts; threshold and weights from what each fold's texts save with the other folds' dictionaries.
 
     Of the thresholds, that one is taken which tells the two classes apart best. With no text of a class every score is
     the other class's, by the constant alone.
     """
     if not toxic or not ordinary:
-        return Model(b" ", b" ", 1, (-5.0 if not toxic else 5.0, 0.0, 0.0, 0.0))
-    a, b = dictionaries(toxic[::2], ordinary[::2])
-    sizes = Sizes(a), Sizes(b)
-    rest = [(t, 1) for t in toxic[1::2] or toxic] + [(t, 0) for t in ordinary[1::2] or ordinary]
-    saved = [savings(t, sizes) for t, _ in rest]
-    y = np.array([label for _, label in rest], dtype=float)
+        return Model(b" ", b" ", 1, (-5.0 if not toxic else 5.0, 0.0, 0.0, 0.0, 0.0))
+    toxic, ordinary = distinct(toxic), distinct(ordinary)
+    a, b = Texts(toxic), Texts(ordinary)
+    saved, labels = [], []
+    for fold in range(FOLDS):
+        sizes = tuple(map(Sizes, dictionaries(a, b, fold)))
+        for texts, label in ((toxic[fold::FOLDS], 1.0), (ordinary[fold::FOLDS], 0.0)):
+            saved += [savings(t, sizes) for t in texts]
+            labels += [label] * len(texts)
+    y = np.array(labels)
     best = None
-    for saving in range(1, 25):
+    for saving in range(1, 13):
         x = np.array([evidence(s, saving) for s in saved])
         w = _logistic(x, y)
         p = np.clip(1 / (1 + np.exp(-x @ w)), 1e-9, 1 - 1e-9)
         loss = -(y * np.log(p) + (1 - y) * np.log(1 - p)).mean()
         if best is None or loss < best[0] - 1e-12:
             best = loss, saving, w
-    return Model(a, b, best[1], tuple(map(float, best[2])))
+    return Model(*dictionaries(a, b), best[1], tuple(map(float, best[2])))
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-4) -> np.ndarray:
