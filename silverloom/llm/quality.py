@@ -21,8 +21,8 @@ from silverloom.llm.folds import sampled_labels
 
 BITS = 18
 SAMPLE = 12_000  # labelled rows learned from, at most
-SHARDS = 8
-EPOCHS = 3
+SHARD = 1_500  # rows learned from in one task
+EPOCHS, UPDATES = 3, 4_500  # passes over a shard at least, and updates at least where it is small
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 1e-4, 1e-4
 SCALES = 16.0, 48.0  # what the shares of a text's words add up to, and those of its pairs
 CACHED_WORDS = 200_000
@@ -67,7 +67,7 @@ def _shares(text: str, words: dict) -> tuple[np.ndarray, np.ndarray]:
 
 
 def train_shard(rows: pd.DataFrame) -> pd.DataFrame:
-    """(place, weight) other than 0 after EPOCHS passes over the rows (doc_id, text, label), in the order of the ids."""
+    """(place, weight) other than 0 after some passes over the rows (doc_id, text, label), each in an order of its own."""
     words, z, n = _Words(), np.zeros((1 << BITS) + 1), np.zeros((1 << BITS) + 1)
 
     def weights(at):
@@ -76,7 +76,7 @@ def train_shard(rows: pd.DataFrame) -> pd.DataFrame:
 
     order = rows.sort_values(["doc_id", "label", "text"])
     made = [(*_shares(t, words), y) for t, y in zip(order["text"], order["label"])]
-    for epoch in range(EPOCHS):
+    for epoch in range(max(EPOCHS, -(-UPDATES // len(made)))):
         for k in np.random.default_rng(epoch).permutation(len(made)):
             at, x, y = made[k]
             w = weights(at)
@@ -93,15 +93,16 @@ def train(docs: DataFrame, labels: DataFrame, may_learn: Column, label_col: str
     """Weights, the constant's last, averaged over the shards. Labels other than 0 and 1 and null texts teach nothing;
     without any labelled text all weights are 0 and every score is a half."""
     picked = sampled_labels(labels, label_col, may_learn, sample)
+    shards = max(1, -(-picked.count() // SHARD))
     rows = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").filter("text IS NOT NULL")
     parts = (
-        rows.withColumn("shard", F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(SHARDS)))
+        rows.withColumn("shard", F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(shards)))
         .groupBy("shard").applyInPandas(train_shard, "place long, weight double")
         .groupBy("place").agg(F.sum("weight").alias("weight")).collect()  # no more than 2 ** BITS + 1 rows
     )
     out = np.zeros((1 << BITS) + 1)
     for r in parts:
-        out[r["place"]] = r["weight"] / SHARDS
+        out[r["place"]] = r["weight"] / shards
     return out
 
 
