@@ -9,6 +9,7 @@ from silverloom.llm import language, quality, queries, toxicity
 from silverloom.llm.folds import remainder
 
 SF = "/root/testdata/sf0.01"
+LARGER = "/root/testdata/sf0.1"  # has labels enough to judge what is learned
 ODD = [(1, None), (2, ""), (3, "   "), (4, "12 34 !!"), (5, "x" * 300_000), (6, "é " * 50_000), (7, "word"), (7, "word"), (None, "no id")]
 
 
@@ -54,17 +55,21 @@ def test_wrong_labels_are_left_out_of_dictionaries():
     assert read("springt der fuchs ueber den hund")[0] == "b" and read("dolor sit amet lorem")[0] == "a"
 
 
-def test_toxicity_of_held_out_texts(spark, tables):
-    got = queries.op9_compression_toxicity(spark, SF).join(tables["labels"], "doc_id").filter("held_out").collect()
+def test_toxicity_of_held_out_texts(spark):
+    """In this table the stems of toxic words also start ordinary ones, in all languages but English."""
+    got = queries.op9_compression_toxicity(spark, LARGER).join(spark.read.parquet(f"{LARGER}/labels.parquet"), "doc_id").join(
+        spark.read.parquet(f"{LARGER}/documents.parquet").select("doc_id", "lang"), "doc_id").filter("held_out").collect()
     hits = [r for r in got if r["predicted"]]
     toxic = [r for r in got if r["toxic"]]
-    assert len(toxic) >= 5 and sum(r["toxic"] for r in hits) >= 0.9 * len(hits) and sum(r["predicted"] for r in toxic) >= 0.8 * len(toxic)
+    assert len(toxic) >= 50 and sum(r["toxic"] for r in hits) >= 0.9 * len(hits) and sum(r["predicted"] for r in toxic) >= 0.6 * len(toxic)
+    english = [r for r in toxic if r["lang"] == "en"]
+    assert sum(r["predicted"] for r in english) >= 0.85 * len(english)
     assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.7) for r in got)
 
 
-def test_quality_of_held_out_texts(spark, tables):
-    got = queries.op10_ftrl_quality(spark, SF).join(tables["labels"], "doc_id").filter("held_out").collect()
-    assert len(got) > 40 and sum(r["predicted"] == r["quality"] for r in got) >= 0.95 * len(got)
+def test_quality_of_held_out_texts(spark):
+    got = queries.op10_ftrl_quality(spark, LARGER).join(spark.read.parquet(f"{LARGER}/labels.parquet"), "doc_id").filter("held_out").collect()
+    assert len(got) > 400 and sum(r["predicted"] == r["quality"] for r in got) >= 0.98 * len(got)
     assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.3) for r in got)
 
 
