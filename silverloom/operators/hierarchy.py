@@ -24,20 +24,21 @@ def ancestors(df: DataFrame, key: str, parent: str, carry: Sequence[str] = ()) -
     hops = _without_cycle(
         first.join(side, F.col("__parent") == F.col("__pk"), "left")
         .select("key", F.when(F.col("__pk").isNotNull(), F.array("__node")).alias("chain"))
-        .select("key", F.coalesce("chain", F.array().cast(_chain_type(df, key, carry))).alias("chain"), (F.size("chain") == 1).alias("grows"))
+        .select("key", F.coalesce("chain", F.array().cast(_chain_type(df, key, carry))).alias("chain"), (F.size("chain") == 1).alias("grows"),
+                F.lit(False).alias("in_cycle"))
     )
     while True:
         hops = cut_lineage(hops)
         if hops.filter("grows").isEmpty():
             return hops.drop("grows")
-        far = hops.select(F.col("key").alias("__fk"), F.col("chain").alias("__more"), F.col("grows").alias("__on"))
+        far = hops.select(F.col("key").alias("__fk"), F.col("chain").alias("__more"), F.col("grows").alias("__on"), F.col("in_cycle").alias("__cycle"))
         # only chains that still grow go on; the others have met a root or a cycle
         ahead = F.when(F.col("grows"), F.try_element_at("chain", F.lit(-1))["key"])
         grown = (
-            hops.withColumn("__far", ahead).drop("in_cycle")
+            hops.withColumn("__far", ahead)
             .join(far, F.col("__far") == F.col("__fk"), "left")
             .select("key", F.when(F.col("__more").isNull(), F.col("chain")).otherwise(F.concat("chain", "__more")).alias("chain"),
-                    F.coalesce("__on", F.lit(False)).alias("grows"))
+                    F.coalesce("__on", F.lit(False)).alias("grows"), (F.col("in_cycle") | F.coalesce("__cycle", F.lit(False))).alias("in_cycle"))
         )
         hops = _without_cycle(grown)
 
@@ -47,7 +48,8 @@ def _without_cycle(hops: DataFrame) -> DataFrame:
     keys = F.concat(F.array("key"), F.col("chain")["key"])
     once = F.size(F.array_distinct(keys)) - 1
     cycle = once < F.size("chain")
-    return hops.select("key", F.slice("chain", F.lit(1), once).alias("chain"), (F.col("grows") & ~cycle).alias("grows"), cycle.alias("in_cycle"))
+    return hops.select("key", F.slice("chain", F.lit(1), once).alias("chain"), (F.col("grows") & ~cycle).alias("grows"),
+                       (F.col("in_cycle") | cycle).alias("in_cycle"))
 
 
 def _chain_type(df: DataFrame, key: str, carry: Sequence[str]) -> str:
