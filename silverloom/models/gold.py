@@ -509,7 +509,7 @@ def dim_project_task_milestone(w: Warehouse) -> DataFrame:
 
 @gold("dim_sales_account")
 def dim_sales_account(w: Warehouse) -> DataFrame:
-    """Account with ancestry up to eight levels, inherited grade and terms, managers, region and geo position."""
+    """Account with its whole ancestry, inherited grade and terms, managers, region and geo position."""
     out = w.system("sales_account", "sfc")
     out = hierarchy.hierarchy(out, "key", "key_parent_account", name="name", inherit=["grade", "payment_terms"])
     out = out.withColumnsRenamed({"top_key": "key_top_level_parent_account", "top_name": "top_level_parent_account_name"})

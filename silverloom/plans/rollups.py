@@ -196,8 +196,9 @@ def dq_unique(t: Tables):
 
 
 @query("dq_count_match", """
-    SELECT 'sfc' AS src_sys_key, (SELECT count(*) FROM party_stack WHERE src_sys_key = 'sfc') AS n_model, (SELECT count(*) FROM customer) AS n_expected, TRUE AS ok UNION ALL
-    SELECT 'int', (SELECT count(*) FROM party_stack WHERE src_sys_key = 'int'), (SELECT count(*) FROM supplier), TRUE""")
+    SELECT *, n_model = n_expected AS ok FROM (
+        SELECT 'sfc' AS src_sys_key, (SELECT count(*) FROM party_stack WHERE src_sys_key = 'sfc') AS n_model, (SELECT count(*) FROM customer) AS n_expected UNION ALL
+        SELECT 'int', (SELECT count(*) FROM party_stack WHERE src_sys_key = 'int'), (SELECT count(*) FROM supplier))""")
 def dq_count_match(t: Tables):
     model = stack.consolidate([("sfc", t("customer"), CUSTOMER_SPEC), ("int", t("supplier"), SUPPLIER_SPEC)], "party", ORDERS_AS_OF)
     sources = t("customer").select(F.lit("sfc").alias("src_sys_key")).unionByName(t("supplier").select(F.lit("int").alias("src_sys_key")))
