@@ -2,9 +2,9 @@
 
 Equal sets are one class from the start. Documents whose MinHash bands meet are candidates; their odd sketches (the
 samples folded into a parity bitmap, whose differing bits estimate how many samples differ) settle which are compared in
-full. First every band group's members are compared with its smallest document. What these links leave apart is compared in
-two further rounds: each stray with the best-estimated members of other components, then with all candidates that are still
-in other ones. So the components are those of all pairs, though a group of many copies never spells out its pairs.
+full. First every band group's members are compared with its smallest document, their centre. What these links leave apart,
+the strays, is then compared with all other members of its centres, by what their sets differ in from the centre's. So the
+components are those of all pairs, though a group of many copies never spells out its pairs.
 """
 
 from __future__ import annotations
@@ -23,8 +23,7 @@ from silverloom.llm.storage import stored
 BANDS, ROWS = 25, 5
 SKETCH_BITS = 1024
 SLACK = 0.12  # a sketch may underestimate by this much; about four standard deviations at 0.85
-BEST = 4  # members of other components that a stray is compared with at first
-BLOCK = 1_000  # members of a band group that one task compares with as many others
+BLOCK = 1_000  # strays that one task compares with as many members of their groups
 CACHED_WORDS = 300_000
 
 SAMPLES = BANDS * ROWS
@@ -134,34 +133,100 @@ def _differing(x: str, y: str) -> F.Column:
     return sum((F.bit_count(part(x, k).bitwiseXOR(part(y, k))) for k in range(words)), F.lit(0))
 
 
-def _across(strays: DataFrame, members: DataFrame, most: int, top: int) -> DataFrame:
-    """Pairs (a, b) of a band group's strays with members in other components whose sketches allow a link: for each stray
-    its ``top`` best. Both are cut into blocks, and one task compares a block of strays with a block of members."""
-    def blocked(rows: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
-        counts = rows.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias(name)).select(F.expr("key ^ 0L").alias("key"), name)
-        return rows, counts
+def _differences(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
+    """(a, doc_id, n, diff): of each pair the size of the document's set, and in what it differs from its centre's."""
+    both = (
+        pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
+        .join(texts.select("doc_id", "text"), "doc_id")
+    )
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        words = _Words()
+        for batch in batches:
+            for at in range(0, len(batch), 200):
+                part = batch.iloc[at:at + 200]
+                own = [shingles(t, size, words) for t in part["text"]]
+                diff = [np.setxor1d(x, shingles(t, size, words), assume_unique=True) for x, t in zip(own, part["text_a"])]
+                yield pd.DataFrame({
+                    "a": part["a"].to_numpy(), "doc_id": part["doc_id"].to_numpy(), "n": [len(x) for x in own],
+                    "diff": [d.astype("<u8").tobytes() for d in diff]})
 
-    strays, n_left = blocked(strays, "n_left")
-    members, n_right = blocked(members, "n_right")
+    return both.mapInPandas(run, "a long, doc_id long, n long, diff binary")
+
+
+def _across(members: DataFrame, most: int, percent: int) -> DataFrame:
+    """Links (a, b) between a centre's strays and its members in other components, as many as tie the components together.
+
+    ``members``: centre, stray, doc_id, component, sketch, n, diff. Strays and members are cut into blocks, and one task
+    compares a block of strays with a block of members: where the sketches allow a link, the differences from the centre
+    say exactly how much two sets share.
+    """
+    def counted(rows: DataFrame, name: str) -> DataFrame:
+        return rows.groupBy("centre").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias(name)).select(F.expr("centre | 0L").alias("centre"), name)
+
+    blocks = counted(members.filter("stray"), "n_left").join(counted(members, "n_right"), "centre").select(F.expr("centre | 0L").alias("centre"), "n_left", "n_right")
+    placed = members.join(blocks, "centre")
     own = lambda n: F.pmod(F.xxhash64("doc_id", F.lit(5)), F.col(n)).cast("int")
     each = lambda n: F.explode(F.expr(f"sequence(0, {n} - 1)"))
-    blocks = n_left.join(n_right, "key")
-    left = strays.join(blocks, "key").select("key", own("n_left").alias("i"), each("n_right").alias("j"), F.lit(True).alias("stray"), "doc_id", "component", "sketch")
-    right = members.join(blocks, "key").select("key", each("n_left").alias("i"), own("n_right").alias("j"), F.lit(False).alias("stray"), "doc_id", "component", "sketch")
+    rest = ["doc_id", "component", "sketch", "n", "diff"]
+    left = placed.filter("stray").select("centre", own("n_left").alias("i"), each("n_right").alias("j"), F.lit(True).alias("left"), *rest)
+    right = placed.select("centre", each("n_left").alias("i"), own("n_right").alias("j"), F.lit(False).alias("left"), *rest)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for group in _groups(batches, ["key", "i", "j"]):
-            stray = group["stray"].to_numpy(dtype=bool)
-            if stray.any() and not stray.all():
-                yield _best(group[stray], group[~stray], most, top)
+        for group in _groups(batches, ["centre", "i", "j"]):
+            is_left = group["left"].to_numpy(dtype=bool)
+            if is_left.any() and not is_left.all():
+                yield _ties(group[is_left], group[~is_left], most, percent)
 
     # rows of a group lie together after the sort, so a task holds one block of each kind at a time
     return (
-        left.unionByName(right).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+        left.unionByName(right).repartition("centre", "i", "j").sortWithinPartitions("centre", "i", "j")
         .mapInPandas(run, "a long, b long").distinct()
     )
 
 
+def _ties(left: pd.DataFrame, right: pd.DataFrame, most: int, percent: int) -> pd.DataFrame:
+    """Of two blocks, links between components: for each of left one to every component it meets, unless they are tied."""
+    bits = lambda rows: np.unpackbits(np.frombuffer(b"".join(rows["sketch"]), dtype=np.uint8).reshape(len(rows), -1), axis=1).astype(np.float32)
+    x, y = bits(left), bits(right)
+    apart = x.sum(axis=1)[:, None] + y.sum(axis=1)[None, :] - 2 * (x @ y.T)
+    mine, theirs = left["component"].to_numpy(), right["component"].to_numpy()
+    near = (apart <= most) & (mine[:, None] != theirs[None, :])
+    diffs = [np.frombuffer(d, dtype="<u8") for d in right["diff"]]
+    sizes = np.array([len(d) for d in diffs])
+    n, ids, out = right["n"].to_numpy(), right["doc_id"].to_numpy(), []
+    root: dict[int, int] = {}
+
+    def find(c: int) -> int:
+        while root.get(c, c) != c:
+            root[c] = root.get(root[c], root[c])
+            c = root[c]
+        return c
+
+    for k, (doc, own, n_own, held) in enumerate(zip(left["doc_id"], mine, left["n"], left["diff"])):
+        at = np.flatnonzero(near[k])
+        at = at[[find(int(theirs[m])) != find(int(own)) for m in at]] if len(at) else at
+        if not len(at):
+            continue
+        diff = np.frombuffer(held, dtype="<u8")
+        both = np.concatenate([diffs[m] for m in at])
+        shared = np.zeros(len(both), dtype=np.int64)
+        if len(diff) and len(both):
+            place = np.minimum(np.searchsorted(diff, both), len(diff) - 1)
+            shared = (diff[place] == both).astype(np.int64)
+        ends = np.cumsum(sizes[at])
+        sums = np.concatenate(([0], np.cumsum(shared)))
+        common = sums[ends] - sums[ends - sizes[at]]
+        differ = len(diff) + sizes[at] - 2 * common
+        inside = (n_own + n[at] - differ) // 2
+        for m in at[100 * inside >= percent * (n_own + n[at] - inside)]:
+            a, b = find(int(own)), find(int(theirs[m]))
+            if a != b:
+                root[max(a, b)] = min(a, b)
+                out.append((min(doc, ids[m]), max(doc, ids[m])))
+    return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
+
+
 def _groups(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
     """The consecutive groups of sorted batches, each whole."""
     held: list[pd.DataFrame] = []
@@ -180,23 +245,6 @@ def _groups(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.Dat
         yield pd.concat(held) if len(held) > 1 else held[0]
 
 
-_ones = np.array([bin(i).count("1") for i in range(256)], dtype=np.uint8)
-
-
-def _best(left: pd.DataFrame, right: pd.DataFrame, most: int, top: int) -> pd.DataFrame:
-    bits = lambda rows: np.unpackbits(np.frombuffer(b"".join(rows["sketch"]), dtype=np.uint8).reshape(len(rows), -1), axis=1).astype(np.float32)
-    x, y = bits(left), bits(right)
-    apart = x.sum(axis=1)[:, None] + y.sum(axis=1)[None, :] - 2 * (x @ y.T)
-    ids, others = left["doc_id"].to_numpy(), right["doc_id"].to_numpy()
-    apart[(apart > most) | (left["component"].to_numpy()[:, None] == right["component"].to_numpy()[None, :])] = np.inf
-    order = np.argsort(apart, axis=1, kind="stable")[:, :top]
-    rows = np.repeat(np.arange(len(ids)), order.shape[1])
-    cols = order.ravel()
-    ok = np.isfinite(apart[rows, cols])
-    a, b = ids[rows[ok]], others[cols[ok]]
-    return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
-
-
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row with an id.
 
@@ -229,30 +277,32 @@ def _class_components(classes: DataFrame, texts: DataFrame, size: int, percent:
     ids = grouped.select("doc_id").distinct()
     texts = stored(texts.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
     sketches = classes.select("doc_id", "sketch")
-    stars = grouped.filter("doc_id > a").select("a", F.col("doc_id").alias("b")).distinct()
+    stars = stored(grouped.filter("doc_id > a").select("a", F.col("doc_id").alias("b")).distinct())
     pairs = (
         stars.join(sketches.select(F.col("doc_id").alias("a"), F.col("sketch").alias("x")), "a")
         .join(sketches.select(F.col("doc_id").alias("b"), F.col("sketch").alias("y")), "b")
         .filter(_differing("x", "y") <= most).select("a", "b")
     )
-    tried = stored(pairs)
-    links = stored(confirmed(tried, texts, size, percent))
-    # a look at the best first joins most of what belongs together; then all pairs that are still apart are compared
-    for top in (BEST, BLOCK):
-        found = components(links)
-        members = (
-            grouped.filter("n > 2").join(found.withColumnRenamed("id", "doc_id"), "doc_id", "left")
-            .withColumn("component", F.coalesce("component", "doc_id"))
-        )
-        # a stray is not in the component of its group's smallest document; every pair across components has one
-        first = members.filter("doc_id = a").select(F.expr("key ^ 0L").alias("key"), F.col("component").alias("main"))
-        strays = stored(members.join(first, "key").filter("component <> main").select("key", "doc_id", "component"))
-        if strays.isEmpty():
-            return found
-        among = members.join(strays.select("key").distinct().select(F.expr("key ^ 0L").alias("key")), "key", "left_semi")
-        fresh = stored(_across(
-            strays.join(sketches, "doc_id"), among.select("key", "doc_id", "component").join(sketches, "doc_id"), most, top,
-        ).join(tried, ["a", "b"], "left_anti"))
-        tried = tried.unionByName(fresh)
-        links = stored(links.unionByName(confirmed(fresh, texts, size, percent)))
-    return components(links)
+    links = stored(confirmed(pairs, texts, size, percent))
+    found = stored(components(links))
+    # a stray is not in the component of the smallest document of its group, which is its centre here. Two members of a
+    # group in different components are a stray and another, so comparing each centre's strays with all its members is
+    # enough, and then nothing is left to compare
+    label = lambda name, to: found.select(F.col("id").alias(name), F.col("component").alias(to))
+    placed = (
+        stars.join(label("b", "component"), "b", "left").join(label("a", "main"), "a", "left")
+        .select("a", F.col("b").alias("doc_id"), F.coalesce("component", "b").alias("component"), F.coalesce("main", "a").alias("main"))
+        .withColumn("stray", F.col("component") != F.col("main"))
+    )
+    placed = stored(placed)
+    centres = placed.groupBy("a").agg(F.count(F.lit(1)).alias("n"), F.max("stray").alias("any"), F.min("main").alias("main")).filter("n > 1 AND any")
+    centres = stored(centres.select(F.expr("a | 0L").alias("a"), "main"))
+    if centres.isEmpty():
+        return found
+    wanted = placed.join(centres.select("a"), "a", "left_semi").select("a", "doc_id", "component", "stray").unionByName(
+        centres.select("a", F.col("a").alias("doc_id"), F.col("main").alias("component"), F.lit(False).alias("stray")))
+    held = _differences(wanted.select("a", "doc_id"), texts, size)
+    members = stored(
+        wanted.join(held, ["a", "doc_id"]).join(sketches, "doc_id").withColumnRenamed("a", "centre")
+        .select("centre", "stray", "doc_id", "component", "sketch", "n", "diff"))
+    return components(links.unionByName(_across(members, most, percent)))
