@@ -81,7 +81,7 @@ def word_count(text: Column) -> Column:
 
 def mix(docs: DataFrame, levels: list[Column], tokens: Column, weights: dict[Path, float], total: int | float,
         max_epochs: int = 4, seed: int = 0, id_col: str = "doc_id") -> DataFrame:
-    """The rows taken, with all columns of ``docs`` and _leaf, _tokens, _epoch (from 0), _taken.
+    """The rows taken: _row (a struct of all columns of ``docs``, so no name can clash), _leaf, _tokens, _epoch (from 0), _taken.
 
     ``levels`` give a row's path; null levels are a child of their own, named ``(null)``. ``total`` counts tokens, or is a
     share of all where it is a float. A leaf's epochs each hold all its rows once, ordered by a hash of seed, epoch and id;
@@ -91,7 +91,7 @@ def mix(docs: DataFrame, levels: list[Column], tokens: Column, weights: dict[Pat
     """
     names = [f"_level_{k}" for k in range(len(levels))]
     marked = docs.select(
-        "*", *[F.coalesce(c.cast("string"), F.lit("(null)")).alias(n) for c, n in zip(levels, names)], tokens.cast("long").alias("_tokens"))
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), *[F.coalesce(c.cast("string"), F.lit("(null)")).alias(n) for c, n in zip(levels, names)], tokens.cast("long").alias("_tokens"))
     spark = docs.sparkSession
     held = marked.groupBy(*names).agg(F.sum("_tokens").alias("n")).limit(MAX_LEAVES + 1).collect()
     if len(held) > MAX_LEAVES:
@@ -106,17 +106,18 @@ def mix(docs: DataFrame, levels: list[Column], tokens: Column, weights: dict[Pat
     always = joined.filter("_full > 0").withColumn("_epoch", F.explode(F.expr("sequence(0, _full - 1)"))).withColumn("_taken", F.col("_tokens"))
 
     # the epoch of which a part is taken: its order is cut into ranges of the hash, whose sums say where each begins
-    order = F.xxhash64(F.lit(seed), F.col("_full"), F.col(id_col).cast("string"))
+    own = F.col("_row")[id_col]
+    order = F.xxhash64(F.lit(seed), F.col("_full"), own.cast("string"))
     part = joined.filter("_rest > 0").withColumn("_hash", order).withColumn("_range", F.shiftrightunsigned("_hash", 54).cast("int"))
     sums = part.groupBy(*names, "_range").agg(F.sum("_tokens").alias("_sum"))
     along = Window.partitionBy(*names).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     starts = sums.select(*names, "_range", F.coalesce(F.sum("_sum").over(along), F.lit(0)).alias("_begin"))
-    within = Window.partitionBy(*names, "_range").orderBy("_hash", F.col(id_col), "_tokens").rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy(*names, "_range").orderBy("_hash", own, "_tokens").rowsBetween(Window.unboundedPreceding, -1)
     some = (
         part.join(starts, [*names, "_range"]).filter("_begin < _rest")
         .withColumn("_before", F.col("_begin") + F.coalesce(F.sum("_tokens").over(within), F.lit(0)))
         .filter("_before < _rest")
         .withColumn("_epoch", F.col("_full")).withColumn("_taken", F.least(F.col("_tokens"), F.col("_rest") - F.col("_before")))
     )
-    out = [*docs.columns, F.concat_ws("/", *names).alias("_leaf"), "_tokens", F.col("_epoch").cast("long").alias("_epoch"), "_taken"]
+    out = ["_row", F.concat_ws("/", *names).alias("_leaf"), "_tokens", F.col("_epoch").cast("long").alias("_epoch"), "_taken"]
     return always.select(*out).unionByName(some.select(*out))

@@ -52,7 +52,7 @@ def op4_hierarchical_mixing(spark: SparkSession, folder: str) -> DataFrame:
     docs = load(spark, folder, "documents")
     counted = stored(docs.select("doc_id", "lang", "source", mixing.word_count(F.col("text")).alias("n_tokens")))
     mixed = mixing.mix(counted, [domain(F.col("source")), F.col("lang"), F.col("source")], F.col("n_tokens"), MIX_WEIGHTS, 0.6, max_epochs=3, seed=1)
-    return mixed.select("doc_id", F.col("_leaf").alias("leaf"), "n_tokens", F.col("_epoch").alias("epoch"), F.col("_taken").alias("taken"))
+    return mixed.select("_row.doc_id", F.col("_leaf").alias("leaf"), F.col("_tokens").alias("n_tokens"), F.col("_epoch").alias("epoch"), F.col("_taken").alias("taken"))
 
 
 def op5_html_tree_model(spark: SparkSession, folder: str) -> DataFrame:

@@ -108,7 +108,7 @@ def test_shortage_goes_to_siblings_first():
 def test_epochs_are_whole_orders_and_a_prefix(spark):
     r = random.Random(2)
     rows = [(k, r.choice(["de", "en", None]), r.choice(["s1", "s2"]), r.randrange(0, 40)) for k in range(400)]
-    df = spark.createDataFrame(rows, "doc_id long, lang string, source string, words int").withColumn("_range", F.lit("extra column")).drop("_range")
+    df = spark.createDataFrame(rows, "doc_id long, lang string, source string, words int").withColumn("_leaf", F.lit("extra column")).withColumn("_range", F.lit(1))
     mix = lambda seed: mixing.mix(df, [F.col("lang"), F.col("source")], F.col("words"), {("de",): 5.0}, 1.2, 3, seed).collect()
     got = mix(1)
     sizes = Counter()
@@ -118,7 +118,7 @@ def test_epochs_are_whole_orders_and_a_prefix(spark):
     taken, epochs = Counter(), defaultdict(set)
     for x in got:
         taken[tuple(x["_leaf"].split("/"))] += x["_taken"]
-        epochs[(x["_leaf"], x["_epoch"])].add(x["doc_id"])
+        epochs[(x["_leaf"], x["_epoch"])].add(x["_row"]["doc_id"])
         assert 0 <= x["_taken"] <= x["_tokens"]
     assert {k: v for k, v in taken.items() if v} == {k: v for k, v in want.items() if v}
     all_ids = {k: {i for i, lang, s, _ in rows if (lang or "(null)", s) == k} for k in sizes}
