@@ -50,7 +50,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     document at which a leaf's budget ends stays whole."""
     levels = [domain(F.col("source")), F.col("lang"), F.col("source")]
     out = mixing.mix(docs, levels, mixing.word_count(F.col("text")), MIX_WEIGHTS, MIX_SHARE, max_epochs=1, seed=1)
-    return out.select(*docs.columns)
+    return out.select("_row.*")
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
