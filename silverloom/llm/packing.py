@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import base64
 import bisect
+import re
 from array import array
 from collections.abc import Iterator
 
@@ -22,18 +23,36 @@ from silverloom.llm.storage import stored
 
 CAPACITY = 2048
 END_OF_TEXT = 0
+LONG_RUN = 100_000
 
 
 def public_encoder():
     """Texts to token ids as little-endian 32-bit numbers, by the public byte-level BPE vocabulary of 50,257 entries. Its
-    ranks give the same ids as ``byte_bpe_50k.json``; strings of special tokens count as ordinary text."""
+    ranks give the same ids as ``byte_bpe_50k.json``; strings of special tokens count as ordinary text. tiktoken's pattern
+    overflows its stack on white space of a million characters, so texts with a run of LONG_RUN are left to tokenizers."""
     import public_tokenizers
     import tiktoken
+    from tokenizers import Tokenizer
 
     with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as lines:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
     encode = tiktoken.Encoding("corpus", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-    return lambda text: array("I", encode(text)).tobytes()
+    plain: list[Tokenizer] = []  # loaded by the first text that needs it
+
+    def ids(text: str) -> list[int]:
+        if not has_long_run(text):
+            return encode(text)
+        if not plain:
+            plain.append(Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")))
+            plain[0].encode_special_tokens = True
+        return plain[0].encode(text, add_special_tokens=False).ids
+
+    return lambda text: array("I", ids(text)).tobytes()
+
+
+def has_long_run(text: str) -> bool:
+    """Whether LONG_RUN characters or more of white space follow each other."""
+    return len(text) >= LONG_RUN and any(m.end() - m.start() >= LONG_RUN for m in re.finditer(r"\s+", text))
 
 
 def cut(n: int, capacity: int) -> list[int]:

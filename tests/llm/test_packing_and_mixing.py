@@ -87,6 +87,15 @@ def test_packed_rows_give_the_documents_back(spark):
     assert packing.pack(packing.pieces(df.limit(0))).count() == 0
 
 
+@pytest.mark.parametrize("text", ["a " + " " * 2_000_000 + "b", "\n" * 1_000_000, ("x" + "\u3000" * 99_999) * 3])
+def test_very_long_white_space_is_encoded(text):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    got = np.frombuffer(packing.public_encoder()(text), "<u4")
+    assert got.tolist() == plain.encode(text, add_special_tokens=False).ids
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.dictionaries(st.sampled_from("abcdef"), st.tuples(st.integers(0, 50), st.floats(0, 5)), min_size=1), st.integers(0, 200))
 def test_fill_uses_all_it_can(children, total):
