@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from silverloom.llm import language, mixing, odd_sketch, packing, quality
 from silverloom.llm.queries import MIX_WEIGHTS, domain, held_out
-from silverloom.llm.storage import shared_folder
+from silverloom.llm.storage import shared_folder, stored
 from silverloom.sources.tables import load
 
 LEAST_QUALITY = 0.3
@@ -39,10 +39,14 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, that with the smallest id; five words, 0.8. Rows without an id and
-    later rows of an id that repeats go."""
-    kept = odd_sketch.near_duplicates(docs).filter("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, docs["doc_id"] == kept["_kept"], "left_semi").dropDuplicates(["doc_id"])
+    """One row of each group of near duplicates, that with the smallest id, one without an id only where no other has one;
+    five words, 0.8. Groups are found on a key of each row's own, so missing and repeated ids cost no text."""
+    key = f"_row_{uuid.uuid4().hex}"
+    rows = stored(docs.withColumn(key, F.monotonically_increasing_id()))
+    groups = odd_sketch.near_duplicates(rows, id_col=key).select(F.col("doc_id").alias(key), "component_id")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.col(key).alias("row"))).alias("m")
+    kept = rows.select(key, "doc_id").join(groups, key).groupBy("component_id").agg(first).select(F.col("m.row").alias(key))
+    return rows.join(kept, key, "left_semi").drop(key)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

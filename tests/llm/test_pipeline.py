@@ -60,6 +60,18 @@ def test_one_of_each_group_stays(stages):
     assert ids(out) == sorted(i for i, _, _, kept in brute([(r["doc_id"], r["text"]) for r in docs.collect()], 5, 80) if kept)
 
 
+def test_missing_and_repeated_ids_cost_no_text(spark):
+    text = lambda k: " ".join(f"w{k}x{i}" for i in range(60))
+    near = lambda k: text(k) + " end"
+    rows = [(None, text(1)), (None, text(2)), (None, near(1)), (None, None), (7, text(3)), (7, text(4)), (7, near(4)), (7, text(4)), (8, near(3)),
+            (9, text(5)), (None, text(5)), (5, near(2)), (3, text(6)), (-2, near(6))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = sorted(map(str, map(tuple, cp.without_near_duplicates(spark, df, SF).collect())))
+    assert len(got) == 7
+    one_of = [[(None, text(1)), (None, near(1))], [(None, None)], [(5, near(2))], [(7, text(3))], [(7, text(4)), (7, near(4))], [(9, text(5))], [(-2, near(6))]]
+    assert all(sum(str(x) in got for x in group) == 1 for group in one_of)
+
+
 def test_mixing_takes_the_budgets(stages):
     docs, out = stages["mixing"]
     n = mixing.word_count(F.col("text"))
