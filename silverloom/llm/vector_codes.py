@@ -121,7 +121,7 @@ def _moved(rows: DataFrame, books: Codebooks, scale: int) -> Codebooks:
         p, e, w = (x.ravel() for x in np.meshgrid(*map(range, total.shape), indexing="ij"))
         n = count[p, e]
         keep = n > 0
-        yield pd.DataFrame({"part": p[keep], "entry": e[keep], "at": w[keep], "total": [str(t) for t in total.ravel()[keep]], "n": n[keep]})
+        yield pd.DataFrame({"part": p[keep], "entry": e[keep], "at": w[keep], "total": pd.Series([str(t) for t in total.ravel()[keep]], dtype=object), "n": n[keep]})
 
     made = (
         rows.select("vector").mapInPandas(sums, "part int, entry int, at int, total string, n long")
