@@ -1,8 +1,9 @@
 """Exact top-k search in binary codes by incremental multi-index hashing.
 
 Codes are cut into segments, each with an index from its value to the codes that hold it. A query looks up the values
-within a radius of its own segments, and the radius grows by one bit a round. After radius r every code within
-``segments * (r + 1) - 1`` bits has been seen, so a query is done once its k-th verified distance is that small.
+within a radius of its own segments, segment after segment, and then the radius grows by one bit. After segment g at
+radius r every code within ``segments * r + g`` bits has been seen, so a query is done once its k-th verified distance is
+that small, often before the other segments are searched at that radius.
 """
 
 from __future__ import annotations
@@ -25,8 +26,9 @@ def sign_code(vector: Column, bits: int) -> Column:
 
 
 def segment_count(codes: int, bits: int) -> int:
-    """Segments of about log2 of the number of codes bits, so that a value is held by a code or so."""
-    return max(1, min(bits, round(bits / max(1.0, math.log2(max(2, codes))))))
+    """Segments of about log2 of the number of codes bits, so that a value is held by a code or so, and of four bits at
+    least; never fewer than two."""
+    return max(min(2, bits), round(bits / math.log2(max(16, codes))))
 
 
 def _segments(bits: int, count: int) -> list[tuple[int, int]]:
@@ -43,8 +45,9 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int, bits: int, segments: int
     """(query_id, rank, vec_id, distance): the k rows nearest to each query, ties by the smaller id.
 
     ``rows`` has (vec_id, code), ``queries`` (query_id, code). Null codes are neither found nor searched; with fewer than k
-    rows all are returned. Repeated rows count each. Equal codes are searched once, and a code stands for its k smallest
-    ids, which are all that can be among the k nearest.
+    rows all are returned. Repeated rows count each, and an id with several codes counts with each of them. Equal codes are
+    searched once, and a code stands for its k smallest ids, which are all that can be among the k nearest. Other columns
+    are not looked at.
     """
     ranked = Window.partitionBy("code").orderBy("vec_id")
     ids = (
@@ -63,25 +66,32 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int, bits: int, segments: int
         F.struct(F.lit(g).alias("segment"), F.lit(w).alias("width"), _value(F.col("query"), s, w).alias("value"))
         for g, (s, w) in enumerate(parts)])).alias("p")).select("query", "p.*", F.lit(-1).alias("last"))
     nearest = Window.partitionBy("query").orderBy("distance", "vec_id")
+    open_queries = asked
     for radius in range(max(w for _, w in parts) + 1):
-        probes = stored(probes)
-        seen_before = F.lit(False)  # by an earlier segment at this radius, or by any at a smaller one
+        probes = stored(probes.join(open_queries, "query", "left_semi"))
         for g, part in enumerate(parts):
-            apart = F.bit_count(_value(F.col("code"), *part).bitwiseXOR(_value(F.col("query"), *part)))
-            seen_before |= F.when(F.col("segment") > g, apart <= radius).otherwise((F.col("segment") != g) & (apart < radius))
-        fresh = (
-            probes.select("query", "segment", "value").join(index, ["segment", "value"]).filter(~seen_before)
-            .select("query", F.bit_count(F.col("code").bitwiseXOR(F.col("query"))).alias("distance"), F.explode("ids").alias("vec_id"))
-        )
-        best = stored(
-            best.unionByName(fresh).withColumn("rank", F.row_number().over(nearest)).filter(F.col("rank") <= k)
-            .select("query", "distance", "vec_id"))
-        proven = len(parts) * (radius + 1) - 1
-        done = best.groupBy("query").agg(F.count(F.lit(1)).alias("n"), F.max("distance").alias("far")).filter(
-            (F.col("n") >= k) & (F.col("far") <= proven)).select("query")
+            seen_before = F.lit(False)  # by an earlier segment at this radius, or by any at a smaller one
+            for h, other in enumerate(parts):
+                if h != g:
+                    apart = F.bit_count(_value(F.col("code"), *other).bitwiseXOR(_value(F.col("query"), *other)))
+                    seen_before |= apart <= radius if h < g else apart < radius
+            fresh = (
+                probes.filter(F.col("segment") == g).select("query", "value").join(open_queries, "query", "left_semi")
+                .join(index.filter(F.col("segment") == g), "value").filter(~seen_before)
+                .select("query", F.bit_count(F.col("code").bitwiseXOR(F.col("query"))).alias("distance"), F.explode("ids").alias("vec_id"))
+            )
+            best = stored(
+                best.unionByName(fresh).withColumn("rank", F.row_number().over(nearest)).filter(F.col("rank") <= k)
+                .select("query", "distance", "vec_id"))
+            proven = len(parts) * radius + g
+            done = best.groupBy("query").agg(F.count(F.lit(1)).alias("n"), F.max("distance").alias("far")).filter(
+                (F.col("n") >= k) & (F.col("far") <= proven)).select("query")
+            open_queries = asked.join(done, "query", "left_anti")
+            if open_queries.isEmpty():
+                break
         # one more bit, above the last one flipped, so each value is reached once
         probes = (
-            probes.join(done, "query", "left_anti").filter("last < width - 1")
+            probes.join(open_queries, "query", "left_semi").filter("last < width - 1")
             .withColumn("last", F.explode(F.expr("sequence(last + 1, width - 1)")))
             .withColumn("value", F.expr("value ^ shiftleft(1L, last)"))
         )
