@@ -11,7 +11,7 @@ import math
 import re
 from collections import defaultdict
 from collections.abc import Iterator
-from html.parser import HTMLParser
+from html import unescape
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -22,38 +22,116 @@ from silverloom.llm.labelled_pages import PAGES
 #: Elements that run within a line, that have no end, whose content is never text, that end open ones.
 INLINE = frozenset((
     "a", "abbr", "acronym", "b", "bdi", "bdo", "big", "br", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "ins",
-    "kbd", "mark", "nobr", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt",
+    "kbd", "map", "mark", "math", "nobr", "object", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt",
     "u", "var", "wbr",
 ))
 VOID = frozenset(("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"))
 DROPPED = frozenset((
-    "head", "script", "style", "noscript", "template", "svg", "math", "iframe", "object", "canvas", "audio", "video", "button",
-    "select", "textarea", "datalist", "map",
+    "head", "script", "style", "noscript", "template", "svg", "iframe", "canvas", "audio", "video", "button", "select", "textarea",
+    "datalist", "annotation", "annotation-xml",
 ))
+BLOCKS = frozenset((
+    "address", "article", "aside", "blockquote", "body", "center", "dd", "details", "div", "dl", "dt", "fieldset", "figcaption", "figure",
+    "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "li", "main", "nav", "ol", "p", "pre", "section", "summary",
+    "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul",
+))
+RAW = ("script", "style", "textarea", "title", "iframe", "noembed", "noframes", "xmp")  # no tags inside
 ENDS = {
     "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"),
     "thead": ("tr", "td", "th"), "tbody": ("tr", "td", "th", "thead"), "tfoot": ("tr", "td", "th", "tbody"), "body": ("head",),
 }
 SCOPES = frozenset(("table", "ul", "ol", "dl", "article", "section", "div", "main", "aside", "nav", "body"))
 
+_tag = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+_attr = re.compile(r"[\s/]*([^\s/>=][^\s/>=]*|=[^\s/>=]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"'][^\s>]*)?))?")
+_gap = re.compile(r"[\s/]*")
+_raw_end = {t: re.compile(rf"</{t}(?=[\s/>])", re.IGNORECASE) for t in RAW}
+
+
+def tokens(html: str) -> Iterator[tuple[str, str, list[tuple[str, str]]]]:
+    """(text, start or end; text or name of the tag; attributes) of a page, each sign looked at a bounded number of times."""
+    at, n = 0, len(html)
+    said = 0  # up to here text was passed on
+    while True:
+        at = html.find("<", at)
+        if at < 0 or at == n - 1:
+            break
+        tag = _tag.match(html, at)
+        if tag is None:
+            if html[at + 1] not in "!?/":
+                at += 1
+                continue
+            if html.startswith("<!--", at):
+                # a comment may end with its first dashes
+                end = html.find("-->", at + 2)
+                end = end if end < 0 else end + 3
+            else:
+                end = html.find(">", at) + 1 or -1
+            if said < at:
+                yield "text", unescape(html[said:at]), []
+            said = at = n if end < 0 else end
+            continue
+        if said < at:
+            yield "text", unescape(html[said:at]), []
+        name = tag[2].lower()
+        at, attrs = tag.end(), []
+        while True:
+            gap = _gap.match(html, at)
+            at = gap.end()
+            if at >= n or html[at] == ">":
+                break
+            attr = _attr.match(html, at)
+            value = next((v for v in attr.groups()[1:] if v is not None), "")
+            if attr.end() < n and html[attr.end()] in "\"'" and html[attr.end() - 1] in "= \t\n\r\f" and attr[2] is None and attr[3] is None:
+                at = n  # a quote that nothing ends
+                break
+            attrs.append((attr[1].lower(), unescape(value)))
+            at = attr.end()
+        if at >= n:
+            return  # the end of the page within a tag
+        at += 1
+        said = at
+        yield ("end" if tag[1] else "start"), name, attrs
+        if not tag[1] and gap[0].endswith("/"):
+            yield "end", name, []
+        elif not tag[1] and name in _raw_end:
+            end = _raw_end[name].search(html, at)
+            end = end.start() if end else n
+            if at < end:
+                yield "text", html[at:end] if name in ("script", "style") else unescape(html[at:end]), []
+            said = at = end
+    if said < n:
+        yield "text", unescape(html[said:]), []
+
+
 ROUNDS, RATE, RIDGE = 1_000, 0.5, 0.001
 _word = re.compile(r"[a-z]+")
 
 
-class Page(HTMLParser):
-    """The block elements of a page in order, parents first, and its text blocks with the element each belongs to."""
+class Page:
+    """The block elements of a page in order, parents first, and its text blocks with the element each belongs to.
+
+    Any text is a page: what no tag can be is text, an unfinished tag or comment reaches to the end, as in browsers. Time
+    grows in proportion to the length, however tags are nested or left open.
+    """
 
     def __init__(self, html: str):
-        super().__init__(convert_charrefs=True)
         self.parent, self.names, self.marks = [-1], [("tag=page",)], [None]
         self.letters, self.linked = [0], [0]
         self.blocks: list[tuple[int, str]] = []
         self._open: list[tuple[str, int]] = []  # (tag, node or -1 for what is not a block)
+        self._places: dict[str, list[int]] = defaultdict(list)  # where in it each tag stands
+        self._blocks: list[int] = []  # where in it blocks stand
         self._at = 0
         self._dropped = self._links = 0
         self._line: list[str] = []
-        self.feed(html)
-        self.close()
+        for kind, value, attrs in tokens(html):
+            if kind == "text":
+                self.handle_data(value)
+            elif kind == "start":
+                self.handle_starttag(value, attrs)
+            else:
+                self.handle_endtag(value)
         self._flush()
 
     def _flush(self) -> None:
@@ -63,29 +141,38 @@ class Page(HTMLParser):
             self.blocks.append((self._at, text))
             self.letters[self._at] += len(text)
 
+    def _push(self, tag: str, node: int = -1) -> None:
+        self._places[tag].append(len(self._open))
+        if node >= 0:
+            self._blocks.append(len(self._open))
+        self._open.append((tag, node))
+
     def handle_starttag(self, tag, attrs):
-        if self._dropped and not (tag == "body" and any(t == "head" for t, _ in self._open)):
+        if self._dropped and not (tag == "body" and self._places["head"]):
             if tag not in VOID:
-                self._open.append((tag, -1))
+                self._push(tag)
                 self._dropped += tag in DROPPED
             return
-        if tag not in INLINE:
+        if self._places["math"] and tag in BLOCKS:
+            self._close(self._places["math"][-1])  # formulas hold no blocks
+        inline = tag in INLINE or bool(self._places["math"]) and tag not in DROPPED
+        if not inline and tag not in DROPPED:
             self._end_implied(tag)
         if tag in VOID:
-            if tag in INLINE:
+            if inline:
                 self._line.append(" " if tag in ("br", "wbr") else "")
             else:
                 self._flush()
             return
         if tag in DROPPED:
-            self._open.append((tag, -1))
+            self._push(tag)
             self._dropped += 1
-        elif tag in INLINE:
-            self._open.append((tag, -1))
+        elif inline:
+            self._push(tag)
             self._links += tag == "a"
         else:
             self._flush()
-            given = {k: v or "" for k, v in attrs}
+            given = dict(reversed(attrs))  # the first of equal names counts
             words = _word.findall(" ".join(given.get(k, "") for k in ("class", "id", "role")).lower())
             self.parent.append(self._at)
             above = self.names[self._at][0].removeprefix("tag=")
@@ -94,33 +181,35 @@ class Page(HTMLParser):
             self.letters.append(0)
             self.linked.append(0)
             self._at = len(self.parent) - 1
-            self._open.append((tag, self._at))
+            self._push(tag, self._at)
+
+    def _last(self, tags) -> int:
+        """Where the innermost open one of the tags stands, -1 if none is open."""
+        return max((self._places[t][-1] for t in tags if self._places.get(t)), default=-1)
 
     def _end_implied(self, tag: str) -> None:
         """A block ends an open paragraph; list items, cells and rows end their like within the nearest list or table."""
         ends = ENDS.get(tag, ())
-        for k in range(len(self._open) - 1, -1, -1):
+        k = self._last((*ends, "p"))
+        while k > self._last(SCOPES.difference(ends)):
             name = self._open[k][0]
-            if name == "p" or name in ends:
-                self._close(k)
-                if name == "p" and ends:
-                    self._end_implied(tag)
-                return
-            if name in SCOPES:
+            self._close(k)
+            if name != "p" or not ends:
                 return
+            k = self._last((*ends, "p"))
 
     def handle_endtag(self, tag):
-        for k in range(len(self._open) - 1, -1, -1):
-            if self._open[k][0] == tag:
-                self._close(k)
-                return
-            if tag in INLINE and self._open[k][1] >= 0:
-                return  # an inline end does not reach over a block
+        k = self._last((tag,))
+        if k < 0 or tag in INLINE and self._blocks and k < self._blocks[-1]:
+            return  # an inline end does not reach over a block
+        self._close(k)
 
     def _close(self, k: int) -> None:
         for name, node in reversed(self._open[k:]):
+            self._places[name].pop()
             if node >= 0:
                 self._flush()
+                self._blocks.pop()
                 self._at = self.parent[node]
             elif name in DROPPED:
                 self._dropped -= 1

@@ -80,6 +80,31 @@ def test_main_text_of_many_shapes():
         assert MODEL.extract(nothing) == ""
 
 
+def test_formulas_and_odd_marks_keep_the_text_around_them():
+    cases = {
+        "<p>Let <math><mi>x</mi><mo>=</mo><mrow><mn>1</mn></mrow><annotation>x=1</annotation></math> be a number.</p>": "Let x=1 be a number.",
+        "<p>a<![ b</p><p>c</p>": "a\nc", "<p>a</p><![foo[x]]><p>b</p>": "a\nb", "<p>a</p><![CDATA[x]]><!x><?php y ?></ ><p>b</p>": "a\nb",
+        "<p>a</p><![ b": "a", "<p>1 < 2 <3 & 4</p>": "1 < 2 <3 & 4", "<p>a<object><b>b</b></object>c <ruby>d<rt>e</rt></ruby></p>": "abc de",
+        "<p>a <math>x<p>b</p>": "a x\nb", "<p>a<br/>b<hr/></p><p/><p>c": "a b\nc", "<p>a</p><!--> <p>b</p> --> <p>c": "a\nb\n-->\nc",
+        '<p>a</p><p class="x><y" id=\'">\'>b</p><p x= "un': "a\nb", "<p>a</p><textarea><p>x</textarea><iframe><p>y</iframe><p>b": "a\nb",
+        "<p>a</p><a href=x/>b</a>": "a\nb", "<p>a <script>x</script>b <button>c</button>d</p>": "a b d",
+    }
+    for inner, text in cases.items():
+        assert MODEL.extract(page("<article>" + inner, before="", after="")).split("\n")[:9] == text.split("\n"), inner
+
+
+def test_time_grows_with_the_length_whatever_is_left_open():
+    from time import perf_counter
+    n = 100_000
+    shapes = ["<div>" * n + "</section>" * n, "<a " * (5 * n), "<b>" * n + "</i>" * n, "<i><div>" + "<b>" * n + "</i>" * n, "<b>" * n + "<p>" * n,
+              "<center>" * n + "<li>" * n, "<!-" * n, "<![" * n, "<a x='" * n, "<script>" * n, "</" * n, "<p>" * n, "<math>" * n + "<mi>" * n, "&amp" * n,
+              "<a" + " " * n + "x" * n, "<table>" * n + "<tr>" * n, "x" * 2_000_000, "<a =" + "=" * n, "<head>" * n + "<body>" * n, "<" * n]
+    for shape in shapes:
+        start = perf_counter()
+        MODEL.extract("<article><p>Kept.</p>" + shape)
+        assert perf_counter() - start < 20, shape[:40]
+
+
 def test_messages_equal_sums_over_all_labellings():
     """Marginals of a small tree by enumeration."""
     from itertools import product
