@@ -9,12 +9,37 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from silverloom.functions.keys import hash_key, with_envelope
+from silverloom.models.rules import Counts
 from silverloom.operators.filters import drop_deleted, keep_matching, slice_system
 from silverloom.operators.fx import lookup_cube
 from silverloom.operators.joins import enrich
 from silverloom.sources.tables import publish_view, write_table
 
-DELETED_FLAGS = ("_fivetran_deleted", "is_deleted")
+# The flags of rows that the loader or the CRM has deleted, and the raw tables of which a model reads other
+# flags than the loader's.
+SYNC, CRM = "_fivetran_deleted", "is_deleted"
+DELETION_RULES: dict[tuple[str, str], tuple[str, ...]] = {
+    ("apbillitem", "sage_intacct.ap_bill_item"): (),
+    ("invoice_item", "sage_intacct.ar_invoice_item"): (),
+    ("expenseitem", "sage_intacct.eexpenses_item"): (),
+    ("estimates_vs_actuals", "salesforce.pse_est_vs_actuals_c"): (SYNC, CRM),
+    ("estimates_vs_actuals", "salesforce.pse_resource_request_c"): (SYNC, CRM),
+    ("estimates_vs_actuals", "salesforce.pse_assignment_c"): (SYNC, CRM),
+    ("project_phase_code", "salesforce.pse_milestone_c"): (SYNC, CRM),
+    ("project_phase_code", "salesforce.pse_project_task_c"): (SYNC, CRM),
+    ("timesheet_entry", "salesforce.pse_task_time_c"): (CRM,),
+    ("timesheet_entry", "salesforce.pse_timecard_header_c"): (CRM,),
+    ("timesheet_entry", "salesforce.pse_proj_c"): (CRM,),
+    ("timesheet_entry", "salesforce.contact"): (CRM,),
+    ("timesheet_entry", "salesforce.pse_project_task_c"): (CRM,),
+}
+
+
+def deletion_flags(model_name: str | None, table: str) -> tuple[str, ...]:
+    """Flags whose true or null value drops a row of the raw table from the model."""
+    return DELETION_RULES.get((model_name or "", table), (SYNC,))
+
+
 # Audit columns of the source systems and their names in the common layout.
 AUDIT_NAMES = {
     "created_by_id": "src_created_by_id", "last_modified_by_id": "src_modified_by_id", "created_date": "dts_src_created",
@@ -55,20 +80,30 @@ class Warehouse:
         self.root = root
         self._source = source
         self._built: dict[str, DataFrame] = {}
+        self._building: list[str] = []
+        self.counts = Counts()
 
     def source(self, system: str, table: str) -> DataFrame:
-        """Raw table without soft-deleted rows."""
+        """Raw table without the rows that are deleted for the model that is being built."""
+        name, builds = f"{system}.{table}", self._building[-1] if self._building else None
         df = self._source(system, table)
-        flags = [c for c in DELETED_FLAGS if c in df.columns]
-        return drop_deleted(df, *flags).drop(*flags)
+        if self.root and builds:
+            df = self.counts.watch_source(df, builds, name)
+        flags = [c for c in deletion_flags(builds, name) if c in df.columns]
+        return drop_deleted(df, *flags).drop(SYNC, CRM)
 
     def ref(self, name: str) -> DataFrame:
         if name not in self._built:
             m = MODELS[name]
-            df = m.build(self)
+            self._building.append(name)
+            try:
+                df = m.build(self)
+            finally:
+                self._building.pop()
             if self.root and m.sink == "table":
                 parts = ["src_sys_key"] if m.layer == "consolidation" else None
-                df = write_table(df, self.root, m.layer, name, parts)
+                df = write_table(self.counts.watch_model(df, name), self.root, m.layer, name, parts)
+                self.counts.settle(name, df, self._source)
             elif self.root:
                 df = publish_view(df, name)
             self._built[name] = df

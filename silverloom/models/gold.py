@@ -400,7 +400,7 @@ def dim_timesheet_entry_aggregates(w: Warehouse) -> DataFrame:
 @gold("dim_estimates_vs_actuals")
 def dim_estimates_vs_actuals(w: Warehouse) -> DataFrame:
     """Planned hours with the hours and amounts booked by the same person on the same project inside the plan's interval."""
-    plan = w.system("estimates_vs_actuals", "sfc").select("key", "key_project", "key_resource", "dte_start", "dte_end", "planned_hours", "planned_bill_rate",
+    plan = w.system("estimates_vs_actuals", "sfc").filter(~F.col("bln_exclude_from_planners")).select("key", "key_project", "key_resource", "dte_start", "dte_end", "planned_hours", "planned_bill_rate",
                                                            "planned_bill_amount", "currency_iso_code_bill_rate")
     plan = look(plan, w.system("employee", "sfc"), "key_resource", "key", "hash_link:__person display_name:resource_name")
     plan = look(plan, w.system("project", "sfc"), "key_project", "key", "hash_link:__project name:project_name")

@@ -21,6 +21,8 @@ LAYER = "consolidation"
 # Custom payroll fields that become columns, by field name.
 CUSTOM_FIELDS = {"PMQualified": "pm_qualified", "MissionSupportTeam": "mission_support_team", "MetricBonus": "metric_bonus_type",
                  "VestSize": "vest_size", "DietaryNeeds": "dietary_needs"}
+# Fixed value: the record type of CRM contacts that are the company's own people.
+STAFF = "0124W000001bI6LQAU"
 WEEK_HOURS = [f"pse_{d}_hours_c" for d in ("sunday", "monday", "tuesday", "wednesday", "thursday", "friday", "saturday")]
 
 
@@ -147,7 +149,7 @@ def employee(w: Warehouse) -> DataFrame:
     parts.append(conform_by_rule(acc, "int", "employee", w.as_of, key="recordno", link="ukg_employee_number", foreign={"locationkey": "entity"}, names={
         "employeeid": "intacct_employee_id", "personalinfo_printas": "display_name", "contact_name": "display_name_lf"},
         columns={"intacct_location_key": "locationkey"}))
-    crm = look(w.source("salesforce", "contact"), w.source("salesforce", "user"), "user_c", "id", "is_active:user_is_active")
+    crm = look(w.source("salesforce", "contact").filter(F.col("record_type_id") == STAFF), w.source("salesforce", "user"), "user_c", "id", "is_active:user_is_active")
     parts.append(conform_by_rule(crm, "sfc", "employee", w.as_of, link="ukg_employee_id_c", names={
         "user_c": "salesforce_user_id", "name": "display_name", "email": "email_address_work"}))
     portal = w.source("portal", "users")

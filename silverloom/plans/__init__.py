@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("rows", "relations", "rollups", "reports", "catalogue")
+MODULES = ("rows", "relations", "rollups", "reports", "catalogue", "rules")
 
 
 def load_all() -> None:

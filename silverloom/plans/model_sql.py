@@ -6,7 +6,18 @@ Column lists lean on DuckDB's star modifiers: EXCLUDE, REPLACE and RENAME.
 from __future__ import annotations
 
 from silverloom.plans.relations import _CUBE
-from silverloom.sources.raw import RAW_TABLES
+from silverloom.models.core import deletion_flags
+from silverloom.sources import raw
+
+#: Raw tables without the rows that the loader has marked as deleted.
+RAW_TABLES = {t: f"SELECT * FROM ({text}) WHERE NOT _fivetran_deleted" if "AS _fivetran_deleted" in text else text for t, text in raw.RAW_TABLES.items()}
+
+
+def live(model: str, table: str) -> str:
+    """A raw table without the rows that are deleted for the model."""
+    flags = [f for f in deletion_flags(model, table) if f"AS {f}" in raw.RAW_TABLES[table]]
+    return f"SELECT * FROM ({raw.RAW_TABLES[table]})" + (f" WHERE {' AND '.join(f'NOT {f}' for f in flags)}" if flags else "")
+
 
 STAMP = "TIMESTAMP '2001-08-01 00:00:00'"
 SF_AUDIT = {"created_by_id": "src_created_by_id", "last_modified_by_id": "src_modified_by_id", "created_date": "dts_src_created",
@@ -46,7 +57,7 @@ def silver(name: str, system: str, table: str, key: str, foreign: dict[str, str]
         star += f" REPLACE ({', '.join(f'CAST({d} AS DOUBLE) AS {d}' for d in doubles)})"
     if rename:
         star += f" RENAME ({', '.join(f'{a} AS {b}' for a, b in rename.items())})"
-    return f"SELECT {', '.join(cols)}, {star} FROM ({frm or RAW_TABLES[table]}) r"
+    return f"SELECT {', '.join(cols)}, {star} FROM ({frm or live(name, table)}) r"
 
 
 def _models() -> dict[str, str]:
@@ -98,7 +109,7 @@ def _models() -> dict[str, str]:
             "coalesce(assignment_currency, currency_iso_code) AS currency_iso_code_bill_rate, CAST(coalesce(assignment_rate, pse_resource_request_bill_rate_c) AS DOUBLE) AS planned_bill_rate, "
             "CAST(coalesce(assignment_rate, pse_resource_request_bill_rate_c) * pse_estimated_hours_c AS DOUBLE) AS planned_bill_amount",
             frm=f"SELECT e.*, a.pse_schedule_c AS schedule, a.pse_bill_rate_c AS assignment_rate, a.currency_iso_code AS assignment_currency, a.pse_exclude_from_planners_c AS bln_exclude_from_planners, q.id AS opportunity "
-                f"FROM ({RAW_TABLES[s + 'pse_est_vs_actuals_c']}) e LEFT JOIN ({RAW_TABLES[s + 'pse_assignment_c']}) a ON e.pse_assignment_c = a.id LEFT JOIN ({RAW_TABLES[s + 'pse_resource_request_c']}) q ON e.pse_resource_request_c = q.id"),
+                f"FROM ({live('estimates_vs_actuals', s + 'pse_est_vs_actuals_c')}) e LEFT JOIN ({live('estimates_vs_actuals', s + 'pse_assignment_c')}) a ON e.pse_assignment_c = a.id LEFT JOIN ({live('estimates_vs_actuals', s + 'pse_resource_request_c')}) q ON e.pse_resource_request_c = q.id"),
     }
     i = "sage_intacct."
     head = {**INT_AUDIT, "whenposted": "dte_whenposted"}
@@ -159,7 +170,7 @@ def _models() -> dict[str, str]:
             silver("project_phase_code", "sfc_milestones", s + "pse_milestone_c", "id", {"pse_project_c": "project", "pse_approver_c": "approver", "practice_area_c": "practice_area"}, {}),
             silver("project_phase_code", "sfc_project_task", s + "pse_project_task_c", "id", {"pse_project_c": "project"}, {
                 "pse_milestone_c": "milestone", "proposal_c": "proposal", "is_project_task_c": "bln_is_project_task"}, extra="pse_milestone_c AS key_milestone", link="pse_milestone_c",
-                frm=f"SELECT * FROM ({RAW_TABLES[s + 'pse_project_task_c']}) t WHERE NOT is_project_task_c", drop=("original_proposal_budget_c", "original_proposal_hrs_or_units_c")),
+                frm=f"SELECT * FROM ({live('project_phase_code', s + 'pse_project_task_c')}) t WHERE NOT is_project_task_c", drop=("original_proposal_budget_c", "original_proposal_hrs_or_units_c")),
             silver("project_phase_code", "pts", "psatools.projects_phase_codes", "id", {"project_id": "project"}, {}, link="milestone_id")) + ")",
         "employee_job_history": silver(
             "employee_job_history", "ukg", "ukg_pro.employee_job_history", "id", {
@@ -247,7 +258,7 @@ def _models() -> dict[str, str]:
             rate = f"CASE WHEN {cur} = {to} THEN 1.0 ELSE coalesce(x{k}.fx_rate_mul, 1.0) END"
             made += f", {rate} AS fx_rate_{suffix}" + "".join(
                 f", CAST(CAST(CAST({whole.format(a)} AS DECIMAL(18,2)) * CAST({rate} AS DECIMAL(20,14)) AS DECIMAL(18,2)) AS DOUBLE) AS {a}_{suffix}" for a in amounts)
-            extra += f" LEFT JOIN cube x{k} ON x{k}.frm_curr = {cur} AND x{k}.to_curr = {to} AND x{k}.date = greatest(least({date}, hi), lo)"
+            extra += f" LEFT JOIN cube x{k} ON x{k}.frm_curr = {cur} AND x{k}.to_curr = {to} AND x{k}.date = CASE WHEN {date} IS NOT NULL THEN greatest(least({date}, hi), lo) END"
         return (_CUBE + f" SELECT {audit(model)}, b.* EXCLUDE ({GOLD_DROP}, currency_iso_code{drop}){cols}, {cur} AS currency_iso_code{made} "
                 f"FROM ({out[base]}) b CROSS JOIN lim {joins} {extra}")
 
@@ -284,7 +295,7 @@ def _models() -> dict[str, str]:
             rate = f"CASE WHEN {frm} = {to} THEN 1.0 ELSE coalesce(x{k}.fx_rate_mul, 1.0) END"
             made += f", {rate} AS fx_rate_{suffix}" + "".join(
                 f", CAST(CAST(CAST(b.{a} AS DECIMAL(18,2)) * CAST({rate} AS DECIMAL(20,14)) AS DECIMAL(18,2)) AS DOUBLE) AS {a}_{suffix}" for a in amounts)
-            joins += f" LEFT JOIN cube x{k} ON x{k}.frm_curr = {frm} AND x{k}.to_curr = {to} AND x{k}.date = greatest(least({date}, hi), lo)"
+            joins += f" LEFT JOIN cube x{k} ON x{k}.frm_curr = {frm} AND x{k}.to_curr = {to} AND x{k}.date = CASE WHEN {date} IS NOT NULL THEN greatest(least({date}, hi), lo) END"
         return made, joins
 
     def pay_lines(model: str, base: str, amounts: tuple[str, ...]) -> str:
@@ -312,7 +323,7 @@ def _models() -> dict[str, str]:
             "upper(coalesce(NULLIF(j.cur, ''), 'USD')) AS project_currency, m.name AS phase_code_name, t.name AS task_name, coalesce(f.nm, fu.name) AS created_by_name, coalesce(g.nm, gu.name) AS modified_by_name, "
             f"{stone} AS currency_original{stone_made} FROM ({out['project_task_milestone']}) b CROSS JOIN lim "
             "LEFT JOIN (SELECT 'SP' || CAST(p_partkey AS STRING) AS sk, p_name AS name, CASE p_type WHEN 'ECONOMY' THEN 'EUR' WHEN 'SMALL' THEN 'GBP' ELSE 'USD' END AS cur, DATE '2000-01-03' AS start FROM part) j ON j.sk = b.key_project "
-            f"LEFT JOIN ({RAW_TABLES[s + 'pse_milestone_c']}) m ON m.id = b.key_milestone LEFT JOIN ({out['project_task']}) t ON t.key = b.key_project_task "
+            f"LEFT JOIN ({live('project_phase_code', s + 'pse_milestone_c')}) m ON m.id = b.key_milestone LEFT JOIN ({out['project_task']}) t ON t.key = b.key_project_task "
             f"LEFT JOIN {person} f ON f.sfc_user_id = b.src_created_by_id LEFT JOIN {person} g ON g.sfc_user_id = b.src_modified_by_id "
             f"LEFT JOIN ({out['sales_user']}) fu ON fu.key = b.src_created_by_id LEFT JOIN ({out['sales_user']}) gu ON gu.key = b.src_modified_by_id {stone_joins}",
         "dim_timesheet": f"SELECT {audit('dim_timesheet')}, b.* EXCLUDE ({GOLD_DROP}, employee_name), b.employee_id AS employee_id_intacct, 'R' || CAST(d.n_nationkey AS STRING) AS key_department, d.n_name AS department_name, "

@@ -7,6 +7,9 @@ instead; the models only rely on the column names.
 from __future__ import annotations
 
 LIVE = "FALSE AS _fivetran_deleted"
+# some orders and lines that the loader has marked as deleted
+LIVE_ORDER = "(o_orderkey % 41 = 7) AS _fivetran_deleted"
+LIVE_LINE = "(l_orderkey % 43 = 5 AND l_linenumber <> 3) AS _fivetran_deleted"
 
 
 def _text(prefix: str, c: str) -> str:
@@ -26,10 +29,10 @@ _PORTAL_DIMS = """states contractor_companies countries departments dol_statuses
     payroll_companies pay_types positions position_families practices practice_areas termination_types base_teams job_salary_grades""".split()
 
 # audit columns every Salesforce table has
-_SF = "'U1' AS created_by_id, 'U2' AS last_modified_by_id, {when} AS created_date, {when} AS last_modified_date, {when} AS system_modstamp, FALSE AS is_deleted, " + LIVE
-_SF_ORDER = _SF.format(when="o_orderdate")
-_SF_LINE = _SF.format(when="l_shipdate")
-_SF_PARTY = _SF.format(when="TIMESTAMP '2000-01-01 00:00:00'")
+_SF = "'U1' AS created_by_id, 'U2' AS last_modified_by_id, {when} AS created_date, {when} AS last_modified_date, {when} AS system_modstamp, ({key} % 37 = 3) AS is_deleted, "
+_SF_ORDER = _SF.format(when="o_orderdate", key="o_orderkey") + LIVE_ORDER
+_SF_LINE = _SF.format(when="l_shipdate", key="l_orderkey") + LIVE_LINE
+_SF_PARTY, _SF_PART, _SF_NATION = (_SF.format(when="TIMESTAMP '2000-01-01 00:00:00'", key=k) + LIVE for k in ("c_custkey", "p_partkey", "n_nationkey"))
 _CUR = "CASE o_orderpriority WHEN '1-URGENT' THEN '' WHEN '2-HIGH' THEN 'EUR' WHEN '3-MEDIUM' THEN 'GBP' WHEN '4-NOT SPECIFIED' THEN 'JPY' ELSE 'USD' END"
 _LINES = "lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey"
 # lines have no key of their own: grouped to one row per order, position and part
@@ -44,7 +47,7 @@ def _int_header(*cols: str) -> str:
     extra = "".join(f", {c}" for c in cols)
     return f"""SELECT o_orderkey AS recordno, CAST(o_orderkey AS STRING) AS recordid, o_custkey AS customerkey, {_text('E', 'o_custkey')} AS employeeid,
         {_CUR} AS currency, 'USD' AS basecurr, CAST(o_totalprice AS DECIMAL(18,2)) AS totalentered, CAST(o_orderdate AS DATE) AS whenposted,
-        o_orderstatus AS state, c_nationkey AS locationkey{extra}, o_orderdate AS whencreated, o_orderdate AS whenmodified, {LIVE}
+        o_orderstatus AS state, c_nationkey AS locationkey{extra}, o_orderdate AS whencreated, o_orderdate AS whenmodified, {LIVE_ORDER}
         FROM orders JOIN customer ON o_custkey = c_custkey"""
 
 
@@ -53,7 +56,7 @@ def _int_line(*cols: str) -> str:
     return f"""SELECT {_LINE} AS recordno, l_orderkey AS recordkey, l_partkey AS projectkey, {_text('E', 'o_custkey')} AS employeeid, o_custkey AS employeekey,
         {_text('D', 'c_nationkey')} AS departmentid, {_text('D', 'c_nationkey')} AS locationid, c_nationkey AS baselocation, {_CUR} AS currency,
         price AS amount, CAST(price * 0.9 AS DECIMAL(18,2)) AS trx_amount, CAST(l_shipdate AS DATE) AS entry_date, (l_linestatus = 'F') AS billable,
-        TRUE AS lineitem{extra}, l_shipdate AS whencreated, l_shipdate AS whenmodified, {LIVE} FROM {_ONE_LINE}"""
+        TRUE AS lineitem{extra}, l_shipdate AS whencreated, l_shipdate AS whenmodified, {LIVE_LINE} FROM {_ONE_LINE}"""
 
 
 RAW_TABLES: dict[str, str] = {f"portal.{d}": _PORTAL_DIM for d in _PORTAL_DIMS}
@@ -96,11 +99,11 @@ RAW_TABLES |= {
         FROM orders JOIN customer ON o_custkey = c_custkey""",
     "ukg_pro.employee_change": f"""SELECT CAST(c_custkey AS STRING) AS employee_id, CAST(c_nationkey AS STRING) AS company_id, TIMESTAMP '2001-01-01 00:00:00' AS date_time_changed, {LIVE} FROM customer""",
     "ukg_pro.employment_field_row": f"""SELECT CAST(c_custkey AS STRING) || ':CO' || CAST(c_nationkey AS STRING) AS key_value, 'PMQualified' AS field_name, c_mktsegment AS field_value, {LIVE} FROM customer
-        UNION ALL SELECT CAST(c_custkey AS STRING) || ':CO' || CAST(c_nationkey AS STRING), 'VestSize', CAST(c_nationkey AS STRING), FALSE FROM customer WHERE c_acctbal > 0""",
+        UNION ALL SELECT CAST(c_custkey AS STRING) || ':CO' || CAST(c_nationkey AS STRING), CASE WHEN c_acctbal > 0 THEN 'VestSize' ELSE 'DietaryNeeds' END, CAST(c_nationkey AS STRING), FALSE FROM customer""",
     "ukg_pro.earning_history_base_element": f"""SELECT {_LINE} AS _fivetran_id, CAST(o_custkey AS STRING) AS employee_id, CAST(c_nationkey AS STRING) AS company_id, CAST(l_orderkey AS STRING) AS employment_id,
-        price AS current_amount, CAST(price * 0.8 AS DECIMAL(18,2)) AS base_amount, qty AS current_hours, CAST(l_shipdate AS DATE) AS pay_date, (flag = 'R') AS is_voided, {LIVE} FROM {_ONE_LINE}""",
+        price AS current_amount, CAST(price * 0.8 AS DECIMAL(18,2)) AS base_amount, qty AS current_hours, CAST(l_shipdate AS DATE) AS pay_date, (flag = 'R') AS is_voided, {LIVE_LINE} FROM {_ONE_LINE}""",
     "ukg_pro.payroll_deduction_history": f"""SELECT {_LINE} AS _fivetran_id, CAST(o_custkey AS STRING) AS employee_id, CAST(c_nationkey AS STRING) AS company_id, CAST(price * 0.1 AS DECIMAL(18,2)) AS employee_amount,
-        CAST(price * 0.2 AS DECIMAL(18,2)) AS employer_amount, CAST(l_shipdate AS DATE) AS pay_date, CASE WHEN flag = 'A' THEN 'Y' ELSE 'N' END AS is_cafeteria_plan, CASE WHEN l_linestatus = 'O' THEN 'Y' ELSE 'N' END AS is_voided, {LIVE} FROM {_ONE_LINE}""",
+        CAST(price * 0.2 AS DECIMAL(18,2)) AS employer_amount, CAST(l_shipdate AS DATE) AS pay_date, CASE WHEN flag = 'A' THEN 'Y' ELSE 'N' END AS is_cafeteria_plan, CASE WHEN l_linestatus = 'O' THEN 'Y' ELSE 'N' END AS is_voided, {LIVE_LINE} FROM {_ONE_LINE}""",
     # ---- accounting system
     "sage_intacct.location": f"SELECT n_nationkey AS recordno, {_text('D', 'n_nationkey')} AS locationid, n_regionkey AS parentkey, n_name AS name, CASE WHEN n_regionkey > 2 THEN 'active' ELSE '' END AS status, CASE n_regionkey WHEN 0 THEN 'C' WHEN 1 THEN 'E' WHEN 2 THEN 'N' ELSE '' END AS locationtype, {LIVE} FROM nation",
     "sage_intacct.department": f"SELECT n_nationkey AS recordno, {_text('D', 'n_nationkey')} AS departmentid, n_name AS title, {LIVE} FROM nation",
@@ -111,14 +114,14 @@ RAW_TABLES |= {
     "sage_intacct.employee": f"""SELECT c_custkey AS recordno, {_text('E', 'c_custkey')} AS employeeid, {_text('D', 'c_nationkey')} AS locationid, c_nationkey AS locationkey, {_text('D', 'c_nationkey')} AS departmentid, c_nationkey AS departmentkey,
         c_name AS contact_name, c_name AS personalinfo_printas, CAST(c_custkey AS STRING) AS ukg_employee_number, 'USD' AS currency, {_text('D', 'c_nationkey')} AS home_region, c_mktsegment AS earningtypename, (c_acctbal > 0) AS mst_member, {LIVE} FROM customer""",
     "sage_intacct.project": f"""SELECT p_partkey AS recordno, {_text('P', 'p_partkey')} AS projectid, p_name AS name, {_text('E', 'p_partkey')} AS managerid, {_text('D', 'p_size % 25')} AS departmentid, {_text('D', 'p_size % 25')} AS locationid, p_size % 25 AS locationkey,
-        CASE p_type WHEN 'ECONOMY' THEN 'EUR' WHEN 'SMALL' THEN 'GBP' ELSE 'USD' END AS currency, CAST(p_retailprice AS DECIMAL(18,2)) AS po_amount, 'Project' AS projecttype, DATE '2000-01-03' AS begindate, {LIVE} FROM part""",
-    "sage_intacct.project_resources": f"""SELECT l_partkey AS projectkey, o_custkey AS employeekey, l_linenumber AS itemkey, min(CAST(l_shipdate AS DATE)) AS startdate, CAST(max(l_extendedprice) AS DECIMAL(18,2)) AS billingrate, {LIVE}
-        FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_returnflag <> 'N' GROUP BY 1, 2, 3""",
+        CASE p_type WHEN 'ECONOMY' THEN 'EUR' WHEN 'SMALL' THEN 'GBP' ELSE 'USD' END AS currency, CAST(p_retailprice AS DECIMAL(18,2)) AS po_amount, CASE WHEN p_size % 17 = 4 THEN 'Client Site' ELSE 'Project' END AS projecttype, DATE '2000-01-03' AS begindate, {LIVE} FROM part""",
+    "sage_intacct.project_resources": f"""SELECT l_partkey AS projectkey, o_custkey AS employeekey, CASE WHEN l_returnflag <> 'N' THEN l_linenumber ELSE l_linenumber + 100 END AS itemkey, min(CAST(l_shipdate AS DATE)) AS startdate, CAST(max(l_extendedprice) AS DECIMAL(18,2)) AS billingrate, {LIVE}
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2, 3""",
     "sage_intacct.timesheet": f"""SELECT o_orderkey AS recordno, {_text('E', 'o_custkey')} AS employeeid, o_custkey AS employeekey, CAST(o_custkey AS STRING) || ':' || CAST(CAST(o_orderdate AS DATE) AS STRING) AS link, CAST(o_orderdate AS DATE) AS begindate,
-        o_orderstatus AS state, {_text('D', 'c_nationkey')} AS employeelocationid, {_text('D', 'c_nationkey')} AS employeedepartmentid, o_orderdate AS whencreated, {LIVE} FROM orders JOIN customer ON o_custkey = c_custkey""",
+        o_orderstatus AS state, {_text('D', 'c_nationkey')} AS employeelocationid, {_text('D', 'c_nationkey')} AS employeedepartmentid, o_orderdate AS whencreated, {LIVE_ORDER} FROM orders JOIN customer ON o_custkey = c_custkey""",
     "sage_intacct.timesheetentry": f"""SELECT {_LINE} AS recordno, l_orderkey AS timesheetkey, l_partkey AS projectkey, {_text('P', 'l_partkey')} AS projectid, o_custkey AS employeedimkey, {_text('E', 'o_custkey')} AS employeeid, l_linenumber AS itemkey,
         l_partkey AS taskkey, {_TASK} AS taskname, CAST(l_shipdate AS DATE) AS entrydate, qty, (l_linestatus = 'F') AS billable, {_text('D', 'c_nationkey')} AS departmentid, {_text('D', 'c_nationkey')} AS locationid, c_nationkey AS locationkey,
-        {_LINE} AS salesforce_id, l_shipdate AS whenmodified, {LIVE} FROM {_ONE_LINE}""",
+        {_LINE} AS salesforce_id, l_shipdate AS whenmodified, {LIVE_LINE} FROM {_ONE_LINE}""",
     "sage_intacct.ap_bill": _int_header("c_nationkey AS entitykey"),
     "sage_intacct.cc_transaction": _int_header("c_nationkey AS entitykey"),
     "sage_intacct.eexpenses": _int_header(f"CASE WHEN o_orderstatus <> 'P' THEN {_text('ER', 'o_orderkey')} END AS psa_id"),
@@ -133,7 +136,8 @@ RAW_TABLES |= {
     "sage_intacct.ar_invoice_item": _int_line("CASE WHEN flag = 'A' THEN '' ELSE flag END AS memo"),
     "sage_intacct_gl.gl_account": f"SELECT p_partkey AS recordno, {_text('GL', 'p_partkey')} AS accountno, p_name AS title, CASE WHEN p_size < 10 THEN '' ELSE p_type END AS category, CAST(NULL AS BOOLEAN) AS requiredept, {LIVE} FROM part",
     # ---- CRM
-    "salesforce.contact": f"SELECT {_text('C', 'c_custkey')} AS id, {_text('U', 'c_custkey')} AS user_c, CAST(c_custkey AS STRING) AS ukg_employee_id_c, {_text('A', 'c_custkey')} AS account_id, c_name AS name, c_mktsegment AS first_name, c_name AS last_name, {_text('S', 'c_nationkey')} AS practice_c, c_name || '@example.com' AS email, {_SF_PARTY} FROM customer",
+    "salesforce.contact": f"""SELECT {_text('C', 'c_custkey')} AS id, {_text('U', 'c_custkey')} AS user_c, CAST(c_custkey AS STRING) AS ukg_employee_id_c, {_text('A', 'c_custkey')} AS account_id, c_name AS name, c_mktsegment AS first_name, c_name AS last_name, {_text('S', 'c_nationkey')} AS practice_c, c_name || '@example.com' AS email,
+        CASE WHEN c_custkey % 61 = 17 THEN '012OTHER' ELSE '0124W000001bI6LQAU' END AS record_type_id, {_SF_PARTY} FROM customer""",
     "salesforce.user": f"SELECT {_text('U', 'c_custkey')} AS id, {_text('C', 'c_custkey')} AS contact_id, CAST(c_custkey - c_custkey % 2 AS STRING) AS ukg_employee_id_c, CASE WHEN c_custkey % 4 = 0 THEN {_text('U', 'c_custkey + 1')} END AS delegated_approver_id, c_name AS name, c_name || '@example.com' AS email, (c_acctbal > 0) AS is_active, {_SF_PARTY} FROM customer",
     "salesforce.account": f"""SELECT {_text('A', 'c_custkey')} AS id, CASE WHEN c_custkey >= 4 THEN 'A' || CAST(CAST(floor(c_custkey / 4.0) AS BIGINT) AS STRING) END AS parent_id, c_name AS name, CASE WHEN c_mktsegment = 'BUILDING' THEN 'A' END AS grade_c,
         CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN 'N30' END AS payment_terms_c, {_text('U', 'c_custkey')} AS owner_id, {_text('C', 'c_custkey')} AS client_manager_c, CAST(c_nationkey AS STRING) || '-' || substring(c_name, 16) AS billing_postal_code,
@@ -147,35 +151,35 @@ RAW_TABLES |= {
         """ + ", ".join(f"{_text('U', f'o_custkey + {i}')} AS approver_{i}_c" for i in range(1, 11)) + ", " + ", ".join(f"{_text('U', f'o_custkey + {10 + i}')} AS reviewer_{i}_c" for i in range(1, 6)) + f", {_SF_ORDER} FROM orders JOIN customer ON o_custkey = c_custkey",
     "salesforce.quote_line_item": f"SELECT {_LINE} AS id, {_text('Q', 'l_orderkey')} AS quote_id, {_text('PR', 'l_partkey')} AS product_2_id, {_text('S', 'c_nationkey')} AS practice_c, qty AS quantity, price AS total_price, CAST(price * 1.1 AS DECIMAL(18,2)) AS list_price, {_SF_LINE} FROM {_ONE_LINE}",
     "salesforce.purchase_order_c": f"SELECT {_text('PO', 'o_orderkey')} AS id, {_text('A', 'o_custkey')} AS account_c, {_text('O', 'o_orderkey')} AS opportunity_c, {_CUR} AS currency_iso_code, CAST(o_totalprice AS DECIMAL(18,2)) AS amount_c, CAST(o_orderdate AS DATE) AS received_date_c, {_SF_ORDER} FROM orders",
-    "salesforce.product_2": f"SELECT {_text('PR', 'p_partkey')} AS id, p_name AS name, p_type AS family, 'USD' AS currency_iso_code, (p_size < 40) AS is_active, {_SF_PARTY} FROM part",
-    "salesforce.pricebook_entry": f"SELECT {_text('PE', 'p_partkey')} AS id, {_text('PR', 'p_partkey')} AS product_2_id, CAST(p_retailprice AS DECIMAL(18,2)) AS unit_price, 'USD' AS currency_iso_code, {_SF_PARTY} FROM part",
+    "salesforce.product_2": f"SELECT {_text('PR', 'p_partkey')} AS id, p_name AS name, p_type AS family, 'USD' AS currency_iso_code, (p_size < 40) AS is_active, {_SF_PART} FROM part",
+    "salesforce.pricebook_entry": f"SELECT {_text('PE', 'p_partkey')} AS id, {_text('PR', 'p_partkey')} AS product_2_id, CAST(p_retailprice AS DECIMAL(18,2)) AS unit_price, 'USD' AS currency_iso_code, {_SF_PART} FROM part",
     "salesforce.lead": f"SELECT {_text('L', 'o_orderkey')} AS id, {_text('U', 'o_custkey')} AS owner_id, {_text('S', 'c_nationkey')} AS country_code, {_text('S', 'c_nationkey')} AS state_code, {_text('S', 'c_nationkey')} AS practice_c, {_text('S', 'c_nationkey')} AS location_c, {_text('O', 'o_orderkey')} AS converted_opportunity_id, o_orderstatus AS status, {_SF_ORDER} FROM orders JOIN customer ON o_custkey = c_custkey",
-    "salesforce.pse_rate_card_c": f"SELECT {_text('RC', 'p_partkey')} AS id, {_text('U', 'p_partkey')} AS owner_id, {_text('S', 'p_size % 25')} AS pse_practice_c, {_text('S', 'p_size % 25')} AS pse_region_c, {_text('A', 'p_partkey')} AS pse_account_c, CAST(p_retailprice AS DECIMAL(18,2)) AS pse_suggested_bill_rate_c, DATE '2000-01-01' AS pse_start_date_c, {_SF_PARTY} FROM part",
-    "salesforce.pse_rate_card_set_c": f"SELECT {_text('RS', 'n_nationkey')} AS id, {_text('U', 'n_nationkey')} AS owner_id, n_name AS name, {_SF_PARTY} FROM nation",
-    "salesforce.pse_rate_card_set_junction_c": f"SELECT {_text('J', 'p_partkey')} AS id, {_text('RC', 'p_partkey')} AS pse_rate_card_c, {_text('RS', 'p_size % 25')} AS pse_rate_card_set_c, {_SF_PARTY} FROM part",
-    "salesforce.pse_proj_c": f"SELECT {_text('SP', 'p_partkey')} AS id, p_partkey AS intacct_record_no_c, {_text('A', 'p_partkey')} AS pse_account_c, {_text('O', 'p_partkey')} AS pse_opportunity_c, {_text('C', 'p_partkey')} AS pse_project_manager_c, {_text('S', 'p_size % 25')} AS pse_practice_c, {_text('S', 'p_size % 25')} AS pse_group_c, p_name AS name, {_SF_PARTY} FROM part",
-    "salesforce.pse_practice_c": f"SELECT {_text('S', 'n_nationkey')} AS id, n_name AS name, {_SF_PARTY} FROM nation",
-    "salesforce.pse_grp_c": f"SELECT {_text('S', 'n_nationkey')} AS id, n_name AS name, {_SF_PARTY} FROM nation",
-    "salesforce.pse_milestone_c": f"SELECT {_text('M', 'p_partkey')} AS id, {_text('SP', 'p_partkey')} AS pse_project_c, {_text('U', 'p_partkey')} AS pse_approver_c, {_text('S', 'p_size % 25')} AS practice_area_c, p_name AS name, {_SF_PARTY} FROM part",
+    "salesforce.pse_rate_card_c": f"SELECT {_text('RC', 'p_partkey')} AS id, {_text('U', 'p_partkey')} AS owner_id, {_text('S', 'p_size % 25')} AS pse_practice_c, {_text('S', 'p_size % 25')} AS pse_region_c, {_text('A', 'p_partkey')} AS pse_account_c, CAST(p_retailprice AS DECIMAL(18,2)) AS pse_suggested_bill_rate_c, DATE '2000-01-01' AS pse_start_date_c, {_SF_PART} FROM part",
+    "salesforce.pse_rate_card_set_c": f"SELECT {_text('RS', 'n_nationkey')} AS id, {_text('U', 'n_nationkey')} AS owner_id, n_name AS name, {_SF_NATION} FROM nation",
+    "salesforce.pse_rate_card_set_junction_c": f"SELECT {_text('J', 'p_partkey')} AS id, {_text('RC', 'p_partkey')} AS pse_rate_card_c, {_text('RS', 'p_size % 25')} AS pse_rate_card_set_c, {_SF_PART} FROM part",
+    "salesforce.pse_proj_c": f"SELECT {_text('SP', 'p_partkey')} AS id, p_partkey AS intacct_record_no_c, {_text('A', 'p_partkey')} AS pse_account_c, {_text('O', 'p_partkey')} AS pse_opportunity_c, {_text('C', 'p_partkey')} AS pse_project_manager_c, {_text('S', 'p_size % 25')} AS pse_practice_c, {_text('S', 'p_size % 25')} AS pse_group_c, p_name AS name, {_SF_PART} FROM part",
+    "salesforce.pse_practice_c": f"SELECT {_text('S', 'n_nationkey')} AS id, n_name AS name, {_SF_NATION} FROM nation",
+    "salesforce.pse_grp_c": f"SELECT {_text('S', 'n_nationkey')} AS id, n_name AS name, {_SF_NATION} FROM nation",
+    "salesforce.pse_milestone_c": f"SELECT {_text('M', 'p_partkey')} AS id, {_text('SP', 'p_partkey')} AS pse_project_c, {_text('U', 'p_partkey')} AS pse_approver_c, {_text('S', 'p_size % 25')} AS practice_area_c, p_name AS name, {_SF_PART} FROM part",
     "salesforce.pse_project_task_c": f"""SELECT {_text('PT', 'p_partkey')} AS id, {_text('M', 'p_partkey')} AS pse_milestone_c, {_text('SP', 'p_partkey')} AS pse_project_c, {_text('Q', 'p_partkey')} AS proposal_c, {_text('U', 'p_partkey')} AS owner_id, (p_size % 3 <> 0) AS is_project_task_c, p_name AS name,
-        CAST(p_retailprice AS DECIMAL(18,2)) AS original_proposal_budget_c, CAST(p_size - 1 AS DECIMAL(18,2)) AS original_proposal_hrs_or_units_c, {_SF_PARTY} FROM part""",
-    "salesforce.project_task_milestone_c": f"SELECT {_text('PM', 'p_partkey')} AS id, {_text('PT', 'p_partkey')} AS project_task_c, {_text('M', 'p_partkey')} AS phase_code_c, {_text('SP', 'p_partkey')} AS project_c, CAST(p_retailprice AS DECIMAL(18,2)) AS earned_value_c, CASE WHEN p_size % 2 = 0 THEN 'EUR' ELSE '' END AS currency_iso_code, DATE '2024-01-10' AS milestone_date_c, {_SF_PARTY} FROM part",
+        CAST(p_retailprice AS DECIMAL(18,2)) AS original_proposal_budget_c, CAST(p_size - 1 AS DECIMAL(18,2)) AS original_proposal_hrs_or_units_c, {_SF_PART} FROM part""",
+    "salesforce.project_task_milestone_c": f"SELECT {_text('PM', 'p_partkey')} AS id, {_text('PT', 'p_partkey')} AS project_task_c, {_text('M', 'p_partkey')} AS phase_code_c, {_text('SP', 'p_partkey')} AS project_c, CAST(p_retailprice AS DECIMAL(18,2)) AS earned_value_c, CASE WHEN p_size % 2 = 0 THEN 'EUR' ELSE '' END AS currency_iso_code, DATE '2024-01-10' AS milestone_date_c, {_SF_PART} FROM part",
     "salesforce.pse_timecard_header_c": f"SELECT {_text('TH', 'o_orderkey')} AS id, {_text('C', 'o_custkey')} AS pse_resource_c, CAST(o_custkey AS STRING) || ':' || CAST(CAST(o_orderdate AS DATE) AS STRING) AS link, CAST(o_orderdate AS DATE) AS pse_start_date_c, o_orderstatus AS pse_status_c, 'CA' AS state_worked_c, {_SF_ORDER} FROM orders",
     "salesforce.pse_task_time_c": f"""SELECT {_text('TT', 'l_orderkey')} AS id, {_text('TH', 'l_orderkey')} AS pse_timecard_c, {_text('PT', 'min(l_partkey)')} AS pse_project_task_c, CAST(min(l_shipdate) AS DATE) AS pse_start_date_c,
         CAST(sum(CASE l_linenumber WHEN 1 THEN l_quantity END) AS DECIMAL(18,2)) AS pse_sunday_hours_c, CAST(sum(CASE l_linenumber WHEN 2 THEN l_quantity END) AS DECIMAL(18,2)) AS pse_monday_hours_c, CAST(sum(CASE l_linenumber WHEN 3 THEN l_quantity END) AS DECIMAL(18,2)) AS pse_tuesday_hours_c,
         CAST(sum(CASE l_linenumber WHEN 4 THEN l_quantity END) AS DECIMAL(18,2)) AS pse_wednesday_hours_c, CAST(sum(CASE l_linenumber WHEN 5 THEN l_quantity END) AS DECIMAL(18,2)) AS pse_thursday_hours_c, CAST(sum(CASE l_linenumber WHEN 6 THEN l_quantity END) AS DECIMAL(18,2)) AS pse_friday_hours_c,
-        CAST(sum(CASE l_linenumber WHEN 7 THEN l_quantity END) AS DECIMAL(18,2)) AS pse_saturday_hours_c, max('DEV') AS phase_code_name_c, FALSE AS is_deleted, {LIVE} FROM lineitem GROUP BY l_orderkey""",
+        CAST(sum(CASE l_linenumber WHEN 7 THEN l_quantity END) AS DECIMAL(18,2)) AS pse_saturday_hours_c, max('DEV') AS phase_code_name_c, (l_orderkey % 37 = 3) AS is_deleted, (l_orderkey % 41 = 7) AS _fivetran_deleted FROM lineitem GROUP BY l_orderkey""",
     "salesforce.pse_expense_report_c": f"SELECT {_text('ER', 'o_orderkey')} AS id, CAST(o_orderkey AS STRING) AS intacct_expense_c, {_text('C', 'o_custkey')} AS pse_resource_c, {_text('SP', 'o_custkey')} AS pse_project_c, o_orderstatus AS pse_status_c, {_SF_ORDER} FROM orders",
     "salesforce.pse_expense_c": f"SELECT {_LINE} AS id, {_text('ER', 'l_orderkey')} AS pse_expense_report_c, {_text('C', 'o_custkey')} AS pse_resource_c, flag AS pse_type_c, price AS pse_amount_c, (l_linestatus = 'F') AS pse_billable_c, {_SF_LINE} FROM {_ONE_LINE}",
     "salesforce.expense_type_gla_mapping_c": f"SELECT DISTINCT {_text('GM', 'l_returnflag')} AS id, l_returnflag AS expense_type_c, {_text('GL', 'l_returnflag')} AS gla_account_c, {LIVE} FROM lineitem",
     "salesforce.pse_est_vs_actuals_c": f"""SELECT {_text('EV', 'o_orderkey')} AS id, {_text('AS', 'o_orderkey')} AS pse_assignment_c, {_text('SP', 'o_custkey')} AS pse_project_c, {_text('RR', 'o_orderkey')} AS pse_resource_request_c, {_text('C', 'o_custkey')} AS pse_resource_c, CAST(o_orderdate AS DATE) AS pse_start_date_c,
         @plus(CAST(o_orderdate AS DATE), 60) AS pse_end_date_c, CAST(o_custkey % 40 AS DECIMAL(18,2)) AS pse_estimated_hours_c, CAST(50 AS DECIMAL(18,2)) AS pse_resource_request_bill_rate_c, {_CUR} AS currency_iso_code, {_SF_ORDER} FROM orders""",
-    "salesforce.pse_assignment_c": f"SELECT {_text('AS', 'o_orderkey')} AS id, {_text('SC', 'o_orderkey')} AS pse_schedule_c, CASE WHEN o_orderstatus = 'F' THEN CAST(o_custkey % 90 AS DECIMAL(18,2)) END AS pse_bill_rate_c, CASE WHEN o_orderstatus = 'F' THEN 'EUR' END AS currency_iso_code, FALSE AS pse_exclude_from_planners_c, FALSE AS is_deleted, {LIVE} FROM orders",
-    "salesforce.pse_resource_request_c": f"SELECT {_text('RR', 'o_orderkey')} AS id, {_text('O', 'o_orderkey')} AS pse_opportunity_c, FALSE AS is_deleted, {LIVE} FROM orders",
+    "salesforce.pse_assignment_c": f"SELECT {_text('AS', 'o_orderkey')} AS id, {_text('SC', 'o_orderkey')} AS pse_schedule_c, CASE WHEN o_orderstatus = 'F' THEN CAST(o_custkey % 90 AS DECIMAL(18,2)) END AS pse_bill_rate_c, CASE WHEN o_orderstatus = 'F' THEN 'EUR' END AS currency_iso_code, (o_orderkey % 29 = 4) AS pse_exclude_from_planners_c, (o_orderkey % 37 = 5) AS is_deleted, {LIVE_ORDER} FROM orders",
+    "salesforce.pse_resource_request_c": f"SELECT {_text('RR', 'o_orderkey')} AS id, {_text('O', 'o_orderkey')} AS pse_opportunity_c, (o_orderkey % 37 = 6) AS is_deleted, {LIVE_ORDER} FROM orders",
     # ---- project and estimate tools
     "psatools.projects": f"SELECT p_partkey AS id, p_partkey AS int_record_no, {_text('P', 'p_partkey')} AS int_project_id, {_text('', 'p_partkey')} AS assistant_project_manager_id, p_name AS name, {LIVE} FROM part",
     "psatools.projects_phase_codes": f"SELECT p_partkey AS id, p_partkey AS project_id, {_text('PT', 'p_partkey')} AS sfc_task_id, {_text('T', 'p_partkey')} AS int_task_id, {_text('M', 'p_partkey')} AS milestone_id, p_name AS name, {LIVE} FROM part",
-    "psatools.project_personnel_exceptions": f"SELECT l_partkey AS project_id, o_custkey AS user_id, max(CAST(l_shipdate AS DATE)) AS effective_date, CAST(max(l_extendedprice) AS DECIMAL(18,2)) AS rate, CAST(NULL AS STRING) AS item_id, {LIVE} FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_returnflag = 'N' GROUP BY 1, 2",
+    "psatools.project_personnel_exceptions": f"SELECT CASE WHEN l_returnflag = 'N' THEN l_partkey ELSE -l_partkey END AS project_id, o_custkey AS user_id, max(CAST(l_shipdate AS DATE)) AS effective_date, CAST(max(l_extendedprice) AS DECIMAL(18,2)) AS rate, CAST(NULL AS STRING) AS item_id, {LIVE} FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2",
     "psatools.standard_phase_codes_product_links": f"""SELECT DISTINCT {_TASK} AS phase_code, CASE l_linenumber WHEN 4 THEN 'PTO' WHEN 7 THEN 'SICK' WHEN 5 THEN 'DISFUN' WHEN 6 THEN 'NOWORK' ELSE 'WORK' END AS standard_phase_code_id, l_linenumber AS product_id, 1 AS created_by, 2 AS verified_by, {LIVE} FROM lineitem""",
     "psatools.standard_phase_codes": f"SELECT DISTINCT {_TASK} AS id, l_linenumber AS family_id, {LIVE} FROM lineitem",
     "psatools.phase_code_families": f"SELECT DISTINCT l_linenumber AS id, {_text('Family ', 'l_linenumber')} AS name, {LIVE} FROM lineitem",
