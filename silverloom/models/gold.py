@@ -13,6 +13,7 @@ from silverloom.operators import filters, fx, hierarchy, joins, reporting, rollu
 from silverloom.operators.calendar import GRAIN_NAMES
 from silverloom.operators.identity import master_plus_unmatched
 from silverloom.operators.stack import fill_defaults, stack
+from silverloom.operators.timeline import as_of_join
 from silverloom.operators.windows import latest_per_key
 from silverloom.sources.tables import cut_lineage
 
@@ -357,8 +358,8 @@ def dim_timesheet_entry(w: Warehouse) -> DataFrame:
     acc = w.system("employee", "int").withColumn("__entity_id", F.col("key_entity").cast("bigint"))
     out = look(out, acc, "employee_id_intacct", "intacct_employee_id", "__entity_id:__person_entity")
     out = look(out, portal(w, "entities"), "__person_entity", "id", "record_id:key_entity_employee").drop("__person_entity")
-    pay = w.ref("vw_employee_pay_history").select(F.col("key_employee").alias("key_employee_ukg"), "date_from", "date_to", "hourly_pay_rate_usd", "annual_salary_usd")
-    out = joins.interval_join(out, pay, ["key_employee_ukg"], "dte_entry").drop("date_from", "date_to")
+    pay = w.ref("vw_employee_pay_history").withColumnRenamed("key_employee", "key_employee_ukg")
+    out = as_of_join(out, pay, ["key_employee_ukg"], "dte_entry", "date_from", {c: F.max(c) for c in ("hourly_pay_rate_usd", "annual_salary_usd")}, open_start=False)
     out = out.withColumns({"currency_iso_code": norm_currency("currency_iso_code"), "currency_code_project": norm_currency("currency_code_project"),
                            "currency_code_entity": norm_currency("currency_code_entity"), "bill_rate": F.coalesce("bill_rate", F.lit(0)).cast("decimal(18,2)"),
                            "qty": F.col("qty").cast("decimal(18,2)")})

@@ -13,9 +13,10 @@ from silverloom.functions.keys import composite_key, first_non_null
 from silverloom.functions.money import safe_ratio
 from silverloom.functions.text import blank_to_null, display_name
 from silverloom.models.core import Warehouse, conform_by_rule, look, model, silver
-from silverloom.operators.joins import eav_pivot, interval_join, match_else_generic
+from silverloom.operators.joins import eav_pivot
 from silverloom.operators.stack import blanks_to_null, stack, stack_distinct, unpivot_week
-from silverloom.operators.windows import change_ranges, latest_per_key, scd2
+from silverloom.operators.timeline import as_of_join
+from silverloom.operators.windows import latest_per_key, scd2
 
 LAYER = "consolidation"
 # Custom payroll fields that become columns, by field name.
@@ -174,9 +175,8 @@ def employee_compensation(w: Warehouse) -> DataFrame:
 def employee_job_history(w: Warehouse) -> DataFrame:
     """Job changes with the pay currency that was valid on the day."""
     jobs = look(w.source("ukg_pro", "employee_job_history"), w.source("ukg_pro", "company"), "company_id", "id", "code:company_code currency_code:company_currency")
-    pay = w.source("ukg_pro", "compensation").select("employee_id", "date_in_job", F.upper("currency_code").alias("pay_currency"))
-    ranges = change_ranges(pay, ["employee_id"], "date_in_job", values=[F.max("pay_currency").alias("pay_currency")])
-    rows = interval_join(jobs, ranges, ["employee_id"], "job_effective_date").drop("date_from", "date_to")
+    rows = as_of_join(jobs, w.source("ukg_pro", "compensation"), ["employee_id"], "job_effective_date", "date_in_job",
+                      {"pay_currency": F.max(F.upper("currency_code"))})
     rows = rows.withColumn("currency_code", first_non_null("pay_currency", F.upper("company_currency"))).drop("pay_currency", "company_currency")
     return conform_by_rule(rows, "ukg", "employee_job_history", w.as_of, foreign={
         "employee_id": "employee", "company_id": "company", "organization_level_1_id": "practice", "organization_level_2_id": "department",
@@ -267,21 +267,18 @@ def timesheet_entry(w: Warehouse) -> DataFrame:
     rates = look(rates, w.source("sage_intacct", "project"), "projectkey", "recordno", "currency:rate_currency")
     rates = rates.withColumn("startdate", F.coalesce("startdate", F.lit("1900-01-01").cast("date")))
 
-    def ranges(df: DataFrame, keys: list[str]) -> DataFrame:
-        value = F.max(F.struct("billingrate", "rate_currency"))
-        out = change_ranges(df, keys, "startdate", open_start=False, values=[value.alias("r")])
-        return out.select(*keys, "r.*", "date_from", "date_to")
-
-    day = F.col("entrydate").alias("entrydate")
-    facts = rows.select("recordno", "projectkey", F.col("employeedimkey").alias("employeekey"), F.col("itemkey").cast("bigint").alias("itemkey"), day)
-    item = ranges(rates.filter(F.col("itemkey").isNotNull()), ["projectkey", "employeekey", "itemkey"])
-    plain = ranges(rates.filter(F.col("itemkey").isNull()).drop("itemkey"), ["projectkey", "employeekey"])
-    values = ["billingrate", "rate_currency"]
-    hit = interval_join(facts, item, ["projectkey", "employeekey", "itemkey"], "entrydate", "inner").select("recordno", *values)
-    # only entries without an item rate look for the rate without item
-    rest = facts.join(hit.select("recordno"), "recordno", "left_anti").drop("itemkey")
-    generic = interval_join(rest, plain, ["projectkey", "employeekey"], "entrydate", "inner").select("recordno", *values)
-    priced = match_else_generic(rows, hit, ["recordno"], generic, ["recordno"], values, source="rate_match")
+    # both rates are looked up on the way; the one without item only counts where there is none with the item
+    rate = {"rate": F.max(F.struct("billingrate", "rate_currency"))}
+    facts = rows.withColumns({"employeekey": F.col("employeedimkey"), "__item": F.col("itemkey").cast("bigint")})
+    item = rates.filter(F.col("itemkey").isNotNull()).withColumnRenamed("itemkey", "__item")
+    priced = as_of_join(facts, item, ["projectkey", "employeekey", "__item"], "entrydate", "startdate", rate, open_start=False)
+    priced = priced.withColumnRenamed("rate", "item_rate")
+    plain = rates.filter(F.col("itemkey").isNull()).drop("itemkey")
+    priced = as_of_join(priced, plain, ["projectkey", "employeekey"], "entrydate", "startdate", rate, open_start=False)
+    priced = priced.withColumns({
+        "rate_match": F.when(F.col("item_rate").isNotNull(), "specific").when(F.col("rate").isNotNull(), "generic").otherwise("none"),
+        "rate": F.coalesce("item_rate", "rate")})
+    priced = priced.select(*rows.columns, "rate.billingrate", "rate.rate_currency", "rate_match")
     a = conform_by_rule(priced, "int", "timesheet_entry", w.as_of, key="recordno", link="salesforce_id", foreign={
         "timesheetkey": "timesheet", "projectkey": "project", "employeedimkey": "employee"}, names={
         "billingrate": "bill_rate", "rate_currency": "currency_iso_code", "entrydate": "dte_entry", "billable": "bln_billable", "taskname": "task_name",

@@ -16,6 +16,7 @@ from silverloom.operators.filters import changed, classify, drop_matching
 from silverloom.operators.fx import with_rate
 from silverloom.operators.rollup import category_rows, category_sums, cents, from_cents
 from silverloom.operators.stack import stack
+from silverloom.operators.timeline import as_of_join
 from silverloom.operators.windows import change_ranges, latest_per_key, prefer_source
 
 # Report order of the categories; project rows come 100 later.
@@ -226,11 +227,9 @@ def labor_budget(people: DataFrame, plan: DataFrame, weekly: DataFrame, cube: Da
 
 
 def price_history(facts: DataFrame, changes: DataFrame, keys: Sequence[str], date: str, change_date: str,
-                  values: Sequence[Column]) -> DataFrame:
-    """Facts with the value that was valid on their date: ranges from the changes, then the interval join."""
-    from silverloom.operators.joins import interval_join
-
-    return interval_join(facts, change_ranges(changes, list(keys), change_date, values=list(values)), keys, date)
+                  values: dict[str, Column]) -> DataFrame:
+    """Facts with the value that was valid on their date, and the days on which it was."""
+    return as_of_join(facts, changes, keys, date, change_date, values, bounds=True)
 
 
 def missing_sheets(due: DataFrame, sheets: DataFrame, on: Sequence[str]) -> DataFrame:

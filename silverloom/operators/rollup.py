@@ -11,6 +11,7 @@ from silverloom.functions.dates import within_months
 from silverloom.functions.keys import col
 from silverloom.functions.money import safe_ratio
 from silverloom.operators.calendar import GRAINS, describe_periods, explode_periods, week_and_month
+from silverloom.operators.timeline import sums_between
 
 
 def aggregate(df: DataFrame, keys: Sequence[str], aggs: dict[str, Column]) -> DataFrame:
@@ -146,14 +147,6 @@ def plan_vs_actual(plan: DataFrame, actual: DataFrame, keys: Sequence[str], star
                    measures: dict[str, Column]) -> DataFrame:
     """Plan rows with the sums of the actual rows of the same key whose date falls into the plan's interval.
 
-    Actuals are summed to one row per key and day before the interval is applied: the sums must be additive
-    (``measures`` maps a name to the row expression to sum). Plans may overlap; each gets its own total.
+    ``measures`` maps a name to the row expression to sum. Plans may overlap, each gets its own total; equal ones stay apart.
     """
-    day = F.to_date(F.col(date))
-    daily = actual.groupBy(*[F.col(k) for k in keys], day.alias("__day")).agg(*[F.sum(e).alias(m) for m, e in measures.items()])
-    daily = daily.withColumnsRenamed({k: f"__{k}" for k in keys})
-    cond = (F.col("__day") >= F.col(start)) & (F.col("__day") <= F.col(end))
-    for k in keys:
-        cond = cond & (F.col(k) == F.col(f"__{k}"))
-    joined = plan.join(daily, cond, "left")
-    return joined.groupBy(*plan.columns).agg(*[F.sum(m).alias(m) for m in measures])
+    return sums_between(plan, actual, keys, start, end, date, measures)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from silverloom.functions import keys, text
-from silverloom.operators import filters, fx, hierarchy, identity, joins, stack, windows
+from silverloom.operators import filters, fx, hierarchy, identity, joins, stack, timeline, windows
 from silverloom.plans.rows import CUSTOMER_SPEC, SUPPLIER_SPEC
 from silverloom.registry import Tables, query
 from silverloom.sources.derived import EVENTS_AS_OF, ORDERS_AS_OF
@@ -76,10 +76,9 @@ def identity_resolve(t: Tables):
     FROM lineitem JOIN orders ON l_orderkey = o_orderkey
     LEFT JOIN r ON part_id = l_partkey AND CAST(o_orderdate AS DATE) BETWEEN date_from AND date_to""")
 def interval_rate_join(t: Tables):
-    ranges = windows.change_ranges(t("price_change"), ["part_id"], "dte", values=[F.max("unit_price").alias("unit_price")])
     facts = joins.join_on(t("lineitem"), t("orders"), [("l_orderkey", "o_orderkey")], "inner").select(
         "l_orderkey", "l_linenumber", F.col("l_partkey").alias("part_id"), F.to_date("o_orderdate").alias("dte"))
-    out = joins.interval_join(facts, ranges, ["part_id"], "dte")
+    out = timeline.as_of_join(facts, t("price_change"), ["part_id"], "dte", "dte", {"unit_price": F.max("unit_price")}, bounds=True)
     return out.withColumnRenamed("part_id", "l_partkey")
 
 
