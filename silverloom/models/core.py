@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from silverloom.functions.keys import hash_key, with_envelope
 from silverloom.models.rules import Counts
 from silverloom.operators.filters import drop_deleted, keep_matching, slice_system
-from silverloom.operators.fx import lookup_cube
+from silverloom.operators.fx import RateBook, lookup_cube
 from silverloom.operators.joins import enrich
 from silverloom.sources.tables import publish_view, write_table
 
@@ -79,7 +79,7 @@ class Warehouse:
         self.as_of = as_of
         self.root = root
         self._source = source
-        self._built: dict[str, DataFrame] = {}
+        self._built: dict[str, DataFrame | RateBook] = {}
         self._building: list[str] = []
         self.counts = Counts()
 
@@ -112,7 +112,7 @@ class Warehouse:
     def system(self, name: str, tag: str) -> DataFrame:
         return slice_system(self.ref(name), tag)
 
-    def rates(self) -> DataFrame:
+    def rates(self) -> RateBook:
         """The rate cube of the active currencies, ready for many lookups."""
         if "__rates" not in self._built:
             active = self.source("seed", "currencies_active")

@@ -231,8 +231,7 @@ def dim_employee_compensation(w: Warehouse) -> DataFrame:
     })
     out = out.withColumn("performance_bonus", (F.col("annual_salary").cast("decimal(18,2)") * F.col("performance_bonus_percent")).cast("decimal(18,2)"))
     day = F.col("dte_in_job")
-    out = fx.with_rate(out, w.rates(), "currency_code", F.lit("USD"), day, "conversion_rate_usd")
-    out = fx.with_rate(out, w.rates(), "currency_code", "currency_code_entity", day, "conversion_rate_entity")
+    out = fx.with_rates(out, w.rates(), {"conversion_rate_usd": ("currency_code", F.lit("USD")), "conversion_rate_entity": ("currency_code", "currency_code_entity")}, day)
     rates = {"original": F.lit(1.0), "entity": F.col("conversion_rate_entity"), "usd": F.col("conversion_rate_usd")}
     out = totals(out, "annual_salary", F.col("cola_percent"), "performance_bonus", rates)
     names = {}
@@ -441,7 +440,7 @@ def dim_project(w: Warehouse) -> DataFrame:
     out = look(out, portal(w, "users"), "__rm", "id", "display_name:regional_manager_name")
     out = look(out, portal(w, "entities").withColumn("__id", F.col("id").cast("string")), "key_entity", "__id", "display_name:entity_name currency_id:currency_code_entity")
     out = out.withColumn("currency_iso_code", norm_currency("currency_iso_code"))
-    out = fx.with_rate(out, w.rates(), "currency_iso_code", F.lit("USD"), "dte_src_start", "__div", rate="fx_rate_div")
+    out = fx.with_rate(out, w.rates(), "currency_iso_code", F.lit("USD"), "dte_src_start", "__div", rate="div")
     out = fx.with_rate(out, w.rates(), "currency_iso_code", F.lit("USD"), "dte_src_start", "__mul")
     out = out.withColumn("amt_po_usd", threshold_convert("amt_po", "__div", "__mul"))
     return out.drop("__pm", "__cm", "__practice", "__p1", "__p2", "__region", "__rm", "__div", "__mul")

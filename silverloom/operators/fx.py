@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
+from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -59,50 +61,60 @@ def fx_cube(series: DataFrame, as_of: str, base: str = "USD", active: DataFrame
     return filled.select("frm_curr", "to_curr", "date", "fx_rate_div", "fx_rate_mul")
 
 
-def lookup_cube(cube: DataFrame, stored: bool = False) -> DataFrame:
-    """The cube ready for many lookups: computed once. Whether it is broadcast is left to Spark, by its size in bytes;
-    else both sides are shuffled as they are, and a hot pair and day is split."""
-    rates = cube.select("frm_curr", "to_curr", "date", "fx_rate_div", "fx_rate_mul")
-    return rates if stored else cut_lineage(rates)
+@dataclass(frozen=True)
+class RateBook:
+    """The cube with one row a day: ``rates`` maps a currency to the rates into all others. The first and last day are
+    known, so no query has to ask for them."""
 
+    by_day: DataFrame
+    first: date | None
+    last: date | None
 
-def with_rate(df: DataFrame, cube: DataFrame, frm: str | Column, to: str | Column, date: str | Column, name: str,
-              on_missing: str = "one", default: str | Column | None = None, rate: str = "fx_rate_mul") -> DataFrame:
-    """Rate of (from, to) on the date, moved into the days the cube covers.
 
-    ``on_missing``: 'one' gives rate 1 (also for equal currencies), 'null' leaves it open, 'default' takes ``default``,
-    and 1 where that is null too. Equal currencies always get 1.
+def lookup_cube(cube: DataFrame) -> RateBook:
+    """The cube ready for many lookups: computed once. A row is as large as the square of the list of currencies."""
+    pair = F.struct(F.col("fx_rate_div").alias("div"), F.col("fx_rate_mul").alias("mul"))
+    of_currency = cube.groupBy("date", "frm_curr").agg(F.map_from_entries(F.collect_list(F.struct("to_curr", pair))).alias("into"))
+    by_day = cut_lineage(of_currency.groupBy("date").agg(F.map_from_entries(F.collect_list(F.struct("frm_curr", "into"))).alias("rates")))
+    return RateBook(by_day, *by_day.agg(F.min("date"), F.max("date")).first())
+
+
+def with_rates(df: DataFrame, cube: DataFrame | RateBook, wanted: dict[str, tuple[str | Column, str | Column]], day: str | Column,
+               on_missing: str = "one", default: str | Column | None = None, rate: str = "mul") -> DataFrame:
+    """Rates of the day, moved into the days the cube covers: a column for each name of ``wanted``, which says from which
+    currency into which. However many there are, the rows meet the cube once, by the day.
+
+    ``on_missing``: 'one' gives rate 1, 'null' leaves it open, 'default' takes ``default``, and 1 where that is null too.
+    Equal currencies always get 1. A null day or currency has no rate.
     """
-    bounds = cube.agg(F.min("date").alias("lo"), F.max("date").alias("hi"))
-    first, last = bounds.select("lo").scalar(), bounds.select("hi").scalar()
-    # equal currencies, mostly the greatest part of the rows, have no key to look up; their day still spreads them
-    own, other = col(frm), col(to)
-    facts = df.withColumns({
-        "__fx_same": own == other, "__fx_from": F.when(own != other, own), "__fx_to": other,
-        "__fx_day": clamp(F.to_date(col(date)), first, last)})
-    right = cube.select(
-        F.col("frm_curr").alias("__cube_from"), F.col("to_curr").alias("__cube_to"), F.col("date").alias("__cube_day"),
-        F.col(rate).alias("__cube_rate"),
-    )
-    cond = (F.col("__fx_from") == F.col("__cube_from")) & (F.col("__fx_to") == F.col("__cube_to")) & (F.col("__fx_day") == F.col("__cube_day"))
-    out = facts.join(right, cond, "left")
-    found = F.when(F.col("__fx_same"), F.lit(1.0)).otherwise(F.col("__cube_rate"))
-    if on_missing == "one":
-        found = F.coalesce(found, F.lit(1.0))
-    elif on_missing == "default":
-        found = F.coalesce(found, col(default).cast("double"), F.lit(1.0))
-    out = out.withColumn(name, found)
-    return out.drop("__fx_same", "__fx_from", "__fx_to", "__fx_day", "__cube_from", "__cube_to", "__cube_day", "__cube_rate")
-
-
-def fx_convert(df: DataFrame, cube: DataFrame, amounts: Sequence[str], frm: str | Column,
+    book = cube if isinstance(cube, RateBook) else lookup_cube(cube)
+    first, last = (F.lit(d).cast("date") for d in (book.first, book.last))
+    facts = df.withColumn("__day", clamp(F.to_date(col(day)), first, last))
+    out = facts.join(book.by_day.select(F.col("date").alias("__cube_day"), F.col("rates").alias("__rates")), F.col("__day") == F.col("__cube_day"), "left")
+    made = {}
+    for name, (frm, to) in wanted.items():
+        own, other = col(frm), col(to)
+        found = F.when(own == other, F.lit(1.0)).otherwise(F.try_element_at(F.try_element_at("__rates", own), other)[rate])
+        if on_missing == "one":
+            found = F.coalesce(found, F.lit(1.0))
+        elif on_missing == "default":
+            found = F.coalesce(found, col(default).cast("double"), F.lit(1.0))
+        made[name] = found
+    return out.withColumns(made).drop("__day", "__cube_day", "__rates")
+
+
+def with_rate(df: DataFrame, cube: DataFrame | RateBook, frm: str | Column, to: str | Column, date: str | Column, name: str,
+              on_missing: str = "one", default: str | Column | None = None, rate: str = "mul") -> DataFrame:
+    """One rate, as ``with_rates`` gives it."""
+    return with_rates(df, cube, {name: (frm, to)}, date, on_missing, default, rate)
+
+
+def fx_convert(df: DataFrame, cube: DataFrame | RateBook, amounts: Sequence[str], frm: str | Column,
                targets: dict[str, str | Column], date: str | Column, on_missing: str = "one",
                default: str | Column | None = None) -> DataFrame:
     """Amounts in several target currencies: ``targets`` maps a suffix to a currency column or literal column.
 
     The rate stays as ``fx_rate_<suffix>``; every amount gets ``<amount>_<suffix>``, rounded once.
     """
-    for suffix, to in targets.items():
-        df = with_rate(df, cube, frm, to, date, f"fx_rate_{suffix}", on_missing, default)
-        df = df.withColumns({f"{a}_{suffix}": convert(a, f"fx_rate_{suffix}") for a in amounts})
-    return df
+    df = with_rates(df, cube, {f"fx_rate_{s}": (frm, to) for s, to in targets.items()}, date, on_missing, default)
+    return df.withColumns({f"{a}_{s}": convert(a, f"fx_rate_{s}") for s in targets for a in amounts})

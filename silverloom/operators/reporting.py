@@ -13,7 +13,7 @@ from silverloom.functions.money import MONEY, convert, money, pick_amount, safe_
 from silverloom.functions.text import norm_currency
 from silverloom.operators.calendar import GRAINS, describe_periods, explode_periods, week_and_month
 from silverloom.operators.filters import changed, classify, drop_matching
-from silverloom.operators.fx import with_rate
+from silverloom.operators.fx import RateBook, with_rate, with_rates
 from silverloom.operators.rollup import category_rows, category_sums, cents, from_cents
 from silverloom.operators.stack import stack
 from silverloom.operators.timeline import as_of_join
@@ -114,7 +114,7 @@ def yearly_plan(plan: DataFrame, hours: str, start: str, year: str) -> DataFrame
     return out.withColumn("plan_hours_week", dates.per_week("plan_hours_year", "work_days"))
 
 
-def activity(facts: DataFrame, projects: DataFrame, cube: DataFrame) -> DataFrame:
+def activity(facts: DataFrame, projects: DataFrame, cube: DataFrame | RateBook) -> DataFrame:
     """Billable cost rows of all fact kinds in the record's, the project's and US currency, summed per record.
 
     ``facts``: fact, record_id, project_id, person_id, dte, currency, base_currency, amt_trx, amt_base, qty.
@@ -128,8 +128,7 @@ def activity(facts: DataFrame, projects: DataFrame, cube: DataFrame) -> DataFram
         "currency_project": norm_currency("project_currency"), "currency_base": norm_currency("base_currency"),
         "currency_trx": norm_currency("currency"),
     })
-    rows = with_rate(rows, cube, "currency_trx", "currency_project", "dte", "__to_project")
-    rows = with_rate(rows, cube, "currency_project", F.lit("USD"), "dte", "__to_usd")
+    rows = with_rates(rows, cube, {"__to_project": ("currency_trx", "currency_project"), "__to_usd": ("currency_project", F.lit("USD"))}, "dte")
     in_base = F.col("currency_base") == F.col("currency_project")
     in_trx = F.col("currency_trx") == F.col("currency_project")
     step = F.when(in_base, 1).when(in_trx, 2).otherwise(3)
@@ -182,7 +181,7 @@ def payroll(sheets: DataFrame, entries: DataFrame, on: str, code_flags: DataFram
     return rows.withColumn("time_type_ind", kind.otherwise(F.lit("0"))).drop(*classes)
 
 
-def labor_budget(people: DataFrame, plan: DataFrame, weekly: DataFrame, cube: DataFrame, as_of: str) -> DataFrame:
+def labor_budget(people: DataFrame, plan: DataFrame, weekly: DataFrame, cube: DataFrame | RateBook, as_of: str) -> DataFrame:
     """Salary, planned and actual billing per person in original, US and entity currency.
 
     ``people``: person_id, salary, bonus_percent, cola_percent, currency, entity_currency. ``plan``: person_id,

@@ -149,3 +149,16 @@ def test_quality_checks(frame):
     assert rows(quality.counts_match(df, df.limit(0), ["b"])) == [("x", 1, 0, False), ("y", 1, 0, False), (None, 1, 0, False)]
     with pytest.raises(quality.ContractError, match="missing column c"):
         quality.check_schema(df, StructType([*df.schema, StructField("c", StringType())]))
+
+
+def test_many_targets_meet_the_cube_once(series, frame):
+    book = fx.lookup_cube(fx.fx_cube(series, "2024-01-31"))
+    facts = frame("id int, c string, o string, d date", (1, "EUR", "USD", D("2024-01-03")), (2, "USD", "EUR", D("2024-01-03")), (3, None, "EUR", D("2024-01-03")), (4, "EUR", "EUR", None))
+    out = fx.with_rates(facts, book, {"a": ("c", "o"), "b": ("o", "c"), "usd": ("c", F.lit("USD"))}, "d", on_missing="null")
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 1 and "subquery" not in plan
+    got = {r["id"]: r for r in out.collect()}
+    assert got[1]["a"] == got[1]["usd"] == got[2]["b"] and got[1]["b"] == got[2]["a"] and got[2]["usd"] == 1.0
+    assert got[3]["a"] is None and (got[4]["a"], got[4]["usd"]) == (1.0, None)
+    none = fx.lookup_cube(fx.fx_cube(series, "2000-01-01"))
+    assert none.first is None and fx.with_rate(facts, none, "c", "o", "d", "r").filter("r <> 1").count() == 0
