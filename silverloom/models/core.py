@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from silverloom.functions.keys import hash_key, with_envelope
+from silverloom.models.contracts import enforce, nulls
 from silverloom.models.rules import Counts
 from silverloom.operators.filters import drop_deleted, keep_matching, slice_system
 from silverloom.operators.fx import RateBook, lookup_cube
@@ -100,9 +101,10 @@ class Warehouse:
                 df = m.build(self)
             finally:
                 self._building.pop()
+            enforce(name, m.layer, m.sink, df)
             if self.root and m.sink == "table":
                 parts = ["src_sys_key"] if m.layer == "consolidation" else None
-                df = write_table(self.counts.watch_model(df, name), self.root, m.layer, name, parts)
+                df = write_table(self.counts.watch_model(df, name, nulls(m.layer, df.columns)), self.root, m.layer, name, parts)
                 self.counts.settle(name, df, self._source)
             elif self.root:
                 df = publish_view(df, name)

@@ -12,9 +12,11 @@ from concurrent.futures import ThreadPoolExecutor
 from concurrent.futures import TimeoutError as TooLong
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from silverloom.operators.quality import ContractError
+
 WAIT = 20.0  # seconds for a count of a finished job to arrive
 
 
@@ -161,12 +163,13 @@ class Counts:
                 return df.observe(seen, F.count_if(F.expr(rule.rows)).alias("n"))
         return df
 
-    def watch_model(self, df: DataFrame, model: str) -> DataFrame:
-        """The rows of a model, counted for all rules that ask for them."""
+    def watch_model(self, df: DataFrame, model: str, more: dict[str, Column] | None = None) -> DataFrame:
+        """The rows of a model, counted for all rules that ask for them. ``more`` are counts that must be 0."""
         conditions = sorted(_conditions(model))
         seen = Observation()
         self._pending.setdefault(model, {})["rows of the model"] = seen, ""
-        return df.observe(seen, *[F.count_if(F.expr(c)).alias(f"n{k}") for k, c in enumerate(conditions)])
+        return df.observe(seen, *[F.count_if(F.expr(c)).alias(f"n{k}") for k, c in enumerate(conditions)],
+                          *[c.alias(n) for n, c in (more or {}).items()])
 
     def _arrived(self, seen: Observation) -> dict[str, int]:
         try:
@@ -180,6 +183,9 @@ class Counts:
         pending = self._pending.pop(model, {})
         conditions = sorted(_conditions(model))
         got = self._arrived(pending.pop("rows of the model")[0])
+        wrong = {n: v for n, v in got.items() if n.startswith("null_") and v}
+        if wrong:
+            raise ContractError(f"{model}: nulls in columns that must be filled: {wrong}")
         for k, c in enumerate(conditions):
             self.of_model[model, c] = got[f"n{k}"] if got else written.filter(c).count()
         for rule in SOURCE_RULES:

@@ -11,10 +11,10 @@ from silverloom.functions import dates
 from silverloom.functions.keys import col
 from silverloom.functions.money import MONEY, convert, money, pick_amount, safe_ratio, scale_plan
 from silverloom.functions.text import norm_currency
-from silverloom.operators.calendar import GRAINS, describe_periods, explode_periods, week_and_month
+from silverloom.operators.calendar import GRAINS, describe_periods, week_and_month
 from silverloom.operators.filters import changed, classify, drop_matching
 from silverloom.operators.fx import RateBook, with_rate, with_rates
-from silverloom.operators.rollup import category_rows, category_sums, cents, from_cents
+from silverloom.operators.rollup import category_rows, category_sums, cents, from_cents, period_lattice
 from silverloom.operators.stack import stack
 from silverloom.operators.timeline import as_of_join
 from silverloom.operators.windows import change_ranges, latest_per_key, prefer_source
@@ -46,9 +46,9 @@ def utilisation(entries: DataFrame, code_flags: DataFrame, plan: DataFrame, week
     ``code_flags``: one row per task_name with the flags of ``time_categories``. ``plan``: person_id, year,
     plan_hours_week, plan_hours_year, bill_rate.
 
-    Two steps of aggregation: first category sums per person, entities, week and month, on the entries themselves; then
-    those few rows fan out to four period grains and two entity groupings and are summed again. The entries are read
-    and classified once, and zero rows come from the wide sums, not from a grid. Months and quarters scale the week by
+    First come category sums per person, entities, week and month, on the entries themselves. Those few rows meet by
+    person once; there weeks and months are summed for both entity groupings, and quarters and years from the months. The
+    entries are read and classified once, and zero rows come from the wide sums, not from a grid. Months and quarters scale the week by
     52/12 and 52/4, for planned amounts too.
     """
     cats = time_categories()
@@ -61,30 +61,26 @@ def utilisation(entries: DataFrame, code_flags: DataFrame, plan: DataFrame, week
     }
     rows = classify(entries, "task_name", code_flags)
     first = rows.groupBy("person_id", "entity_person", "entity_project", *week_and_month("dte_entry")).agg(
-        *category_sums(cats, measures, fill))
+        *category_sums(cats, measures, fill)).repartition("person_id")
     sums = [c for c in first.columns if c.startswith("__") and c not in ("__week", "__month")]
     groupings = F.array(
         F.struct(F.lit("Employee").alias("entity_grouping"), F.col("entity_person").alias("entity_id")),
         F.struct(F.lit("Project").alias("entity_grouping"), F.col("entity_project").alias("entity_id")),
     )
     wide = first.select("person_id", "__week", "__month", F.explode(groupings).alias("__g"), *sums)
-    wide = explode_periods(wide.select("person_id", "__week", "__month", "__g.*", *sums))
-    wide = wide.groupBy("person_id", "entity_grouping", "entity_id", "date_group_type_id", "dte_start").agg(
-        *[F.sum(c).alias(c) for c in sums])
+    wide = wide.select("person_id", "__week", "__month", "__g.*", *sums)
+    wide = period_lattice(wide, ["person_id", "entity_grouping", "entity_id"], sums, clustered=True)
     pto = F.col(f"__hours{list(cats).index('PTO')}")
     wide = describe_periods(wide).withColumn("pto", F.coalesce(pto, F.lit(0).cast("long")))
-    # the plan is scaled per person, year and grain on its own small side, and joined before categories fan out
+    # a person's plans of all years are one row, so the sums stay where they are when they meet their plan
     zero = F.lit(0).cast(MONEY)
-    per = plan.withColumn("__grain", F.explode(F.array(*[F.lit(g) for g in GRAINS])))
-    weekly_amount = (F.col("bill_rate") * F.col("plan_hours_week")).cast(MONEY)
-    per = per.select(
-        F.col("person_id").alias("__p"), F.col("year").alias("__y"), "__grain",
-        scale_plan("plan_hours_week", "__grain", "plan_hours_year").alias("plan_hours"),
-        scale_plan(weekly_amount, "__grain").alias("plan_amount"),
-    )
-    on = (F.col("person_id") == F.col("__p")) & (F.col("date_group_year") == F.col("__y")) & (F.col("date_group_type_id") == F.col("__grain"))
-    wide = wide.join(per, on, "left").drop("__p", "__y", "__grain")
-    wide = wide.withColumns({c: F.coalesce(F.col(c), zero) for c in ("plan_hours", "plan_amount")})
+    year = F.max(F.struct("plan_hours_year", "plan_hours_week", (F.col("bill_rate") * F.col("plan_hours_week")).cast(MONEY).alias("amount_week")))
+    per = plan.filter("person_id IS NOT NULL AND year IS NOT NULL").groupBy("person_id", "year").agg(year.alias("__plan"))
+    per = per.groupBy("person_id").agg(F.map_from_entries(F.collect_list(F.struct("year", "__plan"))).alias("__plans"))
+    wide = wide.join(per, "person_id", "left").withColumn("__plan", F.try_element_at("__plans", F.col("date_group_year")))
+    wide = wide.withColumns({
+        "plan_hours": F.coalesce(scale_plan("__plan.plan_hours_week", "date_group_type_id", "__plan.plan_hours_year"), zero),
+        "plan_amount": F.coalesce(scale_plan("__plan.amount_week", "date_group_type_id"), zero)}).drop("__plans", "__plan")
     keys = ["person_id", "entity_grouping", "entity_id", "date_group_type_id", "date_group_id", "date_group_year"]
     out = category_rows(wide, [*keys, "pto", "plan_hours", "plan_amount"], list(cats), list(measures), name="type", fill=fill)
     out = out.withColumns({c: from_cents(c) for c in [*measures, "pto"]})

@@ -6,11 +6,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, NumericType, StringType, TimestampNTZType, TimestampType
 
 from silverloom.functions.dates import within_months
 from silverloom.functions.keys import col
 from silverloom.functions.money import safe_ratio
-from silverloom.operators.calendar import GRAINS, describe_periods, explode_periods, week_and_month
+from silverloom.operators.calendar import GRAINS, describe_periods, period_start, week_and_month
 from silverloom.operators.timeline import sums_between
 
 
@@ -19,15 +20,43 @@ def aggregate(df: DataFrame, keys: Sequence[str], aggs: dict[str, Column]) -> Da
     return df.groupBy(*keys).agg(*[a.alias(n) for n, a in aggs.items()])
 
 
+def period_lattice(small: DataFrame, keys: Sequence[str], sums: Sequence[str], clustered: bool = False) -> DataFrame:
+    """Sums of all period grains out of rows (keys, __week, __month, sums), as ``date_group_type_id`` and ``dte_start``.
+
+    Weeks are summed on their own, months once; quarters and years follow from the months. All of it happens where the
+    rows of a key meet, after one shuffle; none, if the caller has ``clustered`` the rows by some of the keys before.
+    A key's rows are bounded by the calendar, however many facts there were.
+    """
+    rows = small if clustered or not keys else small.repartition(*keys)
+    weeks = explode_pairs(rows, [("W", F.col("__week")), ("M", F.col("__month"))]).drop("__week", "__month")
+    first = weeks.groupBy(*keys, "date_group_type_id", "dte_start").agg(*[F.sum(n).alias(n) for n in sums])
+    month = F.col("date_group_type_id") == "M"
+    start = F.col("dte_start")
+    coarser = F.when(month, F.array(*[_period(g, period_start(start, g)) for g in GRAINS[1:]])).otherwise(F.array(_period("W", start)))
+    again = first.select(*keys, *sums, F.explode(coarser).alias("__p")).select(*keys, *sums, "__p.*")
+    return again.groupBy(*keys, "date_group_type_id", "dte_start").agg(*[F.sum(n).alias(n) for n in sums])
+
+
+def _period(grain: str, start: Column) -> Column:
+    return F.struct(F.lit(grain).alias("date_group_type_id"), start.alias("dte_start"))
+
+
+def explode_pairs(df: DataFrame, periods: Sequence[tuple[str, Column]]) -> DataFrame:
+    """Each row once for each (grain, first day)."""
+    return df.select("*", F.explode(F.array(*[_period(g, d) for g, d in periods])).alias("__p")).select(*df.columns, "__p.*")
+
+
 def rollup_periods(df: DataFrame, date: str, keys: Sequence[str], sums: dict[str, Column], grains=GRAINS) -> DataFrame:
     """Sums over all period grains at once. ``sums`` maps a name to the row expression to add up.
 
-    Rows are first summed per key, week and month, from which all grains follow; only those sums fan out. The weeks of a
+    Rows are first summed per key, week and month, from which all grains follow; only those sums go on. The weeks of a
     hot key spread over many tasks of the first step.
     """
     small = df.groupBy(*keys, *week_and_month(date)).agg(*[F.sum(e).alias(n) for n, e in sums.items()])
-    out = explode_periods(small, grains).groupBy(*keys, "date_group_type_id", "dte_start").agg(*[F.sum(n).alias(n) for n in sums])
-    return describe_periods(out)
+    kinds = dict(small.dtypes)
+    out = describe_periods(period_lattice(small, keys, list(sums)).filter(F.col("date_group_type_id").isin(*grains)))
+    # a sum of sums is as wide as the sum of the rows
+    return out.withColumns({n: F.col(n).cast(kinds[n]) for n in sums})
 
 
 def cents(c: Column) -> Column:
@@ -100,22 +129,53 @@ def discount_rollup(lines: DataFrame, header: str, gross: Column, net: Column) -
     })
 
 
+HOT_ROWS = 10_000  # rows of a key that are gathered in one piece
+PARTS = 256  # pieces of a key with more
+
+
+def _as_number(df: DataFrame, order: str) -> Column:
+    """A number that never falls as the column grows; texts by their first seven bytes."""
+    kind = df.schema[order].dataType
+    if isinstance(kind, (NumericType, DateType, TimestampType, TimestampNTZType)):
+        return F.col(order)
+    if isinstance(kind, StringType):
+        return F.conv(F.rpad(F.hex(F.substring(F.col(order).cast("binary"), 1, 7)), 14, "0"), 16, 10).cast("bigint")
+    raise TypeError(f"no pieces by {kind.simpleString()}; give a chunk")
+
+
+def _pieces(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows (keys, __v, __o) with a piece number ``__c`` that never falls as ``__o`` grows. Keys of few rows have one piece;
+    those of more are cut at approximate quantiles of their order, whose sketches are of fixed size and combine map side."""
+    number = _as_number(rows, "__o")
+    cuts = F.percentile_approx(number, [k / PARTS for k in range(1, PARTS)], 10 * PARTS)
+    hot = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), cuts.alias("__cuts")).filter(F.col("__n") > HOT_ROWS)
+    hot = hot.select(*[F.col(k).alias(f"__h_{k}") for k in keys], F.array_distinct("__cuts").alias("__cuts"))
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & F.col(k).eqNullSafe(F.col(f"__h_{k}"))
+    below = F.size(F.filter("__cuts", lambda c: c < number))
+    out = rows.join(hot, cond, "left").withColumn("__c", F.when(F.col("__cuts").isNull(), 0).otherwise(below))
+    return out.drop("__cuts", *[f"__h_{k}" for k in keys])
+
+
 def ordered_concat(df: DataFrame, keys: Sequence[str], value: str, order: Column, sep: str = ", ",
                    distinct: bool = False, chunk: Column | None = None) -> DataFrame:
     """Values of a key joined in order, as ``values_text``.
 
-    With ``distinct`` repeated values collapse map side first. Otherwise give ``chunk``, an expression that never
-    decreases as ``order`` grows: parts are joined per key and chunk, then the parts per key, so a key with very many
-    rows is not gathered row by row in one task.
+    With ``distinct`` repeated values collapse map side first, at their first place. Parts are joined per key and piece,
+    then the pieces per key, so a key with very many rows is not gathered row by row in one task. Pieces come from
+    quantiles of the order column, or from ``chunk``, an expression that never decreases as ``order`` grows. Rows of equal
+    order stay in one piece. Null values are left out.
     """
-    rows = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).cast("string").alias("__v"),
-                                                      order.alias("__o"), (chunk if chunk is not None else F.lit(0)).alias("__c"))
+    chosen = [chunk.alias("__c")] if chunk is not None else []
+    rows = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).cast("string").alias("__v"), order.alias("__o"), *chosen)
     if distinct:
-        rows = rows.groupBy(*keys, "__v").agg(F.min("__o").alias("__o"), F.min("__c").alias("__c"))
+        rows = rows.groupBy(*keys, "__v").agg(F.min("__o").alias("__o"), *([F.min("__c").alias("__c")] if chosen else []))
+    if not chosen:
+        rows = _pieces(rows, keys)
     joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("__o", "__v"))), lambda x: x["__v"]), sep)
-    if chunk is not None:
-        rows = rows.groupBy(*keys, "__c").agg(joined.alias("__v")).withColumn("__o", F.col("__c"))
-    return rows.groupBy(*keys).agg(joined.alias("values_text"))
+    parts = rows.groupBy(*keys, "__c").agg(joined.alias("__v")).withColumn("__o", F.col("__c"))
+    return parts.groupBy(*keys).agg(joined.alias("values_text"))
 
 
 def attainment(df: DataFrame, keys: Sequence[str], week_start: str, hours: str, plan: str, as_of: str) -> DataFrame:

@@ -12,7 +12,7 @@ from silverloom.plans.model_sql import MODEL_SQL
 from silverloom.registry import ORACLES, QUERIES, Tables, plain
 from silverloom.sources.derived import ORDERS_AS_OF, inputs_of, spark_sql_text, with_inputs
 from silverloom.sources.raw import RAW_TABLES
-from silverloom.sources.tables import shared_root
+from silverloom.sources.tables import fingerprint, shared_root
 
 
 def warehouse(spark, folder: str, root: str | None = None) -> Warehouse:
@@ -29,15 +29,16 @@ def warehouse(spark, folder: str, root: str | None = None) -> Warehouse:
     return Warehouse(spark, source, ORDERS_AS_OF, root, first_week="2001-01-01")
 
 
-_STORES: dict[tuple[str, str], Warehouse] = {}
+_STORES: dict[tuple[str, str], tuple[str, Warehouse]] = {}
 
 
 def stored(spark, folder: str) -> Warehouse:
-    """Warehouse of a session and folder whose table models are written once, to the cluster's shared folder."""
-    at = (spark.sparkContext.applicationId, folder)
-    if at not in _STORES:
-        _STORES[at] = warehouse(spark, folder, f"{shared_root(spark)}/silverloom-{uuid.uuid4().hex}")
-    return _STORES[at]
+    """Warehouse of a session and folder whose table models are written once, to the cluster's shared folder. Where the
+    files of the folder have changed since, everything is built anew."""
+    at, now = (spark.sparkContext.applicationId, folder), fingerprint(spark, folder)
+    if at not in _STORES or _STORES[at][0] != now:
+        _STORES[at] = now, warehouse(spark, folder, f"{shared_root(spark)}/silverloom-{uuid.uuid4().hex}")
+    return _STORES[at][1]
 
 
 def _query(name: str):

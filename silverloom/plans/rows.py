@@ -50,6 +50,16 @@ def view_over_model(t: Tables):
     return filters.slice_system(view, "sfc").groupBy("nation_id").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("catalog_roundtrip", """
+    SELECT nation_id, count(*) AS n, count(link) AS n_linked FROM party_stack GROUP BY nation_id""")
+def catalog_roundtrip(t: Tables):
+    """A table published under a schema of its own, a persistent view over it, read back by its three-part name."""
+    schema = f"party_{uuid.uuid4().hex[:12]}"
+    tables.publish_table(t("party_stack"), schema, "party")
+    tables.point_view(t.spark, f"{schema}.vw_party_count", f"SELECT nation_id, count(*) AS n, count(link) AS n_linked FROM {schema}.party GROUP BY nation_id")
+    return tables.load_catalog_table(t.spark, f"spark_catalog.{schema}.vw_party_count")
+
+
 # ---------------------------------------------------------------- filters
 
 @query("soft_delete_filter", """

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from silverloom.models import contracts
+from silverloom.models.core import MODELS
 from silverloom.models.rules import MODEL_RULES, SOURCE_RULES, FanoutRule, check
 from silverloom.plans.catalogue import stored
 from silverloom.plans.model_sql import MODEL_SQL, RAW_TABLES
@@ -9,6 +11,7 @@ from silverloom.registry import ORACLES, QUERIES
 from silverloom.sources import raw
 from silverloom.sources.derived import with_inputs
 
+QUERIES["model_contracts"] = lambda spark, folder: contracts.all_rows(spark, MODELS, stored(spark, folder).ref)
 QUERIES["dq_models"] = lambda spark, folder: check(stored(spark, folder))
 
 _LINKS = f"""

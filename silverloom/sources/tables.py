@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 import tempfile
+import time
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +23,14 @@ def load_catalog_table(spark: SparkSession, full_name: str) -> DataFrame:
     return spark.table(full_name)
 
 
+def fingerprint(spark: SparkSession, folder: str) -> str:
+    """What the files below a folder are: changes when a file is added, removed, or written anew. Only their names, sizes
+    and times are read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+    mark = F.sum(F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)"))
+    return "-".join(str(v) for v in files.agg(F.count(F.lit(1)), mark).first())
+
+
 def load_seed(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame:
     """A small CSV reference table with a declared schema; nothing is inferred from the data."""
     return spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(path)
@@ -62,6 +72,32 @@ def publish_view(df: DataFrame, alias: str) -> DataFrame:
     return df.sparkSession.table(alias)
 
 
+def publish_table(df: DataFrame, schema: str, alias: str) -> DataFrame:
+    """Catalog sink: a full refresh of ``schema.alias`` (or ``catalog.schema.alias``) that readers never see half done.
+
+    Rows go to a table of their own; then the name, a view, is pointed at it in one step. A reader keeps the version that
+    it began with: the one before the current is kept until the refresh after the next, older ones are dropped. Tables lie
+    in the shared folder. Returns the published table.
+    """
+    spark = df.sparkSession
+    place = f"{shared_root(spark)}/catalog/{schema}"
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema} LOCATION '{place}'")
+    # versions sort by their time
+    version = f"{alias}__{time.time_ns():020d}_{uuid.uuid4().hex[:8]}"
+    df.write.option("path", f"{place}/{version}").saveAsTable(f"{schema}.{version}")
+    point_view(spark, f"{schema}.{alias}", f"SELECT * FROM {schema}.{version}")
+    names = sorted(r["tableName"] for r in spark.sql(f"SHOW TABLES IN {schema} LIKE '{alias}__*'").collect())
+    for old in [n for n in names if re.fullmatch(rf"{re.escape(alias)}__\d{{20}}_[0-9a-f]{{8}}", n)][:-2]:
+        spark.sql(f"DROP TABLE IF EXISTS {schema}.{old}")
+    return spark.table(f"{schema}.{alias}")
+
+
+def point_view(spark: SparkSession, name: str, query: str) -> DataFrame:
+    """Persistent view sink: the name stands for the query from now on, in one step of the catalog."""
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS {query}")
+    return spark.table(name)
+
+
 _OWN_FOLDERS: dict[str, str] = {}
 
 
