@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from silverloom.functions import pay
 from silverloom.functions.keys import composite_key, first_non_null
-from silverloom.functions.money import convert, neutralise, rate_or_derived, threshold_convert, totals
+from silverloom.functions.money import convert, threshold_convert
 from silverloom.functions.text import blank_to_null, clean_postal, label, norm_currency, norm_postal, proper_case
 from silverloom.models.core import Warehouse, audited, look, model
 from silverloom.operators import filters, fx, hierarchy, joins, reporting, rollup
@@ -164,7 +165,7 @@ def dim_employee(w: Warehouse) -> DataFrame:
         "address_country", "state_id", "address_zip_code", "department_id", "dol_status_id", "employee_type_id", F.col("key_entity").alias("company_ukg"),
         "ethnic_background_id", "gender_id", "location_id_intacct", "location_id_ukg", "payroll_company_id", "pay_type_id", "position_id", "practice_id",
         "base_team_id", "job_salary_grade", "supervisor_id", "dte_src_start", "dte_src_end", "dte_last_hire", "bln_is_active", "annual_salary",
-        "hourly_pay_rate", "other_rate_2", "cola_percent", "currency_code", "shift_code", "job_title", "termination_type_id",
+        "hourly_pay_rate", "other_rate_2", "currency_code", "shift_code", "job_title", "termination_type_id",
     ).withColumnRenamed("employee_number", "ukg_employee_number")
     out = link_system(out, w, "int", "intacct_employee_id:intacct_employee_id intacct_location_key:intacct_location_key bln_mst_member:bln_mst")
     out = link_system(out, w, "por", "portal_id:portal_id contractor_company_id:contractor_company_id labor_category_id:labor_category_id key_entity:por_entity")
@@ -180,9 +181,11 @@ def dim_employee(w: Warehouse) -> DataFrame:
               "locations_intacct": ("location_id_intacct", "location_intacct"), "locations_ukg": ("location_id_ukg", "location_ukg"),
               "payroll_companies": ("payroll_company_id", "payroll_company"), "pay_types": ("pay_type_id", "pay_type"), "positions": ("position_id", "position"),
               "practices": ("practice_id", "practice"), "base_teams": ("base_team_id", "base_team"), "job_salary_grades": ("job_salary_grade", "salary_grade"),
-              "shift_codes": ("shift_code", "shift"), "termination_types": ("termination_type_id", "termination_type")}
+              "termination_types": ("termination_type_id", "termination_type")}
     for table, (fk, n) in by_ukg.items():
         out = look(out, portal(w, table), fk, "ukg_id", f"record_id:key_{n} display_name:{n}_name")
+    out = look(out, portal(w, "shift_codes"), "shift_code", "ukg_id", "record_id:key_shift display_name:shift_name shift_percent:cola_percent")
+    out = out.withColumn("cola_percent", F.coalesce("cola_percent", F.lit(0)).cast("decimal(9,5)"))
     out = look(out, portal(w, "positions"), "position_id", "ukg_id", "family_id:__family")
     out = look(out, portal(w, "position_families"), "__family", "id", "record_id:key_position_family display_name:position_family_name")
     out = look(out, portal(w, "contractor_companies"), "contractor_company_id", "id", "display_name:contractor_company_name")
@@ -216,29 +219,59 @@ def _person_entity(df: DataFrame, w: Warehouse) -> DataFrame:
     return out.drop("__loc", "__override", "__parent", "__entity", "__entity_currency", "__override_currency")
 
 
+def entity_of(df: DataFrame, w: Warehouse, key: str, name: str, by: str = "id") -> DataFrame:
+    """Id, record, name and currency of the portal entity that a key names, as ``<name>_id`` and so on."""
+    entities = portal(w, "entities").withColumn("__by", F.col(by).cast("string"))
+    return look(df.withColumn("__of", F.col(key).cast("string")), entities, "__of", "__by",
+                f"id:{name}_id record_id:{name}_record display_name:{name}_name currency_id:{name}_currency").drop("__of")
+
+
+def first_entity(df: DataFrame, names: list[str], suffix: str = "") -> DataFrame:
+    """The first of several looked-up entities that is known, as key, name and currency; its id stays as ``__entity``."""
+    pick = {f"key_entity{suffix}": "record", f"entity_name{suffix}": "name", f"currency_code_entity{suffix}": "currency", f"__entity{suffix}": "id"}
+    out = df.withColumns({n: F.coalesce(*[F.col(f"{e}_{part}") for e in names]) for n, part in pick.items()})
+    return out.withColumn(f"currency_code_entity{suffix}", F.upper(f"currency_code_entity{suffix}"))
+
+
+def benefit_rate(df: DataFrame, w: Warehouse, day: Column) -> DataFrame:
+    """Benefit rate of the row's entity in the year of the day, 0 where there is none."""
+    rates = portal(w, "entities_benefit_rates").withColumn("__k", composite_key("entity_id", "timeframe_id"))
+    out = look(df.withColumn("__b", composite_key(F.col("__entity"), F.year(day))), rates, "__b", "__k", "total:benefits_rate")
+    return out.withColumn("benefits_rate", F.coalesce("benefits_rate", F.lit(0)).cast("decimal(18,5)")).drop("__b")
+
+
+def shift_and_grade(df: DataFrame, w: Warehouse, shift: str, grade: str) -> DataFrame:
+    """Shift code with its cost-of-living share, and salary grade."""
+    out = look(df, portal(w, "shift_codes"), shift, "ukg_id", "record_id:key_shift_code display_name:shift_code_name shift_percent:cola_percent")
+    return look(out, portal(w, "job_salary_grades"), grade, "ukg_id", "record_id:key_salary_grade display_name:salary_grade_name")
+
+
+def optional(df: DataFrame, *names: str) -> DataFrame:
+    """The frame with nulls for raw columns that an installation does not have."""
+    return df.withColumns({n: F.lit(None).cast("decimal(18,2)") for n in names if n not in df.columns})
+
+
 @gold("dim_employee_compensation")
 def dim_employee_compensation(w: Warehouse) -> DataFrame:
-    """Pay in original, entity and US currency; implausible rates neutralised; totals with cost-of-living share and bonus."""
-    jobs = latest_per_key(w.system("employee_job_history", "ukg"), ["key_employee"], [F.desc("dte_job_effective"), F.desc("key")])
-    out = look(w.system("employee_compensation", "ukg"), jobs, "key_employee", "key_employee", "key_department:key_department")
-    out = _person_entity(out, w)
-    out = out.withColumn("currency_code", norm_currency("currency_code"))
-    bonus, cola = F.col("other_rate_2"), F.col("other_rate_1")
-    out = out.withColumns({
-        "hourly_pay_rate": neutralise("hourly_pay_rate", F.col("hourly_pay_rate") < 10).cast("decimal(18,4)"),
-        "performance_bonus_percent": F.coalesce(neutralise(bonus, bonus >= 1), F.lit(0)).cast("decimal(9,4)"),
-        "cola_percent": F.coalesce(neutralise(cola, cola >= 1), F.lit(0)).cast("decimal(9,4)"),
-    })
-    out = out.withColumn("performance_bonus", (F.col("annual_salary").cast("decimal(18,2)") * F.col("performance_bonus_percent")).cast("decimal(18,2)"))
-    day = F.col("dte_in_job")
-    out = fx.with_rates(out, w.rates(), {"conversion_rate_usd": ("currency_code", F.lit("USD")), "conversion_rate_entity": ("currency_code", "currency_code_entity")}, day)
-    rates = {"original": F.lit(1.0), "entity": F.col("conversion_rate_entity"), "usd": F.col("conversion_rate_usd")}
-    out = totals(out, "annual_salary", F.col("cola_percent"), "performance_bonus", rates)
-    names = {}
-    for s in rates:
-        names |= {f"base_{s}": f"annual_salary_{s}", f"base_uplift_{s}": f"annual_salary_cola_{s}", f"bonus_{s}": f"performance_bonus_{s}", f"total_{s}": f"total_compensation_{s}"}
-    out = out.withColumnsRenamed(names)
-    return out.withColumns({f"hourly_pay_rate_{s}": convert("hourly_pay_rate", r) for s, r in rates.items()})
+    """Pay in original, entity and US currency: salary, hourly, weekly and period pay with the cost-of-living share of the
+    shift code, bonus and other rates, and totals. The entity is that of the accounting employee, else of the company."""
+    out = w.system("employee_compensation", "ukg").withColumnRenamed("pay_period_pay_rate", "period_pay_rate")
+    out = optional(out, "weekly_pay_rate", "period_pay_rate", *pay.EXTRAS, "other_rate_2")
+    day = F.coalesce(*[F.col(c) for c in ("dte_in_job", "dte_last_worked") if c in out.columns], F.lit(w.as_of).cast("date"))
+    jobs = latest_per_key(w.system("employee_job_history", "ukg").filter("bln_is_rate_change"), ["key_employee_company", "dte_job_effective"],
+                          [F.desc("annual_salary"), F.desc("key")]).withColumn("__k", composite_key("key_employee_company", "dte_job_effective"))
+    out = look(out.withColumn("__j", composite_key(F.col("key_employee_company"), day)), jobs, "__j", "__k", "key:key_job_history").drop("__j")
+    out = look(out, w.system("employee", "ukg"), "key_employee", "key", "display_name:employee_name display_name_lf:employee_name_lf email_address_work:employee_email")
+    out = look(out, portal(w, "positions"), "primary_job_id", "ukg_id", "record_id:key_position display_name:position_name")
+    out = look(out, w.source("ukg_pro", "company"), "key_company", "id", "name:company_name")
+    out = look(out, w.system("employee", "int").filter(F.col("link").isNotNull()), "key_employee", "link", "key_entity:__int")
+    out = entity_of(entity_of(out, w, "__int", "__e1"), w, "key_company", "__e2", "ukg_id")
+    out = shift_and_grade(benefit_rate(first_entity(out, ["__e1", "__e2"]), w, day), w, "primary_shift_code", "job_salary_grade")
+    out = out.withColumns({"currency_code_original": F.upper("currency_code"), "job_title": first_non_null(blank_to_null("job_title"), "position_name")})
+    out = fx.with_rates(out.drop("currency_code"), w.rates(), {
+        f"conversion_rate_{s}": ("currency_code_original", to) for s, to in (("entity", "currency_code_entity"), ("usd", F.lit("USD")))}, day)
+    out = pay.with_pay(out, {s: f"conversion_rate_{s}" for s in ("entity", "usd")})
+    return out.drop(*[c for c in out.columns if c.startswith("__")])
 
 
 def _payroll_lines(w: Warehouse, name: str, amounts: list[str]) -> DataFrame:
@@ -262,20 +295,34 @@ def dim_employee_payroll_deductions(w: Warehouse) -> DataFrame:
 
 @gold("dim_employee_job_history")
 def dim_employee_job_history(w: Warehouse) -> DataFrame:
-    """Job changes in original, entity and US currency; missing weekly pay is a 52nd of the salary."""
-    out = w.system("employee_job_history", "ukg")
-    for table, fk, n in (("practices", "key_practice", "practice"), ("departments", "key_department", "department"), ("base_teams", "key_base_team", "base_team"),
-                         ("locations_intacct", "key_intacct_location", "location"), ("job_salary_grades", "salary_grade", "salary_grade"),
-                         ("shift_codes", "shift_code", "shift")):
-        out = look(out, portal(w, table), fk, "ukg_id", f"display_name:{n}_name")
-    out = look(out, w.system("employee", "ukg"), "key_employee", "key", "display_name:employee_name display_name_lf:employee_name_lf")
-    out = _person_entity(out, w).withColumn("currency_code", norm_currency("currency_code"))
-    annual = F.col("annual_salary").cast("decimal(18,2)")
+    """Job changes with all pay measures in original, entity, present entity and US currency. The entity is that of the
+    change's location, else of the person's accounting location, else of the company; the present one is the second of them.
+    Missing hourly, weekly and period pay follow from the salary and the hours."""
+    out = optional(w.system("employee_job_history", "ukg"), "weekly_pay_rate", "period_pay_rate", "hourly_pay_rate", "scheduled_work_hours", *pay.EXTRAS, "other_rate_2")
+    for table, fk, n in (("practices", "key_practice", "practice"), ("departments", "key_department", "department"), ("base_teams", "key_base_team", "base_team")):
+        out = look(out.withColumn("__fk", F.col(fk)).withColumnRenamed(fk, f"ukg_{n}_id"), portal(w, table), "__fk", "ukg_id", f"record_id:key_{n} display_name:{n}_name").drop("__fk")
+    places = portal(w, "locations_intacct")
+    out = look(out, places, "key_intacct_location", "ukg_id", "record_id:key_location_intacct display_name:intacct_location_name entity_id:__place_entity")
+    out = look(out, w.system("employee", "int").filter(F.col("link").isNotNull()), "key_employee", "link", "locationid:__int_place")
+    out = look(out, places, "__int_place", "intacct_id", "entity_id:__int_entity")
+    out = entity_of(entity_of(entity_of(out, w, "__place_entity", "__e1"), w, "__int_entity", "__e2"), w, "key_company", "__e3", "ukg_id")
+    hours = portal(w, "entities").withColumn("__by", F.col("ukg_id"))
+    out = look(out, hours, "key_company", "__by", "work_hours_per_week:__week_hours")
+    out = first_entity(first_entity(out, ["__e1", "__e2", "__e3"]), ["__e2"], "_current")
+    out = shift_and_grade(benefit_rate(out, w, F.col("dte_job_effective")), w, "shift_code", "salary_grade")
+    out = look(out, w.system("employee", "ukg"), "key_employee", "key", "display_name:employee_name display_name_lf:employee_name_lf email_address_work:employee_email")
+    out = look(out, w.source("ukg_pro", "company"), "key_company", "id", "name:company_name")
+    out = look(out, portal(w, "positions"), "job_id", "ukg_id", "record_id:key_position display_name:position_name")
+    out = out.withColumns({"job_title": first_non_null("job_title", "position_name"), "currency_code_original": F.upper("currency_code")}).drop("currency_code")
+    annual = F.coalesce("annual_salary", F.lit(0)).cast("decimal(18,2)")
     out = out.withColumns({
-        "annual_salary": annual, "weekly_pay_rate": rate_or_derived("weekly_pay_rate", annual / 52).cast("decimal(18,2)"),
-        "hourly_pay_rate": rate_or_derived("hourly_pay_rate", annual / 2080).cast("decimal(18,2)")})
-    return money_in(out, w, ["annual_salary", "weekly_pay_rate", "hourly_pay_rate"], "currency_code",
-                    {"entity": "currency_code_entity", "usd": F.lit("USD")}, "dte_job_effective")
+        "hourly_pay_rate": pay.or_derived(F.col("hourly_pay_rate"), annual / F.coalesce(F.col("__week_hours") * 52, F.lit(2080))),
+        "weekly_pay_rate": pay.or_derived(F.col("weekly_pay_rate"), annual / 52)})
+    out = out.withColumn("period_pay_rate", pay.or_derived(F.col("period_pay_rate"), F.col("hourly_pay_rate") * F.coalesce("scheduled_work_hours", F.lit(0)).cast("decimal(18,2)")))
+    targets = {"entity": "currency_code_entity", "entity_current": "currency_code_entity_current", "usd": F.lit("USD")}
+    out = fx.with_rates(out, w.rates(), {f"conversion_rate_{s}": ("currency_code_original", to) for s, to in targets.items()}, "dte_job_effective")
+    out = pay.with_pay(out, {s: f"conversion_rate_{s}" for s in targets})
+    return out.drop(*[c for c in out.columns if c.startswith("__")])
 
 
 # ---------------------------------------------------------------- financial
@@ -357,8 +404,8 @@ def dim_timesheet_entry(w: Warehouse) -> DataFrame:
     acc = w.system("employee", "int").withColumn("__entity_id", F.col("key_entity").cast("bigint"))
     out = look(out, acc, "employee_id_intacct", "intacct_employee_id", "__entity_id:__person_entity")
     out = look(out, portal(w, "entities"), "__person_entity", "id", "record_id:key_entity_employee").drop("__person_entity")
-    pay = w.ref("vw_employee_pay_history").withColumnRenamed("key_employee", "key_employee_ukg")
-    out = as_of_join(out, pay, ["key_employee_ukg"], "dte_entry", "date_from", {c: F.max(c) for c in ("hourly_pay_rate_usd", "annual_salary_usd")}, open_start=False)
+    paid = w.ref("vw_employee_pay_history").withColumnRenamed("key_employee", "key_employee_ukg")
+    out = as_of_join(out, paid, ["key_employee_ukg"], "dte_entry", "date_from", {c: F.max(c) for c in ("hourly_pay_rate_usd", "annual_salary_usd")}, open_start=False)
     out = out.withColumns({"currency_iso_code": norm_currency("currency_iso_code"), "currency_code_project": norm_currency("currency_code_project"),
                            "currency_code_entity": norm_currency("currency_code_entity"), "bill_rate": F.coalesce("bill_rate", F.lit(0)).cast("decimal(18,2)"),
                            "qty": F.col("qty").cast("decimal(18,2)")})

@@ -126,7 +126,7 @@ def employee(w: Warehouse) -> DataFrame:
                "last_hire_date:dte_last_hire date_of_termination:dte_src_end employee_type_code:employee_type_id pay_group:payroll_company_id "
                "salary_or_hourly:pay_type_id full_time_or_part_time_code:dol_status_id primary_work_location_id:location_id_ukg "
                "primary_job_id:position_id term_reason:termination_type_id")
-    ukg = look(ukg, pay, "__pair", "__pair", "annual_salary:annual_salary hourly_pay_rate:hourly_pay_rate other_rate_1:cola_percent "
+    ukg = look(ukg, pay, "__pair", "__pair", "annual_salary:annual_salary hourly_pay_rate:hourly_pay_rate other_rate_1:other_rate_1 "
                "other_rate_2:other_rate_2 primary_shift_code:pay_shift job_salary_grade:job_salary_grade currency_code:pay_currency")
     ukg = look(ukg, job, "__pair", "__pair", "shift_code:job_shift organization_level_1_id:practice_id organization_level_2_id:department_id "
                "organization_level_3_id:base_team_id organization_level_4_id:location_id_intacct weekly_pay_rate:weekly_pay_rate")

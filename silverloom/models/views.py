@@ -23,14 +23,17 @@ def view(name: str):
 
 @view("vw_employee_pay_history")
 def vw_employee_pay_history(w: Warehouse) -> DataFrame:
+    """Pay as validity ranges. Of several changes of a day the one created last counts; snapshots stand in for people of a
+    company without any change that counts."""
+    hourly = F.col("hourly_pay_rate_usd")
     jobs = w.ref("dim_employee_job_history").select(
-        F.col("key_employee").alias("person_id"), F.col("dte_job_effective").alias("dte_effective"), F.col("key").alias("change_id"),
-        F.col("annual_salary_usd").alias("salary"), "shift_code", "percent_change", F.col("bln_is_rate_change").alias("bln_rate_change"), "reason_code")
-    pay = w.ref("dim_employee_compensation").select(
-        F.col("key_employee").alias("person_id"), F.col("dte_in_job").alias("dte_effective"), F.col("annual_salary_usd").alias("salary"))
-    out = reporting.pay_history(jobs, pay, PAY_REASONS).withColumnsRenamed({
+        F.col("key_employee").alias("person_id"), "key_employee_company", F.col("dte_job_effective").alias("dte_effective"),
+        F.struct("dts_src_created", "key").alias("change_id"), F.col("annual_salary_usd").alias("salary"), hourly, "shift_code", "percent_change",
+        F.col("bln_is_rate_change").alias("bln_rate_change"), "reason_code")
+    paid = w.ref("dim_employee_compensation").select(
+        F.col("key_employee").alias("person_id"), "key_employee_company", F.col("dte_in_job").alias("dte_effective"), F.col("annual_salary_usd").alias("salary"), hourly)
+    out = reporting.pay_history(jobs, paid, PAY_REASONS, ["key_employee_company"], ["hourly_pay_rate_usd"]).withColumnsRenamed({
         "person_id": "key_employee", "dte_effective": "dte_job_effective", "salary": "annual_salary_usd"})
-    out = out.withColumn("hourly_pay_rate_usd", (F.col("annual_salary_usd") / 2080).cast("decimal(18,2)"))
     return look(out, w.system("employee", "ukg"), "key_employee", "key",
                 "display_name:employee_name display_name_lf:employee_name_lf email_address_work:employee_email status_code:status")
 

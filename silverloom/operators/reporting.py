@@ -145,25 +145,27 @@ def activity(facts: DataFrame, projects: DataFrame, cube: DataFrame | RateBook)
     return rows.groupBy(*keys).agg(*[F.sum(F.coalesce(e, zero)).alias(n) for n, e in amounts.items()])
 
 
-def pay_history(jobs: DataFrame, pay: DataFrame, reasons: Sequence[str]) -> DataFrame:
+def pay_history(jobs: DataFrame, pay: DataFrame, reasons: Sequence[str], unit: Sequence[str] = ("person_id",),
+                carry: Sequence[str] = ()) -> DataFrame:
     """Pay history of every person as validity ranges, from job changes and pay snapshots.
 
     ``jobs``: person_id, dte_effective, change_id, salary, shift_code, percent_change, bln_rate_change, reason_code.
     ``pay``: person_id, dte_effective, salary. Only rows that change pay or shift, or carry one of the reasons, count;
-    one per person and day. Snapshots stand in for people without any such row. Implausible salaries are dropped, and
+    one per person and day. Snapshots stand in for those without any such row, by the columns of ``unit``. ``carry`` are
+    further columns of both that go with the salary. Implausible salaries are dropped, and
     duplicates of a day are removed before the ranges are built, so no range ends before it starts.
     """
     rows = changed(jobs, "person_id", "dte_effective", "shift_code", "percent_change", list(reasons), "reason_code",
                    "bln_rate_change", ties=["change_id"])
     rows = latest_per_key(rows, ["person_id", "dte_effective"], [F.desc("change_id")])
-    rows = rows.select(F.lit("Job History").alias("src"), "person_id", "dte_effective", "salary")
-    people = rows.select("person_id").distinct()
-    rest = pay.select(F.lit("Compensation").alias("src"), "person_id", "dte_effective", "salary")
-    both = stack(rows, rest.join(people, "person_id", "left_anti"))
+    columns = list(dict.fromkeys(["person_id", *unit, "dte_effective", "salary", *carry]))
+    rows = rows.select(F.lit("Job History").alias("src"), *columns)
+    rest = pay.select(F.lit("Compensation").alias("src"), *columns)
+    both = stack(rows, drop_matching(rest, rows.select(*unit), list(unit)))
     both = both.filter(F.col("salary").between(*SALARY_BOUNDS))
     one = prefer_source(both, ["person_id", "dte_effective"], "src", ["Job History", "Compensation"], [F.desc("salary")])
     return change_ranges(one, ["person_id"], "dte_effective",
-                         values=[F.max("src").alias("src"), F.max("salary").alias("salary"),
+                         values=[F.max("src").alias("src"), F.max("salary").alias("salary"), *[F.max(c).alias(c) for c in carry],
                                  F.max("dte_effective").alias("dte_effective")])
 
 

@@ -138,7 +138,7 @@ def _models() -> dict[str, str]:
             "company_id": "company", "employee_id": "employee"}, {"employee_amount": "amt_employee", "employer_amount": "amt_employer", "pay_date": "dte_pay"},
             ("employee_amount", "employer_amount"), "is_cafeteria_plan = 'Y' AS bln_is_cafeteria_plan, is_voided = 'Y' AS bln_is_voided"),
         "employee_compensation": silver("employee_compensation", "ukg", "ukg_pro.compensation", "_fivetran_id", {"company_id": "company", "employee_id": "employee"},
-                                        {"date_in_job": "dte_in_job"}, ("annual_salary", "hourly_pay_rate", "other_rate_1", "other_rate_2"),
+                                        {"date_in_job": "dte_in_job"}, ("annual_salary", "hourly_pay_rate", "weekly_pay_rate", "pay_period_pay_rate", "other_rate_1", "other_rate_2", "other_rate_3", "other_rate_4"),
                                         "employee_id || ':' || company_id AS key_employee_company, md5(employee_id || ':' || company_id) AS hash_key_employee_company, "
                                         "salary_or_hourly_code = 'S' AS bln_is_salary, full_time_or_part_time_code = 'F' AS bln_is_full_time",
                                         frm=f"SELECT p.* REPLACE (coalesce(p.currency_code, c.currency_code) AS currency_code), c.code AS company_code FROM ({RAW_TABLES['ukg_pro.compensation']}) p "
@@ -149,7 +149,7 @@ def _models() -> dict[str, str]:
 
     ukg_jobs = RAW_TABLES["ukg_pro.employee_job_history"]
     job_names = {"job_effective_date": "dte_job_effective", "date_time_created": "dts_src_created", "is_rate_change": "bln_is_rate_change", "is_promotion": "bln_is_promotion"}
-    pay = ("annual_salary", "weekly_pay_rate", "hourly_pay_rate")
+    pay = ("annual_salary", "weekly_pay_rate", "hourly_pay_rate", "period_pay_rate", "scheduled_work_hours", "other_rate_1", "other_rate_2", "other_rate_3", "other_rate_4")
     out |= {
         "timesheet": stacked(
             silver("timesheet", "int", i + "timesheet", "recordno", {"employeekey": "employee"}, {
@@ -332,6 +332,72 @@ def _models() -> dict[str, str]:
             f"FROM ({out['timesheet']}) b LEFT JOIN nation d ON b.employee_department_id = 'D' || CAST(d.n_nationkey AS STRING) LEFT JOIN nation o ON b.employee_location_id = 'D' || CAST(o.n_nationkey AS STRING) "
             f"LEFT JOIN nation r ON r.n_nationkey = o.n_regionkey LEFT JOIN {person} p ON b.employee_id = 'E' || p.pkey WHERE b.src_sys_key = 'int'",
     }
+    # pay in several currencies: every amount rounded, then the cost-of-living share, the bonus and the totals on rounded ones
+    amounts, others = ("annual_salary", "hourly_pay_rate", "period_pay_rate", "weekly_pay_rate"), ("other_rate_1", "other_rate_3", "other_rate_4")
+    money = lambda c: f"CAST({c} AS DECIMAL(18,2))"
+    shown = lambda c, n: f"CAST({c} AS DOUBLE) AS {n}"
+
+    def cents_over(amount: str, n: str) -> str:
+        """A positive amount divided by a whole number and rounded to cents, in whole numbers throughout."""
+        return f"(CAST((CAST({amount} * 100 AS BIGINT) * 2 + {n}) // (2 * {n}) AS DECIMAL(16,0)) * CAST(0.01 AS DECIMAL(3,2)))"
+
+    def paid(rows: str, targets: tuple[str, ...], model: str) -> str:
+        """``rows`` has the four amounts, the other rates, ``cola``, ``cur`` and a currency ``to_<target>`` for each target, and ``day``."""
+        suffixes = ("original", *targets)
+        rates = ", ".join(f"CAST(CASE WHEN cur = to_{t} THEN 1.0 ELSE coalesce(x_{t}.fx_rate_mul, 1.0) END AS DECIMAL(20,10)) AS conversion_rate_{t}" for t in targets)
+        found = " ".join(f"LEFT JOIN cube x_{t} ON x_{t}.frm_curr = cur AND x_{t}.to_curr = to_{t} AND x_{t}.date = greatest(least(day, hi), lo)" for t in targets)
+        own = ", ".join([f"{money(f'coalesce({a}, 0)')} AS {a}_original" for a in (*amounts, *others[1:])] + [
+            f"{money('CASE WHEN coalesce(other_rate_1, 0) < 10 THEN 0 ELSE other_rate_1 END')} AS other_rate_1_original",
+            "CAST(CASE WHEN coalesce(other_rate_2, 0) < 1 THEN coalesce(other_rate_2, 0) ELSE 0 END AS DECIMAL(4,2)) AS other_rate_2_original",
+            "CAST(coalesce(cola, 0) AS DECIMAL(9,5)) AS cola_percent"])
+        far = ", ".join(f"{money(f'{a}_original * conversion_rate_{t}')} AS {a}_{t}" for a in (*amounts, *others) for t in targets)
+        cola = ", ".join([f"{money(f'{a}_{t} * (1 + cola_percent)')} AS {a}_cola_{t}" for a in amounts for t in suffixes]
+                         + [f"{money(f'annual_salary_{t} * other_rate_2_original')} AS performance_bonus_{t}" for t in suffixes])
+        made = [f"{a}_{t}" for a in (*amounts, *others) for t in suffixes] + [f"{a}_cola_{t}" for a in amounts for t in suffixes] + [f"performance_bonus_{t}" for t in suffixes]
+        made += ["cola_percent", "other_rate_2_original", *[f"conversion_rate_{t}" for t in targets]]
+        out = ", ".join([shown(c, c) for c in made]
+                        + [shown(f"annual_salary_cola_{t} + other_rate_1_{t}", f"total_compensation_{t}") for t in suffixes]
+                        + [shown(f"annual_salary_cola_{t} + other_rate_1_{t} + performance_bonus_{t}", f"total_potential_compensation_{t}") for t in suffixes])
+        gone = ", ".join(dict.fromkeys([*amounts, *others, "other_rate_2", "cola", "cur", "day", *[f"to_{t}" for t in targets], *made, "lo", "hi"]))
+        return (_CUBE + f", p0 AS ({rows}), p1 AS (SELECT p0.*, lo, hi, {own}, {rates} FROM p0 CROSS JOIN lim {found}), p2 AS (SELECT *, {far} FROM p1), p3 AS (SELECT *, {cola} FROM p2) "
+                f"SELECT {audit(model)}, * EXCLUDE ({gone}), {out} FROM p3")
+
+    entity_cols = lambda e, s="": f"'R' || CAST({e}.n_nationkey AS STRING) AS key_entity{s}, {e}.n_name AS entity_name{s}"
+    cur_of = lambda e: f"CASE WHEN {e}.n_nationkey IS NOT NULL THEN {nation_cur.replace('n_regionkey', e + '.n_regionkey')} END"
+    raw_decimal = lambda cols: ", ".join(f"CAST(b.{c} AS DECIMAL(18,2)) AS {c}" for c in cols)
+    pay_in = ("annual_salary", "hourly_pay_rate", "weekly_pay_rate", "other_rate_1", "other_rate_2", "other_rate_3", "other_rate_4")
+    acc_emp = f"LEFT JOIN ({RAW_TABLES['sage_intacct.employee']}) i ON i.ukg_employee_number = b.key_employee"
+    gold["dim_employee_compensation"] = paid(
+        f"SELECT b.* EXCLUDE ({GOLD_DROP}, pay_period_pay_rate, {', '.join(pay_in)}, currency_code, company_code, job_title), b.company_code, {raw_decimal(pay_in)}, CAST(b.pay_period_pay_rate AS DECIMAL(18,2)) AS period_pay_rate, "
+        f"b.dte_in_job AS day, upper(b.currency_code) AS cur, upper(b.currency_code) AS currency_code_original, 'USD' AS to_usd, {cur_of('e')} AS to_entity, {cur_of('e')} AS currency_code_entity, {entity_cols('e')}, "
+        "s.n_regionkey * CAST(0.05 AS DECIMAL(9,4)) AS cola, 'R' || CAST(s.n_nationkey AS STRING) AS key_shift_code, s.n_name AS shift_code_name, 'R' || CAST(g.n_nationkey AS STRING) AS key_salary_grade, "
+        "g.n_name AS salary_grade_name, 'R' || CAST(q.n_nationkey AS STRING) AS key_position, q.n_name AS position_name, coalesce(NULLIF(b.job_title, ''), q.n_name) AS job_title, "
+        "CAST(CASE WHEN year(b.dte_in_job) = 2001 THEN coalesce(e.n_regionkey, 0) ELSE 0 END AS DOUBLE) AS benefits_rate, j.key AS key_job_history, c.n_name AS company_name, "
+        "p.nm AS employee_name, p.lf AS employee_name_lf, p.mail AS employee_email "
+        f"FROM ({out['employee_compensation']}) b {acc_emp} LEFT JOIN nation e ON e.n_nationkey = i.locationkey LEFT JOIN nation s ON CAST(s.n_nationkey AS STRING) = b.primary_shift_code "
+        "LEFT JOIN nation g ON CAST(g.n_nationkey AS STRING) = b.job_salary_grade LEFT JOIN nation q ON CAST(q.n_nationkey AS STRING) = b.primary_job_id "
+        f"LEFT JOIN nation c ON CAST(c.n_nationkey AS STRING) = b.key_company LEFT JOIN {person} p ON p.pkey = b.key_employee "
+        f"LEFT JOIN (SELECT * FROM ({out['employee_job_history']}) WHERE bln_is_rate_change QUALIFY row_number() OVER (PARTITION BY key_employee_company, dte_job_effective ORDER BY annual_salary DESC, key DESC) = 1) j "
+        "ON j.key_employee_company = b.key_employee_company AND j.dte_job_effective = b.dte_in_job", ("entity", "usd"), "dim_employee_compensation")
+    hours = "CAST(coalesce(b.scheduled_work_hours, 0) AS DECIMAL(18,2))"
+    salary, hour = money("b.annual_salary"), "CASE WHEN coalesce(b.hourly_pay_rate, 0) <> 0 THEN CAST(b.hourly_pay_rate AS DECIMAL(18,2)) ELSE " + cents_over(money("b.annual_salary"), "2080") + " END"
+    others_in = ("other_rate_1", "other_rate_2", "other_rate_3", "other_rate_4")
+    gold["dim_employee_job_history"] = paid(
+        f"SELECT b.* EXCLUDE ({GOLD_DROP}, {', '.join(amounts)}, {', '.join(others_in)}, currency_code, key_practice, key_department, key_base_team, job_title), {raw_decimal(others_in)}, {salary} AS annual_salary, "
+        f"{hour} AS hourly_pay_rate, CASE WHEN coalesce(b.weekly_pay_rate, 0) <> 0 THEN CAST(b.weekly_pay_rate AS DECIMAL(18,2)) ELSE {cents_over(salary, '52')} END AS weekly_pay_rate, "
+        f"CASE WHEN coalesce(b.period_pay_rate, 0) <> 0 THEN CAST(b.period_pay_rate AS DECIMAL(18,2)) ELSE CAST(({hour}) * {hours} AS DECIMAL(18,2)) END AS period_pay_rate, "
+        f"b.dte_job_effective AS day, upper(b.currency_code) AS cur, upper(b.currency_code) AS currency_code_original, 'USD' AS to_usd, {cur_of('e')} AS to_entity, {cur_of('e')} AS currency_code_entity, {entity_cols('e')}, "
+        f"{cur_of('f')} AS to_entity_current, {cur_of('f')} AS currency_code_entity_current, {entity_cols('f', '_current')}, s.n_regionkey * CAST(0.05 AS DECIMAL(9,4)) AS cola, "
+        "'R' || CAST(s.n_nationkey AS STRING) AS key_shift_code, s.n_name AS shift_code_name, 'R' || CAST(g.n_nationkey AS STRING) AS key_salary_grade, g.n_name AS salary_grade_name, "
+        "'R' || CAST(q.n_nationkey AS STRING) AS key_position, q.n_name AS position_name, coalesce(b.job_title, q.n_name) AS job_title, c.n_name AS company_name, "
+        "b.key_practice AS ukg_practice_id, b.key_department AS ukg_department_id, b.key_base_team AS ukg_base_team_id, 'R' || CAST(c.n_nationkey AS STRING) AS key_practice, c.n_name AS practice_name, "
+        "'R' || CAST(c.n_nationkey AS STRING) AS key_department, c.n_name AS department_name, 'R' || CAST(c.n_nationkey AS STRING) AS key_base_team, c.n_name AS base_team_name, "
+        "'R' || CAST(l.n_nationkey AS STRING) AS key_location_intacct, l.n_name AS intacct_location_name, "
+        "CAST(CASE WHEN year(b.dte_job_effective) = 2001 THEN coalesce(e.n_regionkey, 0) ELSE 0 END AS DOUBLE) AS benefits_rate, p.nm AS employee_name, p.lf AS employee_name_lf, p.mail AS employee_email "
+        f"FROM ({out['employee_job_history']}) b {acc_emp} LEFT JOIN nation l ON CAST(l.n_nationkey AS STRING) = b.key_intacct_location LEFT JOIN nation i2 ON 'D' || CAST(i2.n_nationkey AS STRING) = i.locationid "
+        "LEFT JOIN nation f ON f.n_nationkey = i2.n_regionkey LEFT JOIN nation c ON CAST(c.n_nationkey AS STRING) = b.key_company LEFT JOIN nation e ON e.n_nationkey = coalesce(l.n_regionkey, i2.n_regionkey, c.n_nationkey) "
+        "LEFT JOIN nation s ON CAST(s.n_nationkey AS STRING) = b.shift_code LEFT JOIN nation g ON CAST(g.n_nationkey AS STRING) = b.salary_grade LEFT JOIN nation q ON CAST(q.n_nationkey AS STRING) = b.job_id "
+        f"LEFT JOIN {person} p ON p.pkey = b.key_employee", ("entity", "entity_current", "usd"), "dim_employee_job_history")
     blank = lambda c: f"NULLIF({c}, '')"
     views = {
         "vw_finance_customers": f"SELECT recordno AS key, {blank('customerid')} AS customer_id, {blank('name')} AS name, {blank('comments')} AS comments, "

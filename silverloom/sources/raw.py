@@ -22,7 +22,7 @@ _PORTAL_DIM = f"""
            {_text('D', 'n_nationkey')} AS intacct_id, {_text('S', 'n_nationkey')} AS salesforce_id, n_name AS display_name,
            n_regionkey AS region_id, n_regionkey AS entity_id, n_regionkey AS continent_id, n_regionkey AS location_id, n_regionkey AS country_id,
            n_regionkey AS practice_id, n_regionkey AS family_id, CASE n_regionkey WHEN 0 THEN 'USD' WHEN 1 THEN 'EUR' ELSE 'GBP' END AS currency_id,
-           40 AS work_hours_per_week, n_regionkey AS regional_manager_user_id, {LIVE} FROM nation"""
+           40 AS work_hours_per_week, CAST(n_regionkey * 0.05 AS DECIMAL(9,4)) AS shift_percent, n_regionkey AS regional_manager_user_id, {LIVE} FROM nation"""
 
 _PORTAL_DIMS = """states contractor_companies countries departments dol_statuses shift_codes employee_types entities
     ethnic_backgrounds labor_categories genders locations_intacct locations_ukg locations location_regions location_continents
@@ -88,14 +88,21 @@ RAW_TABLES |= {
         CAST(c_nationkey AS STRING) AS salary_or_hourly, CAST(c_nationkey AS STRING) AS full_time_or_part_time_code, CAST(c_nationkey AS STRING) AS primary_work_location_id, '' AS term_reason, {LIVE}
         FROM orders JOIN customer ON o_custkey = c_custkey""",
     "ukg_pro.compensation": f"""SELECT {_text('K', 'c_custkey')} AS _fivetran_id, CAST(c_custkey AS STRING) AS employee_id, CAST(c_nationkey AS STRING) AS company_id,
-        CAST(c_acctbal * 12 AS DECIMAL(18,2)) AS annual_salary, CAST(c_acctbal * 0.01 AS DECIMAL(18,4)) AS hourly_pay_rate, CAST(0.1 AS DECIMAL(9,4)) AS other_rate_2, CAST(0.05 AS DECIMAL(9,4)) AS other_rate_1,
-        CASE WHEN c_mktsegment = 'BUILDING' THEN NULL WHEN c_mktsegment = 'MACHINERY' THEN 'EUR' ELSE 'USD' END AS currency_code, DATE '1997-01-01' AS date_in_job, 'S' AS salary_or_hourly_code,
-        'F' AS full_time_or_part_time_code, '' AS primary_shift_code, CAST(c_nationkey AS STRING) AS job_salary_grade, c_mktsegment AS job_title, {LIVE} FROM customer""",
+        CAST(c_acctbal * 12 AS DECIMAL(18,2)) AS annual_salary, CAST(CAST(c_acctbal AS DECIMAL(18,2)) * 0.01 AS DECIMAL(18,2)) AS hourly_pay_rate, CAST(CAST(c_acctbal AS DECIMAL(18,2)) * 0.25 AS DECIMAL(18,2)) AS weekly_pay_rate,
+        CASE WHEN c_custkey % 4 <> 1 THEN CAST(CAST(c_acctbal AS DECIMAL(18,2)) * 0.5 AS DECIMAL(18,2)) END AS pay_period_pay_rate, CAST(c_custkey % 25 AS DECIMAL(9,2)) AS other_rate_1,
+        CASE WHEN c_custkey % 6 = 0 THEN CAST(1.5 AS DECIMAL(9,2)) WHEN c_custkey % 6 < 5 THEN CAST(0.1 AS DECIMAL(9,2)) END AS other_rate_2,
+        CAST(c_custkey % 7 * 100.25 AS DECIMAL(9,2)) AS other_rate_3, CASE WHEN c_custkey % 5 = 0 THEN CAST(12.5 AS DECIMAL(9,2)) END AS other_rate_4,
+        CASE WHEN c_mktsegment = 'BUILDING' THEN NULL WHEN c_mktsegment = 'MACHINERY' THEN 'EUR' ELSE 'USD' END AS currency_code, CASE WHEN c_custkey % 3 = 0 THEN DATE '2001-03-01' ELSE DATE '1997-01-01' END AS date_in_job, 'S' AS salary_or_hourly_code,
+        'F' AS full_time_or_part_time_code, CASE WHEN c_custkey % 3 > 0 THEN CAST(c_nationkey AS STRING) ELSE '' END AS primary_shift_code, CAST(c_nationkey AS STRING) AS primary_job_id, CAST(c_nationkey AS STRING) AS job_salary_grade, CASE WHEN c_custkey % 8 > 0 THEN c_mktsegment ELSE '' END AS job_title, {LIVE} FROM customer""",
     "ukg_pro.employee_job_history": f"""SELECT CAST(o_orderkey AS STRING) AS id, CAST(o_custkey AS STRING) AS employee_id, CAST(c_nationkey AS STRING) AS company_id, CAST(o_orderdate AS DATE) AS job_effective_date,
-        o_orderdate AS date_time_created, CAST(o_totalprice AS DECIMAL(18,2)) AS annual_salary, CAST(NULL AS DECIMAL(18,4)) AS weekly_pay_rate, CAST(CAST(o_totalprice AS DECIMAL(18,2)) * 0.0005 AS DECIMAL(18,6)) AS hourly_pay_rate,
+        o_orderdate AS date_time_created, CAST(o_totalprice AS DECIMAL(18,2)) AS annual_salary, CASE WHEN o_orderstatus = 'O' THEN CAST(CAST(o_totalprice AS DECIMAL(18,2)) * 0.02 AS DECIMAL(18,2)) WHEN o_orderstatus = 'F' THEN CAST(0 AS DECIMAL(18,2)) END AS weekly_pay_rate,
+        CASE WHEN o_orderstatus <> 'P' THEN CAST(CAST(o_totalprice AS DECIMAL(18,2)) * 0.0005 AS DECIMAL(18,2)) END AS hourly_pay_rate,
+        CASE WHEN o_orderkey % 4 = 1 THEN CAST(CAST(o_totalprice AS DECIMAL(18,2)) * 0.04 AS DECIMAL(18,2)) END AS period_pay_rate, CAST(o_orderkey % 3 * 40 AS DECIMAL(18,2)) AS scheduled_work_hours,
+        CAST(o_orderkey % 25 AS DECIMAL(9,2)) AS other_rate_1, CASE WHEN o_orderkey % 6 = 0 THEN CAST(1.5 AS DECIMAL(9,2)) WHEN o_orderkey % 6 < 5 THEN CAST(0.1 AS DECIMAL(9,2)) END AS other_rate_2,
+        CAST(o_orderkey % 7 * 100.25 AS DECIMAL(9,2)) AS other_rate_3, CASE WHEN o_orderkey % 5 = 0 THEN CAST(12.5 AS DECIMAL(9,2)) END AS other_rate_4,
         CASE WHEN o_orderstatus = 'P' THEN 0 ELSE 1 END AS percent_change, (o_orderpriority = '2-HIGH') AS is_rate_change, (o_orderpriority = '3-MEDIUM') AS is_promotion, substring(o_orderpriority, 1, 1) || '00' AS reason_code,
-        o_orderstatus AS shift_code, CAST(c_nationkey AS STRING) AS organization_level_1_id, CAST(c_nationkey AS STRING) AS organization_level_2_id, CAST(c_nationkey AS STRING) AS organization_level_3_id,
-        CAST(c_nationkey AS STRING) AS organization_level_4_id, CAST(c_nationkey AS STRING) AS salary_grade, CAST(o_custkey % 2000 AS STRING) AS job_id, c_mktsegment AS job_title, 'S' AS salary_or_hourly, 'F' AS full_time_or_part_time, {LIVE}
+        CASE o_orderstatus WHEN 'F' THEN '1' WHEN 'O' THEN '2' ELSE '' END AS shift_code, CAST(c_nationkey AS STRING) AS organization_level_1_id, CAST(c_nationkey AS STRING) AS organization_level_2_id, CAST(c_nationkey AS STRING) AS organization_level_3_id,
+        CASE WHEN o_orderkey % 9 > 0 THEN CAST(c_nationkey AS STRING) END AS organization_level_4_id, CAST(c_nationkey AS STRING) AS salary_grade, CAST(o_custkey % 2000 AS STRING) AS job_id, c_mktsegment AS job_title, 'S' AS salary_or_hourly, 'F' AS full_time_or_part_time, {LIVE}
         FROM orders JOIN customer ON o_custkey = c_custkey""",
     "ukg_pro.employee_change": f"""SELECT CAST(c_custkey AS STRING) AS employee_id, CAST(c_nationkey AS STRING) AS company_id, TIMESTAMP '2001-01-01 00:00:00' AS date_time_changed, {LIVE} FROM customer""",
     "ukg_pro.employment_field_row": f"""SELECT CAST(c_custkey AS STRING) || ':CO' || CAST(c_nationkey AS STRING) AS key_value, 'PMQualified' AS field_name, c_mktsegment AS field_value, {LIVE} FROM customer
