@@ -351,7 +351,7 @@ def dim_cc_transaction_entry(w: Warehouse) -> DataFrame:
 def dim_expense_item(w: Warehouse) -> DataFrame:
     """Accounting expense lines with header, and the CRM line and report of the same expense."""
     out = _header_lines(w, "expenseitem", "expense", "hash_key_expense", "key:key_report recordid:exp_record_id basecurr:exp_base_currency currency:exp_currency dte_whenposted:exp_dte_when_posted state:exp_state hash_link:__report_link")
-    out = link_system(out, w, "sfc", "key:sfc_key_expense_item state:sfc_item_status gl_account:gl_account", "expenseitem")
+    out = link_system(out, w, "sfc", "key:sfc_key_expense_item state:sfc_item_status gl_account_no:gl_account", "expenseitem")
     report = w.system("expense", "sfc").filter(F.col("hash_link").isNotNull())
     return look(out, report, "__report_link", "hash_link", "key:sfc_key_expense project_name:sfc_project_name").drop("__report_link")
 

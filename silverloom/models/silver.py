@@ -229,7 +229,7 @@ def expenseitem(w: Warehouse) -> DataFrame:
                "pse_status_c:state pse_project_c:report_project")
     crm = look(crm, w.source("salesforce", "contact"), "pse_resource_c", "id", "name:employee_name")
     crm = look(crm, w.source("salesforce", "pse_proj_c"), "report_project", "id", "name:project_name")
-    crm = look(crm, w.source("salesforce", "expense_type_gla_mapping_c"), "pse_type_c", "expense_type_c", "gla_account_c:gl_account")
+    crm = look(crm, w.source("salesforce", "expense_type_gla_mapping_c"), "gla_mapping_c", "id", "gl_account_c:gl_account_no name:gl_account_title intacct_item_id_c:item_id")
     b = conform_by_rule(crm, "sfc", "expenseitem", w.as_of, foreign={"pse_expense_report_c": "expense", "report_project": "project"},
                         names={"pse_amount_c": "amt_org", "pse_billable_c": "bln_billable"})
     return stack(a, b)
@@ -314,8 +314,8 @@ def estimates_vs_actuals(w: Warehouse) -> DataFrame:
 @model("project", LAYER)
 def project(w: Warehouse) -> DataFrame:
     """Projects of accounting, project tool and CRM, linked by the accounting record."""
-    acc = look(blanks_to_null(w.source("sage_intacct", "project")), w.source("sage_intacct", "location"), "locationkey", "recordno", "parentkey:entity_parent")
-    acc = acc.withColumn("entity", first_non_null("entity_parent", "locationkey")).drop("entity_parent")
+    acc = look(blanks_to_null(w.source("sage_intacct", "project")), w.source("sage_intacct", "location"), "locationid", "locationid", "parentkey:entity_parent recordno:entity_own")
+    acc = acc.withColumn("entity", first_non_null("entity_parent", "entity_own")).drop("entity_parent", "entity_own")
     a = conform_by_rule(acc, "int", "project", w.as_of, key="recordno", foreign={"entity": "entity"}, names={
         "projectid": "project_id", "managerid": "project_manager_id", "departmentid": "department_id", "locationid": "location_id",
         "locationkey": "project_location_key", "currency": "currency_iso_code", "po_amount": "amt_po", "projecttype": "project_type", "begindate": "dte_src_start"})

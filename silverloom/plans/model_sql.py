@@ -165,6 +165,28 @@ def _models() -> dict[str, str]:
                 "pse_status_c": "state", "intacct_expense_c": "intacct_expense"},
                 frm=f"SELECT h.*, c.name AS employee_name, p.name AS project_name FROM ({RAW_TABLES[s + 'pse_expense_report_c']}) h LEFT JOIN ({RAW_TABLES[s + 'contact']}) c ON h.pse_resource_c = c.id "
                     f"LEFT JOIN ({RAW_TABLES[s + 'pse_proj_c']}) p ON h.pse_project_c = p.id")),
+        "expenseitem": stacked(
+            silver("expenseitem", "int", i + "eexpenses_item", "recordno", {"recordkey": "expense", "projectkey": "project", "employeekey": "employee"},
+                   {**line, "employeeid": "employee_id"}, ("amount", "trx_amount"), link="sfdc_expense_item_id"),
+            silver("expenseitem", "sfc", s + "pse_expense_c", "id", {"pse_expense_report_c": "expense", "report_project": "project"}, {
+                "pse_resource_c": "resource", "pse_type_c": "type", "gla_mapping_c": "gla_mapping", "pse_amount_c": "amt_org", "pse_billable_c": "bln_billable"}, ("pse_amount_c",),
+                frm=f"SELECT x.*, r.pse_status_c AS state, r.pse_project_c AS report_project, c.name AS employee_name, p.name AS project_name, m.gl_account_c AS gl_account_no, m.name AS gl_account_title, "
+                    f"m.intacct_item_id_c AS item_id FROM ({RAW_TABLES[s + 'pse_expense_c']}) x LEFT JOIN ({RAW_TABLES[s + 'pse_expense_report_c']}) r ON x.pse_expense_report_c = r.id "
+                    f"LEFT JOIN ({RAW_TABLES[s + 'contact']}) c ON x.pse_resource_c = c.id LEFT JOIN ({RAW_TABLES[s + 'pse_proj_c']}) p ON r.pse_project_c = p.id "
+                    f"LEFT JOIN ({RAW_TABLES[s + 'expense_type_gla_mapping_c']}) m ON x.gla_mapping_c = m.id")),
+        "project": stacked(
+            silver("project", "int", i + "project", "recordno", {"entity": "entity"}, {
+                "projectid": "project_id", "managerid": "project_manager_id", "departmentid": "department_id", "locationid": "location_id", "locationkey": "project_location_key",
+                "currency": "currency_iso_code", "po_amount": "amt_po", "projecttype": "project_type", "begindate": "dte_src_start"}, ("po_amount",),
+                frm=f"SELECT p.*, coalesce(l.parentkey, l.recordno) AS entity FROM ({RAW_TABLES[i + 'project']}) p LEFT JOIN ({RAW_TABLES[i + 'location']}) l ON p.locationid = l.locationid"),
+            silver("project", "psa", "psatools.projects", "id", {}, {"int_project_id": "project_id"}, link="int_record_no"),
+            silver("project", "sfc", s + "pse_proj_c", "id", {}, {
+                "pse_account_c": "account_id", "pse_group_c": "group_id", "pse_practice_c": "practice_id", "intacct_record_no_c": "intacct_record_no", "pse_opportunity_c": "opportunity",
+                "pse_project_manager_c": "project_manager"}, link="intacct_record_no_c",
+                frm=f"SELECT p.*, a.name AS account_name, a.client_manager_c AS client_manager_id, o.name AS opportunity_name, c.name AS project_manager_name, t.name AS practice_name, g.name AS group_name "
+                    f"FROM ({RAW_TABLES[s + 'pse_proj_c']}) p LEFT JOIN ({RAW_TABLES[s + 'account']}) a ON p.pse_account_c = a.id LEFT JOIN ({RAW_TABLES[s + 'opportunity']}) o ON p.pse_opportunity_c = o.id "
+                    f"LEFT JOIN ({RAW_TABLES[s + 'contact']}) c ON p.pse_project_manager_c = c.id LEFT JOIN ({RAW_TABLES[s + 'pse_practice_c']}) t ON p.pse_practice_c = t.id "
+                    f"LEFT JOIN ({RAW_TABLES[s + 'pse_grp_c']}) g ON p.pse_group_c = g.id")),
         "project_phase_code": "SELECT DISTINCT * FROM (" + stacked(
             silver("project_phase_code", "int", i + "task", "recordno", {"projectkey": "project"}, {"whencreated": "dts_src_created"}, link="sfdc_milestone_id"),
             silver("project_phase_code", "sfc_milestones", s + "pse_milestone_c", "id", {"pse_project_c": "project", "pse_approver_c": "approver", "practice_area_c": "practice_area"}, {}),
@@ -410,6 +432,43 @@ def _models() -> dict[str, str]:
         "vw_phase_code_products_links": f"SELECT l.* EXCLUDE (_fivetran_deleted), a.c_name AS creator_name, b.c_name AS verifier_name FROM ({RAW_TABLES['psatools.standard_phase_codes_product_links']}) l "
                                         "LEFT JOIN customer a ON a.c_custkey = l.created_by LEFT JOIN customer b ON b.c_custkey = l.verified_by",
     }
+    views["vw_employee_pay_history"] = f"""
+        WITH j AS (SELECT *, lag(shift_code) OVER (PARTITION BY key_employee ORDER BY dte_job_effective, dts_src_created, key) AS prev FROM ({gold['dim_employee_job_history']})),
+        k AS (SELECT *, row_number() OVER (PARTITION BY key_employee, dte_job_effective ORDER BY dts_src_created DESC, key DESC) AS rn FROM j
+              WHERE percent_change <> 0 OR bln_is_rate_change OR reason_code IN ('100', '101') OR prev <> shift_code),
+        h AS (SELECT 'Job History' AS src, key_employee, key_employee_company, dte_job_effective, annual_salary_usd, hourly_pay_rate_usd FROM k WHERE rn = 1),
+        a AS (SELECT * FROM h UNION ALL SELECT 'Compensation', key_employee, key_employee_company, dte_in_job, annual_salary_usd, hourly_pay_rate_usd FROM ({gold['dim_employee_compensation']}) c
+              WHERE key_employee_company NOT IN (SELECT key_employee_company FROM h)),
+        o AS (SELECT * FROM a WHERE annual_salary_usd BETWEEN 2100 AND 2000000
+              QUALIFY row_number() OVER (PARTITION BY key_employee, dte_job_effective ORDER BY src DESC, annual_salary_usd DESC) = 1),
+        e AS (SELECT employee_id, company_id, employee_status_code FROM ({RAW_TABLES['ukg_pro.employment']})
+              QUALIFY row_number() OVER (PARTITION BY employee_id, company_id ORDER BY date_in_job DESC, date_time_created DESC, employment_no DESC) = 1)
+        SELECT o.src, o.key_employee, dte_job_effective, annual_salary_usd, hourly_pay_rate_usd,
+               CASE WHEN lag(dte_job_effective) OVER w IS NULL THEN DATE '1900-01-01' ELSE dte_job_effective END AS date_from,
+               coalesce(CAST(lead(dte_job_effective) OVER w - 1 AS DATE), DATE '9999-12-31') AS date_to,
+               p.nm AS employee_name, p.lf AS employee_name_lf, p.mail AS employee_email, e.employee_status_code AS status
+        FROM o LEFT JOIN {person} p ON p.pkey = o.key_employee LEFT JOIN ({RAW_TABLES['ukg_pro.employee']}) u ON u.id = o.key_employee
+        LEFT JOIN e ON e.employee_id = u.id AND e.company_id = u.company_id WINDOW w AS (PARTITION BY o.key_employee ORDER BY dte_job_effective)"""
+    org_cols = (", 'R' || CAST(d.n_nationkey AS STRING) AS key_department, d.n_name AS department_name, 'R' || CAST(o.n_nationkey AS STRING) AS key_location, o.n_name AS location_name, "
+                f"'R' || CAST(r.n_nationkey AS STRING) AS key_entity_record, r.n_name AS entity_name, {nation_cur.replace('n_regionkey', 'r.n_regionkey')} AS currency_code_entity, "
+                "j.project_id, j.name AS project_name, j.currency_iso_code AS currency_code_project, p.pkey AS key_employee_ukg, p.nm AS employee_name, p.lf AS employee_name_lf")
+    org_joins = ("LEFT JOIN nation d ON b.department_id = 'D' || CAST(d.n_nationkey AS STRING) LEFT JOIN nation o ON b.location_id = 'D' || CAST(o.n_nationkey AS STRING) "
+                 "LEFT JOIN nation r ON r.n_nationkey = o.n_regionkey "
+                 f"LEFT JOIN (SELECT * FROM ({out['project']}) WHERE src_sys_key = 'int') j ON j.key = b.key_project LEFT JOIN {person} p ON b.employee_id = 'E' || p.pkey")
+
+    def header_lines(model: str, lines: str, head: str, fk: str, names: dict[str, str], joins: str = "", cols: str = "", drop: str = "") -> str:
+        head_cols = ", ".join(f"h.{c} AS {n}" for c, n in names.items())
+        return (f"SELECT {audit(model)}, b.* EXCLUDE ({GOLD_DROP}{drop}), {head_cols}{org_cols}{cols} FROM ({out[lines]}) b JOIN ({out[head]}) h ON h.key = b.{fk} AND h.src_sys_key = 'int' "
+                f"{org_joins} {joins} WHERE b.src_sys_key = 'int' AND b.bln_line_item")
+
+    gold["dim_ap_bill_item"] = header_lines("dim_ap_bill_item", "apbillitem", "apbill", "key_ap_bill", {
+        "key": "key_bill", "recordid": "ap_record_id", "basecurr": "base_currency", "currency": "currency_code", "dte_whenposted": "dte_posted", "state": "bill_state"})
+    gold["dim_cc_transaction_entry"] = header_lines("dim_cc_transaction_entry", "cc_transaction_entry", "cc_transaction", "key_cc_transaction", {
+        "key": "key_transaction", "recordid": "cc_record_id", "basecurr": "base_currency", "currency": "currency_code", "dte_whenposted": "dte_posted", "state": "cc_state"})
+    gold["dim_expense_item"] = header_lines("dim_expense_item", "expenseitem", "expense", "key_expense", {
+        "key": "key_report", "recordid": "exp_record_id", "basecurr": "exp_base_currency", "currency": "exp_currency", "dte_whenposted": "exp_dte_when_posted", "state": "exp_state"},
+        f"LEFT JOIN (SELECT * FROM ({out['expenseitem']}) WHERE src_sys_key = 'sfc') x ON x.hash_link = b.hash_link LEFT JOIN (SELECT * FROM ({out['expense']}) WHERE src_sys_key = 'sfc') y ON y.hash_link = h.hash_link",
+        ", x.key AS sfc_key_expense_item, x.state AS sfc_item_status, x.gl_account_no AS gl_account, y.key AS sfc_key_expense, y.project_name AS sfc_project_name", ", employee_name, project_name")
     return {**out, **gold, **views}
 
 

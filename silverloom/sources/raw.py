@@ -177,8 +177,11 @@ RAW_TABLES |= {
         CAST(sum(CASE l_linenumber WHEN 4 THEN l_quantity END) AS DECIMAL(18,2)) AS pse_wednesday_hours_c, CAST(sum(CASE l_linenumber WHEN 5 THEN l_quantity END) AS DECIMAL(18,2)) AS pse_thursday_hours_c, CAST(sum(CASE l_linenumber WHEN 6 THEN l_quantity END) AS DECIMAL(18,2)) AS pse_friday_hours_c,
         CAST(sum(CASE l_linenumber WHEN 7 THEN l_quantity END) AS DECIMAL(18,2)) AS pse_saturday_hours_c, max('DEV') AS phase_code_name_c, (l_orderkey % 37 = 3) AS is_deleted, (l_orderkey % 41 = 7) AS _fivetran_deleted FROM lineitem GROUP BY l_orderkey""",
     "salesforce.pse_expense_report_c": f"SELECT {_text('ER', 'o_orderkey')} AS id, CAST(o_orderkey AS STRING) AS intacct_expense_c, {_text('C', 'o_custkey')} AS pse_resource_c, {_text('SP', 'o_custkey')} AS pse_project_c, o_orderstatus AS pse_status_c, {_SF_ORDER} FROM orders",
-    "salesforce.pse_expense_c": f"SELECT {_LINE} AS id, {_text('ER', 'l_orderkey')} AS pse_expense_report_c, {_text('C', 'o_custkey')} AS pse_resource_c, flag AS pse_type_c, price AS pse_amount_c, (l_linestatus = 'F') AS pse_billable_c, {_SF_LINE} FROM {_ONE_LINE}",
-    "salesforce.expense_type_gla_mapping_c": f"SELECT DISTINCT {_text('GM', 'l_returnflag')} AS id, l_returnflag AS expense_type_c, {_text('GL', 'l_returnflag')} AS gla_account_c, {LIVE} FROM lineitem",
+    "salesforce.pse_expense_c": f"SELECT {_LINE} AS id, {_text('ER', 'l_orderkey')} AS pse_expense_report_c, {_text('C', 'o_custkey')} AS pse_resource_c, flag AS pse_type_c, {_text('GM', 'flag')} AS gla_mapping_c, price AS pse_amount_c, (l_linestatus = 'F') AS pse_billable_c, {_SF_LINE} FROM {_ONE_LINE}",
+    # a type may have several accounts; an expense names the one that holds
+    "salesforce.expense_type_gla_mapping_c": f"""SELECT DISTINCT {_text('GM', 'l_returnflag')} AS id, l_returnflag AS expense_type_c, {_text('GL', 'l_returnflag')} AS gl_account_c,
+        {_text('Account ', 'l_returnflag')} AS name, {_text('I', 'l_returnflag')} AS intacct_item_id_c, {LIVE} FROM lineitem
+        UNION ALL SELECT DISTINCT {_text('GN', 'l_returnflag')}, l_returnflag, {_text('GX', 'l_returnflag')}, {_text('Old account ', 'l_returnflag')}, {_text('J', 'l_returnflag')}, FALSE FROM lineitem""",
     "salesforce.pse_est_vs_actuals_c": f"""SELECT {_text('EV', 'o_orderkey')} AS id, {_text('AS', 'o_orderkey')} AS pse_assignment_c, {_text('SP', 'o_custkey')} AS pse_project_c, {_text('RR', 'o_orderkey')} AS pse_resource_request_c, {_text('C', 'o_custkey')} AS pse_resource_c, CAST(o_orderdate AS DATE) AS pse_start_date_c,
         @plus(CAST(o_orderdate AS DATE), 60) AS pse_end_date_c, CAST(o_custkey % 40 AS DECIMAL(18,2)) AS pse_estimated_hours_c, CAST(50 AS DECIMAL(18,2)) AS pse_resource_request_bill_rate_c, {_CUR} AS currency_iso_code, {_SF_ORDER} FROM orders""",
     "salesforce.pse_assignment_c": f"SELECT {_text('AS', 'o_orderkey')} AS id, {_text('SC', 'o_orderkey')} AS pse_schedule_c, CASE WHEN o_orderstatus = 'F' THEN CAST(o_custkey % 90 AS DECIMAL(18,2)) END AS pse_bill_rate_c, CASE WHEN o_orderstatus = 'F' THEN 'EUR' END AS currency_iso_code, (o_orderkey % 29 = 4) AS pse_exclude_from_planners_c, (o_orderkey % 37 = 5) AS is_deleted, {LIVE_ORDER} FROM orders",
