@@ -469,6 +469,47 @@ def _models() -> dict[str, str]:
         "key": "key_report", "recordid": "exp_record_id", "basecurr": "exp_base_currency", "currency": "exp_currency", "dte_whenposted": "exp_dte_when_posted", "state": "exp_state"},
         f"LEFT JOIN (SELECT * FROM ({out['expenseitem']}) WHERE src_sys_key = 'sfc') x ON x.hash_link = b.hash_link LEFT JOIN (SELECT * FROM ({out['expense']}) WHERE src_sys_key = 'sfc') y ON y.hash_link = h.hash_link",
         ", x.key AS sfc_key_expense_item, x.state AS sfc_item_status, x.gl_account_no AS gl_account, y.key AS sfc_key_expense, y.project_name AS sfc_project_name", ", employee_name, project_name")
+    who_as = lambda role, p: f"{p}.pkey AS key_{role}, {p}.nm AS {role}_name, {p}.lf AS {role}_name_lf, {p}.mail AS {role}_email"
+    gold["dim_project_task"] = (
+        f"SELECT {audit('dim_project_task')}, b.* EXCLUDE ({GOLD_DROP}), sp.name AS project_name, sp.account_id, ip.key AS key_project_int, ip.currency_iso_code AS project_currency, "
+        f"m.name AS phase_code_name, {who_as('owner', 'p')}, q.name AS proposal_name, a.name AS account_name{state_cols}{loc_cols} FROM ({out['project_task']}) b "
+        f"LEFT JOIN (SELECT * FROM ({out['project']}) WHERE src_sys_key = 'sfc') sp ON sp.hash_key = b.hash_key_project "
+        f"LEFT JOIN (SELECT * FROM ({out['project']}) WHERE src_sys_key = 'int') ip ON ip.hash_link = sp.hash_link "
+        f"LEFT JOIN ({live('project_phase_code', s + 'pse_milestone_c')}) m ON m.id = b.key_phase_code LEFT JOIN {person} p ON p.sfc_user_id = b.owner_id "
+        f"LEFT JOIN ({out['sales_proposal']}) q ON q.key = b.key_proposal LEFT JOIN ({out['sales_account']}) a ON a.key = sp.account_id {account_place}")
+    gold["dim_sales_account"] = f"""
+        WITH RECURSIVE acc AS ({out['sales_account']}),
+        up(key, above, lvl) AS (SELECT key, key_parent_account, 1 FROM acc WHERE key_parent_account IS NOT NULL
+            UNION ALL SELECT up.key, a.key_parent_account, lvl + 1 FROM up JOIN acc a ON a.key = up.above WHERE a.key_parent_account IS NOT NULL),
+        chain AS (SELECT up.key, string_agg(up.above, '|' ORDER BY lvl DESC) AS path, count(*) AS depth, arg_max(up.above, lvl) AS top, arg_max(a.name, lvl) AS top_name,
+                  arg_min(a.grade, lvl) FILTER (WHERE a.grade IS NOT NULL) AS grade, arg_min(a.payment_terms, lvl) FILTER (WHERE a.payment_terms IS NOT NULL) AS terms
+                  FROM up JOIN acc a ON a.key = up.above GROUP BY up.key)
+        SELECT {audit('dim_sales_account')}, a.* EXCLUDE ({GOLD_DROP}, grade, payment_terms, key_client_manager, key_owner, key_location, key_practice),
+               c.top AS key_top_level_parent_account, c.path AS hierarchy_path, CAST(coalesce(c.depth, 0) AS INTEGER) AS hierarchy_depth, FALSE AS hierarchy_cycle, c.top_name AS top_level_parent_account_name,
+               coalesce(a.grade, c.grade) AS grade, coalesce(a.payment_terms, c.terms) AS payment_terms, {who_as('client_manager', 'm')}, {who_as('owner', 'w')}, t.name AS rate_card_set_name
+               {state_cols}{loc_cols}{prac_cols}, replace(replace(a.billing_postal_code, '-', ''), ' ', '') AS geo_postal_code,
+               CAST(z.latitude AS DOUBLE) AS geo_latitude, CAST(z.longitude AS DOUBLE) AS geo_longitude
+        FROM acc a LEFT JOIN chain c ON c.key = a.key LEFT JOIN {person} m ON a.key_client_manager = 'C' || m.pkey LEFT JOIN {person} w ON w.sfc_user_id = a.key_owner
+        LEFT JOIN ({out['sales_rate_card_set']}) t ON t.key = a.key_rate_card_set {account_place} {prac.replace('b.key_practice', 'a.key_practice')}
+        LEFT JOIN ({RAW_TABLES['reference.postal_code_geolocations']}) z ON z.postal_code = replace(replace(a.billing_postal_code, '-', ''), ' ', '') AND z.key_country = g.nk"""
+    near = "CASE WHEN {0} = 'USD' THEN 1.0 ELSE coalesce(x.{1}, 1.0) END"
+    cur_p = "upper(coalesce(NULLIF(b.currency_iso_code, ''), 'USD'))"
+    div, mul = near.format(cur_p, "fx_rate_div"), near.format(cur_p, "fx_rate_mul")
+    gold["dim_project"] = _CUBE + f"""
+        SELECT {audit('dim_project')}, b.* EXCLUDE ({GOLD_DROP}, currency_iso_code, assistant_project_manager_id, account_id, client_manager_id, group_id, practice_name, project_manager_name, group_name),
+               {cur_p} AS currency_iso_code, t.assistant_project_manager_id, s.key AS key_sfc_project, s.account_id, s.client_manager_id, s.group_id, s.practice_id AS sfc_practice_id, s.account_name AS customer_name,
+               {who_as('project_manager', 'm')}, {who_as('client_manager', 'c')}, u.c_name AS assistant_project_manager_name, 'R' || CAST(d.n_nationkey AS STRING) AS key_department, d.n_name AS department_name,
+               gr.n_name AS group_name, 'R' || CAST(d.n_nationkey AS STRING) AS key_practice_area, d.n_name AS practice_area_name, coalesce(pa.n_name, ps.n_name) AS practice_name,
+               'R' || CAST(l.n_nationkey AS STRING) AS key_location, l.n_name AS location_name, r.n_name AS region_name, v.c_name AS regional_manager_name, e.n_name AS entity_name, {cur_of('e')} AS currency_code_entity,
+               CAST(CAST(CAST(b.amt_po AS DECIMAL(18,2)) * CAST(CASE WHEN {div} >= 0.09 THEN 1.0 / {div} ELSE {mul} END AS DECIMAL(20,14)) AS DECIMAL(18,2)) AS DOUBLE) AS amt_po_usd
+        FROM ({out['project']}) b CROSS JOIN lim LEFT JOIN (SELECT * FROM ({out['project']}) WHERE src_sys_key = 'psa') t ON t.hash_link = b.hash_link
+        LEFT JOIN (SELECT * FROM ({out['project']}) WHERE src_sys_key = 'sfc') s ON s.hash_link = b.hash_link LEFT JOIN {person} m ON b.project_manager_id = 'E' || m.pkey
+        LEFT JOIN {person} c ON s.client_manager_id = 'C' || c.pkey AND CAST(c.pkey AS BIGINT) % 61 <> 17 LEFT JOIN customer u ON t.assistant_project_manager_id = CAST(u.c_custkey AS STRING)
+        LEFT JOIN nation d ON b.department_id = 'D' || CAST(d.n_nationkey AS STRING) LEFT JOIN nation gr ON s.group_id = 'S' || CAST(gr.n_nationkey AS STRING)
+        LEFT JOIN nation pa ON pa.n_nationkey = d.n_regionkey LEFT JOIN nation ps ON s.practice_id = 'S' || CAST(ps.n_nationkey AS STRING)
+        LEFT JOIN nation l ON b.location_id = 'D' || CAST(l.n_nationkey AS STRING) LEFT JOIN nation r ON r.n_nationkey = l.n_regionkey LEFT JOIN customer v ON v.c_custkey = r.n_regionkey
+        LEFT JOIN nation e ON b.key_entity = CAST(e.n_nationkey AS STRING) LEFT JOIN cube x ON x.frm_curr = {cur_p} AND x.to_curr = 'USD' AND x.date = greatest(least(b.dte_src_start, hi), lo)
+        WHERE b.src_sys_key = 'int' AND lower(b.project_type) <> 'client site'"""
     return {**out, **gold, **views}
 
 
