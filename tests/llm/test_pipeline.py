@@ -110,4 +110,4 @@ def test_stages_on_odd_rows_and_on_nothing(spark, tmp_path):
 def test_registered(spark):
     assert entry.queries()["pipeline"] is cp.run and "pipeline" not in entry.oracle_sql()
     assert [n for n, _ in cp.STAGES] == ["quality", "language", "near_duplicates", "mixing", "packing"]
-    assert sum(q.startswith("op") and q[2].isdigit() for q in entry.queries()) == 10
+    assert sum(q.startswith("op") and q[2].isdigit() for q in entry.queries()) == 13
