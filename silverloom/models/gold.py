@@ -599,8 +599,9 @@ def dim_sales_opportunity_line_item(w: Warehouse) -> DataFrame:
 
 @gold("dim_sales_proposal")
 def dim_sales_proposal(w: Warehouse) -> DataFrame:
-    """Proposal with discounts and fifteen approver and reviewer roles.
+    """Proposal with its project, discounts against two list prices, and fifteen approver and reviewer roles.
 
+    The project is the opportunity's, else the proposal's own.
     The roles are stacked to one row per proposal and role, looked up in the directory once, and folded back: one join
     instead of fifteen.
     """
@@ -610,9 +611,14 @@ def dim_sales_proposal(w: Warehouse) -> DataFrame:
     long = base.select("key", pairs.alias("__r")).select("key", "__r.*").filter(F.col("user_id").isNotNull())
     named = look(long, directory(w).filter(F.col("sfc_user_id").isNotNull()), "user_id", "sfc_user_id", "display_name:display_name")
     wide = joins.eav_pivot(named, "key", "role", "display_name", roles)
-    out = _discounts(base, w.system("sales_proposal_line_item", "sfc"), "key_proposal")
+    sums = rollup.price_discounts(w.system("sales_proposal_line_item", "sfc"), "key_proposal", "total_price", "unit_price", ["location", "opportunity"])
+    out = look(base.withColumnRenamed("key_project", "sfc_project_id"), sums, "key", "key_proposal", " ".join(f"{c}:{c}" for c in sums.columns[1:]))
     out = look(out, wide, "key", "key", " ".join(f"{r}:{r}_name" for r in roles))
-    out = look(out, w.system("sales_opportunity", "sfc"), "key_opportunity", "key", "name:opportunity_name")
+    out = look(out, w.system("sales_opportunity", "sfc"), "key_opportunity", "key", "name:opportunity_name key_project:__project")
+    out = out.withColumn("__project", F.coalesce("__project", "sfc_project_id"))
+    out = look(out, w.system("project", "sfc").filter(F.col("hash_link").isNotNull()), "__project", "key", "hash_link:__pl")
+    out = look(out, w.system("project", "int").filter(F.col("hash_link").isNotNull()), "__pl", "hash_link", "key:key_project project_id:project_id name:project_name")
+    out = out.drop("__project", "__pl")
     out = out.withColumnRenamed("key_owner", "__ow")
     out = practice(person(out, directory(w), "__ow", "sfc_user_id", "owner").drop("__ow"), w)
     return _project_dims(out, w, "key_account")

@@ -50,7 +50,7 @@ simple("sales_opportunity_team_member", "sfc", "salesforce.opportunity_team_memb
 simple("sales_price_book_entry", "sfc", "salesforce.pricebook_entry", foreign={"product_2_id": "product"})
 simple("sales_product", "sfc", "salesforce.product_2")
 simple("sales_proposal", "sfc", "salesforce.quote", foreign={
-    "opportunity_id": "opportunity", "account_id": "account", "owner_id": "owner", "practice_c": "practice"})
+    "opportunity_id": "opportunity", "account_id": "account", "owner_id": "owner", "practice_c": "practice", "pse_project_c": "project"})
 simple("sales_proposal_line_item", "sfc", "salesforce.quote_line_item", foreign={
     "quote_id": "proposal", "product_2_id": "product", "practice_c": "practice"})
 simple("sales_purchase_order", "sfc", "salesforce.purchase_order_c", foreign={"account_c": "account", "opportunity_c": "opportunity"},
@@ -357,7 +357,7 @@ def sales_opportunity(w: Warehouse) -> DataFrame:
     raw = w.source("salesforce", "opportunity")
     rows = look(raw, raw, "parent_opportunity_c", "id", "name:parent_name")
     return conform_by_rule(rows, "sfc", "sales_opportunity", w.as_of, foreign={
-        "parent_opportunity_c": "parent_opportunity", "account_id": "account", "owner_id": "owner", "practice_c": "practice", "location_c": "location"},
+        "parent_opportunity_c": "parent_opportunity", "account_id": "account", "owner_id": "owner", "practice_c": "practice", "location_c": "location", "pse_project_c": "project"},
         names={"amount": "amt"})
 
 

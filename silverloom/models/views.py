@@ -10,6 +10,7 @@ from silverloom.models.core import Warehouse, look, model
 from silverloom.models.gold import as_money, money_in, portal
 from silverloom.operators import joins, reporting, rollup
 from silverloom.operators.stack import blanks_to_null, fill_defaults
+from silverloom.sources.tables import spread_lookup
 
 LAYER = "dataconsumption"
 # Change reasons that always count as a pay change, and the state of an approved sheet.
@@ -47,15 +48,32 @@ def vw_employee_targets(w: Warehouse) -> DataFrame:
 
 @view("vw_estimate_phase_code_products")
 def vw_estimate_phase_code_products(w: Warehouse) -> DataFrame:
-    out = look(w.source("psatools", "estimatetotals_phasecodes"), w.source("psatools", "estimatetotals"), "estimatetotal_id", "id", "estimate_id:estimate_id total:estimate_total")
-    out = look(out, w.source("psatools", "estimate"), "estimate_id", "id", "currency:currency created_on:created_on opportunity_id:key_opportunity")
-    # a code may be linked to several products: the first by id is shown, so estimates do not multiply
-    links = w.source("psatools", "standard_phase_codes_product_links").groupBy("phase_code").agg(F.min("product_id").alias("product_id"))
-    out = look(out, links, "phase_code", "phase_code", "product_id:product_id")
-    out = as_money(out, ["cost"]).withColumn("currency", norm_currency("currency"))
-    out = look(out, w.source("psatools", "currency"), "currency", "code", "name:currency_name")
-    out = look(out, w.system("sales_opportunity", "sfc"), "key_opportunity", "key", "name:opportunity_name")
-    return money_in(out, w, ["cost"], "currency", {"usd": F.lit("USD")}, "created_on")
+    """Estimated phase codes of proposals, once for each billable standard code and product that the code is linked to.
+
+    Cost is converted at the day of the internal approval, else of the submission, else of the close.
+    """
+    out = look(w.source("psatools", "estimatetotals_phasecodes"), w.source("psatools", "estimatetotals"), "estimatetotalid", "estimatetotalid", "estimateid:key_estimate")
+    out = out.withColumnsRenamed({"recordid": "key", "estimatetotalid": "key_estimate_total", "name": "phase_code"}).join(
+        w.source("psatools", "estimate").select(F.col("estimateid").alias("key_estimate"), "sfproposalid", "currencyid"), "key_estimate")
+    out = look(out, w.source("psatools", "currency"), "currencyid", "currencyid", "code:currency_iso_code")
+    out = out.join(w.ref("dim_sales_proposal").select(
+        F.col("key").alias("key_proposal"), F.col("name").alias("proposal_name"), F.col("quote_number").alias("proposal_number"), "key_opportunity", "key_project",
+        "project_id", "project_name", "dte_internal_approval", F.col("status").alias("proposal_status")), F.col("sfproposalid") == F.col("key_proposal"))
+    out = look(out, w.ref("dim_sales_opportunity"), "key_opportunity", "key",
+               "key_account:key_account key_location:key_location location_name:location_name key_practice:key_practice practice_name:practice_name name:opportunity_name "
+               "stage_name:opportunity_status contract_type:contract_type dte_proposal_submitted:dte_proposal_submitted dte_close:dte_close")
+    out = look(out, w.ref("dim_sales_account"), "key_account", "key",
+               "name:client_site_name key_top_level_parent_account:key_top_level_parent_account top_level_parent_account_name:client_name")
+    billable = w.source("psatools", "standard_phase_codes").filter("bln_is_billable").select(F.col("id").alias("standard_phase_code_id"), F.col("product_id").alias("product"))
+    links = w.source("psatools", "standard_phase_codes_product_links").select("phase_code", "standard_phase_code_id")
+    # both are short lists; a code holds a large share of the lines, so those are dealt by code and a salt
+    codes = links.join(billable, "standard_phase_code_id").groupBy("phase_code").agg(F.collect_list(F.struct("standard_phase_code_id", "product")).alias("__links"))
+    out = spread_lookup(out, codes, ["phase_code"]).withColumn("__link", F.explode_outer("__links"))
+    out = out.withColumns({
+        "standard_phase_code": F.coalesce("__link.standard_phase_code_id", F.lit("OTHER")), "product": F.coalesce("__link.product", F.lit("Regular Labor Sales")),
+        "cost_original": F.col("budget").cast("decimal(18,2)"), "dte_currency_conversion": F.coalesce("dte_internal_approval", "dte_proposal_submitted", "dte_close")})
+    out = money_in(out.withColumn("cost", F.col("cost_original")), w, ["cost"], norm_currency("currency_iso_code"), {"usd": F.lit("USD")}, "dte_currency_conversion")
+    return out.drop("__links", "__link", "sfproposalid", "currencyid", "budget", "cost")
 
 
 @view("vw_finance_customers")

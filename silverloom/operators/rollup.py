@@ -129,6 +129,21 @@ def discount_rollup(lines: DataFrame, header: str, gross: Column, net: Column) -
     })
 
 
+def price_discounts(lines: DataFrame, header: str, price: str, unit_price: str, lists: Sequence[str]) -> DataFrame:
+    """Price per header against each list price: sums, discount, and discount as a share of the unit prices.
+
+    Names of ``lists`` stand for columns ``<price>_<list>``. Nulls count as 0; shares are 0 where the price or the unit
+    prices are 0. A price above its list gives a negative discount and a positive share, as the sales system shows it.
+    """
+    total = lambda c: F.coalesce(F.sum(F.col(c).cast("decimal(18,2)")), F.lit(0))
+    sums = lines.groupBy(header).agg(total(price).alias("amt_total_price"), total(unit_price).alias("__unit"),
+                                     *[total(f"{price}_{n}").alias(f"amt_total_price_{n}") for n in lists])
+    for n in lists:
+        off = F.col("amt_total_price") - F.col(f"amt_total_price_{n}")
+        sums = sums.withColumns({f"amt_discount_{n}": -off, f"perc_discount_{n}": F.when(F.col("amt_total_price") == 0, 0.0).otherwise(safe_ratio(off, "__unit"))})
+    return sums.drop("__unit")
+
+
 HOT_ROWS = 10_000  # rows of a key that are gathered in one piece
 PARTS = 256  # pieces of a key with more
 

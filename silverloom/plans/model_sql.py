@@ -77,10 +77,11 @@ def _models() -> dict[str, str]:
                                                 {"opportunity_id": "opportunity", "user_id": "user"}, {}),
         "sales_price_book_entry": silver("sales_price_book_entry", "sfc", s + "pricebook_entry", "id", {"product_2_id": "product"}, {}, ("unit_price",)),
         "sales_product": silver("sales_product", "sfc", s + "product_2", "id", {}, {"is_active": "bln_is_active"}),
-        "sales_proposal": silver("sales_proposal", "sfc", s + "quote", "id", {"opportunity_id": "opportunity", "account_id": "account", "owner_id": "owner", "practice_c": "practice"},
-                                 {**{f"approver_{i}_c": f"approver_{i}" for i in range(1, 11)}, **{f"reviewer_{i}_c": f"reviewer_{i}" for i in range(1, 6)}}),
+        "sales_proposal": silver("sales_proposal", "sfc", s + "quote", "id", {"opportunity_id": "opportunity", "account_id": "account", "owner_id": "owner", "practice_c": "practice", "pse_project_c": "project"},
+                                 {"internal_approval_date_c": "dte_internal_approval", **{f"approver_{i}_c": f"approver_{i}" for i in range(1, 11)}, **{f"reviewer_{i}_c": f"reviewer_{i}" for i in range(1, 6)}}),
         "sales_proposal_line_item": silver("sales_proposal_line_item", "sfc", s + "quote_line_item", "id", {
-            "quote_id": "proposal", "product_2_id": "product", "practice_c": "practice"}, {}, ("quantity", "total_price", "list_price")),
+            "quote_id": "proposal", "product_2_id": "product", "practice_c": "practice"}, {},
+            ("quantity", "total_price", "list_price", "total_price_location", "total_price_opportunity", "unit_price")),
         "sales_purchase_order": silver("sales_purchase_order", "sfc", s + "purchase_order_c", "id", {"account_c": "account", "opportunity_c": "opportunity"},
                                        {"amount_c": "amt_po", "received_date_c": "dte_received"}, ("amount_c",)),
         "sales_rate_card_set": silver("sales_rate_card_set", "sfc", s + "pse_rate_card_set_c", "id", {"owner_id": "owner"}, {}),
@@ -90,8 +91,8 @@ def _models() -> dict[str, str]:
             {"pse_suggested_bill_rate_c": "rate_suggested", "pse_start_date_c": "dte_start"}, ("pse_suggested_bill_rate_c",),
             frm=f"SELECT c.*, j.pse_rate_card_set_c FROM ({RAW_TABLES[s + 'pse_rate_card_c']}) c JOIN ({RAW_TABLES[s + 'pse_rate_card_set_junction_c']}) j ON j.pse_rate_card_c = c.id"),
         "sales_opportunity": silver("sales_opportunity", "sfc", s + "opportunity", "id", {
-            "parent_opportunity_c": "parent_opportunity", "account_id": "account", "owner_id": "owner", "practice_c": "practice", "location_c": "location"},
-            {"amount": "amt", "close_date": "dte_close"}, ("amount",),
+            "parent_opportunity_c": "parent_opportunity", "account_id": "account", "owner_id": "owner", "practice_c": "practice", "location_c": "location", "pse_project_c": "project"},
+            {"amount": "amt", "close_date": "dte_close", "contract_type_c": "contract_type", "proposal_submitted_date_c": "dte_proposal_submitted"}, ("amount",),
             frm=f"SELECT a.*, b.name AS parent_name FROM ({RAW_TABLES[s + 'opportunity']}) a LEFT JOIN ({RAW_TABLES[s + 'opportunity']}) b ON a.parent_opportunity_c = b.id"),
         "project_task_milestone": silver("project_task_milestone", "sfc", s + "project_task_milestone_c", "id", {
             "project_task_c": "project_task", "phase_code_c": "milestone", "project_c": "project"},
@@ -510,6 +511,55 @@ def _models() -> dict[str, str]:
         LEFT JOIN nation l ON b.location_id = 'D' || CAST(l.n_nationkey AS STRING) LEFT JOIN nation r ON r.n_nationkey = l.n_regionkey LEFT JOIN customer v ON v.c_custkey = r.n_regionkey
         LEFT JOIN nation e ON b.key_entity = CAST(e.n_nationkey AS STRING) LEFT JOIN cube x ON x.frm_curr = {cur_p} AND x.to_curr = 'USD' AND x.date = greatest(least(b.dte_src_start, hi), lo)
         WHERE b.src_sys_key = 'int' AND lower(b.project_type) <> 'client site'"""
+    role_names = [f"approver_{i}" for i in range(1, 11)] + [f"reviewer_{i}" for i in range(1, 6)]
+    lists = ("location", "opportunity")
+    gold["dim_sales_proposal"] = f"""
+        WITH d AS (SELECT key_proposal, coalesce(sum(CAST(total_price AS DECIMAL(18,2))), 0) AS total, CAST(coalesce(sum(CAST(unit_price AS DECIMAL(18,2))), 0) AS DOUBLE) AS unit,
+                   {', '.join(f"coalesce(sum(CAST(total_price_{n} AS DECIMAL(18,2))), 0) AS list_{n}" for n in lists)} FROM ({out['sales_proposal_line_item']}) GROUP BY 1)
+        SELECT {audit('dim_sales_proposal')}, b.* EXCLUDE ({GOLD_DROP}, key_owner, key_practice, key_project), b.key_project AS sfc_project_id, {who_as('owner', 'w')},
+               {', '.join(f"{r}_p.nm AS {r}_name" for r in role_names)}, o.name AS opportunity_name, ip.key AS key_project, ip.project_id, ip.name AS project_name,
+               a.name AS account_name{state_cols}{loc_cols}{prac_cols}, CAST(d.total AS DOUBLE) AS amt_total_price,
+               {', '.join(f"CAST(d.list_{n} AS DOUBLE) AS amt_total_price_{n}, CAST(d.list_{n} - d.total AS DOUBLE) AS amt_discount_{n}, CASE WHEN d.total IS NOT NULL THEN CASE WHEN d.total = 0 OR d.unit = 0 THEN 0.0 ELSE CAST(d.total - d.list_{n} AS DOUBLE) / d.unit END END AS perc_discount_{n}" for n in lists)}
+        FROM ({out['sales_proposal']}) b LEFT JOIN d ON d.key_proposal = b.key LEFT JOIN {person} w ON w.sfc_user_id = b.key_owner
+        {' '.join(f"LEFT JOIN {person} {r}_p ON {r}_p.sfc_user_id = b.{r}" for r in role_names)} LEFT JOIN ({out['sales_opportunity']}) o ON o.key = b.key_opportunity
+        LEFT JOIN (SELECT * FROM ({out['project']}) WHERE src_sys_key = 'sfc') sp ON sp.key = coalesce(o.key_project, b.key_project)
+        LEFT JOIN (SELECT * FROM ({out['project']}) WHERE src_sys_key = 'int') ip ON ip.hash_link = sp.hash_link
+        LEFT JOIN ({out['sales_account']}) a ON a.key = b.key_account {account_place} {prac}"""
+    gold["dim_sales_opportunity"] = f"""
+        WITH RECURSIVE {_CUBE.strip().removeprefix('WITH ')}, opp AS ({out['sales_opportunity']}),
+        up(key, above, lvl) AS (SELECT key, key_parent_opportunity, 1 FROM opp WHERE key_parent_opportunity IS NOT NULL
+            UNION ALL SELECT up.key, a.key_parent_opportunity, lvl + 1 FROM up JOIN opp a ON a.key = up.above WHERE a.key_parent_opportunity IS NOT NULL),
+        chain AS (SELECT up.key, string_agg(up.above, '|' ORDER BY lvl DESC) AS path, count(*) AS depth, arg_max(up.above, lvl) AS top, arg_max(a.name, lvl) AS top_name
+                  FROM up JOIN opp a ON a.key = up.above GROUP BY up.key),
+        d AS (SELECT key_opportunity, sum(CAST(list_price AS DECIMAL(18,2))) AS g, sum(CAST(total_price AS DECIMAL(18,2))) AS n FROM ({out['sales_opportunity_line_item']}) GROUP BY 1)
+        SELECT {audit('dim_sales_opportunity')}, b.* EXCLUDE ({GOLD_DROP}, amt, currency_iso_code, key_owner, key_practice, key_location), b.amt, {cur_p} AS currency_iso_code,
+               CAST(d.g AS DOUBLE) AS amt_gross, CAST(d.n AS DOUBLE) AS amt_net, CAST(d.g - d.n AS DOUBLE) AS amt_discount,
+               CASE WHEN d.g IS NOT NULL THEN CASE WHEN d.g = 0 THEN 0.0 ELSE CAST(d.g - d.n AS DOUBLE) / CAST(d.g AS DOUBLE) END * 100 END AS discount_percent,
+               c.top AS key_top_level_opportunity, c.top_name AS top_level_opportunity_name, c.path AS hierarchy_path, CAST(coalesce(c.depth, 0) AS INTEGER) AS hierarchy_depth, FALSE AS hierarchy_cycle,
+               a.name AS account_name, a.key_top_level_parent_account, {who_as('owner', 'w')}{prac_cols}{loc_cols},
+               CASE WHEN {cur_p} = 'USD' THEN 1.0 ELSE coalesce(x.fx_rate_mul, 1.0) END AS fx_rate_usd,
+               CAST(CAST(CAST(b.amt AS DECIMAL(18,2)) * CAST(CASE WHEN {cur_p} = 'USD' THEN 1.0 ELSE coalesce(x.fx_rate_mul, 1.0) END AS DECIMAL(20,14)) AS DECIMAL(18,2)) AS DOUBLE) AS amt_usd
+        FROM opp b CROSS JOIN lim LEFT JOIN chain c ON c.key = b.key LEFT JOIN d ON d.key_opportunity = b.key LEFT JOIN ({gold['dim_sales_account']}) a ON a.key = b.key_account
+        LEFT JOIN {person} w ON w.sfc_user_id = b.key_owner {prac} LEFT JOIN {place} h ON h.sk = b.key_location
+        LEFT JOIN cube x ON x.frm_curr = {cur_p} AND x.to_curr = 'USD' AND x.date = greatest(least(b.dte_close, hi), lo)"""
+    e = "psatools."
+    cur_e = "upper(coalesce(NULLIF(c.code, ''), 'USD'))"
+    day = "coalesce(p.dte_internal_approval, o.dte_proposal_submitted, o.dte_close)"
+    views["vw_estimate_phase_code_products"] = _CUBE + f""", b AS (
+            SELECT pc.recordid AS key, pc.estimatetotalid AS key_estimate_total, et.estimateid AS key_estimate, p.key_opportunity, p.key AS key_proposal, a.key AS key_account, o.key_location, o.key_practice, p.key_project,
+                   a.key_top_level_parent_account, a.top_level_parent_account_name AS client_name, a.name AS client_site_name, o.name AS opportunity_name, p.project_id, p.project_name, o.practice_name, o.location_name,
+                   p.name AS proposal_name, p.quote_number AS proposal_number, o.contract_type, pc.name AS phase_code, coalesce(k.id, 'OTHER') AS standard_phase_code,
+                   coalesce(k.product_id, 'Regular Labor Sales') AS product, CAST(pc.hours AS DOUBLE) AS hours, CAST(pc.budget AS DOUBLE) AS cost_original, c.code AS currency_iso_code,
+                   p.dte_internal_approval, o.dte_proposal_submitted, o.dte_close, {day} AS dte_currency_conversion, o.stage_name AS opportunity_status, p.status AS proposal_status,
+                   CASE WHEN {cur_e} = 'USD' THEN 1.0 ELSE coalesce(x.fx_rate_mul, 1.0) END AS fx_rate_usd
+            FROM ({RAW_TABLES[e + 'estimatetotals_phasecodes']}) pc CROSS JOIN lim LEFT JOIN ({RAW_TABLES[e + 'estimatetotals']}) et ON pc.estimatetotalid = et.estimatetotalid
+            JOIN ({RAW_TABLES[e + 'estimate']}) q ON et.estimateid = q.estimateid LEFT JOIN ({RAW_TABLES[e + 'currency']}) c ON q.currencyid = c.currencyid
+            JOIN ({gold['dim_sales_proposal']}) p ON q.sfproposalid = p.key LEFT JOIN ({gold['dim_sales_opportunity']}) o ON p.key_opportunity = o.key
+            LEFT JOIN ({gold['dim_sales_account']}) a ON o.key_account = a.key
+            LEFT JOIN (SELECT l.phase_code, spc.id, spc.product_id FROM ({RAW_TABLES[e + 'standard_phase_codes_product_links']}) l
+                       JOIN ({RAW_TABLES[e + 'standard_phase_codes']}) spc ON l.standard_phase_code_id = spc.id WHERE spc.bln_is_billable) k ON k.phase_code = pc.name
+            LEFT JOIN cube x ON x.frm_curr = {cur_e} AND x.to_curr = 'USD' AND x.date = greatest(least({day}, hi), lo))
+        SELECT *, CAST(CAST(CAST(cost_original AS DECIMAL(18,2)) * CAST(fx_rate_usd AS DECIMAL(20,14)) AS DECIMAL(18,2)) AS DOUBLE) AS cost_usd FROM b"""
     return {**out, **gold, **views}
 
 

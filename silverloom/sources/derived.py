@@ -193,6 +193,8 @@ def with_inputs(sql: str) -> str:
     if not order:
         return body
     ctes = ",\n".join(f"{n} AS ({duck_sql(n).strip()})" for n in order)
+    if body[:15].upper() == "WITH RECURSIVE ":
+        return f"WITH RECURSIVE {ctes},\n{body[15:]}"
     if body[:5].upper() == "WITH ":
         return f"WITH {ctes},\n{body[5:]}"
     return f"WITH {ctes}\n{body}"

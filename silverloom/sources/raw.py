@@ -151,12 +151,14 @@ RAW_TABLES |= {
         {_text('S', 'c_nationkey')} AS billing_country_code, {_text('S', 'c_nationkey')} AS billing_state_code, {_text('S', 'c_nationkey')} AS location_c, {_text('S', 'c_nationkey')} AS practice_c, {_text('RS', 'c_nationkey')} AS rate_card_set_c, CAST(c_acctbal AS DECIMAL(18,2)) AS annual_revenue, {_SF_PARTY} FROM customer""",
     "salesforce.account_team_member": f"SELECT {_text('AT', 'o_orderkey')} AS id, {_text('A', 'o_custkey')} AS account_id, {_text('U', 'o_custkey')} AS user_id, o_orderpriority AS team_member_role, {_SF_ORDER} FROM orders",
     "salesforce.opportunity": f"""SELECT {_text('O', 'o_orderkey')} AS id, CASE WHEN o_orderkey >= 4 THEN 'O' || CAST(CAST(floor(o_orderkey / 4.0) AS BIGINT) AS STRING) END AS parent_opportunity_c, {_text('A', 'o_custkey')} AS account_id, {_text('U', 'o_custkey')} AS owner_id,
-        {_CUR} AS currency_iso_code, CAST(o_totalprice AS DECIMAL(18,2)) AS amount, o_orderstatus AS stage_name, CAST(o_orderdate AS DATE) AS close_date, {_text('S', 'c_nationkey')} AS practice_c, {_text('S', 'c_nationkey')} AS location_c, o_orderpriority AS name, {_SF_ORDER} FROM orders JOIN customer ON o_custkey = c_custkey""",
+        {_CUR} AS currency_iso_code, CAST(o_totalprice AS DECIMAL(18,2)) AS amount, o_orderstatus AS stage_name, CAST(o_orderdate AS DATE) AS close_date, {_text('S', 'c_nationkey')} AS practice_c, {_text('S', 'c_nationkey')} AS location_c, o_orderpriority AS name,
+        CASE WHEN o_orderkey % 3 = 1 THEN 'SP' || CAST(o_custkey + 1 AS STRING) END AS pse_project_c, CASE o_orderstatus WHEN 'F' THEN 'Fixed' ELSE 'Time' END AS contract_type_c, CASE WHEN o_orderkey % 4 > 1 THEN DATE '1995-06-01' END AS proposal_submitted_date_c, {_SF_ORDER} FROM orders JOIN customer ON o_custkey = c_custkey""",
     "salesforce.opportunity_line_item": f"SELECT {_LINE} AS id, {_text('O', 'l_orderkey')} AS opportunity_id, {_text('PR', 'l_partkey')} AS product_2_id, {_text('S', 'c_nationkey')} AS practice_c, qty AS quantity, price AS total_price, CAST(price * 1.1 AS DECIMAL(18,2)) AS list_price, {_SF_LINE} FROM {_ONE_LINE}",
     "salesforce.opportunity_team_member": f"SELECT {_text('OT', 'o_orderkey')} AS id, {_text('O', 'o_orderkey')} AS opportunity_id, {_text('U', 'o_custkey')} AS user_id, o_orderpriority AS team_member_role, {_SF_ORDER} FROM orders",
     "salesforce.quote": f"""SELECT {_text('Q', 'o_orderkey')} AS id, {_text('O', 'o_orderkey')} AS opportunity_id, {_text('A', 'o_custkey')} AS account_id, {_text('U', 'o_custkey')} AS owner_id, {_text('S', 'c_nationkey')} AS practice_c, o_orderpriority AS name, {_CUR} AS currency_iso_code,
+        {_text('SP', 'o_custkey')} AS pse_project_c, {_text('QN', 'o_orderkey')} AS quote_number, o_orderstatus AS status, CASE WHEN o_orderkey % 4 = 1 THEN CAST(o_orderdate AS DATE) END AS internal_approval_date_c,
         """ + ", ".join(f"{_text('U', f'o_custkey + {i}')} AS approver_{i}_c" for i in range(1, 11)) + ", " + ", ".join(f"{_text('U', f'o_custkey + {10 + i}')} AS reviewer_{i}_c" for i in range(1, 6)) + f", {_SF_ORDER} FROM orders JOIN customer ON o_custkey = c_custkey",
-    "salesforce.quote_line_item": f"SELECT {_LINE} AS id, {_text('Q', 'l_orderkey')} AS quote_id, {_text('PR', 'l_partkey')} AS product_2_id, {_text('S', 'c_nationkey')} AS practice_c, qty AS quantity, price AS total_price, CAST(price * 1.1 AS DECIMAL(18,2)) AS list_price, {_SF_LINE} FROM {_ONE_LINE}",
+    "salesforce.quote_line_item": f"SELECT {_LINE} AS id, {_text('Q', 'l_orderkey')} AS quote_id, {_text('PR', 'l_partkey')} AS product_2_id, {_text('S', 'c_nationkey')} AS practice_c, qty AS quantity, price AS total_price, CAST(price * 1.1 AS DECIMAL(18,2)) AS list_price, CAST(price * 1.2 AS DECIMAL(18,2)) AS total_price_location, CASE WHEN l_linenumber <> 2 THEN CAST(price * 1.5 AS DECIMAL(18,2)) END AS total_price_opportunity, CASE WHEN l_orderkey % 5 = 0 THEN CAST(0 AS DECIMAL(18,2)) ELSE CAST(price * 0.5 AS DECIMAL(18,2)) END AS unit_price, {_SF_LINE} FROM {_ONE_LINE}",
     "salesforce.purchase_order_c": f"SELECT {_text('PO', 'o_orderkey')} AS id, {_text('A', 'o_custkey')} AS account_c, {_text('O', 'o_orderkey')} AS opportunity_c, {_CUR} AS currency_iso_code, CAST(o_totalprice AS DECIMAL(18,2)) AS amount_c, CAST(o_orderdate AS DATE) AS received_date_c, {_SF_ORDER} FROM orders",
     "salesforce.product_2": f"SELECT {_text('PR', 'p_partkey')} AS id, p_name AS name, p_type AS family, 'USD' AS currency_iso_code, (p_size < 40) AS is_active, {_SF_PART} FROM part",
     "salesforce.pricebook_entry": f"SELECT {_text('PE', 'p_partkey')} AS id, {_text('PR', 'p_partkey')} AS product_2_id, CAST(p_retailprice AS DECIMAL(18,2)) AS unit_price, 'USD' AS currency_iso_code, {_SF_PART} FROM part",
@@ -190,14 +192,16 @@ RAW_TABLES |= {
     "psatools.projects": f"SELECT p_partkey AS id, p_partkey AS int_record_no, {_text('P', 'p_partkey')} AS int_project_id, {_text('', 'p_partkey')} AS assistant_project_manager_id, p_name AS name, {LIVE} FROM part",
     "psatools.projects_phase_codes": f"SELECT p_partkey AS id, p_partkey AS project_id, {_text('PT', 'p_partkey')} AS sfc_task_id, {_text('T', 'p_partkey')} AS int_task_id, {_text('M', 'p_partkey')} AS milestone_id, p_name AS name, {LIVE} FROM part",
     "psatools.project_personnel_exceptions": f"SELECT CASE WHEN l_returnflag = 'N' THEN l_partkey ELSE -l_partkey END AS project_id, o_custkey AS user_id, max(CAST(l_shipdate AS DATE)) AS effective_date, CAST(max(l_extendedprice) AS DECIMAL(18,2)) AS rate, CAST(NULL AS STRING) AS item_id, {LIVE} FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2",
-    "psatools.standard_phase_codes_product_links": f"""SELECT DISTINCT {_TASK} AS phase_code, CASE l_linenumber WHEN 4 THEN 'PTO' WHEN 7 THEN 'SICK' WHEN 5 THEN 'DISFUN' WHEN 6 THEN 'NOWORK' ELSE 'WORK' END AS standard_phase_code_id, l_linenumber AS product_id, 1 AS created_by, 2 AS verified_by, {LIVE} FROM lineitem""",
-    "psatools.standard_phase_codes": f"SELECT DISTINCT {_TASK} AS id, l_linenumber AS family_id, {LIVE} FROM lineitem",
+    "psatools.standard_phase_codes_product_links": f"""SELECT DISTINCT {_TASK} AS phase_code, CASE l_linenumber WHEN 4 THEN 'PTO' WHEN 7 THEN 'SICK' WHEN 5 THEN 'DISFUN' WHEN 6 THEN 'NOWORK' ELSE 'WORK' END AS standard_phase_code_id, l_linenumber AS product_id, 1 AS created_by, 2 AS verified_by, {LIVE} FROM lineitem
+        UNION ALL SELECT DISTINCT {_TASK}, CASE WHEN l_linenumber < 3 THEN 'FIELD' ELSE 'REMOTE' END, l_linenumber + 10, 2, 1, FALSE FROM lineitem""",
+    "psatools.standard_phase_codes": f"""SELECT DISTINCT CASE l_linenumber WHEN 1 THEN 'WORK' WHEN 2 THEN 'FIELD' WHEN 3 THEN 'REMOTE' WHEN 4 THEN 'PTO' WHEN 5 THEN 'DISFUN' WHEN 6 THEN 'NOWORK' ELSE 'SICK' END AS id,
+        CASE WHEN l_linenumber <> 2 THEN {_text('Product ', 'l_linenumber')} END AS product_id, (l_linenumber < 4) AS bln_is_billable, l_linenumber AS family_id, {LIVE} FROM lineitem""",
     "psatools.phase_code_families": f"SELECT DISTINCT l_linenumber AS id, {_text('Family ', 'l_linenumber')} AS name, {LIVE} FROM lineitem",
     "psatools.phase_code_families_links": f"SELECT DISTINCT l_linenumber AS family_id, {_TASK} AS phase_code, {LIVE} FROM lineitem",
-    "psatools.estimate": f"SELECT o_orderkey AS id, o_custkey AS account_no, {_CUR} AS currency, CAST(o_orderdate AS DATE) AS created_on, {_text('O', 'o_orderkey')} AS opportunity_id, {LIVE} FROM orders",
-    "psatools.estimatetotals": f"SELECT o_orderkey AS id, o_orderkey AS estimate_id, CAST(o_totalprice AS DECIMAL(18,2)) AS total, {LIVE} FROM orders",
-    "psatools.estimatetotals_phasecodes": f"SELECT {_LINE} AS id, l_orderkey AS estimatetotal_id, {_TASK} AS phase_code, price AS cost, {LIVE} FROM {_ONE_LINE}",
-    "psatools.currency": f"SELECT DISTINCT frm_curr AS code, 'Currency ' || frm_curr AS name, {LIVE} FROM fx_series",
+    "psatools.estimate": f"SELECT o_orderkey AS estimateid, CASE WHEN o_orderkey % 5 <> 2 THEN {_text('Q', 'o_orderkey')} END AS sfproposalid, {_CUR} AS currencyid, CAST(o_orderdate AS DATE) AS created_on, {LIVE_ORDER} FROM orders",
+    "psatools.estimatetotals": f"SELECT o_orderkey AS estimatetotalid, o_orderkey AS estimateid, CAST(o_totalprice AS DECIMAL(18,2)) AS total, {LIVE} FROM orders",
+    "psatools.estimatetotals_phasecodes": f"SELECT {_LINE} AS recordid, l_orderkey AS estimatetotalid, {_TASK} AS name, qty AS hours, price AS budget, {LIVE_LINE} FROM {_ONE_LINE}",
+    "psatools.currency": f"SELECT DISTINCT frm_curr AS currencyid, frm_curr AS code, 'Currency ' || frm_curr AS name, {LIVE} FROM fx_series",
     # ---- seeds: small code tables an installation keeps as files
     "seed.time_type_phase_codes": f"""SELECT DISTINCT CASE l_linenumber WHEN 7 THEN 'sicktime' WHEN 4 THEN 'vacholtime' WHEN 5 THEN 'dulltime' WHEN 2 THEN 'tvltime'
         WHEN 6 THEN 'excludepayroll' ELSE 'billable' END AS time_type, {_TASK} AS phase_code FROM lineitem""",

@@ -162,3 +162,12 @@ def test_many_targets_meet_the_cube_once(series, frame):
     assert got[3]["a"] is None and (got[4]["a"], got[4]["usd"]) == (1.0, None)
     none = fx.lookup_cube(fx.fx_cube(series, "2000-01-01"))
     assert none.first is None and fx.with_rate(facts, none, "c", "o", "d", "r").filter("r <> 1").count() == 0
+
+
+def test_price_discounts_against_two_lists(frame):
+    df = frame("h int, p decimal(18,2), u decimal(18,2), p_a decimal(18,2), p_b decimal(18,2)", (1, N("10"), N("4"), N("12"), None), (1, N("10"), N("4"), N("12"), N("15")),
+               (2, N("0"), N("4"), N("5"), N("5")), (3, N("7"), None, N("9"), N("7")), (None, N("1"), N("1"), N("1"), N("1")))
+    got = {r["h"]: r.asDict() for r in rollup.price_discounts(df, "h", "p", "u", ["a", "b"]).collect()}
+    assert (got[1]["amt_total_price"], got[1]["amt_total_price_a"], got[1]["amt_discount_a"], got[1]["perc_discount_a"]) == (N("20"), N("24"), N("4"), -0.5)
+    assert (got[1]["amt_total_price_b"], got[1]["amt_discount_b"], got[1]["perc_discount_b"]) == (N("15"), N("-5"), 0.625)
+    assert got[2]["perc_discount_a"] == 0.0 and got[3]["perc_discount_a"] == 0.0 and got[None]["amt_discount_a"] == 0
