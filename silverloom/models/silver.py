@@ -244,7 +244,7 @@ def timesheet(w: Warehouse) -> DataFrame:
     crm = look(w.source("salesforce", "pse_timecard_header_c"), w.source("salesforce", "contact"), "pse_resource_c", "id",
                "name:employee_name ukg_employee_id_c:employee_ukg_id")
     b = conform_by_rule(crm, "sfc", "timesheet", w.as_of, link="link", foreign={"pse_resource_c": "employee"},
-                        names={"pse_start_date_c": "dte_src_start", "pse_status_c": "status"})
+                        names={"pse_start_date_c": "dte_src_start", "pse_end_date_c": "dte_src_end", "pse_status_c": "status"})
     return stack(a, b)
 
 

@@ -16,6 +16,8 @@ LAYER = "dataconsumption"
 # Change reasons that always count as a pay change, and the state of an approved sheet.
 PAY_REASONS = ["101", "100"]
 APPROVED = "Approved"
+# Employee types whose people write no sheets.
+NO_SHEETS = ["1814354", "1814355", "474084", "1815351", "1833005", "1833006", "1143543"]
 
 
 def view(name: str):
@@ -110,27 +112,43 @@ def vw_phase_code_products_links(w: Warehouse) -> DataFrame:
 
 
 def _sheet_people(df: DataFrame, w: Warehouse) -> DataFrame:
-    return look(df, w.ref("dim_employee"), "key_employee", "key",
-                "display_name:employee_name display_name_lf:employee_name_lf email_address_work:employee_email supervisor_name:supervisor_name entity_name:entity_name region_name:region_name")
+    """The person of a sheet with supervisor, regional manager, and the places and dates of the person."""
+    out = look(df, w.ref("dim_employee"), "key_employee", "key",
+               "key:key_employee display_name:employee_name display_name_lf:employee_name_lf email_address_work:employee_email intacct_employee_id:intacct_id key_supervisor:key_supervisor "
+               "supervisor_name:supervisor_name supervisor_name_lf:supervisor_name_lf supervisor_email:supervisor_email key_entity:key_entity entity_name:entity_name key_region:key_region region_name:region_name "
+               "key_location:key_location location_name:location_name key_department:key_department department_name:department_name key_employee_type:key_employee_type "
+               "employee_type_name:employee_type_name dte_src_start:dte_original_hire_date dte_last_hire:dte_last_hire_date dte_src_end:dte_termination_date")
+    regions = look(portal(w, "location_regions").withColumn("__user", F.col("regional_manager_user_id").cast("string")), w.system("employee", "por"), "__user", "key", "link:__person")
+    regions = look(regions, w.ref("dim_employee"), "__person", "key", "display_name:manager_name display_name_lf:manager_name_lf email_address_work:manager_email")
+    return look(out, regions, "key_region", "record_id", "record_id:key_region regional_manager_user_id:regional_manager_user_id manager_name:regional_manager_name "
+                "manager_name_lf:regional_manager_name_lf manager_email:regional_manager_email")
 
 
 @view("vw_timesheet_missing")
 def vw_timesheet_missing(w: Warehouse) -> DataFrame:
-    """Weeks between a person's hire and leave for which no sheet exists."""
-    who = w.ref("dim_employee").select(F.col("key").alias("key_employee"), "dte_last_hire", "dte_src_end")
-    due = joins.expected_periods(who, "dte_last_hire", "dte_src_end", w.first_week, w.as_of)
-    sheets = w.ref("dim_timesheet").select(F.col("key_employee_ukg").alias("key_employee"), F.date_sub("dte_src_start", F.weekday("dte_src_start")).alias("week_start"))
-    missing = reporting.missing_sheets(due, sheets, ["key_employee", "week_start"])
-    return _sheet_people(missing.withColumn("qty", F.lit(0).cast("decimal(18,2)")), w)
+    """Weeks between a person's hire and leave for which no sheet exists, or only one without a state, with its hours.
 
-
-@view("vw_timesheet_unapproved")
-def vw_timesheet_unapproved(w: Warehouse) -> DataFrame:
-    """CRM sheets that are not yet approved, with their hours."""
-    sheets = w.system("timesheet", "sfc").select("key", F.col("employee_ukg_id").alias("key_employee"), "dte_src_start", "status")
-    hours = w.system("timesheet_entry", "sfc").groupBy("key_timesheet").agg(F.sum("qty").alias("qty"))
-    rows = look(sheets, hours, "key", "key_timesheet", "qty:qty").withColumn("qty", F.coalesce("qty", F.lit(0).cast("decimal(18,2)")))
-    out = rollup.pending(rows, F.col("status") != APPROVED, ["key", "key_employee", "dte_src_start", "status"], "qty")
+    People whose type writes no sheets, and people without a type, are not expected to have any.
+    """
+    kind = F.lower("key_employee_type")
+    who = w.ref("dim_employee").filter(kind.isNotNull() & ~kind.isin(NO_SHEETS)).select(F.col("key").alias("key_employee"), "dte_last_hire", "dte_src_end")
+    due = joins.expected_periods(who, "dte_last_hire", "dte_src_end", w.first_week, w.as_of).select("key_employee", "week_start", "week_end")
+    sheets = w.ref("dim_timesheet").select(F.col("key").alias("key_timesheet"), F.col("key_employee_ukg").alias("key_employee"), F.col("dte_src_start").alias("week_start"), "status")
+    open_sheets = sheets.filter("status IS NULL")
+    hours = w.ref("dim_timesheet_entry").join(open_sheets.select("key_timesheet"), "key_timesheet", "left_semi").groupBy("key_timesheet").agg(F.sum("qty").alias("qty"))
+    out = due.join(sheets, ["key_employee", "week_start"], "left").filter("status IS NULL")
+    out = look(out, hours, "key_timesheet", "key_timesheet", "key_timesheet:__sheet qty:qty").drop("__sheet")
+    out = out.withColumnsRenamed({"week_start": "timesheet_start_date", "week_end": "timesheet_end_date"}).withColumn("qty", F.coalesce("qty", F.lit(0)).cast("decimal(18,2)"))
     return _sheet_people(out, w)
 
 
+@view("vw_timesheet_unapproved")
+def vw_timesheet_unapproved(w: Warehouse) -> DataFrame:
+    """CRM sheets that are not yet approved, with their hours; the name of the sheet stands in for people unknown to payroll."""
+    sheets = w.system("timesheet", "sfc").filter(F.col("status") != APPROVED).select(
+        F.col("key").alias("key_timesheet"), F.col("key_employee").alias("__contact"), F.col("employee_name").alias("__name"),
+        F.col("dte_src_start").alias("timesheet_start_date"), F.col("dte_src_end").alias("timesheet_end_date"), F.col("status").alias("timesheet_status"))
+    hours = w.system("timesheet_entry", "sfc").groupBy("key_timesheet").agg(F.sum("qty").cast("decimal(18,2)").alias("qty"))
+    out = look(sheets.withColumn("__sheet", F.col("key_timesheet")), hours, "__sheet", "key_timesheet", "qty:qty").drop("__sheet")
+    out = _sheet_people(look(out, w.system("employee", "sfc"), "__contact", "key", "link:key_employee"), w)
+    return out.withColumns({"employee_name": F.coalesce("employee_name", "__name"), "employee_name_lf": F.coalesce("employee_name_lf", "__name")}).drop("__contact", "__name")

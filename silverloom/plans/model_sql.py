@@ -157,7 +157,7 @@ def _models() -> dict[str, str]:
                 "begindate": "dte_src_start", "employeeid": "employee_id", "state": "status", "employeelocationid": "employee_location_id",
                 "employeedepartmentid": "employee_department_id", "whencreated": "dts_src_created"}, drop=("link",), link="link"),
             silver("timesheet", "sfc", s + "pse_timecard_header_c", "id", {"pse_resource_c": "employee"}, {
-                "pse_start_date_c": "dte_src_start", "pse_status_c": "status", "state_worked_c": "state_worked"}, drop=("link",), link="link",
+                "pse_start_date_c": "dte_src_start", "pse_end_date_c": "dte_src_end", "pse_status_c": "status", "state_worked_c": "state_worked"}, drop=("link",), link="link",
                 frm=f"SELECT h.*, c.name AS employee_name, c.ukg_employee_id_c AS employee_ukg_id FROM ({RAW_TABLES[s + 'pse_timecard_header_c']}) h LEFT JOIN ({RAW_TABLES[s + 'contact']}) c ON h.pse_resource_c = c.id")),
         "expense": stacked(
             silver("expense", "int", i + "eexpenses", "recordno", {}, {**head, "employeeid": "employee_id", "totalentered": "amt_total"}, ("totalentered",), link="psa_id",
@@ -560,6 +560,40 @@ def _models() -> dict[str, str]:
                        JOIN ({RAW_TABLES[e + 'standard_phase_codes']}) spc ON l.standard_phase_code_id = spc.id WHERE spc.bln_is_billable) k ON k.phase_code = pc.name
             LEFT JOIN cube x ON x.frm_curr = {cur_e} AND x.to_curr = 'USD' AND x.date = greatest(least({day}, hi), lo))
         SELECT *, CAST(CAST(CAST(cost_original AS DECIMAL(18,2)) * CAST(fx_rate_usd AS DECIMAL(20,14)) AS DECIMAL(18,2)) AS DOUBLE) AS cost_usd FROM b"""
+    ukg = "ukg_pro."
+    latest = "QUALIFY row_number() OVER (PARTITION BY employee_id, company_id ORDER BY"
+    staff = f"""staff AS (
+            SELECT CAST(c.c_custkey AS STRING) AS key_employee, {who} || ' ' || c_name AS employee_name, c_name || ', ' || {who} AS employee_name_lf, c_name || '@example.com' AS employee_email,
+                   'E' || CAST(c.c_custkey AS STRING) AS intacct_id, s.pkey AS key_supervisor, s.nm AS supervisor_name, s.lf AS supervisor_name_lf, s.mail AS supervisor_email,
+                   'R' || CAST(e.n_nationkey AS STRING) AS key_entity, e.n_name AS entity_name, 'R' || CAST(r.n_nationkey AS STRING) AS key_region, r.n_name AS region_name,
+                   'R' || CAST(e.n_nationkey AS STRING) AS key_location, e.n_name AS location_name, 'R' || CAST(d.n_nationkey AS STRING) AS key_department, d.n_name AS department_name,
+                   t.record_id AS key_employee_type, t.display_name AS employee_type_name, m.original_hire_date AS dte_original_hire_date, m.last_hire_date AS dte_last_hire_date,
+                   m.date_of_termination AS dte_termination_date, r.n_regionkey AS regional_manager_user_id, g.nm AS regional_manager_name, g.lf AS regional_manager_name_lf, g.mail AS regional_manager_email
+            FROM customer c LEFT JOIN (SELECT * FROM ({RAW_TABLES[ukg + 'employment']}) {latest} date_in_job DESC, date_time_created DESC, employment_no DESC) = 1) m ON m.employee_id = CAST(c.c_custkey AS STRING)
+            LEFT JOIN (SELECT * FROM ({RAW_TABLES[ukg + 'employee_job_history']}) {latest} job_effective_date DESC, date_time_created DESC, id DESC) = 1) j ON j.employee_id = CAST(c.c_custkey AS STRING)
+            LEFT JOIN {person} s ON s.pkey = m.supervisor_id LEFT JOIN ({RAW_TABLES['portal.employee_types']}) t ON t.ukg_id = m.employee_type_code
+            LEFT JOIN nation d ON CAST(d.n_nationkey AS STRING) = j.organization_level_2_id LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey
+            LEFT JOIN nation e ON e.n_nationkey = n.n_regionkey LEFT JOIN nation r ON r.n_nationkey = e.n_regionkey LEFT JOIN {person} g ON g.pkey = CAST(r.n_regionkey AS STRING))"""
+    name = "timesheet_entry"
+    views["vw_timesheet_missing"] = f"""
+        WITH {staff}, weeks AS (SELECT CAST(d AS DATE) AS dte_start, CAST(d AS DATE) + 6 AS dte_end FROM generate_series(TIMESTAMP '2001-01-01', TIMESTAMP '2001-08-01', INTERVAL 7 DAY) g(d)),
+        sheet AS (SELECT key, employee_id, dte_src_start, status FROM ({out['timesheet']}) WHERE src_sys_key = 'int'),
+        entry AS (SELECT * FROM ({live(name, 'sage_intacct.timesheetentry')}) WHERE timesheetkey IN (SELECT recordno FROM ({live(name, 'sage_intacct.timesheet')}))
+                  QUALIFY row_number() OVER (PARTITION BY projectid, employeeid, entrydate, taskkey ORDER BY whenmodified DESC, recordno DESC) = 1),
+        hours AS (SELECT CAST(timesheetkey AS STRING) AS sheet, sum(CAST(qty AS DECIMAL(18,2))) AS qty FROM entry GROUP BY 1)
+        SELECT s.key AS key_timesheet, w.dte_start AS timesheet_start_date, w.dte_end AS timesheet_end_date, CAST(coalesce(h.qty, 0) AS DOUBLE) AS qty, s.status, p.*
+        FROM weeks w JOIN staff p ON w.dte_end > p.dte_last_hire_date AND (w.dte_end < p.dte_termination_date OR p.dte_termination_date IS NULL)
+        LEFT JOIN sheet s ON s.employee_id = p.intacct_id AND s.dte_src_start = w.dte_start LEFT JOIN hours h ON h.sheet = s.key
+        WHERE lower(p.key_employee_type) NOT IN ('1814354', '1814355', '474084', '1815351', '1833005', '1833006', '1143543') AND s.status IS NULL"""
+    hours = " + ".join(f"coalesce(t.pse_{d}_hours_c, 0)" for d in ("sunday", "monday", "tuesday", "wednesday", "thursday", "friday", "saturday"))
+    views["vw_timesheet_unapproved"] = f"""
+        WITH {staff}, hours AS (SELECT t.pse_timecard_c AS sheet, sum({hours}) AS qty FROM ({live(name, 'salesforce.pse_task_time_c')}) t
+                                JOIN ({live(name, 'salesforce.pse_timecard_header_c')}) h ON h.id = t.pse_timecard_c WHERE {hours} <> 0 GROUP BY 1)
+        SELECT s.key AS key_timesheet, s.dte_src_start AS timesheet_start_date, s.dte_src_end AS timesheet_end_date, CAST(h.qty AS DOUBLE) AS qty, s.status AS timesheet_status,
+               p.* REPLACE (coalesce(p.employee_name, s.employee_name) AS employee_name, coalesce(p.employee_name_lf, s.employee_name) AS employee_name_lf)
+        FROM (SELECT * FROM ({out['timesheet']}) WHERE src_sys_key = 'sfc') s LEFT JOIN hours h ON h.sheet = s.key
+        LEFT JOIN (SELECT * FROM ({RAW_TABLES['salesforce.contact']}) WHERE record_type_id = '0124W000001bI6LQAU') c ON c.id = s.key_employee
+        LEFT JOIN staff p ON p.key_employee = c.ukg_employee_id_c WHERE s.status <> 'Approved'"""
     return {**out, **gold, **views}
 
 

@@ -60,6 +60,9 @@ def _int_line(*cols: str) -> str:
 
 
 RAW_TABLES: dict[str, str] = {f"portal.{d}": _PORTAL_DIM for d in _PORTAL_DIMS}
+# two employee types whose people write no sheets
+RAW_TABLES["portal.employee_types"] = _PORTAL_DIM.replace(
+    f"{_text('R', 'n_nationkey')} AS record_id", f"CASE n_nationkey WHEN 7 THEN '1814354' WHEN 11 THEN '474084' ELSE {_text('R', 'n_nationkey')} END AS record_id")
 RAW_TABLES |= {
     "portal.users": f"""SELECT c_custkey AS id, CAST(c_custkey AS STRING) AS record_id, CAST(c_custkey AS STRING) AS ukg_id, {_text('U', 'c_custkey')} AS salesforce_user_id,
         {_text('C', 'c_custkey')} AS contact_id, {_text('E', 'c_custkey')} AS intacct_employee_id, c_custkey AS intacct_employee_record_no, c_name AS display_name,
@@ -125,7 +128,7 @@ RAW_TABLES |= {
     "sage_intacct.project_resources": f"""SELECT l_partkey AS projectkey, o_custkey AS employeekey, CASE WHEN l_returnflag <> 'N' THEN l_linenumber ELSE l_linenumber + 100 END AS itemkey, min(CAST(l_shipdate AS DATE)) AS startdate, CAST(max(l_extendedprice) AS DECIMAL(18,2)) AS billingrate, {LIVE}
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2, 3""",
     "sage_intacct.timesheet": f"""SELECT o_orderkey AS recordno, {_text('E', 'o_custkey')} AS employeeid, o_custkey AS employeekey, CAST(o_custkey AS STRING) || ':' || CAST(CAST(o_orderdate AS DATE) AS STRING) AS link, CAST(o_orderdate AS DATE) AS begindate,
-        o_orderstatus AS state, {_text('D', 'c_nationkey')} AS employeelocationid, {_text('D', 'c_nationkey')} AS employeedepartmentid, o_orderdate AS whencreated, {LIVE_ORDER} FROM orders JOIN customer ON o_custkey = c_custkey""",
+        CASE WHEN o_orderkey % 29 <> 11 THEN o_orderstatus END AS state, {_text('D', 'c_nationkey')} AS employeelocationid, {_text('D', 'c_nationkey')} AS employeedepartmentid, o_orderdate AS whencreated, {LIVE_ORDER} FROM orders JOIN customer ON o_custkey = c_custkey""",
     "sage_intacct.timesheetentry": f"""SELECT {_LINE} AS recordno, l_orderkey AS timesheetkey, l_partkey AS projectkey, {_text('P', 'l_partkey')} AS projectid, o_custkey AS employeedimkey, {_text('E', 'o_custkey')} AS employeeid, l_linenumber AS itemkey,
         l_partkey AS taskkey, {_TASK} AS taskname, CAST(l_shipdate AS DATE) AS entrydate, qty, (l_linestatus = 'F') AS billable, {_text('D', 'c_nationkey')} AS departmentid, {_text('D', 'c_nationkey')} AS locationid, c_nationkey AS locationkey,
         {_LINE} AS salesforce_id, l_shipdate AS whenmodified, {LIVE_LINE} FROM {_ONE_LINE}""",
@@ -173,7 +176,7 @@ RAW_TABLES |= {
     "salesforce.pse_project_task_c": f"""SELECT {_text('PT', 'p_partkey')} AS id, {_text('M', 'p_partkey')} AS pse_milestone_c, {_text('SP', 'p_partkey')} AS pse_project_c, {_text('Q', 'p_partkey')} AS proposal_c, {_text('U', 'p_partkey')} AS owner_id, (p_size % 3 <> 0) AS is_project_task_c, p_name AS name,
         CAST(p_retailprice AS DECIMAL(18,2)) AS original_proposal_budget_c, CAST(p_size - 1 AS DECIMAL(18,2)) AS original_proposal_hrs_or_units_c, {_SF_PART} FROM part""",
     "salesforce.project_task_milestone_c": f"SELECT {_text('PM', 'p_partkey')} AS id, {_text('PT', 'p_partkey')} AS project_task_c, {_text('M', 'p_partkey')} AS phase_code_c, {_text('SP', 'p_partkey')} AS project_c, CAST(p_retailprice AS DECIMAL(18,2)) AS earned_value_c, CASE WHEN p_size % 2 = 0 THEN 'EUR' ELSE '' END AS currency_iso_code, DATE '2024-01-10' AS milestone_date_c, {_SF_PART} FROM part",
-    "salesforce.pse_timecard_header_c": f"SELECT {_text('TH', 'o_orderkey')} AS id, {_text('C', 'o_custkey')} AS pse_resource_c, CAST(o_custkey AS STRING) || ':' || CAST(CAST(o_orderdate AS DATE) AS STRING) AS link, CAST(o_orderdate AS DATE) AS pse_start_date_c, o_orderstatus AS pse_status_c, 'CA' AS state_worked_c, {_SF_ORDER} FROM orders",
+    "salesforce.pse_timecard_header_c": f"SELECT {_text('TH', 'o_orderkey')} AS id, {_text('C', 'o_custkey')} AS pse_resource_c, CAST(o_custkey AS STRING) || ':' || CAST(CAST(o_orderdate AS DATE) AS STRING) AS link, CAST(o_orderdate AS DATE) AS pse_start_date_c, CAST(o_orderdate AS DATE) + 6 AS pse_end_date_c, CASE WHEN o_orderkey % 3 = 0 THEN 'Approved' ELSE o_orderstatus END AS pse_status_c, 'CA' AS state_worked_c, {_SF_ORDER} FROM orders",
     "salesforce.pse_task_time_c": f"""SELECT {_text('TT', 'l_orderkey')} AS id, {_text('TH', 'l_orderkey')} AS pse_timecard_c, {_text('PT', 'min(l_partkey)')} AS pse_project_task_c, CAST(min(l_shipdate) AS DATE) AS pse_start_date_c,
         CAST(sum(CASE l_linenumber WHEN 1 THEN l_quantity END) AS DECIMAL(18,2)) AS pse_sunday_hours_c, CAST(sum(CASE l_linenumber WHEN 2 THEN l_quantity END) AS DECIMAL(18,2)) AS pse_monday_hours_c, CAST(sum(CASE l_linenumber WHEN 3 THEN l_quantity END) AS DECIMAL(18,2)) AS pse_tuesday_hours_c,
         CAST(sum(CASE l_linenumber WHEN 4 THEN l_quantity END) AS DECIMAL(18,2)) AS pse_wednesday_hours_c, CAST(sum(CASE l_linenumber WHEN 5 THEN l_quantity END) AS DECIMAL(18,2)) AS pse_thursday_hours_c, CAST(sum(CASE l_linenumber WHEN 6 THEN l_quantity END) AS DECIMAL(18,2)) AS pse_friday_hours_c,
