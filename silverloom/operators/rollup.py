@@ -194,7 +194,11 @@ def ordered_concat(df: DataFrame, keys: Sequence[str], value: str, order: Column
 
 
 def attainment(df: DataFrame, keys: Sequence[str], week_start: str, hours: str, plan: str, as_of: str) -> DataFrame:
-    """Year-to-date and last-twelve-months attainment of weekly targets, from one row per key and week, in one pass."""
+    """Year-to-date and last-twelve-months attainment of weekly targets, from one row per key and week, in one pass.
+
+    With the averages per week, the target of a whole year and the part of it that is done. Percentages are rounded to a
+    tenth before they are compared with 100; a target of 0 counts as 1, a yearly target of 0 gives a progress of 0.
+    """
     today = F.lit(as_of).cast("date")
     ytd = F.year(F.col(week_start)) == F.year(today)
     year = within_months(week_start, 12, as_of)
@@ -202,20 +206,24 @@ def attainment(df: DataFrame, keys: Sequence[str], week_start: str, hours: str,
     per_week = F.max(F.when(ytd, F.round(F.col(plan), 1)))
     sums = df.groupBy(*keys).agg(
         per_week.cast("double").alias("billable_hours_per_week"),
+        F.round(F.max(F.when(ytd, F.col(plan))) * 52, 1).cast("double").alias("billable_hours_per_year"),
         F.count(F.when(ytd, 1)).alias("ytd_weeks"),
         F.round(pick(ytd, hours), 1).cast("double").alias("ytd_actual"),
+        F.round(F.try_divide(pick(ytd, hours).cast("double"), F.count(F.when(ytd, 1))), 1).alias("ytd_average_per_week"),
+        F.round(F.try_divide(pick(year, hours).cast("double"), F.count(F.when(year, 1))), 1).alias("l12m_average_per_week"),
         F.count(F.when(year, 1)).alias("l12m_weeks"),
         F.round(pick(year, hours), 1).cast("double").alias("l12m_actual"),
         F.round(pick(year, plan), 1).cast("double").alias("l12m_target"),
     )
     target = F.round(F.col("billable_hours_per_week") * F.col("ytd_weeks"), 1)
-    percent = lambda a, t: F.col(a) / F.when(F.col(t) == 0, F.lit(1.0)).otherwise(F.col(t)) * 100
+    percent = lambda a, t: F.round(F.col(a) / F.when(F.col(t) == 0, F.lit(1.0)).otherwise(F.col(t)) * 100, 1)
     out = sums.filter("ytd_weeks > 0").withColumn("ytd_target", target).withColumns({
         "ytd_percentage": percent("ytd_actual", "ytd_target"),
         "l12m_percentage": percent("l12m_actual", "l12m_target"),
     })
     status = lambda c: F.when(F.col(c) >= 100, "On Track").otherwise("Off Track")
-    return out.withColumns({"ytd_status": status("ytd_percentage"), "l12m_status": status("l12m_percentage")})
+    return out.withColumns({"ytd_status": status("ytd_percentage"), "l12m_status": status("l12m_percentage"),
+                            "progress": safe_ratio("ytd_actual", "billable_hours_per_year") * 100})
 
 
 def plan_vs_actual(plan: DataFrame, actual: DataFrame, keys: Sequence[str], start: str, end: str, date: str,

@@ -55,16 +55,18 @@ def year_slice_stats(t: Tables):
 
 @query("target_attainment", """
     WITH y AS (SELECT person_id, CAST(max(round(weekly_plan, 1)) AS DOUBLE) AS billable_hours_per_week, count(*) AS ytd_weeks,
+                      CAST(round(52 * max(weekly_plan), 1) AS DOUBLE) AS billable_hours_per_year, round(CAST(sum(hours) AS DOUBLE) / count(*), 1) AS ytd_average_per_week,
                       CAST(round(sum(hours), 1) AS DOUBLE) AS ytd_actual FROM weekly_hours WHERE year(week_start) = 2001 GROUP BY 1),
          l AS (SELECT person_id, count(*) AS l12m_weeks, CAST(round(sum(hours), 1) AS DOUBLE) AS l12m_actual,
-                      CAST(round(sum(weekly_plan), 1) AS DOUBLE) AS l12m_target
+                      round(CAST(sum(hours) AS DOUBLE) / count(*), 1) AS l12m_average_per_week, CAST(round(sum(weekly_plan), 1) AS DOUBLE) AS l12m_target
                FROM weekly_hours WHERE week_start >= DATE '2000-08-01' GROUP BY 1),
          a AS (SELECT y.*, round(billable_hours_per_week * ytd_weeks, 1) AS ytd_target, coalesce(l12m_weeks, 0) AS l12m_weeks,
-                      l12m_actual, l12m_target FROM y LEFT JOIN l ON y.person_id = l.person_id),
-         b AS (SELECT *, ytd_actual / (CASE ytd_target WHEN 0 THEN 1 ELSE ytd_target END) * 100 AS ytd_percentage,
-                      l12m_actual / (CASE l12m_target WHEN 0 THEN 1 ELSE l12m_target END) * 100 AS l12m_percentage FROM a)
+                      l12m_average_per_week, l12m_actual, l12m_target FROM y LEFT JOIN l ON y.person_id = l.person_id),
+         b AS (SELECT *, round(ytd_actual / (CASE ytd_target WHEN 0 THEN 1 ELSE ytd_target END) * 100, 1) AS ytd_percentage,
+                      round(l12m_actual / (CASE l12m_target WHEN 0 THEN 1 ELSE l12m_target END) * 100, 1) AS l12m_percentage FROM a)
     SELECT *, CASE WHEN ytd_percentage >= 100 THEN 'On Track' ELSE 'Off Track' END AS ytd_status,
-           CASE WHEN l12m_percentage >= 100 THEN 'On Track' ELSE 'Off Track' END AS l12m_status FROM b""")
+           CASE WHEN l12m_percentage >= 100 THEN 'On Track' ELSE 'Off Track' END AS l12m_status,
+           CASE WHEN coalesce(billable_hours_per_year, 0) = 0 THEN 0 ELSE ytd_actual / billable_hours_per_year * 100 END AS progress FROM b""")
 def target_attainment(t: Tables):
     return rollup.attainment(t("weekly_hours"), ["person_id"], "week_start", "hours", "weekly_plan", ORDERS_AS_OF)
 

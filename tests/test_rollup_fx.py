@@ -94,6 +94,8 @@ def test_attainment_status_and_zero_target(frame):
     assert (got[1]["ytd_actual"], got[1]["ytd_target"], got[1]["ytd_status"]) == (60.0, 60.0, "On Track")
     assert got[1]["l12m_status"] == "Off Track"
     assert got[2]["ytd_percentage"] == 300.0
+    assert (got[1]["ytd_average_per_week"], got[1]["l12m_average_per_week"], got[1]["billable_hours_per_year"]) == (30.0, 20.0, 1560.0)
+    assert abs(got[1]["progress"] - 100 * 60 / 1560) < 1e-9 and got[2]["progress"] == 0.0
     assert 3 not in got
 
 
