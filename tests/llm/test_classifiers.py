@@ -101,3 +101,37 @@ def test_dot_product_equals_a_plain_sum():
     # the cat , the cat CAPITALS the the cat: the repeated "the" is one word and one repeated pair
     assert n == 9 and len(one) == 8 and len(two) == 8 and (two == quality._same & quality._mask).sum() == 1
     assert quality.features("", words)[2] == 0
+
+
+def test_a_language_that_was_not_learned_is_rejected(spark, tables):
+    docs = tables["documents"].filter("lang IS NOT NULL AND length(text) >= 100")
+    contents = language.train(docs.filter("lang <> 'fr'"), F.lit(True))
+    assert sorted(contents) == ["de", "en", "es"]
+    read = language.identify(contents, spark)
+    got = docs.select("lang", read("text").alias("r")).select("lang", language.is_sure(F.col("r.margin"), F.col("r.lang_pred")).alias("sure")).collect()
+    share = lambda rows: sum(r["sure"] for r in rows) / len(rows)
+    assert share([r for r in got if r["lang"] != "fr"]) >= 0.98
+    assert share([r for r in got if r["lang"] == "fr"]) <= 0.2
+
+
+def test_numbers_that_are_no_letters_have_no_language():
+    read = language.Reader({"a": b"lorem ipsum dolor", "b": b"der schnelle fuchs"})
+    assert {read(t)[0] for t in ("\u00bd \u00b2", "\u2460 \u2167", "_ 12", "")} == {"und"}
+    assert read("fuchs \u00bd")[0] == "b"
+
+
+def test_dictionaries_hold_a_part_of_every_text():
+    texts = [f"{k:04d}" + chr(97 + k % 26) * 1_000 for k in range(600)]
+    held = language._content(texts)
+    assert len(held) <= language.DICTIONARY and all(f"{k:04d}".encode() in held for k in range(600))
+    assert len(language._content(["ab", "c" * 100_000])) == language.DICTIONARY - 1  # what a short text leaves, a long one takes
+    assert language._content([]) == b""
+
+
+def test_the_language_sample_is_that_of_ranking_all_rows(spark, tables):
+    docs = tables["documents"]
+    for bound in (5, 600, 10_000):
+        assert language.train(docs.repartition(7), F.lit(True), bound) == language.train(docs.coalesce(1), F.lit(True), bound)
+    hashes = spark.range(200_000).select(F.xxhash64(F.col("id").cast("string"), F.lit(17)).alias("h"))
+    below = hashes.filter(F.col("h") <= language._hash_limit(600, 200_000)).count()
+    assert 600 <= below <= 1_100
