@@ -122,11 +122,12 @@ def train(docs: DataFrame, may_learn: Column, sample: int = SAMPLE) -> dict[str,
     """
     hashed = F.xxhash64(F.col("doc_id").cast("string"), F.lit(17))
     rows = docs.filter(may_learn & F.col("lang").isNotNull() & (F.length("text") > 0)).select("doc_id", "lang", hashed.alias("h"))
-    # one number for each language, as the model itself has one dictionary for each
-    limits = [(r["lang"], _hash_limit(sample, r["n"])) for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()]
-    limits = docs.sparkSession.createDataFrame(limits, "lang string, highest long")
+    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()  # as many as the model has dictionaries
+    if not counts:
+        return {}
+    limits = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], _hash_limit(sample, r["n"]))])
     ids = (
-        rows.join(limits, "lang").filter(F.col("h") <= F.col("highest"))
+        rows.filter(F.col("h") <= F.try_element_at(limits, F.col("lang")))
         .withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id"))).filter(F.col("n") <= sample)
         .select("doc_id", "lang").distinct()
     )
