@@ -127,14 +127,15 @@ def train(docs: DataFrame, may_learn: Column, sample: int = SAMPLE) -> dict[str,
         return {}
     limits = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], _hash_limit(sample, r["n"]))])
     ids = (
-        rows.filter(F.col("h") <= F.try_element_at(limits, F.col("lang")))
+        rows.filter(F.col("h") <= F.try_element_at(limits, F.col("lang"))).distinct()
         .withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id"))).filter(F.col("n") <= sample)
-        .select("doc_id", "lang").distinct()
+        .select("doc_id", "lang")
     )
     start = F.pmod(hashed, F.greatest(F.length("text") - SAMPLE_CHARS, F.lit(0)) + 1) + 1
     rows = (
         docs.select("doc_id", "lang", "text").join(F.broadcast(ids), ["doc_id", "lang"])  # sample x languages rows
-        .select("lang", hashed.alias("h"), F.substr("text", start.cast("int"), F.lit(SAMPLE_CHARS)).alias("text")).collect()
+        .select("doc_id", "lang", hashed.alias("h"), F.substr("text", start.cast("int"), F.lit(SAMPLE_CHARS)).alias("text"))
+        .groupBy("doc_id", "lang", "h").agg(F.min("text").alias("text")).collect()  # an id that repeats gives one text
     )
     return learn([(r["lang"], r["text"]) for r in sorted(rows, key=lambda r: (r["h"], r["lang"], r["text"]))])
 
