@@ -7,13 +7,15 @@ from datetime import date, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from silverloom.functions.keys import hash_key
 from silverloom.models import core
 from silverloom.models.core import Model, Warehouse
 from silverloom.operators import rollup
 from silverloom.operators.quality import ContractError
 from silverloom.plans import catalogue
-from silverloom.sources import tables
-from tests.conftest import SF
+from silverloom.registry import Tables
+from silverloom.sources import raw, tables
+from tests.conftest import SF, rows
 
 
 def broken(monkeypatch, spark, tmp_path, change):
@@ -111,3 +113,62 @@ def test_one_key_with_all_rows_is_joined_in_pieces(spark, monkeypatch, order, di
 def test_warehouse_without_root_checks_contracts_too(spark):
     w = Warehouse(spark, lambda s, t: spark.createDataFrame([(1, False)], "recordno int, _fivetran_deleted boolean").withColumn("entitykey", F.lit(1)), "2001-08-01")
     assert w.ref("apbill").count() == 1
+
+
+def test_rows_are_written_where_they_are(spark, tmp_path):
+    """Every task writes its own rows, unmoved and unsorted, packed tightly; folders and setting are as before."""
+    df = spark.range(0, 900, 1, 3).select(F.lit("a").alias("src_sys_key"), "id").unionByName(
+        spark.range(0, 400, 1, 2).select(F.lit("b").alias("src_sys_key"), "id"))
+    before = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters", None)
+    out = tables.write_table(df, str(tmp_path), "consolidation", "m", ["src_sys_key"])
+    files = {k: [f for f in os.listdir(f"{tmp_path}/consolidation/m/src_sys_key={k}") if f.endswith(".zstd.parquet")] for k in "ab"}
+    assert {k: len(f) for k, f in files.items()} == {"a": 3, "b": 2}
+    assert rows(out) == rows(df)
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters", None) == before
+
+
+@pytest.mark.parametrize("table", ["ukg_pro.earning_history_base_element", "sage_intacct.ap_bill_item"])
+def test_raw_lines_are_dealt_by_order_once(spark, frame, tmp_path, table):
+    """Lines move once, for grouping and join; the rows are those of the plain text, with repeated and missing keys too."""
+    frame("c_custkey bigint, c_nationkey bigint", (1, 3), (2, 4), (2, 5), (None, 1)).write.parquet(f"{tmp_path}/customer.parquet")
+    frame("o_orderkey bigint, o_custkey bigint, o_orderpriority string", (1, 1, "2-HIGH"), (2, 2, "5-LOW"), (2, 1, None), (3, None, "5-LOW"), (None, 1, "5-LOW")).write.parquet(
+        f"{tmp_path}/orders.parquet")
+    frame("l_orderkey bigint, l_linenumber int, l_partkey bigint, l_suppkey bigint, l_quantity double, l_extendedprice double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+          *[(o, n, 7, 1, 2.0, 10.5, "R", "F", None) for o in (1, 2, 3, None) for n in (1, 1, 2)]).write.parquet(f"{tmp_path}/lineitem.parquet")
+    given = Tables(spark, str(tmp_path))
+    plain, once = (given.sql(text, {n: given(n) for n in ("lineitem", "orders", "customer")}) for text in (raw.RAW_TABLES[table], raw.spark_form(raw.RAW_TABLES[table])))
+    assert rows(once) == rows(plain) and once.count() == 8
+    moves = [x for x in once._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hashpartitioning(l_orderkey" in x]
+    assert moves and not [x for x in moves if "l_linenumber" in x]
+
+
+def test_hashes_are_made_anew_in_their_old_places(frame):
+    plain = frame("key string, hash_key string, a int, key_p string, hash_key_p string, hash_other string", ("1", "", 5, "7", "", "x"), (None, "", 6, None, "", "y")).withColumns(
+        {"hash_key": hash_key("key"), "hash_key_p": hash_key("key_p")})
+    bare, of = core.lean(plain)
+    assert of == {"hash_key": "key", "hash_key_p": "key_p"}
+    assert bare.filter("hash_key IS NULL AND hash_key_p IS NULL").count() == 2
+    moved = core.hashed(bare.withColumnRenamed("key_p", "key_q"), of, hash_key_p="key_q")
+    assert rows(moved) == rows(plain)
+
+
+def test_accounting_lines_carry_no_hashes_through_their_joins(spark):
+    """Rows of a reporting model are shuffled without the hashes of the conformed model, and have them in the end."""
+    w = catalogue.warehouse(spark, SF)
+    out = w.ref("dim_cc_transaction_entry")
+    assert out.filter(~F.col("hash_key").eqNullSafe(hash_key("key")) | ~F.col("hash_key_project").eqNullSafe(hash_key("key_project"))).isEmpty()
+    assert out.filter("hash_key_cc_transaction IS NOT NULL").count() == out.count() > 0
+
+
+def test_every_hash_follows_from_the_key_beside_it(spark):
+    """What ``lean`` relies on, for all models of which it takes the hashes off."""
+    w = catalogue.warehouse(spark, SF)
+    for name, system in (("cc_transaction_entry", "int"), ("apbillitem", "int"), ("expenseitem", "int"), ("invoice_item", "int"), ("timesheet_entry", "int"),
+                         ("sales_opportunity", "sfc"), ("sales_opportunity_line_item", "sfc"), ("sales_proposal", "sfc"), ("sales_proposal_line_item", "sfc"),
+                         ("sales_purchase_order", "sfc"), ("sales_account_team_member", "sfc"), ("sales_opportunity_team_member", "sfc"), ("sales_lead", "sfc"),
+                         ("sales_rate_card", "sfc"), ("sales_rate_card_set", "sfc"), ("employee_earning", "ukg"), ("employee_payroll_deductions", "ukg")):
+        df = w.system(name, system)
+        _, of = core.lean(df)
+        assert {"hash_key", "hash_link"} <= set(of)
+        wrong = df.agg(*[F.count_if(~F.col(h).eqNullSafe(hash_key(c))).alias(h) for h, c in of.items()]).first().asDict()
+        assert not any(wrong.values()), (name, wrong)
