@@ -12,6 +12,7 @@ from silverloom.models import core
 from silverloom.models.core import Model, Warehouse
 from silverloom.operators import rollup
 from silverloom.operators.quality import ContractError
+from silverloom.operators.stack import marked, stack
 from silverloom.plans import catalogue
 from silverloom.registry import Tables
 from silverloom.sources import raw, tables
@@ -172,3 +173,24 @@ def test_every_hash_follows_from_the_key_beside_it(spark):
         assert {"hash_key", "hash_link"} <= set(of)
         wrong = df.agg(*[F.count_if(~F.col(h).eqNullSafe(hash_key(c))).alias(h) for h, c in of.items()]).first().asDict()
         assert not any(wrong.values()), (name, wrong)
+
+
+def test_hashes_of_stored_keys_are_made_when_they_are_read(spark, frame, tmp_path):
+    """No hash of a key beside it takes room in a stored table; rows, columns and their order are those of the plain model."""
+    root = catalogue.warehouse(spark, SF, str(tmp_path))
+    for name, layer in (("project_phase_code", "consolidation"), ("sales_opportunity_line_item", "consolidation"), ("dim_sales_opportunity_line_item", "dataconsumption"),
+                        ("dim_invoice_item", "dataconsumption")):
+        plain, stored = catalogue.warehouse(spark, SF).ref(name), root.ref(name)
+        kept = spark.read.parquet(f"{tmp_path}/{layer}/{name}").columns
+        assert stored.columns == plain.columns and rows(stored) == rows(plain)
+        assert {"hash_key", "hash_link"} & set(plain.columns) and not {"hash_key", "hash_link"} & set(kept)
+    # the practice's key is another one by then, its hash is still the old key's
+    assert "hash_key_practice" in spark.read.parquet(f"{tmp_path}/dataconsumption/dim_sales_opportunity_line_item").columns
+
+
+def test_a_hash_that_some_source_lacks_is_stored(frame):
+    a = core.conform_by_rule(frame("id int, p int", (1, 5)), "x", "m", "2001-08-01", foreign={"p": "project"})
+    b = core.conform_by_rule(frame("id int, key_project string", (2, "7")), "y", "m", "2001-08-01")
+    assert marked(a) == {"hash_key": "key", "hash_link": "link", "hash_key_project": "key_project"}
+    assert marked(stack(a, b)) == marked(stack(b, a)) == {"hash_key": "key", "hash_link": "link"}
+    assert marked(a.drop("key_project").withColumn("key_project", F.lit("9"))) == {"hash_key": "key", "hash_link": "link"}
