@@ -194,3 +194,15 @@ def test_a_hash_that_some_source_lacks_is_stored(frame):
     assert marked(a) == {"hash_key": "key", "hash_link": "link", "hash_key_project": "key_project"}
     assert marked(stack(a, b)) == marked(stack(b, a)) == {"hash_key": "key", "hash_link": "link"}
     assert marked(a.drop("key_project").withColumn("key_project", F.lit("9"))) == {"hash_key": "key", "hash_link": "link"}
+
+
+@pytest.mark.parametrize("model, key, not_yet", [
+    ("dim_sales_opportunity_line_item", "key_product", "stage_name"), ("dim_sales_proposal_line_item", "key_product", "proposal_name"),
+    ("dim_invoice_item", "key_project", "department_name"), ("dim_sales_proposal", "key_opportunity", "amt_total_price_location")])
+def test_lines_are_moved_before_they_are_widened(spark, model, key, not_yet):
+    """Where rows are dealt by a key, they do not yet carry what another dimension adds."""
+    with tables.setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
+        out = catalogue.warehouse(spark, SF).ref(model)
+        text = out._jdf.queryExecution().explainString(out._sc._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    moves = [x for x in text.split("\n\n") if f"hashpartitioning({key}#" in x]
+    assert moves and not [x for x in moves if f"{not_yet}#" in x]
