@@ -1,6 +1,8 @@
 """Roll-ups, categories, currency rates and reports."""
 
 import datetime as dt
+import io
+from contextlib import redirect_stdout
 from decimal import Decimal
 
 import pytest
@@ -8,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from silverloom.operators import calendar, fx, quality, reporting, rollup
+from silverloom.sources.tables import LEAST_TASKS, dealt
 from tests.conftest import SF, rows
 
 D = dt.date.fromisoformat
@@ -173,3 +176,27 @@ def test_price_discounts_against_two_lists(frame):
     assert (got[1]["amt_total_price"], got[1]["amt_total_price_a"], got[1]["amt_discount_a"], got[1]["perc_discount_a"]) == (N("20"), N("24"), N("4"), -0.5)
     assert (got[1]["amt_total_price_b"], got[1]["amt_discount_b"], got[1]["perc_discount_b"]) == (N("15"), N("-5"), 0.625)
     assert got[2]["perc_discount_a"] == 0.0 and got[3]["perc_discount_a"] == 0.0 and got[None]["amt_discount_a"] == 0
+
+
+def test_utilisation_deals_by_the_size_of_its_input(spark, tmp_path, monkeypatch):
+    kinds = ("person_id long, entity_person long, entity_project long, task_name string, bln_billable boolean, dte_entry date, "
+             "qty decimal(18,2), amt_bill decimal(18,2), amt_cost decimal(18,2)")
+    rows = [(p, p % 3, None, "DEV", True, dt.date(2001, 1 + p % 12, 2), N(1), N(2), N(3)) for p in range(200)]
+    path = str(tmp_path / "entries with blanks")
+    spark.createDataFrame(rows, kinds).coalesce(1).write.parquet(path)
+    entries = spark.read.parquet(path)
+    size = sum(f.stat().st_size for f in (tmp_path / "entries with blanks").glob("*.parquet"))
+    assert dealt(entries, ["person_id"], entries, size // 40).rdd.getNumPartitions() in (40, 41)
+    assert dealt(entries, ["person_id"], entries, 10 * size).rdd.getNumPartitions() == LEAST_TASKS
+
+    flags = spark.createDataFrame([("DEV", *[False] * 7)], "task_name string, pto boolean, internal_travel boolean, travel boolean, "
+                                  "disfun boolean, nowork boolean, internal boolean, excluded boolean")
+    plan = spark.createDataFrame([(1, 2001, N(52), N(1), N(1))], "person_id long, year int, plan_hours_year decimal(18,2), "
+                                 "plan_hours_week decimal(18,2), bill_rate decimal(18,2)")
+    monkeypatch.setattr(reporting, "ENTRY_BYTES", size // 40)
+    shown = io.StringIO()
+    out = reporting.utilisation(entries, flags, plan)
+    with redirect_stdout(shown):
+        out.explain()
+    assert "REPARTITION_BY_NUM" in shown.getvalue()
+    assert out.filter("type = 'Billable' AND date_group_type_id = 'Y' AND entity_grouping = 'Employee'").agg({"hours": "sum"}).first()[0] == 200
