@@ -1,6 +1,7 @@
 """Contracts at the write, stores that follow their input, the catalog sink, text aggregation of a hot key."""
 
 import os
+import re
 import shutil
 from datetime import date, timedelta
 
@@ -8,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from silverloom.functions.keys import hash_key
-from silverloom.models import core
+from silverloom.models import core, silver
 from silverloom.models.core import Model, Warehouse
 from silverloom.operators import rollup
 from silverloom.operators.quality import ContractError
@@ -206,3 +207,38 @@ def test_lines_are_moved_before_they_are_widened(spark, model, key, not_yet):
         text = out._jdf.queryExecution().explainString(out._sc._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
     moves = [x for x in text.split("\n\n") if f"hashpartitioning({key}#" in x]
     assert moves and not [x for x in moves if f"{not_yet}#" in x]
+
+
+def test_changes_of_people_are_moved_before_they_are_sorted(spark, monkeypatch):
+    """No task sorts its part of a file for the last change: rows are dealt by the person first, to as many tasks as the files
+    have shares, and all that has the person as its key meets there without another move."""
+    monkeypatch.setattr(silver, "TASK_BYTES", 1 << 10)
+    with tables.setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
+        out = catalogue.warehouse(spark, SF).ref("employee")
+        text = out._jdf.queryExecution().explainString(out._sc._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    blocks = [x for x in text.split("\n\n") if "Arguments: hashpartitioning(employee_id#" in x]
+    dealt = [int(re.search(r", (\d+)\), REPARTITION_BY_NUM", x)[1]) for x in blocks if "REPARTITION_BY_NUM" in x]
+    assert len(dealt) == 3 and len(set(dealt)) == 1 and dealt[0] > tables.LEAST_TASKS
+    assert len(blocks) == 3 and "hashpartitioning(__pair#" not in text
+
+
+def test_last_changes_belong_to_a_person_and_a_company(spark, frame):
+    base = catalogue.warehouse(spark, SF)
+    jobs = base._source("ukg_pro", "employee_job_history")
+
+    def change(id, who, company, day, rise, shift):  # noqa: A002
+        return jobs.limit(1).withColumns({
+            "id": F.lit(id), "employee_id": F.lit(who), "company_id": F.lit(company), "job_effective_date": F.lit(day).cast("date"), "is_rate_change": F.lit(rise),
+            "shift_code": F.lit(shift)})
+
+    mine = base._source("ukg_pro", "employee").filter("id IN ('1', '2')").select("id", "company_id").collect()
+    (one, home), (two, other) = sorted(tuple(r) for r in mine)
+    own = [change("a", one, home, "2030-01-01", True, "A"), change("b", one, home, "2030-01-03", False, "B"), change("c", one, home, "2030-01-02", None, "C"),
+           change("d", one, "no company", "2030-01-09", True, "D"), change("e", None, home, "2030-01-09", True, "E"), change("f", one, None, "2030-01-09", True, "F"),
+           change("g", two, other, None, True, "G")]
+    all_jobs = own[0]
+    for x in own[1:]:
+        all_jobs = all_jobs.union(x)
+    w = Warehouse(spark, lambda s, t: all_jobs if t == "employee_job_history" else base._source(s, t).withColumn("primary_shift_code", F.lit("")) if t == "compensation" else base._source(s, t), "2001-08-01")
+    got = w.system("employee", "ukg").filter("key IN ('1', '2', '3')").select("key", "shift_code", F.col("dte_pay_last_changed").cast("string"))
+    assert rows(got) == [("1", "B", "2030-01-01"), ("2", "G", None), ("3", None, None)]
