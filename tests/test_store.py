@@ -242,3 +242,27 @@ def test_last_changes_belong_to_a_person_and_a_company(spark, frame):
     w = Warehouse(spark, lambda s, t: all_jobs if t == "employee_job_history" else base._source(s, t).withColumn("primary_shift_code", F.lit("")) if t == "compensation" else base._source(s, t), "2001-08-01")
     got = w.system("employee", "ukg").filter("key IN ('1', '2', '3')").select("key", "shift_code", F.col("dte_pay_last_changed").cast("string"))
     assert rows(got) == [("1", "B", "2030-01-01"), ("2", "G", None), ("3", None, None)]
+
+
+@pytest.mark.parametrize("model, never", [
+    ("dim_project", ("assistant_project_manager_id", "client_manager_id", "regional_manager_user_id")),
+    ("dim_project_task", ("account_id",)), ("dim_project_task_milestone", ())])
+def test_projects_are_not_moved_for_what_smaller_sides_can_find(spark, model, never):
+    """Rows of the model carry no hashes through their joins, and are not dealt by what a smaller side asks for."""
+    with tables.setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
+        out = catalogue.warehouse(spark, SF).ref(model)
+        text = out._jdf.queryExecution().explainString(out._sc._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    moves = [x for x in text.split("\n\n") if "Arguments: hashpartitioning(" in x]
+    mine = [x for x in moves if re.search(r"\b(amt_po|budget_original|earned_value)#", x)]
+    assert mine and not [x for x in mine if re.search(r"\bhash_(key|link)", x)]
+    assert not [x for x in mine for key in never if f"hashpartitioning({key}#" in x or f"hashpartitioning(__{key}#" in x]
+
+
+def test_job_changes_carry_no_hashes_through_their_joins(spark):
+    with tables.setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
+        out = catalogue.warehouse(spark, SF).ref("dim_employee_job_history")
+        text = out._jdf.queryExecution().explainString(out._sc._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    moves = [x for x in text.split("\n\n") if "Arguments: hashpartitioning(" in x and "dte_job_effective#" in x]
+    assert moves and not [x for x in moves if re.search(r"\bhash_(key|link)", x)]
+    wrong = out.agg(F.count_if(~F.col("hash_key_practice").eqNullSafe(hash_key("ukg_practice_id"))), F.count_if(~F.col("hash_key").eqNullSafe(hash_key("key")))).first()
+    assert tuple(wrong) == (0, 0)
