@@ -154,6 +154,15 @@ def test_hashes_are_made_anew_in_their_old_places(frame):
     assert rows(moved) == rows(plain)
 
 
+def test_hashes_keep_their_names_where_the_key_has_another(frame):
+    plain = frame("key string, hash_key string, key_owner string, hash_key_owner string", ("1", "", "7", ""), ("2", "", None, "")).withColumns(
+        {"hash_key": hash_key("key"), "hash_key_owner": hash_key("key_owner")})
+    bare, of = core.lean(plain)
+    out = core.hashed(bare.withColumnRenamed("key_owner", "key_owner_sfc"), {**of, "hash_key_owner": "key_owner_sfc"})
+    assert out.columns == ["key", "hash_key", "key_owner_sfc", "hash_key_owner"] and rows(out) == rows(plain)
+    assert marked(out) == {"hash_key": "key"}
+
+
 def test_accounting_lines_carry_no_hashes_through_their_joins(spark):
     """Rows of a reporting model are shuffled without the hashes of the conformed model, and have them in the end."""
     w = catalogue.warehouse(spark, SF)
