@@ -267,6 +267,20 @@ def test_projects_are_not_moved_for_what_smaller_sides_can_find(spark, model, ne
     assert not [x for x in mine for key in never if f"hashpartitioning({key}#" in x or f"hashpartitioning(__{key}#" in x]
 
 
+def moves_of(out, column: str) -> list[str]:
+    """Keys by which rows that carry the column are dealt."""
+    text = out._jdf.queryExecution().explainString(out._sc._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    blocks = [re.sub(r"#\d+L?", "", x) for x in text.split("\n\n") if "Arguments: hashpartitioning(" in x and re.search(rf"\b{column}#", x)]
+    return [re.search(r"hashpartitioning\((.*), \d+\)", x)[1] for x in blocks]
+
+
+def test_time_entries_are_moved_once_for_both_rates(spark):
+    with tables.setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
+        out = catalogue.warehouse(spark, SF).ref("timesheet_entry")
+        assert moves_of(out, "salesforce_id") == ["projectid, employeeid, entrydate, taskkey", "projectkey, employeedimkey"]
+        assert moves_of(out, "billingrate").count("projectkey, employeedimkey") == 1
+
+
 def test_job_changes_carry_no_hashes_through_their_joins(spark):
     with tables.setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
         out = catalogue.warehouse(spark, SF).ref("dim_employee_job_history")

@@ -75,3 +75,20 @@ def test_sums_between_refuses_inexact_measures(spark):
     actual = spark.createDataFrame([(1, FIRST, 1.0)], "k int, d date, q double")
     with pytest.raises(TypeError):
         timeline.sums_between(plans, actual, ["k"], "a", "b", "d", {"q": F.col("q")})
+
+
+def test_two_lookups_in_one_join_are_those_of_two(frame):
+    """A key's rates by item and its rates without item, with keys, items and days that are null, unknown or repeated."""
+    def day(n):
+        return FIRST + timedelta(n)
+
+    changes = frame("p int, e int, item long, day date, v int", (1, 1, 5, day(1), 10), (1, 1, 5, day(4), 11), (1, 1, 5, day(4), 12), (1, 1, 6, day(2), 20), (1, 1, None, day(3), 30),
+                    (1, 1, 7, None, 40), (2, 1, None, day(1), 50), (None, 1, 5, day(1), 60), (3, 1, 5, day(1), 70))
+    facts = frame("n int, p int, e int, item long, day date", (1, 1, 1, 5, day(1)), (2, 1, 1, 5, day(5)), (3, 1, 1, 6, day(1)), (4, 1, 1, 6, day(9)), (5, 1, 1, 7, day(9)), (6, 1, 1, None, day(9)),
+                  (7, 2, 1, 5, day(9)), (8, None, 1, 5, day(9)), (9, 3, 1, 5, None), (10, 3, 1, 5, day(9)), (11, 4, 1, 5, day(9)), (2, 1, 1, 5, day(5)))
+    value = {"v": F.max("v")}
+    two = timeline.as_of_join(facts, changes.filter("item IS NOT NULL"), ["p", "e", "item"], "day", "day", value, open_start=False).withColumnRenamed("v", "item_v")
+    two = timeline.as_of_join(two, changes.filter("item IS NULL").drop("item"), ["p", "e"], "day", "day", value, open_start=False)
+    one = timeline.parted_as_of_join(facts, changes, ["p", "e"], "item", "day", "day", value, "item_")
+    assert one.columns == two.columns and rows(one) == rows(two)
+    assert one.filter("item_v IS NOT NULL").count() == 5 and one.filter("v IS NOT NULL").count() == 6
