@@ -281,6 +281,22 @@ def test_time_entries_are_moved_once_for_both_rates(spark):
         assert moves_of(out, "billingrate").count("projectkey, employeedimkey") == 1
 
 
+@pytest.mark.parametrize("model, growth", [("dim_project_phase_code", 32), ("dim_sales_opportunity_line_item", 4), ("dim_sales_proposal_line_item", 4)])
+def test_files_are_not_taken_for_rows_where_many_are_looked_up(spark, tmp_path, monkeypatch, model, growth):
+    """What is broadcast to a model is judged by the size of its rows in memory, not by that of their files."""
+    seen, before = {}, core.write_table
+    name = "spark.sql.sources.fileCompressionFactor"
+
+    def write(df, root, layer, alias, *rest, **more):
+        seen[alias] = float(spark.conf.get(name))
+        return before(df, root, layer, alias, *rest, **more)
+
+    monkeypatch.setattr(core, "write_table", write)
+    was = spark.conf.get(name)
+    catalogue.warehouse(spark, SF, str(tmp_path)).ref(model)
+    assert seen[model] == growth and seen["sales_account"] == 1 and spark.conf.get(name) == was
+
+
 def test_job_changes_carry_no_hashes_through_their_joins(spark):
     with tables.setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
         out = catalogue.warehouse(spark, SF).ref("dim_employee_job_history")
