@@ -297,6 +297,25 @@ def test_files_are_not_taken_for_rows_where_many_are_looked_up(spark, tmp_path,
     assert seen[model] == growth and seen["sales_account"] == 1 and spark.conf.get(name) == was
 
 
+def test_time_entries_are_not_moved_for_the_pay_of_their_person(spark):
+    with tables.setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
+        moves = moves_of(catalogue.warehouse(spark, SF).ref("dim_timesheet_entry"), "task_key")
+    # what small tables add comes last
+    assert [m for m in moves if m.startswith(("link", "key_timesheet", "key_project", "employee_id_intacct"))] == moves[:4]
+    assert "key_employee_ukg" not in moves
+
+
+@pytest.mark.parametrize("model", ["dim_expense_item", "dim_ap_bill_item", "dim_cc_transaction_entry"])
+def test_accounting_lines_are_moved_before_small_tables_widen_them(spark, model):
+    """Lines are not moved with their department's and entity's names, nor by what their header asks for."""
+    with tables.setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
+        moves = moves_of(catalogue.warehouse(spark, SF).ref(model), "amt_trx")
+    small = [k for k, m in enumerate(moves) if m.startswith(("department_id", "location_id", "__entity"))]
+    large = [k for k, m in enumerate(moves) if m.startswith(("key_project", "employee_id", "link"))]
+    assert large and small and "__report_link" not in moves
+    assert max(large) < min(small)
+
+
 def test_job_changes_carry_no_hashes_through_their_joins(spark):
     with tables.setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
         out = catalogue.warehouse(spark, SF).ref("dim_employee_job_history")
